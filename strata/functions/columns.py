@@ -182,5 +182,5 @@ def version_id(key_cols: Sequence[str | Column], valid_from: str | Column) -> Co
     """Deterministic version surrogate id (SCD-6, PRJ-23):
     ``md5(key1|key2|..|epoch_micros(valid_from))``."""
     parts = [col(k).cast("string") for k in key_cols]
-    parts.append(F.unix_micros(col(valid_from)).cast("string"))
+    parts.append(F.unix_micros(col(valid_from).cast("timestamp")).cast("string"))
     return F.md5(F.concat_ws("|", *parts))

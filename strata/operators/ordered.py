@@ -29,7 +29,7 @@ SEG = "_seg"
 def time_segment(ts: str | Column, width_seconds: int) -> Column:
     """Monotone bucket of a timestamp: ``floor(epoch_seconds / width)``."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(c) / F.lit(width_seconds * 1_000_000)).cast("long")
+    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(width_seconds * 1_000_000)).cast("long")
 
 
 def _order_struct(order_cols: Sequence[str]) -> Column:
@@ -86,3 +86,27 @@ def prefix_max(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], va
     carry = summary.select(*keys, SEG, F.max("_segmax").over(w_seg).alias("_carry"))
     joined = inner.join(carry, [*keys, SEG], "left")
     return joined.withColumn(out, F.greatest("_in", "_carry")).select(*df.columns, out)
+
+
+def ffill(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_cols: Sequence[str],
+          prefix: str = "ff_", segment: Column | None = None) -> DataFrame:
+    """``{prefix}{v}`` = the last non-NULL ``v`` of the same key up to and
+    including this row in ``order_cols`` order (forward fill)."""
+    ordering = [F.col(c).asc() for c in order_cols]
+    frame = (Window.unboundedPreceding, Window.currentRow)
+    if segment is None:
+        w = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(*frame)
+        return df.select("*", *[F.last(v, ignorenulls=True).over(w).alias(prefix + v) for v in value_cols])
+
+    seg = df.withColumn(SEG, segment)
+    w_in = Window.partitionBy(*keys, SEG).orderBy(*ordering).rowsBetween(*frame)
+    inner = seg.select("*", *[F.last(v, ignorenulls=True).over(w_in).alias(f"_in_{v}") for v in value_cols])
+    # Per segment: the last non-NULL value of each column, in order.
+    summary = seg.groupBy(*keys, SEG).agg(*[
+        F.max_by(F.col(v), F.when(F.col(v).isNotNull(), _order_struct(order_cols))).alias(f"_last_{v}")
+        for v in value_cols])
+    w_seg = Window.partitionBy(*keys).orderBy(F.col(SEG).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, SEG, *[F.last(f"_last_{v}", ignorenulls=True).over(w_seg).alias(f"_c_{v}")
+                                         for v in value_cols])
+    joined = inner.join(carry, [*keys, SEG], "left")
+    return joined.select(*df.columns, *[F.coalesce(f"_in_{v}", f"_c_{v}").alias(prefix + v) for v in value_cols])

@@ -68,3 +68,49 @@ def account_summary(spark: SparkSession, sf: str) -> DataFrame:
 def customer_profile(spark: SparkSession, sf: str) -> DataFrame:
     stg, _ = staged_customers(spark, sf)
     return M.customer_profile(account_summary(spark, sf), stg)
+
+
+# --- histories over the events log -------------------------------------------
+# Fixed run parameters of the history queries.
+SEGMENT_SECONDS = 86400          # day segments: a hot user spreads over its days
+T1 = "2024-01-15 00:00:00"       # first snapshot run
+T2 = "2024-01-31 00:00:00"       # second snapshot run
+AS_OF = "2024-01-15 12:00:00"
+ARCHIVE_BEFORE = "2024-01-10 00:00:00"
+VALUE_BAND = "CASE WHEN value < 10 THEN 'low' WHEN value < 50 THEN 'mid' ELSE 'high' END"
+
+
+def ts(v: str):
+    return F.lit(v).cast("timestamp")
+
+
+def event_history(spark: SparkSession, sf: str) -> DataFrame:
+    """SCD-8: user -> event_type history from the whole events log."""
+    log = tpch.change_log(spark, sf)
+    return scd2.history_from_log(log, ["user_id"], "ts", ["event_type"], tiebreak="event_id",
+                                 segment_seconds=SEGMENT_SECONDS)
+
+
+def band_history(spark: SparkSession, sf: str) -> DataFrame:
+    """A second history of the same key: the band of the event value."""
+    log = tpch.table(spark, sf, "events").selectExpr("user_id", "ts", "event_id", f"{VALUE_BAND} AS value_band")
+    return scd2.history_from_log(log, ["user_id"], "ts", ["value_band"], tiebreak="event_id",
+                                 segment_seconds=SEGMENT_SECONDS)
+
+
+def user_extract(spark: SparkSession, sf: str, cutoff: str) -> DataFrame:
+    """Full extract of user state at ``cutoff``: each user's latest event
+    before it (``max_by`` - a partial aggregate, so a hot user is reduced
+    map-side).  Users whose latest event is an error are absent (deleted)."""
+    log = tpch.change_log(spark, sf).filter(F.col("ts") < ts(cutoff))
+    last = log.groupBy("user_id").agg(
+        F.max_by(F.struct("event_type", "ts"), F.struct("ts", "event_id")).alias("s"))
+    return (last.select("user_id", F.col("s.event_type").alias("event_type"), F.col("s.ts").alias("last_event_ts"))
+            .filter(F.col("event_type") != F.lit("error")))
+
+
+def merged_history(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
+    """Two snapshot runs (T1 then T2) over the user extracts."""
+    kw = dict(check_cols=["event_type"]) if strategy == "check" else dict(updated_at="last_event_ts")
+    h1 = scd2.snapshot(None, user_extract(spark, sf, T1), ["user_id"], strategy, ts(T1), **kw)
+    return scd2.snapshot(h1, user_extract(spark, sf, T2), ["user_id"], strategy, ts(T2), **kw)

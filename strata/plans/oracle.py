@@ -137,3 +137,100 @@ SELECT o_orderpriority, rows_count, CAST(group_avg AS DECIMAL(18,2)) AS group_av
   CAST(overall_avg AS DECIMAL(18,2)) AS overall_avg,
   CASE WHEN group_avg > overall_avg THEN 'above' WHEN group_avg < overall_avg THEN 'below' ELSE 'equal' END AS position
 FROM per, allavg"""
+
+
+# --- SCD2 history --------------------------------------------------------------
+T1, T2 = "TIMESTAMP '2024-01-15 00:00:00'", "TIMESTAMP '2024-01-31 00:00:00'"
+AS_OF = "TIMESTAMP '2024-01-15 12:00:00'"
+ARCHIVE_BEFORE = "TIMESTAMP '2024-01-10 00:00:00'"
+VALUE_BAND = "CASE WHEN value < 10 THEN 'low' WHEN value < 50 THEN 'mid' ELSE 'high' END"
+
+
+def scd_id(key: str, ts: str) -> str:
+    return f"md5(CAST({key} AS VARCHAR) || '|' || CAST(epoch_us({ts}) AS VARCHAR))"
+
+
+def log_history(attr_expr: str, attr: str) -> str:
+    return f"""SELECT user_id, {attr}, {scd_id('user_id', 'ts')} AS dbt_scd_id, ts AS dbt_updated_at,
+        ts AS dbt_valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dbt_valid_to
+      FROM (SELECT user_id, ts, event_id, {attr_expr} AS {attr},
+                   lag(ts) OVER w AS p_ts, lag({attr_expr}) OVER w AS p_attr
+            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) x
+      WHERE p_ts IS NULL OR p_attr IS DISTINCT FROM {attr}"""
+
+
+HIST = {"hist": log_history("event_type", "event_type")}
+
+
+def extract(cutoff: str) -> str:
+    return f"""SELECT user_id, event_type, ts AS last_event_ts FROM (
+        SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+        FROM events WHERE ts < {cutoff}) x WHERE rn = 1 AND event_type <> 'error'"""
+
+
+def merged(strategy: str) -> str:
+    if strategy == "check":
+        h1_from = T1
+        changed = "h.event_type IS DISTINCT FROM n.event_type"
+        new_from = T2
+    else:
+        h1_from = "last_event_ts"
+        changed = "n.last_event_ts > h.dbt_updated_at"
+        new_from = "n.last_event_ts"
+    return f"""WITH e1 AS ({extract(T1)}), e2 AS ({extract(T2)}),
+h1 AS (SELECT user_id, event_type, last_event_ts, {scd_id('user_id', h1_from)} AS dbt_scd_id,
+              {h1_from} AS dbt_updated_at, {h1_from} AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM e1),
+j AS (SELECT h.user_id AS h_user, h.event_type AS h_type, h.last_event_ts AS h_ts, h.dbt_scd_id AS h_id,
+             h.dbt_updated_at AS h_upd, h.dbt_valid_from AS h_from,
+             n.user_id AS n_user, n.event_type AS n_type, n.last_event_ts AS n_ts,
+             (h.user_id IS NOT NULL AND n.user_id IS NOT NULL AND coalesce({changed}, false)) AS changed,
+             {new_from} AS new_from
+      FROM h1 h FULL OUTER JOIN e2 n ON h.user_id = n.user_id)
+SELECT h_user AS user_id, h_type AS event_type, h_ts AS last_event_ts, h_id AS dbt_scd_id, h_upd AS dbt_updated_at,
+       h_from AS dbt_valid_from,
+       CASE WHEN changed THEN new_from WHEN n_user IS NULL THEN {T2} END AS dbt_valid_to
+FROM j WHERE h_user IS NOT NULL
+UNION ALL
+SELECT n_user, n_type, n_ts, {scd_id('n_user', 'new_from')}, new_from, new_from, CAST(NULL AS TIMESTAMP)
+FROM j WHERE n_user IS NOT NULL AND (h_user IS NULL OR changed)"""
+
+
+def with_hist(body: str, extra: dict[str, str] | None = None) -> str:
+    ctes = dict(HIST)
+    ctes.update(extra or {})
+    return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in ctes.items()) + "\n" + body
+
+
+SQL["scd2_from_log"] = with_hist("SELECT * FROM hist")
+SQL["scd2_merge_check"] = merged("check")
+SQL["scd2_merge_timestamp"] = merged("timestamp")
+SQL["scd2_current"] = with_hist("SELECT * FROM hist WHERE dbt_valid_to IS NULL")
+SQL["scd2_as_of"] = with_hist(
+    f"SELECT * FROM hist WHERE dbt_valid_from <= {AS_OF} AND (dbt_valid_to IS NULL OR {AS_OF} < dbt_valid_to)")
+SQL["scd2_key_history"] = with_hist("""SELECT user_id, dbt_scd_id, dbt_valid_from, dbt_valid_to,
+    row_number() OVER (PARTITION BY user_id ORDER BY dbt_valid_from, dbt_scd_id) AS version_no,
+    dbt_valid_to IS NULL AS is_current FROM hist""")
+SQL["pit_join"] = with_hist("""SELECT a.user_id, a.event_type, b.value_band,
+    greatest(a.dbt_valid_from, b.dbt_valid_from) AS dbt_valid_from,
+    CASE WHEN a.dbt_valid_to IS NULL THEN b.dbt_valid_to WHEN b.dbt_valid_to IS NULL THEN a.dbt_valid_to
+         ELSE least(a.dbt_valid_to, b.dbt_valid_to) END AS dbt_valid_to
+  FROM hist a JOIN band b ON a.user_id = b.user_id
+   AND a.dbt_valid_from < coalesce(b.dbt_valid_to, TIMESTAMP '9999-12-31')
+   AND b.dbt_valid_from < coalesce(a.dbt_valid_to, TIMESTAMP '9999-12-31')""",
+                            {"band": log_history(VALUE_BAND, "value_band")})
+SQL["scd2_multi_version"] = ("WITH m AS (" + merged("check") + ") SELECT user_id, count(*) AS versions_count "
+                             "FROM m GROUP BY user_id HAVING count(*) > 1")
+SQL["scd2_storage_metrics"] = with_hist("""SELECT count(*) AS total_versions, count(DISTINCT user_id) AS distinct_keys,
+    count(*) FILTER (WHERE dbt_valid_to IS NULL) AS open_versions,
+    count(*) FILTER (WHERE dbt_valid_to IS NOT NULL) AS closed_versions,
+    round(count(*) / nullif(count(DISTINCT user_id), 0), 2) AS avg_versions_per_key FROM hist""")
+SQL["scd2_recent_changes"] = with_hist(
+    f"SELECT * FROM hist WHERE dbt_valid_from > {T2} - INTERVAL 24 HOUR ORDER BY dbt_valid_from DESC")
+SQL["scd2_growth"] = with_hist(f"""SELECT b.versions_before, a.versions_after, b.keys_before, a.keys_after,
+    round(a.versions_after / nullif(b.versions_before, 0), 4) AS growth_rate,
+    round(a.versions_after / nullif(a.keys_after, 0), 4) AS versions_per_key
+  FROM (SELECT count(*) AS versions_before, count(DISTINCT user_id) AS keys_before FROM hist
+        WHERE dbt_valid_from < {T1}) b,
+       (SELECT count(*) AS versions_after, count(DISTINCT user_id) AS keys_after FROM hist) a""")
+SQL["scd2_retention"] = with_hist(f"""SELECT *, (dbt_valid_to IS NOT NULL AND dbt_valid_to < {ARCHIVE_BEFORE}) AS archived
+  FROM hist""")

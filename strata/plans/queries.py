@@ -115,3 +115,73 @@ def group_average_compare(spark, sf):
     o = tpch.table(spark, sf, "orders").select(
         "o_orderpriority", F.col("o_totalprice").cast(C.MONEY).alias("amount"))
     return M.group_average_compare(o, "o_orderpriority", "amount")
+
+
+# --- SCD2 history --------------------------------------------------------------
+
+from strata.operators import history as H  # noqa: E402
+from strata.operators import scd2 as SCD  # noqa: E402
+
+
+@register("scd2_from_log")
+def scd2_from_log(spark, sf):
+    return L.event_history(spark, sf)
+
+
+@register("scd2_merge_check")
+def scd2_merge_check(spark, sf):
+    return L.merged_history(spark, sf, "check")
+
+
+@register("scd2_merge_timestamp")
+def scd2_merge_timestamp(spark, sf):
+    return L.merged_history(spark, sf, "timestamp")
+
+
+@register("scd2_current")
+def scd2_current(spark, sf):
+    return H.current(L.event_history(spark, sf))
+
+
+@register("scd2_as_of")
+def scd2_as_of(spark, sf):
+    return H.as_of(L.event_history(spark, sf), L.ts(L.AS_OF))
+
+
+@register("scd2_key_history")
+def scd2_key_history(spark, sf):
+    return H.versions(L.event_history(spark, sf), ["user_id"])
+
+
+@register("pit_join")
+def pit_join(spark, sf):
+    return H.pit_join(L.event_history(spark, sf), L.band_history(spark, sf), ["user_id"],
+                      ["event_type"], ["value_band"], segment_seconds=L.SEGMENT_SECONDS)
+
+
+@register("scd2_multi_version")
+def scd2_multi_version(spark, sf):
+    return H.multi_version(L.merged_history(spark, sf, "check"), ["user_id"])
+
+
+@register("scd2_storage_metrics")
+def scd2_storage_metrics(spark, sf):
+    return H.storage_metrics(L.event_history(spark, sf), ["user_id"])
+
+
+@register("scd2_recent_changes")
+def scd2_recent_changes(spark, sf):
+    return H.recent_changes(L.event_history(spark, sf), L.ts(L.T2), 24)
+
+
+@register("scd2_growth")
+def scd2_growth(spark, sf):
+    h = L.event_history(spark, sf)
+    return H.growth(h.filter(F.col("dbt_valid_from") < L.ts(L.T1)), h, ["user_id"])
+
+
+@register("scd2_retention")
+def scd2_retention(spark, sf):
+    archive, keep = SCD.archive_split(L.event_history(spark, sf), L.ts(L.ARCHIVE_BEFORE))
+    return (archive.withColumn("archived", F.lit(True))
+            .unionByName(keep.withColumn("archived", F.lit(False))))

@@ -42,7 +42,7 @@ def get_spark(master: str | None = None, app: str = "strata",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in RUNTIME_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
