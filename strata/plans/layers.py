@@ -114,3 +114,47 @@ def merged_history(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
     kw = dict(check_cols=["event_type"]) if strategy == "check" else dict(updated_at="last_event_ts")
     h1 = scd2.snapshot(None, user_extract(spark, sf, T1), ["user_id"], strategy, ts(T1), **kw)
     return scd2.snapshot(h1, user_extract(spark, sf, T2), ["user_id"], strategy, ts(T2), **kw)
+
+
+# --- incremental runs over orders as account change events --------------------
+# Fixed run parameters of the incremental queries.
+PREV_CUTOFF = "2000-01-01 00:00:00"     # the previous run saw changes before this
+SLICE_FROM, SLICE_TO = "1996-01-01 00:00:00", "1996-02-01 00:00:00"
+CHANGE_TS = "2001-09-01 00:00:00"       # time stamp of the modified accounts
+LOOKBACK_DAYS = 3
+
+
+def account_changes_v1(spark: SparkSession, sf: str) -> DataFrame:
+    return tpch.account_events(spark, sf)
+
+
+def account_changes_v2(spark: SparkSession, sf: str) -> DataFrame:
+    """The source after a batch of updates: accounts with id % 17 = 0 got
+    +100.00 and moved to customer + 1 when id % 34 = 0, stamped CHANGE_TS."""
+    ev = tpch.account_events(spark, sf)
+    hit = (F.col("account_id") % 17) == 0
+    return ev.select(
+        "account_id",
+        F.when((F.col("account_id") % 34) == 0, F.col("customer_id") + 1).otherwise(F.col("customer_id")).alias("customer_id"),
+        F.when(hit, (F.col("balance_amount") + F.lit(100)).cast("decimal(18,2)")).otherwise(F.col("balance_amount")).alias("balance_amount"),
+        "account_type",
+        F.when(hit, ts(CHANGE_TS)).otherwise(F.col("updated_at").cast("timestamp")).alias("updated_at"))
+
+
+def rate_accounts(ev: DataFrame) -> DataFrame:
+    """Keyed mart maintained incrementally: tier rate, interest, new balance."""
+    from strata.functions import columns as C
+    return ev.select(
+        "account_id", "customer_id", F.col("balance_amount").alias("original_balance_amount"),
+        C.tier_rate("balance_amount").alias("interest_rate_pct"),
+        F.col("updated_at").cast("timestamp").alias("updated_at"),
+    ).withColumn("annual_interest_amount", C.interest("original_balance_amount", "interest_rate_pct")
+                 ).withColumn("new_balance_amount", C.new_balance("original_balance_amount", "annual_interest_amount"))
+
+
+def rate_profile(rated: DataFrame) -> DataFrame:
+    from strata.functions import columns as C
+    return rated.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("total_accounts_count"),
+        F.sum("original_balance_amount").cast(C.MONEY_SUM).alias("total_balance_amount"),
+        F.sum("annual_interest_amount").cast(C.MONEY_SUM).alias("total_annual_interest_amount"))

@@ -234,3 +234,43 @@ SQL["scd2_growth"] = with_hist(f"""SELECT b.versions_before, a.versions_after, b
        (SELECT count(*) AS versions_after, count(DISTINCT user_id) AS keys_after FROM hist) a""")
 SQL["scd2_retention"] = with_hist(f"""SELECT *, (dbt_valid_to IS NOT NULL AND dbt_valid_to < {ARCHIVE_BEFORE}) AS archived
   FROM hist""")
+
+
+# --- incremental ---------------------------------------------------------------
+PREV_CUTOFF = "TIMESTAMP '2000-01-01 00:00:00'"
+SLICE = "updated_at >= TIMESTAMP '1996-01-01 00:00:00' AND updated_at < TIMESTAMP '1996-02-01 00:00:00'"
+CHANGE_TS = "TIMESTAMP '2001-09-01 00:00:00'"
+
+EV1 = tpch.sql_select(tpch.ACCOUNT_EVENT_EXPRS, "orders")
+EV2 = f"""SELECT account_id,
+    CASE WHEN account_id % 34 = 0 THEN customer_id + 1 ELSE customer_id END AS customer_id,
+    CASE WHEN account_id % 17 = 0 THEN CAST(balance_amount + 100 AS DECIMAL(18,2)) ELSE balance_amount END AS balance_amount,
+    account_type,
+    CASE WHEN account_id % 17 = 0 THEN {CHANGE_TS} ELSE updated_at END AS updated_at
+  FROM ({EV1}) e"""
+
+
+def rated(src: str) -> str:
+    return f"""SELECT account_id, customer_id, original_balance_amount, interest_rate_pct, updated_at,
+        CAST(round(original_balance_amount * interest_rate_pct, 2) AS DECIMAL(18,2)) AS annual_interest_amount,
+        CAST(round(original_balance_amount + CAST(round(original_balance_amount * interest_rate_pct, 2) AS DECIMAL(18,2)), 2)
+             AS DECIMAL(18,2)) AS new_balance_amount
+      FROM (SELECT account_id, customer_id, balance_amount AS original_balance_amount,
+                   CAST(CASE WHEN balance_amount < 10000 THEN 0.01 WHEN balance_amount < 20000 THEN 0.015
+                             WHEN balance_amount IS NOT NULL THEN 0.02 END AS DECIMAL(5,4)) AS interest_rate_pct,
+                   updated_at FROM ({src}) s) r"""
+
+
+MARK = f"(SELECT coalesce(max(updated_at), TIMESTAMP '1900-01-01') FROM ({EV1}) p WHERE updated_at < {PREV_CUTOFF})"
+SQL["incremental_watermark"] = f"SELECT * FROM ({EV1}) e WHERE updated_at > {MARK}"
+SQL["incremental_lookback"] = f"SELECT * FROM ({EV1}) e WHERE updated_at > {MARK} - INTERVAL 3 DAY"
+SQL["backfill_slice"] = rated(EV1)
+SQL["upsert"] = f"""WITH target AS ({rated(f"SELECT * FROM ({EV1}) e WHERE updated_at < {PREV_CUTOFF}")}),
+batch AS ({rated(f"SELECT * FROM ({EV2}) e WHERE updated_at > {MARK} - INTERVAL 3 DAY")})
+SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.account_id = t.account_id)
+UNION ALL SELECT * FROM batch"""
+# Incremental maintenance must equal the full recompute over the new source.
+SQL["changed_key_profile"] = f"""SELECT customer_id, count(*) AS total_accounts_count,
+    CAST(sum(original_balance_amount) AS DECIMAL(38,2)) AS total_balance_amount,
+    CAST(sum(annual_interest_amount) AS DECIMAL(38,2)) AS total_annual_interest_amount
+  FROM ({rated(EV2)}) r GROUP BY customer_id"""

@@ -185,3 +185,59 @@ def scd2_retention(spark, sf):
     archive, keep = SCD.archive_split(L.event_history(spark, sf), L.ts(L.ARCHIVE_BEFORE))
     return (archive.withColumn("archived", F.lit(True))
             .unionByName(keep.withColumn("archived", F.lit(False))))
+
+
+# --- incremental ---------------------------------------------------------------
+
+from strata.operators import incremental as INC  # noqa: E402
+
+
+def _previous_target(spark, sf):
+    return L.rate_accounts(L.account_changes_v1(spark, sf).filter(F.col("updated_at") < L.ts(L.PREV_CUTOFF)))
+
+
+@register("incremental_watermark")
+def incremental_watermark(spark, sf):
+    mark = INC.watermark(_previous_target(spark, sf), "updated_at")
+    return INC.since(L.account_changes_v1(spark, sf), "updated_at", mark)
+
+
+@register("incremental_lookback")
+def incremental_lookback(spark, sf):
+    mark = INC.watermark(_previous_target(spark, sf), "updated_at")
+    return INC.since(L.account_changes_v1(spark, sf), "updated_at", mark, L.LOOKBACK_DAYS)
+
+
+@register("backfill_slice")
+def backfill_slice(spark, sf):
+    ev = L.account_changes_v1(spark, sf)
+    in_slice = (F.col("updated_at") >= L.ts(L.SLICE_FROM)) & (F.col("updated_at") < L.ts(L.SLICE_TO))
+    # The target holds stale values for the slice (balances off by 1.00).
+    stale = ev.withColumn("balance_amount", F.when(in_slice, (F.col("balance_amount") + 1).cast("decimal(18,2)"))
+                          .otherwise(F.col("balance_amount")))
+    target = L.rate_accounts(stale)
+    recomputed = L.rate_accounts(ev.filter(in_slice))
+    return INC.backfill(target, recomputed, in_slice)
+
+
+def _incremental_batch(spark, sf):
+    target = _previous_target(spark, sf)
+    mark = INC.watermark(target, "updated_at")
+    batch = L.rate_accounts(INC.since(L.account_changes_v2(spark, sf), "updated_at", mark, L.LOOKBACK_DAYS))
+    return target, batch
+
+
+@register("upsert")
+def upsert(spark, sf):
+    target, batch = _incremental_batch(spark, sf)
+    return INC.upsert(target, batch, ["account_id"])
+
+
+@register("changed_key_profile")
+def changed_key_profile(spark, sf):
+    target, batch = _incremental_batch(spark, sf)
+    new_accounts = INC.upsert(target, batch, ["account_id"])
+    old_profile = L.rate_profile(target)
+    changed_old = target.join(batch.select("account_id"), "account_id", "left_semi")
+    keys = INC.affected_keys(changed_old, batch, "customer_id")
+    return INC.refresh_keys(old_profile, new_accounts, keys, "customer_id", L.rate_profile)
