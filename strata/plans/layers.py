@@ -158,3 +158,22 @@ def rate_profile(rated: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_accounts_count"),
         F.sum("original_balance_amount").cast(C.MONEY_SUM).alias("total_balance_amount"),
         F.sum("annual_interest_amount").cast(C.MONEY_SUM).alias("total_annual_interest_amount"))
+
+
+# --- inputs of the quality checks ---------------------------------------------
+CHECK_NOW = "2024-02-05 00:00:00"
+INTERVAL_END = ("CASE WHEN event_id % 11 = 0 THEN NULL "
+                "ELSE ts + make_interval(0, 0, 0, 0, CAST(event_id % 7 AS INT), 0, 0) END")
+
+
+def event_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """A history-shaped table with real defects: each event opens a period of
+    0..6 hours (every 11th stays open), so periods of one user overlap,
+    some are empty and some users hold several open versions."""
+    from strata.functions.columns import version_id
+    ev = tpch.table(spark, sf, "events")
+    return ev.select(
+        "user_id", "event_type",
+        version_id(["user_id"], F.col("ts")).alias("dbt_scd_id"),
+        F.col("ts").cast("timestamp").alias("dbt_valid_from"),
+        F.expr(INTERVAL_END).cast("timestamp").alias("dbt_valid_to"))

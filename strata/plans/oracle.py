@@ -274,3 +274,157 @@ SQL["changed_key_profile"] = f"""SELECT customer_id, count(*) AS total_accounts_
     CAST(sum(original_balance_amount) AS DECIMAL(38,2)) AS total_balance_amount,
     CAST(sum(annual_interest_amount) AS DECIMAL(38,2)) AS total_annual_interest_amount
   FROM ({rated(EV2)}) r GROUP BY customer_id"""
+
+
+# --- data quality --------------------------------------------------------------
+CHECK_NOW = "TIMESTAMP '2024-02-05 00:00:00'"
+IV = f"""SELECT user_id, event_type, {scd_id('user_id', 'ts')} AS dbt_scd_id, ts AS dbt_valid_from,
+    CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts + to_hours(CAST(event_id % 7 AS BIGINT)) END AS dbt_valid_to
+  FROM events"""
+OPEN_END = "TIMESTAMP '9999-12-31 00:00:00'"
+
+SQL["dq_not_null"] = with_base("SELECT * FROM raw_accounts WHERE account_id IS NULL")
+SQL["dq_unique"] = """SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
+  WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+SQL["dq_accepted_values"] = with_base("""SELECT lower(trim(account_type)) AS value, count(*) AS n_records
+  FROM raw_accounts WHERE lower(trim(account_type)) NOT IN ('savings', 'checking') GROUP BY 1""")
+SQL["dq_relationships"] = with_base("""SELECT o_orderkey, o_custkey AS customer_id FROM orders o
+  WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_customer c WHERE c.customer_id = o.o_custkey)""")
+SQL["dq_positive_value"] = """SELECT c_acctbal AS value, count(*) AS violation_count FROM customer
+  WHERE c_acctbal <= 0 OR c_acctbal IS NULL GROUP BY c_acctbal"""
+SQL["dq_date_range"] = """SELECT o_orderdate AS date_value, count(*) AS violation_count FROM orders
+  WHERE o_orderdate IS NULL OR o_orderdate < TIMESTAMP '1995-06-01' OR o_orderdate > TIMESTAMP '2001-01-01'
+  GROUP BY o_orderdate"""
+SQL["dq_expression"] = "SELECT c_custkey, c_acctbal FROM customer WHERE NOT (c_acctbal >= 0)"
+SQL["dq_scd2_overlap"] = f"""WITH iv AS ({IV}),
+pm AS (SELECT *, max(coalesce(dbt_valid_to, {OPEN_END})) OVER (PARTITION BY user_id
+         ORDER BY dbt_valid_from, coalesce(dbt_valid_to, {OPEN_END}), dbt_scd_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max_end FROM iv)
+SELECT user_id, dbt_scd_id, dbt_valid_from, dbt_valid_to, prev_max_end FROM pm WHERE dbt_valid_from < prev_max_end"""
+SQL["dq_one_current"] = f"""WITH iv AS ({IV}) SELECT user_id, count(*) AS open_versions FROM iv
+  WHERE dbt_valid_to IS NULL GROUP BY user_id HAVING count(*) > 1"""
+
+
+def recency_sql(col: str, src: str, hours: int) -> str:
+    return f"""SELECT max({col}) AS max_value,
+    CAST((epoch_us({CHECK_NOW}) - epoch_us(max({col}))) / 3600000000 AS DECIMAL(18,2)) AS age_hours,
+    {hours} AS max_age_hours,
+    coalesce(max({col}) < {CHECK_NOW} - INTERVAL {hours} HOUR, true) AS is_stale FROM {src}"""
+
+
+SQL["dq_recency"] = recency_sql("ts", "events", 72)
+SQL["dq_interval_order"] = f"""WITH iv AS ({IV})
+SELECT *, CASE WHEN dbt_valid_to IS NULL AND dbt_valid_from > {CHECK_NOW} THEN 'open version starts in the future'
+               ELSE 'closed version does not end after it starts' END AS problem
+FROM iv WHERE (dbt_valid_to IS NULL AND dbt_valid_from > {CHECK_NOW})
+   OR (dbt_valid_to IS NOT NULL AND dbt_valid_to <= dbt_valid_from)"""
+SQL["dq_rate_range"] = with_base(
+    "SELECT account_id, interest_rate_pct FROM summ WHERE interest_rate_pct < 0.01 OR interest_rate_pct > 0.025")
+RECOMPUTE = """SELECT * FROM (SELECT account_id,
+    CASE WHEN interest_rate_pct < 0.01 OR interest_rate_pct > 0.025 THEN 1 ELSE 0 END AS invalid_interest_rate,
+    CASE WHEN abs(annual_interest_amount - round(original_balance_amount * interest_rate_pct, 2)) >= 0.01 THEN 1 ELSE 0 END
+      AS invalid_annual_interest,
+    CASE WHEN abs(new_balance_amount - round(original_balance_amount + annual_interest_amount, 2)) >= 0.01 THEN 1 ELSE 0 END
+      AS invalid_new_balance FROM summ) f
+  WHERE invalid_interest_rate = 1 OR invalid_annual_interest = 1 OR invalid_new_balance = 1"""
+SQL["dq_recompute"] = with_base(RECOMPUTE)
+RECONCILE = """SELECT p.customer_id, p.total_accounts_count, p.total_balance_amount, p.total_annual_interest_amount,
+    a.expected_account_count, a.expected_total_balance, a.expected_total_interest
+  FROM profile p LEFT JOIN (SELECT customer_id, count(*) AS expected_account_count,
+      sum(original_balance_amount) AS expected_total_balance, sum(annual_interest_amount) AS expected_total_interest
+      FROM summ GROUP BY customer_id) a ON p.customer_id = a.customer_id
+  WHERE coalesce(p.total_accounts_count != a.expected_account_count, true)
+     OR coalesce(abs(p.total_balance_amount - a.expected_total_balance) >= 0.01, true)
+     OR coalesce(abs(p.total_annual_interest_amount - a.expected_total_interest) >= 0.01, true)"""
+SQL["dq_reconcile"] = with_base(RECONCILE)
+SQL["dq_non_positive_balance"] = with_base(
+    "SELECT account_id, customer_id, balance_amount FROM awc WHERE balance_amount <= 0")
+SQL["dq_accepted_range"] = "SELECT p_partkey, p_size FROM part WHERE p_size < 1 OR p_size > 45"
+
+# The suite: (table, test, column, severity, warn_if, error_if, violating-rows SQL).
+SUITE = [
+    *[("stg_customer", f"not_null_stg_customer_{c}", c, "error", 0, 0, f"SELECT * FROM stg_customer WHERE {c} IS NULL")
+      for c in ("customer_id", "customer_name", "has_loan_flag", "loaded_at")],
+    *[("stg_account", f"not_null_stg_account_{c}", c, "error", 0, 0, f"SELECT * FROM stg_account WHERE {c} IS NULL")
+      for c in ("account_id", "customer_id", "balance_amount", "account_type", "loaded_at")],
+    ("stg_account", "accepted_values_stg_account_account_type", "account_type", "error", 0, 0,
+     "SELECT * FROM stg_account WHERE account_type NOT IN ('savings', 'checking')"),
+    ("stg_customer", "unique_stg_customer_customer_id", "customer_id", "error", 0, 0,
+     "SELECT customer_id FROM stg_customer WHERE customer_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
+    ("stg_account", "unique_stg_account_account_id", "account_id", "error", 0, 0,
+     "SELECT account_id FROM stg_account WHERE account_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
+    ("quarantine_stg_account", "not_null_quarantine_failure_reason", "failure_reason", "error", 0, 0,
+     "SELECT * FROM acc_checked WHERE failure_reason IS NOT NULL AND failure_reason IS NULL"),
+    ("int_account_with_customer", "relationships_int_account_customer_id", "customer_id", "error", 0, 0,
+     "SELECT * FROM awc a WHERE customer_id IS NOT NULL AND NOT EXISTS "
+     "(SELECT 1 FROM stg_customer c WHERE c.customer_id = a.customer_id)"),
+    ("int_account_with_customer", "int_account_balance_positive", "balance_amount", "error", 0, 0,
+     "SELECT * FROM awc WHERE balance_amount <= 0"),
+    ("account_summary", "positive_value_account_summary_original_balance_amount", "original_balance_amount",
+     "error", 0, 0, "SELECT * FROM summ WHERE original_balance_amount <= 0 OR original_balance_amount IS NULL"),
+    ("account_summary", "expression_is_true_account_summary_interest", "annual_interest_amount", "error", 0, 0,
+     "SELECT * FROM summ WHERE NOT (annual_interest_amount >= 0)"),
+    ("account_summary", "interest_rate_range", "interest_rate_pct", "error", 0, 0,
+     "SELECT * FROM summ WHERE interest_rate_pct < 0.01 OR interest_rate_pct > 0.025"),
+    ("account_summary", "interest_calculation", None, "error", 0, 0, RECOMPUTE),
+    ("customer_profile", "unique_customer_profile_customer_id", "customer_id", "error", 0, 0,
+     "SELECT customer_id FROM profile WHERE customer_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
+    ("customer_profile", "customer_profile_aggregation", None, "error", 0, 0, RECONCILE),
+    ("src_customer", "row_count_src_customer", None, "error", 0, 0,
+     "SELECT * FROM (SELECT count(*) AS n FROM src_customer) x WHERE n = 0"),
+    ("snap_user", "scd2_no_overlap_snap_user", "user_id", "warn", 0, 0,
+     f"""SELECT * FROM (SELECT *, max(coalesce(dbt_valid_to, {OPEN_END})) OVER (PARTITION BY user_id
+         ORDER BY dbt_valid_from, coalesce(dbt_valid_to, {OPEN_END}), dbt_scd_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM iv) x WHERE dbt_valid_from < pm"""),
+    ("snap_user", "one_open_version_snap_user", "user_id", "warn", 0, 0,
+     "SELECT user_id FROM iv WHERE dbt_valid_to IS NULL GROUP BY user_id HAVING count(*) > 1"),
+    ("lineitem", "unique_lineitem_order_line", None, "error", 0, 100000000,
+     "SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL "
+     "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"),
+    ("customer", "positive_value_customer_c_acctbal", "c_acctbal", "warn", 0, 0,
+     "SELECT * FROM customer WHERE c_acctbal <= 0 OR c_acctbal IS NULL"),
+]
+
+
+def _sq(v) -> str:
+    return "NULL" if v is None else f"'{v}'"
+
+
+RESULTS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{n}' AS test_name, CAST({_sq(c)} AS VARCHAR) AS column_name, '{s}' AS severity, "
+    f"{w} AS warn_if, {e} AS error_if, (SELECT count(*) FROM ({q}) v) AS violations"
+    for t, n, c, s, w, e, q in SUITE)
+RESULTS_CTES = {
+    "iv": IV,
+    "results0": RESULTS,
+    "results": """SELECT 'run-1' AS run_id, table_name,
+        CASE WHEN starts_with(table_name, 'src_') THEN 'source' WHEN starts_with(table_name, 'stg_') THEN 'staging'
+             WHEN starts_with(table_name, 'quarantine_') THEN 'staging' WHEN starts_with(table_name, 'snap_') THEN 'snapshots'
+             WHEN starts_with(table_name, 'int_') THEN 'intermediate' ELSE 'marts' END AS layer,
+        test_name, column_name, severity, violations,
+        CASE WHEN severity = 'error' AND violations > error_if THEN 'fail' WHEN violations > warn_if THEN 'warn'
+             ELSE 'pass' END AS status FROM results0""",
+}
+SQL["dq_threshold"] = with_base(
+    "SELECT test_name, severity, violations, status FROM results WHERE table_name = 'lineitem'", RESULTS_CTES)
+SQL["quality_report"] = with_base("""SELECT
+    CASE WHEN GROUPING(layer) = 1 AND GROUPING(severity) = 1 THEN 'overall'
+         WHEN GROUPING(layer) = 0 THEN 'layer' ELSE 'severity' END AS grouping_level,
+    coalesce(layer, severity, 'all') AS group_value,
+    count(*) AS total, count(*) FILTER (WHERE status = 'pass') AS passed,
+    count(*) FILTER (WHERE status = 'fail') AS failed, count(*) FILTER (WHERE status = 'warn') AS warned,
+    count(*) FILTER (WHERE status = 'skipped') AS skipped, count(*) FILTER (WHERE status = 'error') AS errored,
+    CAST(coalesce(round(count(*) FILTER (WHERE status = 'pass') * 100.0 / nullif(count(*), 0), 2), 0.0)
+         AS DECIMAL(5,2)) AS pass_rate
+  FROM results GROUP BY GROUPING SETS ((), (layer), (severity))""", RESULTS_CTES)
+SQL["quality_gate"] = with_base("""SELECT count(*) AS tests,
+    count(*) FILTER (WHERE status IN ('fail', 'error')) AS failing,
+    count(*) FILTER (WHERE status = 'warn') AS warning,
+    count(*) FILTER (WHERE status IN ('fail', 'error')) = 0 AS passed,
+    CASE WHEN count(*) FILTER (WHERE status IN ('fail', 'error')) > 0 THEN 'error'
+         WHEN count(*) FILTER (WHERE status = 'warn') > 0 THEN 'warn' ELSE 'ok' END AS level
+  FROM results""", RESULTS_CTES)
+SQL["dq_freshness"] = with_base(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, * FROM ({recency_sql(c, s, h)}) r" for n, c, s, h in
+    (("src_account", "loaded_at", "src_account", 24), ("stg_account", "loaded_at", "stg_account", 24),
+     ("int_account_with_customer", "valid_from_at", "awc", 25), ("account_summary", "calculated_at", "summ", 26))))

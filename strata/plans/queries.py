@@ -241,3 +241,178 @@ def changed_key_profile(spark, sf):
     changed_old = target.join(batch.select("account_id"), "account_id", "left_semi")
     keys = INC.affected_keys(changed_old, batch, "customer_id")
     return INC.refresh_keys(old_profile, new_accounts, keys, "customer_id", L.rate_profile)
+
+
+# --- data quality --------------------------------------------------------------
+
+from strata.operators import quality as DQ  # noqa: E402
+from strata.operators import report as REP  # noqa: E402
+
+
+@register("dq_not_null")
+def dq_not_null(spark, sf):
+    return DQ.not_null(tpch.raw_accounts(spark, sf), "account_id")
+
+
+@register("dq_unique")
+def dq_unique(spark, sf):
+    return DQ.unique(tpch.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("dq_accepted_values")
+def dq_accepted_values(spark, sf):
+    return DQ.accepted_values(tpch.raw_accounts(spark, sf), C.norm("account_type"), C.ACCOUNT_TYPES)
+
+
+@register("dq_relationships")
+def dq_relationships(spark, sf):
+    orders = tpch.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"))
+    return DQ.relationships(orders, "customer_id", L.staged_customers(spark, sf)[0], "customer_id")
+
+
+@register("dq_positive_value")
+def dq_positive_value(spark, sf):
+    return DQ.positive_value(tpch.table(spark, sf, "customer"), "c_acctbal")
+
+
+@register("dq_date_range")
+def dq_date_range(spark, sf):
+    return DQ.valid_date_range(tpch.table(spark, sf, "orders"), "o_orderdate",
+                               "1995-06-01 00:00:00", "2001-01-01 00:00:00")
+
+
+@register("dq_expression")
+def dq_expression(spark, sf):
+    return DQ.expression_is_true(tpch.table(spark, sf, "customer").select("c_custkey", "c_acctbal"),
+                                 "c_acctbal >= 0")
+
+
+@register("dq_scd2_overlap")
+def dq_scd2_overlap(spark, sf):
+    return DQ.scd2_overlap(L.event_intervals(spark, sf), ["user_id"], segment_seconds=L.SEGMENT_SECONDS)
+
+
+@register("dq_one_current")
+def dq_one_current(spark, sf):
+    return DQ.open_versions(L.event_intervals(spark, sf), ["user_id"])
+
+
+@register("dq_recency")
+def dq_recency(spark, sf):
+    return DQ.recency(tpch.table(spark, sf, "events"), "ts", L.ts(L.CHECK_NOW), 72)
+
+
+@register("dq_interval_order")
+def dq_interval_order(spark, sf):
+    return DQ.interval_order(L.event_intervals(spark, sf), L.ts(L.CHECK_NOW))
+
+
+@register("dq_rate_range")
+def dq_rate_range(spark, sf):
+    return DQ.rate_range(L.account_summary(spark, sf))
+
+
+@register("dq_recompute")
+def dq_recompute(spark, sf):
+    return DQ.recompute(L.account_summary(spark, sf))
+
+
+@register("dq_reconcile")
+def dq_reconcile(spark, sf):
+    return DQ.reconcile(L.customer_profile(spark, sf), L.account_summary(spark, sf))
+
+
+@register("dq_non_positive_balance")
+def dq_non_positive_balance(spark, sf):
+    return DQ.non_positive_balance(L.account_with_customer(spark, sf))
+
+
+@register("dq_accepted_range")
+def dq_accepted_range(spark, sf):
+    return DQ.accepted_range(tpch.table(spark, sf, "part").select("p_partkey", "p_size"), "p_size", 1, 45)
+
+
+def quality_suite(spark, sf) -> DQ.Suite:
+    """The suite over the pipeline's layers (names carry the layer)."""
+    stg_c, _ = L.staged_customers(spark, sf)
+    stg_a, q_a = L.staged_accounts(spark, sf)
+    awc = L.account_with_customer(spark, sf)
+    summ = L.account_summary(spark, sf)
+    prof = L.customer_profile(spark, sf)
+    frames = {"stg_customer": stg_c, "stg_account": stg_a, "quarantine_stg_account": q_a,
+              "int_account_with_customer": awc, "account_summary": summ, "customer_profile": prof,
+              "src_customer": L.src_customer(spark, sf), "snap_user": L.event_intervals(spark, sf),
+              "lineitem": tpch.table(spark, sf, "lineitem"), "customer": tpch.table(spark, sf, "customer")}
+    s = DQ.Suite(frames)
+    for c in ("customer_id", "customer_name", "has_loan_flag", "loaded_at"):
+        s.add(DQ.Check("stg_customer", f"not_null_stg_customer_{c}", condition=DQ.cond_not_null(c), column=c))
+    for c in ("account_id", "customer_id", "balance_amount", "account_type", "loaded_at"):
+        s.add(DQ.Check("stg_account", f"not_null_stg_account_{c}", condition=DQ.cond_not_null(c), column=c))
+    s.add(
+        DQ.Check("stg_account", "accepted_values_stg_account_account_type", column="account_type",
+                 condition=DQ.cond_not_accepted("account_type", C.ACCOUNT_TYPES)),
+        DQ.Check("stg_customer", "unique_stg_customer_customer_id", column="customer_id",
+                 violations=lambda: DQ.unique(stg_c, ["customer_id"])),
+        DQ.Check("stg_account", "unique_stg_account_account_id", column="account_id",
+                 violations=lambda: DQ.unique(stg_a, ["account_id"])),
+        DQ.Check("quarantine_stg_account", "not_null_quarantine_failure_reason", column="failure_reason",
+                 condition=DQ.cond_not_null("failure_reason")),
+        DQ.Check("int_account_with_customer", "relationships_int_account_customer_id", column="customer_id",
+                 violations=lambda: DQ.relationships(awc, "customer_id", stg_c, "customer_id")),
+        DQ.Check("int_account_with_customer", "int_account_balance_positive", column="balance_amount",
+                 violations=lambda: DQ.non_positive_balance(awc)),
+        DQ.Check("account_summary", "positive_value_account_summary_original_balance_amount",
+                 column="original_balance_amount", condition=DQ.cond_not_positive("original_balance_amount")),
+        DQ.Check("account_summary", "expression_is_true_account_summary_interest", column="annual_interest_amount",
+                 condition=DQ.cond_not_true("annual_interest_amount >= 0")),
+        DQ.Check("account_summary", "interest_rate_range", column="interest_rate_pct",
+                 violations=lambda: DQ.rate_range(summ)),
+        DQ.Check("account_summary", "interest_calculation", violations=lambda: DQ.recompute(summ)),
+        DQ.Check("customer_profile", "unique_customer_profile_customer_id", column="customer_id",
+                 violations=lambda: DQ.unique(prof, ["customer_id"])),
+        DQ.Check("customer_profile", "customer_profile_aggregation", violations=lambda: DQ.reconcile(prof, summ)),
+        DQ.Check("src_customer", "row_count_src_customer", violations=lambda: DQ.row_count_positive(frames["src_customer"])),
+        DQ.Check("snap_user", "scd2_no_overlap_snap_user", column="user_id", severity="warn",
+                 violations=lambda: DQ.scd2_overlap(frames["snap_user"], ["user_id"], L.SEGMENT_SECONDS)),
+        DQ.Check("snap_user", "one_open_version_snap_user", column="user_id", severity="warn",
+                 violations=lambda: DQ.open_versions(frames["snap_user"], ["user_id"])),
+        DQ.Check("lineitem", "unique_lineitem_order_line", severity="error", warn_if=0, error_if=100000000,
+                 violations=lambda: DQ.unique(frames["lineitem"], ["l_orderkey", "l_linenumber"])),
+        DQ.Check("customer", "positive_value_customer_c_acctbal", column="c_acctbal", severity="warn",
+                 condition=DQ.cond_not_positive("c_acctbal")),
+    )
+    return s
+
+
+def quality_results(spark, sf):
+    return quality_suite(spark, sf).results("run-1")
+
+
+@register("dq_threshold")
+def dq_threshold(spark, sf):
+    return quality_results(spark, sf).filter(F.col("table_name") == "lineitem").select(
+        "test_name", "severity", "violations", "status")
+
+
+@register("dq_freshness")
+def dq_freshness(spark, sf):
+    now = L.ts(L.CHECK_NOW)
+    layers = [("src_account", L.src_account(spark, sf), "loaded_at", 24),
+              ("stg_account", L.staged_accounts(spark, sf)[0], "loaded_at", 24),
+              ("int_account_with_customer", L.account_with_customer(spark, sf), "valid_from_at", 25),
+              ("account_summary", L.account_summary(spark, sf), "calculated_at", 26)]
+    out = None
+    for name, df, col, hours in layers:
+        r = DQ.recency(df, col, now, hours).select(F.lit(name).alias("table_name"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("quality_report")
+def quality_report(spark, sf):
+    return REP.summary(quality_results(spark, sf))
+
+
+@register("quality_gate")
+def quality_gate(spark, sf):
+    return REP.gate(quality_results(spark, sf))
