@@ -428,3 +428,28 @@ SQL["dq_freshness"] = with_base(" UNION ALL ".join(
     f"SELECT '{n}' AS table_name, * FROM ({recency_sql(c, s, h)}) r" for n, c, s, h in
     (("src_account", "loaded_at", "src_account", 24), ("stg_account", "loaded_at", "stg_account", 24),
      ("int_account_with_customer", "valid_from_at", "awc", 25), ("account_summary", "calculated_at", "summ", 26))))
+
+
+# --- ingestion profile, exports, layer counts, streaming ------------------------
+SQL["ingest_profile"] = with_base("""SELECT count(*) AS row_count,
+    count(*) FILTER (WHERE account_id IS NULL) AS null_account_id,
+    count(*) FILTER (WHERE customer_id IS NULL) AS null_customer_id,
+    count(*) FILTER (WHERE balance IS NULL) AS null_balance,
+    count(*) FILTER (WHERE account_type IS NULL) AS null_account_type,
+    count(*) FILTER (WHERE TRY_CAST(balance AS DOUBLE) < 0) AS negative_balance,
+    count(*) FILTER (WHERE TRY_CAST(balance AS DOUBLE) IS NULL AND balance IS NOT NULL) AS unparseable_balance
+  FROM raw_accounts""")
+SQL["export_roundtrip"] = with_base("SELECT * FROM summ")
+SQL["layer_counts"] = with_base(" UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS row_count FROM {src}"
+    for layer, name, src in (
+        ("source", "src_customer", "src_customer"), ("source", "src_account", "src_account"),
+        ("staging", "stg_customer", "stg_customer"),
+        ("staging", "quarantine_stg_customer", "(SELECT * FROM cust_checked WHERE failure_reason IS NOT NULL)"),
+        ("staging", "stg_account", "stg_account"),
+        ("staging", "quarantine_stg_account", "(SELECT * FROM acc_checked WHERE failure_reason IS NOT NULL)"),
+        ("intermediate", "int_account_with_customer", "awc"), ("intermediate", "int_savings_account_only", "sav"),
+        ("marts", "account_summary", "summ"), ("marts", "customer_profile", "profile"))))
+SQL["stream_latest_state"] = """SELECT user_id, event_type, ts, event_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) x
+  WHERE rn = 1"""

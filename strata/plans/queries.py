@@ -416,3 +416,73 @@ def quality_report(spark, sf):
 @register("quality_gate")
 def quality_gate(spark, sf):
     return REP.gate(quality_results(spark, sf))
+
+
+# --- ingestion profile, exports, layer counts, streaming ------------------------
+
+import uuid  # noqa: E402
+
+from strata.session import checkpoint_dir  # noqa: E402
+from strata.sinks import writers as W  # noqa: E402
+from strata.sources import files as FILES  # noqa: E402
+
+
+@register("ingest_profile")
+def ingest_profile(spark, sf):
+    return FILES.ingest_profile(tpch.raw_accounts(spark, sf), "balance")
+
+
+def _scratch(spark, what: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex[:12]}"
+
+
+@register("export_roundtrip")
+def export_roundtrip(spark, sf):
+    """SNK-1/2/7/9: write the mart as CSV and as Parquet, validate both
+    writes, check the two outputs hold the same rows, return the CSV read
+    back with the mart's schema."""
+    summ = L.account_summary(spark, sf)
+    base = _scratch(spark, "export")
+    W.write_csv(summ, f"{base}/csv")
+    W.write_parquet(summ, f"{base}/parquet")
+    csv_back = spark.read.schema(summ.schema).option("header", True).csv(f"{base}/csv")
+    pq_back = spark.read.parquet(f"{base}/parquet")
+    diff = W.compare_outputs(csv_back, pq_back)
+    if not diff.isEmpty():
+        raise W.WriteValidationError("CSV and Parquet exports differ")
+    return csv_back
+
+
+@register("layer_counts")
+def layer_counts(spark, sf):
+    """QRY-7: row count per layer, one aggregate per layer in one union."""
+    stg_c, q_c = L.staged_customers(spark, sf)
+    stg_a, q_a = L.staged_accounts(spark, sf)
+    layers = [("source", "src_customer", L.src_customer(spark, sf)), ("source", "src_account", L.src_account(spark, sf)),
+              ("staging", "stg_customer", stg_c), ("staging", "quarantine_stg_customer", q_c),
+              ("staging", "stg_account", stg_a), ("staging", "quarantine_stg_account", q_a),
+              ("intermediate", "int_account_with_customer", L.account_with_customer(spark, sf)),
+              ("intermediate", "int_savings_account_only", L.savings(spark, sf)),
+              ("marts", "account_summary", L.account_summary(spark, sf)),
+              ("marts", "customer_profile", L.customer_profile(spark, sf))]
+    out = None
+    for layer, name, df in layers:
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register("stream_latest_state")
+def stream_latest_state(spark, sf):
+    """STR-1/2: the events file streamed through ``foreachBatch`` into a
+    keyed table holding each user's latest event."""
+    from strata.plans.publish import TableStore
+    from strata.streaming import ingest as STR
+    schema = tpch.table(spark, sf, "events").schema
+    src = STR.stream_ingest(spark, sf, schema, fmt="parquet", pathGlobFilter="events.parquet")
+    store = TableStore(spark, _scratch(spark, "stream-tables"))
+    sink = STR.KeyedStateSink(store, "user_state", ["user_id"], ["ts", "event_id"], ["event_type"])
+    STR.run_available(src.select("user_id", "event_type", "ts", "event_id"), sink, "user_state")
+    return store.read("user_state")
