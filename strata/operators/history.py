@@ -113,7 +113,9 @@ def pit_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_attrs:
                    F.when(F.col("side") == 1, F.struct(F.col("act1").alias("act"), *[F.col(c) for c in la])).alias("s1"),
                    F.when(F.col("side") == 2, F.struct(F.col("act2").alias("act"), *[F.col(c) for c in ra])).alias("s2"))
     order = ["t", "kind", "side"]
-    seg = ordered.time_segment("t", segment_seconds) if segment_seconds else None
+    seg = None
+    if segment_seconds:
+        tl, seg = ordered.with_segment(tl, "t", segment_seconds), ordered.SEG
     filled = ordered.ffill(tl, keys, order, ["s1", "s2"], "f_", seg)
     nxt = ordered.shift(filled, keys, order, ["t"], "next", "n_", seg)
     live = nxt.filter(F.coalesce(F.col("f_s1.act"), F.lit(False)) & F.coalesce(F.col("f_s2.act"), F.lit(False))

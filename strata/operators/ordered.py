@@ -12,6 +12,10 @@ aggregate) scanned with a window over ``key`` - that window sees at most
 the data.  The summary is joined back on ``(key, segment)``, the same keys the
 big side is already partitioned by, so the big side is shuffled exactly once.
 
+``segment`` is either a Column (computed inside the call) or the name of a
+segment column already on the frame (see :func:`with_segment`), which is
+then kept in the output for the next scan.
+
 Without a segment the plain window is used (one shuffle, fine when no key is
 hot).  Both give identical results; ``tests/test_ordered.py`` checks it.
 """
@@ -32,12 +36,26 @@ def time_segment(ts: str | Column, width_seconds: int) -> Column:
     return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(width_seconds * 1_000_000)).cast("long")
 
 
+def with_segment(df: DataFrame, ts: str, width_seconds: int) -> DataFrame:
+    """Add the segment column once, so chained scans (lag, then lead over
+    the kept rows) share the ``(key, _seg)`` partitioning and the big side is
+    shuffled once instead of once per scan."""
+    return df.withColumn(SEG, time_segment(ts, width_seconds))
+
+
+def _segmented(df: DataFrame, segment: Column | str) -> tuple[DataFrame, bool]:
+    """``(frame with _seg, keep _seg in the output)``."""
+    if isinstance(segment, str):
+        return df, True
+    return df.withColumn(SEG, segment), False
+
+
 def _order_struct(order_cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)])
 
 
 def shift(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_cols: Sequence[str],
-          direction: str = "prev", prefix: str | None = None, segment: Column | None = None) -> DataFrame:
+          direction: str = "prev", prefix: str | None = None, segment: Column | str | None = None) -> DataFrame:
     """Add ``{prefix}{v}`` = the value of the previous (``direction='prev'``)
     or next (``'next'``) row of the same key in ``order_cols`` order.
     ``order_cols`` must order the rows of a key totally."""
@@ -52,7 +70,8 @@ def shift(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_c
         out = df.withColumn("_shift", fn(packed, 1).over(w))
         return out.select("*", *[F.col("_shift")[v].alias(prefix + v) for v in value_cols]).drop("_shift")
 
-    seg = df.withColumn(SEG, segment)
+    seg, keep = _segmented(df, segment)
+    base_cols = [c for c in df.columns if keep or c != SEG]
     w_in = Window.partitionBy(*keys, SEG).orderBy(*ordering)
     inner = seg.withColumn("_in", fn(packed, 1).over(w_in))
 
@@ -66,11 +85,11 @@ def shift(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_c
     joined = inner.join(carry, [*keys, SEG], "left")
     val = F.when(F.col("_in").isNull(), F.col("_carry")).otherwise(F.col("_in"))
     return (joined.withColumn("_shift", val)
-            .select(*df.columns, *[F.col("_shift")[v].alias(prefix + v) for v in value_cols]))
+            .select(*base_cols, *[F.col("_shift")[v].alias(prefix + v) for v in value_cols]))
 
 
 def prefix_max(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value: str,
-               out: str = "prev_max", segment: Column | None = None) -> DataFrame:
+               out: str = "prev_max", segment: Column | str | None = None) -> DataFrame:
     """``out`` = max of ``value`` over the rows of the same key strictly
     before this one in ``order_cols`` order (NULL for the first row)."""
     ordering = [F.col(c).asc() for c in order_cols]
@@ -78,18 +97,19 @@ def prefix_max(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], va
         w = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.max(value).over(w))
 
-    seg = df.withColumn(SEG, segment)
+    seg, keep = _segmented(df, segment)
+    base_cols = [c for c in df.columns if keep or c != SEG]
     w_in = Window.partitionBy(*keys, SEG).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
     inner = seg.withColumn("_in", F.max(value).over(w_in))
     summary = seg.groupBy(*keys, SEG).agg(F.max(value).alias("_segmax"))
     w_seg = Window.partitionBy(*keys).orderBy(F.col(SEG).asc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*keys, SEG, F.max("_segmax").over(w_seg).alias("_carry"))
     joined = inner.join(carry, [*keys, SEG], "left")
-    return joined.withColumn(out, F.greatest("_in", "_carry")).select(*df.columns, out)
+    return joined.withColumn(out, F.greatest("_in", "_carry")).select(*base_cols, out)
 
 
 def ffill(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_cols: Sequence[str],
-          prefix: str = "ff_", segment: Column | None = None) -> DataFrame:
+          prefix: str = "ff_", segment: Column | str | None = None) -> DataFrame:
     """``{prefix}{v}`` = the last non-NULL ``v`` of the same key up to and
     including this row in ``order_cols`` order (forward fill)."""
     ordering = [F.col(c).asc() for c in order_cols]
@@ -98,7 +118,8 @@ def ffill(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_c
         w = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(*frame)
         return df.select("*", *[F.last(v, ignorenulls=True).over(w).alias(prefix + v) for v in value_cols])
 
-    seg = df.withColumn(SEG, segment)
+    seg, keep = _segmented(df, segment)
+    base_cols = [c for c in df.columns if keep or c != SEG]
     w_in = Window.partitionBy(*keys, SEG).orderBy(*ordering).rowsBetween(*frame)
     inner = seg.select("*", *[F.last(v, ignorenulls=True).over(w_in).alias(f"_in_{v}") for v in value_cols])
     # Per segment: the last non-NULL value of each column, in order.
@@ -109,4 +130,4 @@ def ffill(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_c
     carry = summary.select(*keys, SEG, *[F.last(f"_last_{v}", ignorenulls=True).over(w_seg).alias(f"_c_{v}")
                                          for v in value_cols])
     joined = inner.join(carry, [*keys, SEG], "left")
-    return joined.select(*df.columns, *[F.coalesce(f"_in_{v}", f"_c_{v}").alias(prefix + v) for v in value_cols])
+    return joined.select(*base_cols, *[F.coalesce(f"_in_{v}", f"_c_{v}").alias(prefix + v) for v in value_cols])

@@ -71,15 +71,27 @@ def with_failure_reason(df: DataFrame, rules: Sequence[Rule], name: str = "failu
     return df.withColumn(name, failure_reason(rules))
 
 
+def any_failure(rules: Sequence[Rule]) -> Column:
+    """True when some rule fails (never NULL)."""
+    out = None
+    for cond, _ in rules:
+        c = F.coalesce(cond, F.lit(False))
+        out = c if out is None else out | c
+    return out if out is not None else F.lit(False)
+
+
 def split(df: DataFrame, rules: Sequence[Rule], quarantined_at: Column | None = None
           ) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)``: rejected carries the input columns plus
-    ``failure_reason`` and ``quarantined_at`` (FLT-3).  Both are lazy views
-    of one expression; writing both with :func:`strata.sinks.writers.write_split`
-    scans the input once."""
-    tagged = with_failure_reason(df, rules)
-    valid = tagged.filter(F.col("failure_reason").isNull()).drop("failure_reason")
-    rejected = tagged.filter(F.col("failure_reason").isNotNull())
+    ``failure_reason`` and ``quarantined_at`` (FLT-3).
+
+    The valid side filters on the plain OR of the rule conditions; the
+    reason text (a CASE with string concatenation) is only built for rejected
+    rows.  Both sides are row-local filters of one input; writing both with
+    :func:`strata.sinks.writers.write_split` scans the input once."""
+    bad = any_failure(rules)
+    valid = df.filter(~bad)
+    rejected = df.filter(bad).withColumn("failure_reason", failure_reason(rules))
     if quarantined_at is not None:
         rejected = rejected.withColumn("quarantined_at", quarantined_at)
     return valid, rejected

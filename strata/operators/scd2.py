@@ -117,15 +117,18 @@ def history_from_log(log: DataFrame, keys: Sequence[str], ts: str, attrs: Sequen
     ``attrs`` differs (null-safe) from the previous row of its key; the
     version ends where the next version starts; the last one stays open."""
     order = [ts] + ([tiebreak] if tiebreak else [])
-    seg = ordered.time_segment(ts, segment_seconds) if segment_seconds else None
     base_cols = list(dict.fromkeys([*keys, *order, *attrs]))
+    base = log.select(*base_cols)
+    seg = None
+    if segment_seconds:
+        base, seg = ordered.with_segment(base, ts, segment_seconds), ordered.SEG
     # ``ts`` travels with the attributes: a NULL previous ``ts`` marks the
     # first row of a key (ts itself is never NULL in a change log).
-    prev = ordered.shift(log.select(*base_cols), keys, order, [ts, *attrs], "prev", "_p_", seg)
+    prev = ordered.shift(base, keys, order, [ts, *attrs], "prev", "_p_", seg)
     opens = F.col(f"_p_{ts}").isNull()
     for a in attrs:
         opens = opens | ~F.col(a).eqNullSafe(F.col(f"_p_{a}"))
-    kept = prev.filter(opens).select(*base_cols)
+    kept = prev.filter(opens).select(*base.columns)
     nxt = ordered.shift(kept, keys, order, [ts], "next", "_n_", seg)
     return nxt.select(
         *keys, *attrs,

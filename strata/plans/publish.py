@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import materialize
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -134,14 +136,10 @@ class HistoryStore:
         cur = self.tables.current(f"{self.name}__open")
         if cur is not None and cur[1] == run_id:
             return
-        merged_open = merged_open.checkpoint() if _has_ckpt(self.tables.spark) else merged_open
+        # The merge feeds two writes: compute it once.
+        merged_open = materialize(merged_open)
         (merged_open.filter(F.col("dbt_valid_to").isNotNull()).withColumn("closed_run", F.lit(run_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("closed_run").parquet(self.closed_path))
         self.tables.publish(f"{self.name}__open", merged_open.filter(F.col("dbt_valid_to").isNull()), run_id)
 
-
-def _has_ckpt(spark: SparkSession) -> bool:
-    """The merge result feeds two writes; with a shared checkpoint folder it
-    is materialized once (reliable checkpoint, survives executor loss)."""
-    return bool(spark.sparkContext.getCheckpointDir())

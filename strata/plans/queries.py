@@ -120,6 +120,7 @@ def group_average_compare(spark, sf):
 # --- SCD2 history --------------------------------------------------------------
 
 from strata.operators import history as H  # noqa: E402
+from strata.session import materialize  # noqa: E402
 from strata.operators import scd2 as SCD  # noqa: E402
 
 
@@ -155,8 +156,11 @@ def scd2_key_history(spark, sf):
 
 @register("pit_join")
 def pit_join(spark, sf):
-    return H.pit_join(L.event_history(spark, sf), L.band_history(spark, sf), ["user_id"],
-                      ["event_type"], ["value_band"], segment_seconds=L.SEGMENT_SECONDS)
+    # Both histories are derived frames the sweep reads twice: checkpoint them.
+    left = materialize(L.event_history(spark, sf))
+    right = materialize(L.band_history(spark, sf))
+    return H.pit_join(left, right, ["user_id"], ["event_type"], ["value_band"],
+                      segment_seconds=L.SEGMENT_SECONDS)
 
 
 @register("scd2_multi_version")
@@ -221,9 +225,10 @@ def backfill_slice(spark, sf):
 
 
 def _incremental_batch(spark, sf):
-    target = _previous_target(spark, sf)
+    target = materialize(_previous_target(spark, sf))
     mark = INC.watermark(target, "updated_at")
-    batch = L.rate_accounts(INC.since(L.account_changes_v2(spark, sf), "updated_at", mark, L.LOOKBACK_DAYS))
+    batch = materialize(L.rate_accounts(INC.since(L.account_changes_v2(spark, sf), "updated_at", mark,
+                                                  L.LOOKBACK_DAYS)))
     return target, batch
 
 
@@ -334,14 +339,16 @@ def dq_accepted_range(spark, sf):
 
 def quality_suite(spark, sf) -> DQ.Suite:
     """The suite over the pipeline's layers (names carry the layer)."""
-    stg_c, _ = L.staged_customers(spark, sf)
-    stg_a, q_a = L.staged_accounts(spark, sf)
-    awc = L.account_with_customer(spark, sf)
-    summ = L.account_summary(spark, sf)
-    prof = L.customer_profile(spark, sf)
+    # Layers feeding several checks are checkpointed once (as the pipeline
+    # reads its published tables).
+    stg_c = materialize(L.staged_customers(spark, sf)[0])
+    stg_a, q_a = (materialize(d) for d in L.staged_accounts(spark, sf))
+    awc = materialize(L.account_with_customer(spark, sf))
+    summ = materialize(L.account_summary(spark, sf))
+    prof = materialize(L.customer_profile(spark, sf))
     frames = {"stg_customer": stg_c, "stg_account": stg_a, "quarantine_stg_account": q_a,
               "int_account_with_customer": awc, "account_summary": summ, "customer_profile": prof,
-              "src_customer": L.src_customer(spark, sf), "snap_user": L.event_intervals(spark, sf),
+              "src_customer": L.src_customer(spark, sf), "snap_user": materialize(L.event_intervals(spark, sf)),
               "lineitem": tpch.table(spark, sf, "lineitem"), "customer": tpch.table(spark, sf, "customer")}
     s = DQ.Suite(frames)
     for c in ("customer_id", "customer_name", "has_loan_flag", "loaded_at"):

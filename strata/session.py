@@ -69,3 +69,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     sc.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Cut lineage by writing ``df`` as Parquet into the shared checkpoint
+    folder and reading it back (never ``localCheckpoint``).  One job computes
+    the frame once; the files survive executor loss, and every consumer of the
+    result scans them instead of re-running the plan.  (An eager
+    ``Dataset.checkpoint()`` would compute the plan twice: once to count,
+    once to write.)"""
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/materialized/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
