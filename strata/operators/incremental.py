@@ -87,8 +87,11 @@ def refresh_keys(target: DataFrame, detail: DataFrame, keys_df: DataFrame, key:
                  aggregate) -> DataFrame:
     """SEM-5/7: recompute ``aggregate(detail)`` for the affected keys from
     *all* their detail rows (semi-join first, so only those keys are
-    aggregated), upsert them into ``target``, and delete affected keys that
-    have no detail rows left."""
+    aggregated) and replace them in ``target``.  Every affected key is
+    removed from the target and the fresh rows are added, which upserts
+    changed keys and deletes keys that no longer qualify in one pass.  The
+    key set is small next to the tables; AQE broadcasts it when its measured
+    size allows, so neither big side is shuffled for the semi/anti joins."""
     fresh = aggregate(detail.join(keys_df, key, "left_semi"))
-    gone = keys_df.join(fresh.select(key), key, "left_anti")
-    return upsert(target, fresh, [key], deleted_keys=gone)
+    check_schema(target.schema, fresh.schema)
+    return target.join(keys_df, key, "left_anti").unionByName(fresh)

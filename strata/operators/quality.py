@@ -251,6 +251,9 @@ class Suite:
         return self
 
     def results(self, run_id: str) -> DataFrame:
+        """One row per check.  Row-level checks of one table share a single
+        ``agg(count_if ...)`` whose row is unpivoted with ``stack`` (metadata
+        as literals); every other check is one small aggregate.  No joins."""
         from strata.operators.report import layer_of
         parts: list[DataFrame] = []
         fused: dict[str, list[Check]] = {}
@@ -259,32 +262,39 @@ class Suite:
                 fused.setdefault(ch.table, []).append(ch)
             else:
                 parts.append(ch.violations().agg(F.count(F.lit(1)).alias("violations"))
-                             .select(F.lit(ch.test).alias("test_name"), "violations")
-                             .join(_meta(self.frames[ch.table].sparkSession, [ch]), "test_name"))
+                             .select(*_meta_cols(ch), "violations"))
         for table, chs in fused.items():
-            df = self.frames[table]
-            counts = df.agg(*[F.count_if(ch.condition).alias(f"c{i}") for i, ch in enumerate(chs)])
-            stack = ", ".join(f"'{ch.test}', c{i}" for i, ch in enumerate(chs))
-            rows = counts.selectExpr(f"stack({len(chs)}, {stack}) AS (test_name, violations)")
-            parts.append(rows.join(_meta(df.sparkSession, chs), "test_name"))
+            counts = self.frames[table].agg(*[F.count_if(ch.condition).alias(f"c{i}") for i, ch in enumerate(chs)])
+            rows = ", ".join(f"{_sql_lit(ch.test)}, {_sql_lit(ch.table)}, {_sql_lit(ch.column)}, "
+                             f"{_sql_lit(ch.severity)}, {int(ch.warn_if)}, {int(ch.error_if)}, c{i}"
+                             for i, ch in enumerate(chs))
+            parts.append(counts.selectExpr(
+                f"stack({len(chs)}, {rows}) AS (test_name, table_name, column_name, severity, warn_if, "
+                f"error_if, violations)"))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         st = status(F.col("violations"), F.col("severity"), F.col("warn_if"), F.col("error_if"))
         return out.select(
             F.lit(run_id).alias("run_id"), "table_name", layer_of(F.col("table_name")).alias("layer"),
-            "test_name", "column_name", "severity", F.col("violations").cast("long").alias("violations"),
+            "test_name", F.col("column_name").cast("string").alias("column_name"), "severity",
+            F.col("violations").cast("long").alias("violations"),
             st.alias("status"),
             F.when(st != F.lit("pass"), F.concat(F.lit("Got "), F.col("violations").cast("string"),
                                                   F.lit(" results, configured to "), st,
                                                   F.lit(" if != 0"))).alias("message"))
 
 
-def _meta(spark, checks: Sequence[Check]) -> DataFrame:
-    """Tiny literal frame of check metadata (number of checks rows)."""
-    rows = [(c.test, c.table, c.column, c.severity, c.warn_if, c.error_if) for c in checks]
-    return spark.createDataFrame(rows, "test_name string, table_name string, column_name string, "
-                                       "severity string, warn_if int, error_if int")
+def _sql_lit(v) -> str:
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _meta_cols(ch: Check) -> list[Column]:
+    return [F.lit(ch.test).alias("test_name"), F.lit(ch.table).alias("table_name"),
+            F.lit(ch.column).cast("string").alias("column_name"), F.lit(ch.severity).alias("severity"),
+            F.lit(int(ch.warn_if)).alias("warn_if"), F.lit(int(ch.error_if)).alias("error_if")]
 
 
 def today(ts: str) -> dt.datetime:

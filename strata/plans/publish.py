@@ -18,9 +18,9 @@ own partition through dynamic partition overwrite).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,7 @@ def _write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
 class TableStore:
     spark: SparkSession
     root: str
+    counts: dict = field(default_factory=dict)
 
     def _pointer(self, name: str) -> str:
         return f"{self.root}/{name}/_CURRENT"
@@ -93,8 +94,12 @@ class TableStore:
             return cur[0]
         n = int(cur[0][1:]) + 1 if cur else 1
         version = f"v{n:06d}"
-        df.write.mode("overwrite").option("compression", "snappy").parquet(f"{self.root}/{name}/{version}")
+        obs = Observation(f"{name}-{version}")
+        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+         .write.mode("overwrite").option("compression", "snappy").parquet(f"{self.root}/{name}/{version}"))
         _write_text_atomic(self.spark, self._pointer(name), f"{version} {run_id}")
+        # Rows written, collected by the write itself (QRY-7 without a scan).
+        self.counts[name] = obs.get["rows"]
         return version
 
 
@@ -138,8 +143,28 @@ class HistoryStore:
             return
         # The merge feeds two writes: compute it once.
         merged_open = materialize(merged_open)
+        obs = Observation(f"{self.name}-closed-{run_id}")
         (merged_open.filter(F.col("dbt_valid_to").isNotNull()).withColumn("closed_run", F.lit(run_id))
+         .observe(obs, F.count(F.lit(1)).alias("rows"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("closed_run").parquet(self.closed_path))
+        self.tables.counts[f"{self.name}__closed_in_run"] = obs.get["rows"]
         self.tables.publish(f"{self.name}__open", merged_open.filter(F.col("dbt_valid_to").isNull()), run_id)
 
+    def touched_keys(self, keys: list[str], run_id: str, run_ts) -> DataFrame:
+        """Keys whose versions this run opened or closed.  Closed ones come
+        from the run's own ``closed_run`` partition (partition pruning: the
+        rest of the closed history is not read)."""
+        o = self.open_versions()
+        opened = o.filter(F.col("dbt_valid_from") == run_ts).select(*keys)
+        closed = (self.closed_versions_of_run(o.schema, run_id).select(*keys))
+        return opened.unionByName(closed).distinct()
+
+    def closed_versions_of_run(self, schema: T.StructType, run_id: str) -> DataFrame:
+        fs, p, _ = _fs(self.tables.spark, self.closed_path)
+        if not fs.exists(p):
+            return self.tables.spark.createDataFrame([], schema)
+        full = T.StructType(list(schema.fields) + [T.StructField("closed_run", T.StringType())])
+        return (self.tables.spark.read.schema(full).parquet(self.closed_path)
+                .filter(F.col("closed_run") == F.lit(run_id)).drop("closed_run"))
+
