@@ -20,6 +20,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Generated methods above HotSpot's 8000-bytecode JIT limit are never
+    # compiled and run in the bytecode interpreter; fall back to per-operator
+    # code before reaching that size.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
