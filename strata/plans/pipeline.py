@@ -62,6 +62,11 @@ class RunResult:
     exports: list = field(default_factory=list)
 
 
+def _step(spark: SparkSession, what: str) -> None:
+    """Label the following jobs (event log / job list)."""
+    spark.sparkContext.setJobDescription(what)
+
+
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     store = TableStore(spark, cfg.warehouse)
     ts = F.lit(cfg.run_ts).cast("timestamp")
@@ -69,24 +74,28 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     incremental = not cfg.full_refresh and store.exists("account_summary")
 
     # ingest + source layer
+    _step(spark, f"{cfg.run_id}: ingest")
     raw_c = files.read_customers(spark, cfg.customers_path)
     raw_a = files.read_accounts(spark, cfg.accounts_path)
     store.publish("src_customer", S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts), cfg.run_id)
     store.publish("src_account", S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts), cfg.run_id)
 
     # staging + quarantine: one validation pass per table
+    _step(spark, f"{cfg.run_id}: staging")
     stg_c, q_c = S.stage_customers(store.read("src_customer"), ts, cfg.id_type)
     stg_a, q_a = S.stage_accounts(store.read("src_account"), ts, cfg.id_type)
     for name, df in (("stg_customer", stg_c), ("quarantine_stg_customer", q_c),
                      ("stg_account", stg_a), ("quarantine_stg_account", q_a)):
         store.publish(name, df, cfg.run_id)
     stg_c, stg_a = store.read("stg_customer"), store.read("stg_account")
+    _step(spark, f"{cfg.run_id}: unique keys")
     scd2.require_unique(stg_c, ["customer_id"], "stg_customer")
     scd2.require_unique(stg_a, ["account_id"], "stg_account")
 
     # snapshots: merge the open versions only (a full refresh rebuilds the
     # incremental models, never the history)
     snap_c, snap_a = HistoryStore(store, "snap_customer"), HistoryStore(store, "snap_account")
+    _step(spark, f"{cfg.run_id}: snapshots")
     kw_c = dict(check_cols=CUSTOMER_CHECK) if cfg.customer_strategy == "check" else dict(updated_at="loaded_at")
     kw_a = dict(check_cols=ACCOUNT_CHECK) if cfg.account_strategy == "check" else dict(updated_at="loaded_at")
     merged_c = scd2.snapshot(snap_c.open_versions(), stg_c, ["customer_id"],
@@ -97,6 +106,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     snap_a.commit(merged_a, cfg.run_id)
     open_c, open_a = snap_c.open_versions(), snap_a.open_versions()
 
+    _step(spark, f"{cfg.run_id}: intermediate+marts")
     if not incremental:
         awc = M.account_with_customer(open_a, open_c)
         store.publish("int_account_with_customer", awc, cfg.run_id)
@@ -142,18 +152,22 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         store.publish("customer_profile", prof, cfg.run_id)
 
     # quality suite, report, gate
+    _step(spark, f"{cfg.run_id}: quality")
     results = materialize(quality_results(store, cfg.run_id, cfg.run_ts))
     if cfg.report_dir:
         W.save_report(results, cfg.report_dir, cfg.run_id)
     res.gate = REP.gate(results).first().asDict()
 
+    _step(spark, f"{cfg.run_id}: exports")
     if cfg.export_dir:
         for name in ("account_summary", "customer_profile"):
             df = store.read(name)
             res.exports.append(W.write_csv(df, f"{cfg.export_dir}/{name}_csv"))
             res.exports.append(W.write_parquet(df, f"{cfg.export_dir}/{name}_parquet"))
 
+    _step(spark, f"{cfg.run_id}: layer counts")
     res.layer_counts = layer_counts(store, snap_c, snap_a)
+    spark.sparkContext.setJobDescription(None)
     return res
 
 
