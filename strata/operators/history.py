@@ -65,14 +65,15 @@ def recent_changes(history: DataFrame, now: Column, hours: int = 24) -> DataFram
     return history.filter(F.col(VFROM) > since).orderBy(F.col(VFROM).desc())
 
 
-def growth(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """QRY-8: versions before/after, growth rate, versions per key."""
-    b = before.agg(F.count(F.lit(1)).alias("versions_before"),
-                   F.count_distinct(*[F.col(k) for k in keys]).alias("keys_before"))
-    a = after.agg(F.count(F.lit(1)).alias("versions_after"),
-                  F.count_distinct(*[F.col(k) for k in keys]).alias("keys_after"))
-    # Both sides are single-row aggregates; the cross join is 1 x 1.
-    return b.crossJoin(a).select(
+def growth(history: DataFrame, before: Column, keys: Sequence[str]) -> DataFrame:
+    """QRY-8: versions and keys at the earlier endpoint (rows satisfying
+    ``before``) and now, growth rate and versions per key - one aggregate
+    over the history, no join."""
+    k = F.struct(*[F.col(c) for c in keys]) if len(keys) > 1 else F.col(keys[0])
+    return history.agg(
+        F.count_if(before).alias("versions_before"), F.count(F.lit(1)).alias("versions_after"),
+        F.count_distinct(F.when(before, k)).alias("keys_before"), F.count_distinct(k).alias("keys_after"),
+    ).select(
         "versions_before", "versions_after", "keys_before", "keys_after",
         F.round(F.col("versions_after") / F.nullif(F.col("versions_before"), F.lit(0)), 4).alias("growth_rate"),
         F.round(F.col("versions_after") / F.nullif(F.col("keys_after"), F.lit(0)), 4).alias("versions_per_key"))

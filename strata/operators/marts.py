@@ -110,18 +110,18 @@ def top_k(df: DataFrame, k: int, by: str, tiebreak: str) -> DataFrame:
 def group_average_compare(df: DataFrame, group: str, measure: str) -> DataFrame:
     """AGG-9: per-group average against the overall average.
 
-    The overall average is a second, global partial aggregate (one row)
-    cross-joined as a scalar - a one-row side, so the broadcast is bounded
-    by construction."""
+    The overall average is one global partial aggregate brought back as a
+    scalar and applied as a literal (as a scalar subquery would be) - no
+    join at all."""
+    overall = df.agg(F.avg(measure).alias("a")).first()["a"]
+    ov = F.lit(overall)
     per = df.groupBy(group).agg(F.avg(measure).alias("group_avg"), F.count(F.lit(1)).alias("rows_count"))
-    overall = df.agg(F.avg(measure).alias("overall_avg"))
-    return (per.crossJoin(F.broadcast(overall))
-            .select(group, "rows_count",
-                    F.col("group_avg").cast("decimal(18,2)").alias("group_avg"),
-                    F.col("overall_avg").cast("decimal(18,2)").alias("overall_avg"),
-                    F.when(F.col("group_avg") > F.col("overall_avg"), F.lit("above"))
-                    .when(F.col("group_avg") < F.col("overall_avg"), F.lit("below"))
-                    .otherwise(F.lit("equal")).alias("position")))
+    return per.select(group, "rows_count",
+                      F.col("group_avg").cast("decimal(18,2)").alias("group_avg"),
+                      ov.cast("decimal(18,2)").alias("overall_avg"),
+                      F.when(F.col("group_avg") > ov, F.lit("above"))
+                      .when(F.col("group_avg") < ov, F.lit("below"))
+                      .otherwise(F.lit("equal")).alias("position"))
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, value: str, alias: str = "latest") -> DataFrame:

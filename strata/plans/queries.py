@@ -180,8 +180,7 @@ def scd2_recent_changes(spark, sf):
 
 @register("scd2_growth")
 def scd2_growth(spark, sf):
-    h = L.event_history(spark, sf)
-    return H.growth(h.filter(F.col("dbt_valid_from") < L.ts(L.T1)), h, ["user_id"])
+    return H.growth(L.event_history(spark, sf), F.col("dbt_valid_from") < L.ts(L.T1), ["user_id"])
 
 
 @register("scd2_retention")
