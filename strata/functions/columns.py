@@ -184,3 +184,9 @@ def version_id(key_cols: Sequence[str | Column], valid_from: str | Column) -> Co
     parts = [col(k).cast("string") for k in key_cols]
     parts.append(F.unix_micros(col(valid_from).cast("timestamp")).cast("string"))
     return F.md5(F.concat_ws("|", *parts))
+
+
+def proper_name(c: str | Column) -> Column:
+    """Older documented staging form of names: trimmed, each word
+    capitalised (PRJ-24)."""
+    return F.initcap(F.trim(col(c)))

@@ -142,3 +142,24 @@ def ratio(num: Column, den: Column, scale: int = 2) -> Column:
 
 def within_tolerance(a: Column, b: Column, tol: str = "0.01") -> Column:
     return F.abs(a - b) < F.lit(Decimal(tol))
+
+
+def in_subquery(df: DataFrame, col_: str, other: DataFrame, other_col: str) -> DataFrame:
+    """FLT-9: ``col IN (SELECT other_col FROM other)`` as a left-semi join."""
+    return df.join(other.select(F.col(other_col).alias("_in_k")), F.col(col_) == F.col("_in_k"), "left_semi")
+
+
+def not_in_subquery(df: DataFrame, col_: str, other: DataFrame, other_col: str) -> DataFrame:
+    """FLT-8: SQL ``col NOT IN (SELECT other_col FROM other)`` with its NULL
+    semantics: a NULL in the subquery makes the predicate unknown for every
+    row (no rows pass) and a NULL ``col`` never passes.  Planned as a
+    null-aware anti join; on nullable columns prefer NOT EXISTS
+    (``left_anti``)."""
+    df.createOrReplaceTempView("_nin_left")
+    other.select(F.col(other_col).alias("_k")).createOrReplaceTempView("_nin_right")
+    return df.sparkSession.sql(f"SELECT * FROM _nin_left WHERE `{col_}` NOT IN (SELECT _k FROM _nin_right)")
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """SRT-3: the first ``n`` rows (a limit; the feature itself)."""
+    return df.limit(n)

@@ -299,3 +299,9 @@ def _meta_cols(ch: Check) -> list[Column]:
 
 def today(ts: str) -> dt.datetime:
     return dt.datetime.fromisoformat(ts)
+
+
+def sample_violations(violations: DataFrame, n: int = 10) -> DataFrame:
+    """SRT-4: a bounded sample of failing rows for a report (the limit is
+    the feature: the full violation count comes from the suite)."""
+    return violations.limit(n)

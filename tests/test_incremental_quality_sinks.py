@@ -144,3 +144,16 @@ def test_history_store_appends_closed_and_replaces_open(spark, tmp):
     assert {r.k for r in hs.touched_keys(["k"], "r2", F.lit(D(2)).cast("timestamp")).collect()} == {1, 2}
     hs.commit(scd2.snapshot(hs.open_versions(), cur2, ["k"], "check", F.lit(D(2)).cast("timestamp")), "r2")
     assert hs.read().count() == 3                                     # replayed run: no-op
+
+
+def test_subquery_predicates_and_gate_without_results(spark, tmp):
+    from strata.operators import marts as M
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    ok = spark.createDataFrame([(1,)], "k int")
+    with_null = spark.createDataFrame([(1,), (None,)], "k int")
+    assert [r.k for r in M.in_subquery(df, "k", ok, "k").collect()] == [1]
+    assert [r.k for r in M.not_in_subquery(df, "k", ok, "k").collect()] == [2]
+    assert M.not_in_subquery(df, "k", with_null, "k").count() == 0
+    assert REP.gate_from_path(spark, f"{tmp}/missing") == {"tests": 0, "failing": 0, "warning": 0,
+                                                          "passed": False, "level": "warn"}
+    assert M.preview(df, 2).count() == 2
