@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strata.operators import marts as M
 from strata.operators import scd2
 from strata.operators import staging as S
-from strata.session import materialize
+from strata.session import materialize, spread
 from strata.sources import tpch
 
 
@@ -37,7 +37,7 @@ def _published(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     key = (id(spark), sf, name)
     hit = _PUBLISHED.get(key)
     if hit is None or hit.sparkSession is not spark:
-        hit = materialize(build())
+        hit = materialize(spread(build()))
         _PUBLISHED[key] = hit
     return hit
 

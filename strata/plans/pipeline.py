@@ -32,7 +32,7 @@ from strata.operators import report as REP
 from strata.operators import scd2
 from strata.operators import staging as S
 from strata.plans.publish import HistoryStore, TableStore
-from strata.session import materialize
+from strata.session import materialize, spread
 from strata.sinks import writers as W
 from strata.sources import files
 
@@ -71,14 +71,18 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     store = TableStore(spark, cfg.warehouse)
     ts = F.lit(cfg.run_ts).cast("timestamp")
     res = RunResult()
-    incremental = not cfg.full_refresh and store.exists("account_summary")
+    # The profile is the last table a run publishes: if it exists, an earlier
+    # run completed and this one maintains incrementally.  A first run that
+    # died midway is simply re-run as a full build (tables it already
+    # committed under this run id are kept, the rest are built).
+    incremental = not cfg.full_refresh and store.exists("customer_profile")
 
     # ingest + source layer
     _step(spark, f"{cfg.run_id}: ingest")
     raw_c = files.read_customers(spark, cfg.customers_path)
     raw_a = files.read_accounts(spark, cfg.accounts_path)
-    store.publish("src_customer", S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts), cfg.run_id)
-    store.publish("src_account", S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts), cfg.run_id)
+    store.publish("src_customer", spread(S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts)), cfg.run_id)
+    store.publish("src_account", spread(S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts)), cfg.run_id)
 
     # staging + quarantine: one validation pass per table
     _step(spark, f"{cfg.run_id}: staging")

@@ -64,14 +64,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (tests, local runs) do we pick a scratch folder of
     our own; on a cluster the setting always comes from the session.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext handle
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    sc.setCheckpointDir(current)
+    if sc is not None:
+        sc.setCheckpointDir(current)
     return current
 
 
@@ -87,3 +91,15 @@ def materialize(df):
     path = f"{checkpoint_dir(spark)}/materialized/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """Give a small input at least one partition per core before it is
+    published.  Only applies when the scan produced fewer partitions than
+    the default parallelism (single-file inputs); a large multi-file input is
+    left exactly as read, so this never adds a shuffle at scale."""
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    except Exception:  # no SparkContext handle: leave the frame as read
+        return df

@@ -148,3 +148,31 @@ def test_schema_drift_and_empty_input(spark, tmp):
         files.read_customers(spark, f"{tmp}/nope.csv")
     padded = FX.write(f"{tmp}/in", "p.csv", " CustomerID , Name,HasLoan \n1,a,Yes\n")
     assert files.read_customers(spark, padded).columns == ["CustomerID", "Name", "HasLoan"]
+
+
+def test_failed_run_then_rerun_equals_clean_run(spark, tmp, monkeypatch):
+    """INC-7: a run that dies after some layers were published, re-run with
+    the same run id, ends exactly like an uninterrupted run."""
+    c1 = FX.write(f"{tmp}/in1", "c.csv", FX.CUSTOMERS_F3)
+    a1 = FX.write(f"{tmp}/in1", "a.csv", FX.ACCOUNTS_F3)
+    a2 = FX.write(f"{tmp}/in2", "a.csv", _edit(FX.ACCOUNTS_F3, replace={"A001": "A001,1,7000.00,Savings"},
+                                               drop={"A002"}))
+    for root in (f"{tmp}/crash", f"{tmp}/clean"):
+        P.run(spark, _cfg(root, c1, a1, "r1", 1))
+    real = TableStore.publish
+
+    def failing(self, name, df, run_id):
+        if name == "account_summary" and run_id == "r2":
+            raise RuntimeError("executor lost, job aborted")
+        return real(self, name, df, run_id)
+
+    monkeypatch.setattr(TableStore, "publish", failing)
+    with pytest.raises(RuntimeError):
+        P.run(spark, _cfg(f"{tmp}/crash", c1, a2, "r2", 2))
+    monkeypatch.setattr(TableStore, "publish", real)
+    P.run(spark, _cfg(f"{tmp}/crash", c1, a2, "r2", 2))
+    P.run(spark, _cfg(f"{tmp}/clean", c1, a2, "r2", 2))
+    assert _state(TableStore(spark, f"{tmp}/crash/wh")) == _state(TableStore(spark, f"{tmp}/clean/wh"))
+    hc = HistoryStore(TableStore(spark, f"{tmp}/crash/wh"), "snap_account").read()
+    hk = HistoryStore(TableStore(spark, f"{tmp}/clean/wh"), "snap_account").read()
+    assert hc.exceptAll(hk).isEmpty() and hk.exceptAll(hc).isEmpty()
