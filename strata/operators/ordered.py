@@ -131,3 +131,21 @@ def ffill(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_c
                                          for v in value_cols])
     joined = inner.join(carry, [*keys, SEG], "left")
     return joined.select(*base_cols, *[F.coalesce(f"_in_{v}", f"_c_{v}").alias(prefix + v) for v in value_cols])
+
+
+def row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str = "row_no",
+               segment: Column | str | None = None) -> DataFrame:
+    """``out`` = 1-based position of the row within its key in ``order_cols``
+    order: the in-segment row number plus the key's row count in all earlier
+    segments (a running sum over the per-segment counts)."""
+    ordering = [F.col(c).asc() for c in order_cols]
+    if segment is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))
+    seg, keep = _segmented(df, segment)
+    base_cols = [c for c in df.columns if keep or c != SEG]
+    inner = seg.withColumn("_in", F.row_number().over(Window.partitionBy(*keys, SEG).orderBy(*ordering)))
+    summary = seg.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_n"))
+    w_seg = Window.partitionBy(*keys).orderBy(F.col(SEG).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, SEG, F.coalesce(F.sum("_n").over(w_seg), F.lit(0)).alias("_before"))
+    joined = inner.join(carry, [*keys, SEG], "left")
+    return joined.select(*base_cols, (F.col("_in") + F.col("_before")).cast("int").alias(out))

@@ -151,7 +151,7 @@ def scd2_as_of(spark, sf):
 
 @register("scd2_key_history")
 def scd2_key_history(spark, sf):
-    return H.versions(L.event_history(spark, sf), ["user_id"])
+    return H.versions(L.event_history(spark, sf), ["user_id"], segment_seconds=L.SEGMENT_SECONDS)
 
 
 @register("pit_join")

@@ -42,6 +42,12 @@ def test_segmented_prefix_max_and_ffill_equal_plain(spark, sf):
           ordered.ffill(ev, ["user_id"], ["ts", "event_id"], ["sparse"], segment=seg))
 
 
+def test_segmented_row_number_equals_plain(spark, sf):
+    ev = _hot_events(spark, sf).select("user_id", "ts", "event_id")
+    _same(ordered.row_number(ev, ["user_id"], ["ts", "event_id"]),
+          ordered.row_number(ev, ["user_id"], ["ts", "event_id"], segment=ordered.time_segment("ts", 3600)))
+
+
 def test_history_from_log_segmented_equals_plain_and_is_valid(spark, sf):
     log = _hot_events(spark, sf)
     a = scd2.history_from_log(log, ["user_id"], "ts", ["event_type"], "event_id")
