@@ -26,7 +26,7 @@ def as_of(history: DataFrame, t: Column) -> DataFrame:
 
 
 def versions(history: DataFrame, keys: Sequence[str], only: dict | None = None,
-             segment_seconds: int | None = None) -> DataFrame:
+             segment_seconds: int | str | None = None) -> DataFrame:
     """QRY-3 / SRT-1: every version numbered in ``valid_from`` order per key,
     with an ``is_current`` flag.  ``only`` picks one key's history (a
     filter, pushed to the scan).  With ``segment_seconds`` the numbering is
@@ -36,6 +36,7 @@ def versions(history: DataFrame, keys: Sequence[str], only: dict | None = None,
     for k, v in (only or {}).items():
         h = h.filter(F.col(k) == F.lit(v))
     h = h.select(*keys, SCD_ID, VFROM, VTO)
+    segment_seconds = ordered.resolve_segment_seconds(h, keys, VFROM, segment_seconds)
     seg = ordered.time_segment(VFROM, segment_seconds) if segment_seconds else None
     numbered = ordered.row_number(h, keys, [VFROM, SCD_ID], "version_no", seg)
     return numbered.select(*keys, SCD_ID, VFROM, VTO, "version_no", F.col(VTO).isNull().alias("is_current"))
@@ -83,7 +84,7 @@ def growth(history: DataFrame, before: Column, keys: Sequence[str]) -> DataFrame
 
 
 def pit_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_attrs: Sequence[str],
-             right_attrs: Sequence[str], segment_seconds: int | None = None) -> DataFrame:
+             right_attrs: Sequence[str], segment_seconds: int | str | None = None) -> DataFrame:
     """JON-6: point-in-time join of two histories of the same key.
 
     Output: one row per pair of versions whose periods intersect, with the
@@ -118,6 +119,7 @@ def pit_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_attrs:
                    F.when(F.col("side") == 2, F.struct(F.col("act2").alias("act"), *[F.col(c) for c in ra])).alias("s2"))
     order = ["t", "kind", "side"]
     seg = None
+    segment_seconds = ordered.resolve_segment_seconds(tl, keys, "t", segment_seconds)
     if segment_seconds:
         tl, seg = ordered.with_segment(tl, "t", segment_seconds), ordered.SEG
     filled = ordered.ffill(tl, keys, order, ["s1", "s2"], "f_", seg)

@@ -123,7 +123,7 @@ def accepted_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
     return df.filter(cond_out_of_range(col, lo, hi))
 
 
-def scd2_overlap(history: DataFrame, keys: Sequence[str], segment_seconds: int | None = None) -> DataFrame:
+def scd2_overlap(history: DataFrame, keys: Sequence[str], segment_seconds: int | str | None = None) -> DataFrame:
     """DQ-8: versions whose period starts before the latest end among the
     earlier versions of the same key (ordered by start, then end).  Each
     overlapping version is reported once, with the end it runs into - no
@@ -131,6 +131,7 @@ def scd2_overlap(history: DataFrame, keys: Sequence[str], segment_seconds: int |
     ``segment_seconds`` the running max is computed per time segment and
     stitched (see :mod:`strata.operators.ordered`)."""
     h = history.withColumn("_end", F.coalesce(F.col(VTO), F.lit(OPEN_END).cast("timestamp")))
+    segment_seconds = ordered.resolve_segment_seconds(h, keys, VFROM, segment_seconds)
     seg = ordered.time_segment(VFROM, segment_seconds) if segment_seconds else None
     pm = ordered.prefix_max(h, keys, [VFROM, "_end", SCD_ID], "_end", "prev_max_end", seg)
     return pm.filter(F.col(VFROM) < F.col("prev_max_end")).select(

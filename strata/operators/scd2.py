@@ -112,14 +112,17 @@ def snapshot(history: DataFrame | None, current: DataFrame, keys: Sequence[str],
 
 
 def history_from_log(log: DataFrame, keys: Sequence[str], ts: str, attrs: Sequence[str],
-                     tiebreak: str | None = None, segment_seconds: int | None = None) -> DataFrame:
+                     tiebreak: str | None = None, segment_seconds: int | str | None = None) -> DataFrame:
     """SCD-8: versions from a change log.  A row opens a version when any of
     ``attrs`` differs (null-safe) from the previous row of its key; the
-    version ends where the next version starts; the last one stays open."""
+    version ends where the next version starts; the last one stays open.
+    ``segment_seconds``: None, a width, or ``"auto"`` (from the hottest
+    key, see :func:`strata.operators.ordered.auto_segment_seconds`)."""
     order = [ts] + ([tiebreak] if tiebreak else [])
     base_cols = list(dict.fromkeys([*keys, *order, *attrs]))
     base = log.select(*base_cols)
     seg = None
+    segment_seconds = ordered.resolve_segment_seconds(base, keys, ts, segment_seconds)
     if segment_seconds:
         base, seg = ordered.with_segment(base, ts, segment_seconds), ordered.SEG
     # ``ts`` travels with the attributes: a NULL previous ``ts`` marks the

@@ -176,3 +176,14 @@ def test_metrics_and_retention(spark, sf):
     assert archive.count() + keep.count() == h.count()
     assert archive.filter("dbt_valid_to IS NULL").isEmpty()
     assert H.multi_version(h, ["user_id"]).filter("versions_count <= 1").isEmpty()
+
+
+def test_auto_segment_width(spark, sf):
+    ev = _hot_events(spark, sf)
+    assert ordered.auto_segment_seconds(ev, ["user_id"], "ts") is None          # every key fits
+    hot = ev.filter("user_id = 0").count()
+    w = ordered.auto_segment_seconds(ev, ["user_id"], "ts", target_rows=max(1, hot // 10))
+    assert w is not None and w > 0
+    a = scd2.history_from_log(ev, ["user_id"], "ts", ["event_type"], "event_id")
+    b = scd2.history_from_log(ev, ["user_id"], "ts", ["event_type"], "event_id", segment_seconds=w)
+    _same(a, b)
