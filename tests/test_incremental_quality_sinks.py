@@ -157,3 +157,26 @@ def test_subquery_predicates_and_gate_without_results(spark, tmp):
     assert REP.gate_from_path(spark, f"{tmp}/missing") == {"tests": 0, "failing": 0, "warning": 0,
                                                           "passed": False, "level": "warn"}
     assert M.preview(df, 2).count() == 2
+
+
+def test_history_growth_under_repeated_ten_percent_changes(spark):
+    """QRY-8 on generated inputs: five runs changing 10 % of 500 accounts each
+    keep the history under 5x the first load and under 10 versions per key."""
+    from strata.operators import history as H
+    from strata.operators import scd2
+    from strata.operators import staging as S
+    from strata.session import materialize
+    from strata.sources import generate as G
+    h = None
+    for v in range(6):
+        raw = G.accounts(spark, 500, 100, version=v, changed_pct=10 if v else 0)
+        src = S.rename_cast(raw, S.ACCOUNT_RAW_NAMES, F.lit(D(1 + v)).cast("timestamp"))
+        stg, rejected = S.stage_accounts(src, F.lit(D(1 + v)).cast("timestamp"))
+        assert rejected.isEmpty()
+        h = materialize(scd2.snapshot(h, stg, ["account_id"], "check", F.lit(D(1 + v)).cast("timestamp"),
+                                      check_cols=["customer_id", "balance_amount", "account_type"]))
+    g = H.growth(h, F.col("dbt_valid_from") == F.lit(D(1)).cast("timestamp"), ["account_id"]).first()
+    assert g.versions_before == 500 and 500 < g.versions_after < 5 * 500
+    assert H.multi_version(h, ["account_id"]).filter("versions_count >= 10").isEmpty()
+    assert DQ.scd2_overlap(h, ["account_id"]).isEmpty()
+    assert h.filter("dbt_valid_to IS NULL").count() == 500
