@@ -12,7 +12,6 @@ union of one-row aggregates - its size is the number of checks.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -298,9 +297,6 @@ def _meta_cols(ch: Check) -> list[Column]:
             F.lit(int(ch.warn_if)).alias("warn_if"), F.lit(int(ch.error_if)).alias("error_if")]
 
 
-def today(ts: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(ts)
-
 
 def sample_violations(violations: DataFrame, n: int = 10) -> DataFrame:
     """SRT-4: a bounded sample of failing rows for a report (the limit is

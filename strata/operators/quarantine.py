@@ -30,7 +30,6 @@ R_BAL_TEXT = "Invalid balance: non-numeric value ("
 R_BAL_NEG = "Invalid balance: negative value ("
 R_TYPE_BLANK = "Invalid account_type: null or empty"
 R_TYPE = "Invalid account_type: must be Savings or Checking ("
-R_UNKNOWN = "Unknown validation failure"
 
 
 def customer_rules(id_col="customer_id", name_col="name", loan_col="has_loan",

@@ -5,7 +5,6 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.functions import columns as C
 from strata.functions import names as N

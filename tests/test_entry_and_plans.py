@@ -1,7 +1,5 @@
 """Driver contract and plan hygiene of every registered query."""
 
-import re
-
 import pytest
 
 import __spark_entry__ as E

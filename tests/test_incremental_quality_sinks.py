@@ -1,7 +1,6 @@
 """Incremental operators, quality checks/report/gate, sinks and publishing."""
 
 import datetime as dt
-import json
 import os
 from decimal import Decimal
 

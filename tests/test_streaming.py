@@ -1,6 +1,5 @@
 """Structured Streaming forms: file ingest, idempotent keyed sink, lateness."""
 
-import datetime as dt
 import os
 
 from pyspark.sql import functions as F
