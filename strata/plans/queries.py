@@ -396,8 +396,14 @@ def quality_results(spark, sf):
 
 @register("dq_threshold")
 def dq_threshold(spark, sf):
-    return quality_results(spark, sf).filter(F.col("table_name") == "lineitem").select(
-        "test_name", "severity", "violations", "status")
+    """DQ-20/21: a check with ``warn_if`` / ``error_if`` thresholds: the
+    duplicate (order, line) keys of lineitem warn but stay under the error
+    threshold."""
+    li = tpch.table(spark, sf, "lineitem")
+    s = DQ.Suite({"lineitem": li}).add(
+        DQ.Check("lineitem", "unique_lineitem_order_line", severity="error", warn_if=0, error_if=100000000,
+                 violations=lambda: DQ.unique(li, ["l_orderkey", "l_linenumber"])))
+    return s.results("run-1").select("test_name", "severity", "violations", "status")
 
 
 @register("dq_freshness")
