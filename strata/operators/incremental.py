@@ -83,6 +83,14 @@ def affected_keys(changed_old: DataFrame, changed_new: DataFrame, key: str) -> D
     return changed_old.select(key).unionByName(changed_new.select(key)).filter(F.col(key).isNotNull()).distinct()
 
 
+def replace_keys(target: DataFrame, fresh: DataFrame, keys_df: DataFrame, key: str) -> DataFrame:
+    """Every key in ``keys_df`` is removed from ``target``; ``fresh`` (the
+    recomputed rows of exactly those keys) is added.  Upserts changed keys
+    and deletes keys with no fresh row, in one anti-join and a union."""
+    check_schema(target.schema, fresh.schema)
+    return target.join(keys_df, key, "left_anti").unionByName(fresh)
+
+
 def refresh_keys(target: DataFrame, detail: DataFrame, keys_df: DataFrame, key: str,
                  aggregate) -> DataFrame:
     """SEM-5/7: recompute ``aggregate(detail)`` for the affected keys from
@@ -92,6 +100,4 @@ def refresh_keys(target: DataFrame, detail: DataFrame, keys_df: DataFrame, key:
     changed keys and deletes keys that no longer qualify in one pass.  The
     key set is small next to the tables; AQE broadcasts it when its measured
     size allows, so neither big side is shuffled for the semi/anti joins."""
-    fresh = aggregate(detail.join(keys_df, key, "left_semi"))
-    check_schema(target.schema, fresh.schema)
-    return target.join(keys_df, key, "left_anti").unionByName(fresh)
+    return replace_keys(target, aggregate(detail.join(keys_df, key, "left_semi")), keys_df, key)

@@ -125,32 +125,31 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         # at run_ts), materialized once: small next to the tables
         ch_c = materialize(snap_c.touched_keys(["customer_id"], cfg.run_id, ts))
         ch_a = snap_a.touched_keys(["account_id"], cfg.run_id, ts)
-        prev_awc = store.read("int_account_with_customer")
+        prev_awc = store.read_before("int_account_with_customer", cfg.run_id)
         via_customer = (open_a.select("account_id", "customer_id").unionByName(prev_awc.select("account_id", "customer_id"))
                         .join(ch_c, "customer_id", "left_semi").select("account_id"))
         affected = materialize(ch_a.unionByName(via_customer).distinct())
 
-        awc = INC.refresh_keys(prev_awc, open_a, affected, "account_id",
-                               lambda accounts: M.account_with_customer(accounts, open_c))
-        store.publish("int_account_with_customer", awc, cfg.run_id)
-        awc = store.read("int_account_with_customer")
-
-        prev_sav = store.read("int_savings_account_only")
-        sav = INC.refresh_keys(prev_sav, awc, affected, "account_id", M.savings_only)
-        store.publish("int_savings_account_only", sav, cfg.run_id)
-        sav = store.read("int_savings_account_only")
-
-        prev_summ = store.read("account_summary")
-        summ = INC.refresh_keys(prev_summ, sav, affected, "account_id", lambda d: M.account_summary(d, ts))
-        store.publish("account_summary", summ, cfg.run_id)
+        # Fresh rows of the affected accounts, derived once (small) and passed
+        # down the chain: each layer's new version is the previous version
+        # minus the affected keys plus its fresh rows - no layer re-scans the
+        # table the previous step just wrote.
+        fresh_awc = materialize(M.account_with_customer(open_a.join(affected, "account_id", "left_semi"), open_c))
+        fresh_sav = M.savings_only(fresh_awc)
+        fresh_summ = materialize(M.account_summary(fresh_sav, ts))
+        for name, fresh in (("int_account_with_customer", fresh_awc), ("int_savings_account_only", fresh_sav),
+                            ("account_summary", fresh_summ)):
+            prev = prev_awc if name == "int_account_with_customer" else store.read_before(name, cfg.run_id)
+            if name == "account_summary":
+                prev_summ = prev
+            store.publish(name, INC.replace_keys(prev, fresh, affected, "account_id"), cfg.run_id)
         summ = store.read("account_summary")
 
         # customers whose totals may change: owners of affected accounts
         # before and after, plus customers whose attributes changed
-        cust = INC.affected_keys(prev_summ.join(affected, "account_id", "left_semi"),
-                                 summ.join(affected, "account_id", "left_semi"), "customer_id")
+        cust = INC.affected_keys(prev_summ.join(affected, "account_id", "left_semi"), fresh_summ, "customer_id")
         cust = materialize(cust.unionByName(ch_c).distinct())
-        prev_prof = store.read("customer_profile")
+        prev_prof = store.read_before("customer_profile", cfg.run_id)
         prof = INC.refresh_keys(prev_prof, summ, cust, "customer_id",
                                 lambda d: M.customer_profile(d, open_c))
         store.publish("customer_profile", prof, cfg.run_id)

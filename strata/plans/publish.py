@@ -86,6 +86,22 @@ class TableStore:
             raise FileNotFoundError(f"table {name} has no published version under {self.root}")
         return self.spark.read.parquet(f"{self.root}/{name}/{cur[0]}")
 
+    def read_before(self, name: str, run_id: str) -> DataFrame:
+        """The version that was current before ``run_id`` published this
+        table - the current one if ``run_id`` has not published it yet.  An
+        interrupted run re-executed under the same id thus starts from the
+        same inputs wherever it stopped."""
+        cur = self.current(name)
+        if cur is None:
+            raise FileNotFoundError(f"table {name} has no published version under {self.root}")
+        version = cur[0]
+        if cur[1] == run_id:
+            n = int(version[1:]) - 1
+            if n < 1:
+                raise FileNotFoundError(f"table {name} has no version before run {run_id}")
+            version = f"v{n:06d}"
+        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
+
     def publish(self, name: str, df: DataFrame, run_id: str) -> str:
         """Write ``df`` as the next version and swap the pointer.  If
         ``run_id`` is already the published run, nothing is written."""

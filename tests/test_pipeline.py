@@ -150,19 +150,21 @@ def test_schema_drift_and_empty_input(spark, tmp):
     assert files.read_customers(spark, padded).columns == ["CustomerID", "Name", "HasLoan"]
 
 
-def test_failed_run_then_rerun_equals_clean_run(spark, tmp, monkeypatch):
+@pytest.mark.parametrize("crash_at", ["int_savings_account_only", "customer_profile"])
+def test_failed_run_then_rerun_equals_clean_run(spark, tmp, monkeypatch, crash_at):
     """INC-7: a run that dies after some layers were published, re-run with
     the same run id, ends exactly like an uninterrupted run."""
     c1 = FX.write(f"{tmp}/in1", "c.csv", FX.CUSTOMERS_F3)
     a1 = FX.write(f"{tmp}/in1", "a.csv", FX.ACCOUNTS_F3)
-    a2 = FX.write(f"{tmp}/in2", "a.csv", _edit(FX.ACCOUNTS_F3, replace={"A001": "A001,1,7000.00,Savings"},
+    a2 = FX.write(f"{tmp}/in2", "a.csv", _edit(FX.ACCOUNTS_F3, replace={"A001": "A001,1,7000.00,Savings",
+                                                                         "A013": "A013,11,30000.00,Savings"},
                                                drop={"A002"}))
     for root in (f"{tmp}/crash", f"{tmp}/clean"):
         P.run(spark, _cfg(root, c1, a1, "r1", 1))
     real = TableStore.publish
 
     def failing(self, name, df, run_id):
-        if name == "account_summary" and run_id == "r2":
+        if name == crash_at and run_id == "r2":
             raise RuntimeError("executor lost, job aborted")
         return real(self, name, df, run_id)
 
