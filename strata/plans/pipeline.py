@@ -71,11 +71,13 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     store = TableStore(spark, cfg.warehouse)
     ts = F.lit(cfg.run_ts).cast("timestamp")
     res = RunResult()
-    # The profile is the last table a run publishes: if it exists, an earlier
-    # run completed and this one maintains incrementally.  A first run that
-    # died midway is simply re-run as a full build (tables it already
-    # committed under this run id are kept, the rest are built).
-    incremental = not cfg.full_refresh and store.exists("customer_profile")
+    # The profile is the last mart a run publishes: if an earlier run
+    # published it, this run maintains incrementally.  A first run that died
+    # midway is re-run as a full build, and a run whose marts are already
+    # published under this id takes the full-build branch too - there every
+    # publish of this run id is a no-op.
+    prof_cur = store.current("customer_profile")
+    incremental = not cfg.full_refresh and prof_cur is not None and prof_cur[1] != cfg.run_id
 
     # ingest + source layer
     _step(spark, f"{cfg.run_id}: ingest")

@@ -58,25 +58,35 @@ def get_spark(master: str | None = None, app: str = "strata",
     return prepare_session(spark)
 
 
+_LOCAL_CKPT: list[str] = []
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (tests, local runs) do we pick a scratch folder of
-    our own; on a cluster the setting always comes from the session.
+    Read from the session (runtime conf, then the launch conf).  Only when it
+    is unset (tests, ad-hoc local runs) do we pick one scratch folder per
+    process.  ``SparkContext.getCheckpointDir()`` is *not* this folder - Spark
+    appends a per-application subfolder to it - so it is never fed back.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # sessions without a SparkContext handle
         sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current and sc is not None:
+        current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    if sc is not None:
+        if not _LOCAL_CKPT:
+            _LOCAL_CKPT.append(tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+        current = _LOCAL_CKPT[0]
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # core confs may be read-only at runtime
+            pass
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-    return current
+    return current.rstrip("/")
 
 
 def materialize(df):

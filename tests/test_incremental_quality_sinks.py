@@ -179,3 +179,13 @@ def test_history_growth_under_repeated_ten_percent_changes(spark):
     assert H.multi_version(h, ["account_id"]).filter("versions_count >= 10").isEmpty()
     assert DQ.scd2_overlap(h, ["account_id"]).isEmpty()
     assert h.filter("dbt_valid_to IS NULL").count() == 500
+
+
+def test_checkpoint_folder_is_the_configured_one_and_stable(spark):
+    from strata.session import checkpoint_dir, materialize
+    first = checkpoint_dir(spark)
+    assert all(checkpoint_dir(spark) == first for _ in range(3))
+    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert first == conf.rstrip("/")
+    df = materialize(spark.range(5))
+    assert df.count() == 5 and all(first in f for f in df.inputFiles())
