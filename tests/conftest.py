@@ -12,8 +12,10 @@ SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     s = get_spark("local[4]", app="strata-tests", shuffle_partitions=4,
-                  extra={"spark.driver.memory": "4g"})
+                  extra={"spark.driver.memory": "4g",
+                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="strata-warehouse-")})
     checkpoint_dir(s)
     yield s
 
