@@ -128,3 +128,22 @@ def compare_outputs(a: DataFrame, b: DataFrame) -> DataFrame:
     b = b.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in a.schema.fields])
     return (a.exceptAll(b).withColumn("side", F.lit("only_first"))
             .unionByName(b.exceptAll(a).withColumn("side", F.lit("only_second"))))
+
+
+def compare_outputs_by_key(a: DataFrame, b: DataFrame, keys: list[str], tol: str = "0.01") -> DataFrame:
+    """SNK-9 with the tolerance: rows missing on either side, or whose
+    numeric columns differ by ``tol`` or more, or whose other columns differ
+    (NULL-safe).  One full outer join on the key."""
+    from decimal import Decimal
+    numeric = (T.NumericType,)
+    cols = [f for f in a.schema.fields if f.name not in keys]
+    j = a.alias("a").join(b.alias("b"), [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys], "full_outer")
+    bad = F.col(f"a.{keys[0]}").isNull() | F.col(f"b.{keys[0]}").isNull()
+    for f in cols:
+        x, y = F.col(f"a.{f.name}"), F.col(f"b.{f.name}").cast(f.dataType)
+        if isinstance(f.dataType, numeric):
+            diff = F.coalesce(F.abs(x - y) >= F.lit(Decimal(tol)), ~(x.isNull() & y.isNull()))
+        else:
+            diff = ~x.eqNullSafe(y)
+        bad = bad | diff
+    return j.filter(bad).select(*[F.coalesce(F.col(f"a.{k}"), F.col(f"b.{k}")).alias(k) for k in keys])

@@ -189,3 +189,11 @@ def test_checkpoint_folder_is_the_configured_one_and_stable(spark):
     assert first == conf.rstrip("/")
     df = materialize(spark.range(5))
     assert df.count() == 5 and all(first in f for f in df.inputFiles())
+
+
+def test_compare_outputs_with_tolerance(spark):
+    a = spark.createDataFrame([("A1", Decimal("10.00"), "x"), ("A2", Decimal("5.00"), "y")],
+                              "k string, v decimal(18,2), s string")
+    b = spark.createDataFrame([("A1", 10.004, "x"), ("A2", 5.02, "y"), ("A3", 1.0, "z")],
+                              "k string, v double, s string")
+    assert sorted(r.k for r in W.compare_outputs_by_key(a, b, ["k"]).collect()) == ["A2", "A3"]
