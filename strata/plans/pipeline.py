@@ -152,8 +152,12 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         cust = INC.affected_keys(prev_summ.join(affected, "account_id", "left_semi"), fresh_summ, "customer_id")
         cust = materialize(cust.unionByName(ch_c).distinct())
         prev_prof = store.read_before("customer_profile", cfg.run_id)
+        # Attributes only for the affected customers: the semi-join against
+        # the small key set is broadcast, so the customer table is filtered in
+        # place rather than shuffled for the left join.
+        attrs = open_c.join(cust, "customer_id", "left_semi")
         prof = INC.refresh_keys(prev_prof, summ, cust, "customer_id",
-                                lambda d: M.customer_profile(d, open_c))
+                                lambda d: M.customer_profile(d, attrs))
         store.publish("customer_profile", prof, cfg.run_id)
 
     # quality suite, report, gate
