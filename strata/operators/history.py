@@ -59,7 +59,8 @@ def storage_metrics(history: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.count_if(F.col(VTO).isNull()).alias("open_versions"),
         F.count_if(F.col(VTO).isNotNull()).alias("closed_versions"),
     ).withColumn("avg_versions_per_key",
-                 F.round(F.col("total_versions") / F.nullif(F.col("distinct_keys"), F.lit(0)), 2))
+                 F.round(F.col("total_versions") / F.nullif(F.col("distinct_keys"), F.lit(0)), 2)
+                 .cast("decimal(18,2)"))
 
 
 def recent_changes(history: DataFrame, now: Column, hours: int = 24) -> DataFrame:
@@ -79,8 +80,10 @@ def growth(history: DataFrame, before: Column, keys: Sequence[str]) -> DataFrame
         F.count_distinct(F.when(before, k)).alias("keys_before"), F.count_distinct(k).alias("keys_after"),
     ).select(
         "versions_before", "versions_after", "keys_before", "keys_after",
-        F.round(F.col("versions_after") / F.nullif(F.col("versions_before"), F.lit(0)), 4).alias("growth_rate"),
-        F.round(F.col("versions_after") / F.nullif(F.col("keys_after"), F.lit(0)), 4).alias("versions_per_key"))
+        F.round(F.col("versions_after") / F.nullif(F.col("versions_before"), F.lit(0)), 4)
+        .cast("decimal(18,4)").alias("growth_rate"),
+        F.round(F.col("versions_after") / F.nullif(F.col("keys_after"), F.lit(0)), 4)
+        .cast("decimal(18,4)").alias("versions_per_key"))
 
 
 def pit_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_attrs: Sequence[str],

@@ -223,12 +223,13 @@ SQL["scd2_multi_version"] = ("WITH m AS (" + merged("check") + ") SELECT user_id
 SQL["scd2_storage_metrics"] = with_hist("""SELECT count(*) AS total_versions, count(DISTINCT user_id) AS distinct_keys,
     count(*) FILTER (WHERE dbt_valid_to IS NULL) AS open_versions,
     count(*) FILTER (WHERE dbt_valid_to IS NOT NULL) AS closed_versions,
-    round(count(*) / nullif(count(DISTINCT user_id), 0), 2) AS avg_versions_per_key FROM hist""")
+    CAST(round(count(*) / nullif(count(DISTINCT user_id), 0), 2) AS DECIMAL(18,2)) AS avg_versions_per_key
+  FROM hist""")
 SQL["scd2_recent_changes"] = with_hist(
     f"SELECT * FROM hist WHERE dbt_valid_from > {T2} - INTERVAL 24 HOUR ORDER BY dbt_valid_from DESC")
 SQL["scd2_growth"] = with_hist(f"""SELECT b.versions_before, a.versions_after, b.keys_before, a.keys_after,
-    round(a.versions_after / nullif(b.versions_before, 0), 4) AS growth_rate,
-    round(a.versions_after / nullif(a.keys_after, 0), 4) AS versions_per_key
+    CAST(round(a.versions_after / nullif(b.versions_before, 0), 4) AS DECIMAL(18,4)) AS growth_rate,
+    CAST(round(a.versions_after / nullif(a.keys_after, 0), 4) AS DECIMAL(18,4)) AS versions_per_key
   FROM (SELECT count(*) AS versions_before, count(DISTINCT user_id) AS keys_before FROM hist
         WHERE dbt_valid_from < {T1}) b,
        (SELECT count(*) AS versions_after, count(DISTINCT user_id) AS keys_after FROM hist) a""")
@@ -339,6 +340,8 @@ RECONCILE = """SELECT p.customer_id, p.total_accounts_count, p.total_balance_amo
 SQL["dq_reconcile"] = with_base(RECONCILE)
 SQL["dq_non_positive_balance"] = with_base(
     "SELECT account_id, customer_id, balance_amount FROM awc WHERE balance_amount <= 0")
+SQL["dq_savings_type"] = with_base("""SELECT account_id, customer_id, balance_amount FROM awc
+  WHERE account_type = 'Savings' AND account_id NOT IN (SELECT account_id FROM sav)""")
 SQL["dq_accepted_range"] = "SELECT p_partkey, p_size FROM part WHERE p_size < 1 OR p_size > 45"
 
 # The suite: (table, test, column, severity, warn_if, error_if, violating-rows SQL).

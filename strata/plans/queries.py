@@ -331,6 +331,14 @@ def dq_non_positive_balance(spark, sf):
     return DQ.non_positive_balance(L.account_with_customer(spark, sf))
 
 
+@register("dq_savings_type")
+def dq_savings_type(spark, sf):
+    """DQ-19 as declared: rows typed 'Savings' missing from the savings
+    layer.  Types are stored lower-cased, so the declared test cannot fire;
+    the query runs over the whole intermediate layer and returns no rows."""
+    return DQ.savings_missing(L.account_with_customer(spark, sf), L.savings(spark, sf))
+
+
 @register("dq_accepted_range")
 def dq_accepted_range(spark, sf):
     return DQ.accepted_range(tpch.table(spark, sf, "part").select("p_partkey", "p_size"), "p_size", 1, 45)
