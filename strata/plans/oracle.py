@@ -456,3 +456,19 @@ SQL["layer_counts"] = with_base(" UNION ALL ".join(
 SQL["stream_latest_state"] = """SELECT user_id, event_type, ts, event_id FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) x
   WHERE rn = 1"""
+
+# The whole pipeline, full build then incremental run: equal to a full
+# computation over the second input.
+_RAW_ACCOUNTS_V2 = f"""SELECT account_id, customer_id,
+    CASE WHEN o_orderkey % 10 = 3 AND TRY_CAST(balance AS DECIMAL(18,2)) IS NOT NULL
+         THEN CAST(TRY_CAST(balance AS DECIMAL(18,2)) + 1 AS VARCHAR) ELSE balance END AS balance,
+    account_type
+  FROM ({tpch.sql_select(dict(tpch.RAW_ACCOUNT_EXPRS, o_orderkey="o_orderkey"), "orders")}) r"""
+SQL["pipeline_incremental_profile"] = with_base(f"""SELECT t.customer_id, c.customer_name, c.has_loan_flag,
+    t.total_accounts_count, t.total_balance_amount, t.total_annual_interest_amount, t.calculated_at
+  FROM (SELECT customer_id, count(*) AS total_accounts_count,
+               CAST(sum(original_balance_amount) AS DECIMAL(38,2)) AS total_balance_amount,
+               CAST(sum(annual_interest_amount) AS DECIMAL(38,2)) AS total_annual_interest_amount,
+               max(CASE WHEN CAST(account_id AS BIGINT) % 10 = 3 THEN {RUN} ELSE {LOAD} END) AS calculated_at
+        FROM summ GROUP BY customer_id) t
+  LEFT JOIN stg_customer c ON t.customer_id = c.customer_id""", {"raw_accounts": _RAW_ACCOUNTS_V2})

@@ -507,3 +507,37 @@ def stream_latest_state(spark, sf):
     sink = STR.KeyedStateSink(store, "user_state", ["user_id"], ["ts", "event_id"], ["event_type"])
     STR.run_available(src.select("user_id", "event_type", "ts", "event_id"), sink, "user_state")
     return store.read("user_state")
+
+
+@register("pipeline_incremental_profile")
+def pipeline_incremental_profile(spark, sf):
+    """The whole layered run, end to end: bank-style CSV files derived from
+    the driver tables, a full build, then an incremental run in which every
+    tenth order's balance grew by 1.00.  Returns the customer profile after
+    the incremental run; it must equal a full computation over the second
+    input (customers touched in run 2 carry run 2's time stamp)."""
+    import datetime as dt
+
+    from strata.plans import pipeline as P
+    from strata.plans.publish import TableStore
+    root = _scratch(spark, "pipeline")
+    orders = tpch.table(spark, sf, "orders")
+    accts = orders.selectExpr(*[f"{e} AS {n}" for n, e in tpch.RAW_ACCOUNT_EXPRS.items()],
+                              "o_orderkey % 10 = 3 AS _chg")
+    money = F.col("balance").try_cast("decimal(18,2)")
+    changed = accts.withColumn("balance", F.when(F.col("_chg") & money.isNotNull(), (money + 1).cast("string"))
+                               .otherwise(F.col("balance")))
+    names = {"account_id": "AccountID", "customer_id": "CustomerID", "balance": "Balance",
+             "account_type": "AccountType"}
+    csv = dict(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    for frame, folder in ((accts, "a1"), (changed, "a2")):
+        frame.select(*[F.col(k).alias(v) for k, v in names.items()]).write.mode("overwrite").options(**csv).csv(
+            f"{root}/in/{folder}")
+    tpch.raw_customers(spark, sf).select(
+        F.col("customer_id").alias("CustomerID"), F.col("name").alias("Name"), F.col("has_loan").alias("HasLoan")
+    ).write.mode("overwrite").options(**csv).csv(f"{root}/in/c")
+    for run_id, folder, ts in (("r1", "a1", tpch.LOAD_TS), ("r2", "a2", tpch.RUN_TS)):
+        P.run(spark, P.RunConfig(customers_path=f"{root}/in/c", accounts_path=f"{root}/in/{folder}",
+                                 warehouse=f"{root}/wh", run_id=run_id, run_ts=dt.datetime.fromisoformat(ts),
+                                 id_type=tpch.ID_TYPE))
+    return TableStore(spark, f"{root}/wh").read("customer_profile")
