@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, toxicity
+from . import bpe_chunks, license_scan, token_counts, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_chunks.report(table(spark, sf_dir, "documents", "doc_id", "text"))

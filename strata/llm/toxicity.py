@@ -32,10 +32,10 @@ from .common import WordHash, mix, slices, word_spans
 
 BITS = 20
 MAX_TRAIN_ROWS = 20_000
-SHARDS = 8
+SHARDS = 4
 ROUNDS = 4
 RANGES = 16
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.8, 0.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.5, 0.0
 EMPTY_PRIOR = 0.2
 THRESHOLD = 0.3
 
