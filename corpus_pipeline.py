@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe_chunks, toxicity
+from strata.llm import bpe_chunks, decontamination, toxicity
 from strata.llm.common import table
 from strata.session import checkpoint_dir
 
@@ -25,6 +25,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, name).filter(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not contaminated by ``benchmark``."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of the texts that are left."""
     return bpe_chunks.report(docs)
@@ -32,6 +37,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
+    ("decontamination", drop_contaminated),
     ("bpe", token_ids),
 ]
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, license_scan, token_counts, toxicity
+from . import bpe_chunks, decontamination, imatch, license_scan, token_counts, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+SQL["op9_decontamination"] = decontamination.SQL
+
+
+@query
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.report(table(spark, sf_dir, "documents", "doc_id", "text"))
