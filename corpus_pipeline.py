@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe_chunks, decontamination, toxicity
+from strata.llm import bpe_chunks, decontamination, jaccard_join, pseudonyms, toxicity
 from strata.llm.common import table
 from strata.session import checkpoint_dir
 
@@ -25,11 +25,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, name).filter(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard_join.keep_one(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not contaminated by ``benchmark``."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pseudonyms for personal numbers, dates, addresses and secrets."""
+    name = "found_" + uuid.uuid4().hex
+    rows = pseudonyms.pseudonymize(docs, found=name).drop(name)
+    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of the texts that are left."""
     return bpe_chunks.report(docs)
@@ -37,7 +49,9 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
+    ("pii", hide_personal_data),
     ("bpe", token_ids),
 ]
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, decontamination, imatch, license_scan, token_counts, toxicity
+from . import bpe_chunks, decontamination, imatch, jaccard_join, license_scan, pseudonyms, token_counts, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,13 @@ SQL["op9_decontamination"] = decontamination.SQL
 @query
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.report(table(spark, sf_dir, "documents", "doc_id", "text"))
