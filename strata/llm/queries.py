@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, decontamination, html_text, imatch, jaccard_join, license_scan, pseudonyms, token_counts, toxicity
+from . import bpe_chunks, decontamination, html_text, imatch, jaccard_join, license_scan, pseudonyms, suffix_dedup, token_counts, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"))
