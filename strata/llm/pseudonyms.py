@@ -245,14 +245,15 @@ def pseudonymize(docs: DataFrame, key: str | None = None, found: str = "found")
 
     text = F.col("text")
     places = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PLACES), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    order, seen = [c for c in docs.columns if c != found], "_" + found
-    rows = docs.select(*order, F.transform(places, replaced).alias(seen))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.transform(places, replaced).alias("seen"))
+    text = F.col("row.text")
     between = F.split(text, PLACES, -1)
     joined = F.concat(F.get(between, F.lit(0)), F.array_join(F.transform(
-        seen, lambda x, i: F.concat(x["value"], F.get(between, i + 1))), ""))
-    new = F.when(F.size(seen) > 0, joined).otherwise(text)
-    kinds = F.transform(F.filter(seen, lambda x: x["kind"].isNotNull()), lambda x: x["kind"])
-    return rows.select(*[new.alias("text") if c == "text" else F.col(c) for c in order], F.coalesce(kinds, F.array().cast("array<string>")).alias(found))
+        "seen", lambda x, i: F.concat(x["value"], F.get(between, i + 1))), ""))
+    new = F.when(F.size("seen") > 0, joined).otherwise(text)
+    kinds = F.transform(F.filter("seen", lambda x: x["kind"].isNotNull()), lambda x: x["kind"])
+    kept = [new.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c != found]
+    return rows.select(*kept, F.coalesce(kinds, F.array().cast("array<string>")).alias(found))
 
 
 def report(docs: DataFrame) -> DataFrame:
