@@ -17,8 +17,8 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from strata.plans import queries as Q  # noqa: E402
 from strata.session import checkpoint_dir, get_spark  # noqa: E402
+from strata.sinks.writers import CSV_OPTIONS  # noqa: E402
 from strata.sources import tpch  # noqa: E402
 
 HEADLINE = ["account_summary", "customer_profile", "quarantine_antijoin", "scd2_from_log", "scd2_merge_check",
@@ -48,7 +49,7 @@ def timed(fn, repeat: int) -> float:
 def pipeline_inputs(spark, sf: str, root: str) -> dict[str, str]:
     """Raw bank-style CSVs from the driver tables; the second account file
     changes 10 % of the accounts (balance + 1.00)."""
-    cust = tpch.raw_customers(spark, sf).filter("customer_id IS NOT NULL").select(
+    cust = tpch.raw_customers(spark, sf).select(
         F.col("customer_id").alias("CustomerID"), F.col("name").alias("Name"), F.col("has_loan").alias("HasLoan"))
     # The integer-typed bank contract: ids as plain integers.
     acct = tpch.raw_accounts(spark, sf).select(
@@ -59,16 +60,15 @@ def pipeline_inputs(spark, sf: str, root: str) -> dict[str, str]:
                           (F.col("Balance").try_cast("decimal(18,2)") + 1).cast("string"))
         .otherwise(F.col("Balance")))
     paths = {"c": f"{root}/in/customers", "a1": f"{root}/in/accounts1", "a2": f"{root}/in/accounts2"}
-    cust.write.mode("overwrite").option("header", True).csv(paths["c"])
-    acct.write.mode("overwrite").option("header", True).csv(paths["a1"])
-    changed.write.mode("overwrite").option("header", True).csv(paths["a2"])
+    for df, key in ((cust, "c"), (acct, "a1"), (changed, "a2")):
+        df.write.mode("overwrite").options(**CSV_OPTIONS).csv(paths[key])
     return paths
 
 
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_spark(f"local[{cpus}]", app="strata-bench", shuffle_partitions=cpus * 2,
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     checkpoint_dir(spark)
@@ -83,7 +83,7 @@ def main() -> None:
         results[name] = round(timed(lambda n=name: run_noop(Q.REGISTRY[n](spark, sf)), repeat), 3)
 
     from strata.plans import pipeline as P
-    root = tempfile.mkdtemp(prefix="strata-bench-")
+    root = f"{checkpoint_dir(spark)}/bench-{uuid.uuid4().hex[:8]}"
     paths = pipeline_inputs(spark, sf, root)
     # Two independent warehouses: the first pair of runs is cold (first
     # compilation of every plan), the second pair is the steady state.

@@ -178,12 +178,16 @@ def padded_key(prefix: str, n: str | Column, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(col(n).cast("string"), width, "0"))
 
 
-def version_id(key_cols: Sequence[str | Column], valid_from: str | Column) -> Column:
-    """Deterministic version surrogate id (SCD-6, PRJ-23):
-    ``md5(key1|key2|..|epoch_micros(valid_from))``."""
+def version_id(key_cols: Sequence[str | Column], valid_from: str | Column, tiebreak: str | Column | None = None) -> Column:
+    """Deterministic version surrogate id (SCD-6, PRJ-23): md5 of the key
+    parts, the start in epoch microseconds and, for change logs, the tiebreak.
+    Every part is written as its length, a colon and its text (NULL as ``-``),
+    so different keys never give one string."""
     parts = [col(k).cast("string") for k in key_cols]
     parts.append(F.unix_micros(col(valid_from).cast("timestamp")).cast("string"))
-    return F.md5(F.concat_ws("|", *parts))
+    if tiebreak is not None:
+        parts.append(col(tiebreak).cast("string"))
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]))
 
 
 def proper_name(c: str | Column) -> Column:

@@ -12,9 +12,7 @@ hot group is reduced before the shuffle.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
@@ -64,11 +62,9 @@ def account_summary(savings: DataFrame, calculated_at: Column) -> DataFrame:
 def customer_totals(summary: DataFrame, key: str = "customer_id") -> DataFrame:
     """AGG-1 core: accounts, balance and interest per customer.
 
-    ``account_id`` is the unique key of ``account_summary`` (enforced by the
-    upsert), so ``count`` equals ``count(distinct)`` without the extra
-    distinct-aggregation shuffle."""
+    Accounts are counted once each, whatever the input repeats (SEM-16)."""
     return summary.groupBy(key).agg(
-        F.count("account_id").alias("total_accounts_count"),
+        F.count_distinct("account_id").alias("total_accounts_count"),
         F.sum("original_balance_amount").cast(C.MONEY_SUM).alias("total_balance_amount"),
         F.sum("annual_interest_amount").cast(C.MONEY_SUM).alias("total_annual_interest_amount"),
         F.max("calculated_at").alias("calculated_at"))
@@ -110,12 +106,12 @@ def top_k(df: DataFrame, k: int, by: str, tiebreak: str) -> DataFrame:
 def group_average_compare(df: DataFrame, group: str, measure: str) -> DataFrame:
     """AGG-9: per-group average against the overall average.
 
-    The overall average is one global partial aggregate brought back as a
-    scalar and applied as a literal (as a scalar subquery would be) - no
-    join at all."""
-    overall = df.agg(F.avg(measure).alias("a")).first()["a"]
-    ov = F.lit(overall)
-    per = df.groupBy(group).agg(F.avg(measure).alias("group_avg"), F.count(F.lit(1)).alias("rows_count"))
+    One scan: a rollup gives every group's sum and count and, as its top
+    level, the overall ones, which meet in a window over the (few) groups."""
+    per = (df.rollup(group).agg(F.avg(measure).alias("group_avg"), F.count(F.lit(1)).alias("rows_count"), F.grouping_id().alias("_top"))
+           .withColumn("_overall", F.max(F.when(F.col("_top") == 1, F.col("group_avg"))).over(Window.partitionBy(F.lit(1))))
+           .filter(F.col("_top") == 0))
+    ov = F.col("_overall")
     return per.select(group, "rows_count",
                       F.col("group_avg").cast("decimal(18,2)").alias("group_avg"),
                       ov.cast("decimal(18,2)").alias("overall_avg"),
@@ -130,20 +126,6 @@ def latest_per_key(df: DataFrame, key: str, order: str, value: str, alias: str =
     return df.groupBy(key).agg(F.max_by(value, order).alias(alias))
 
 
-def conditional_counts(df: DataFrame, conds: dict[str, Column]) -> DataFrame:
-    """AGG-7: one pass of ``count_if`` per named condition."""
-    return df.agg(*[F.count_if(c).alias(n) for n, c in conds.items()])
-
-
-def ratio(num: Column, den: Column, scale: int = 2) -> Column:
-    """``num / nullif(den, 0)`` rounded (AGG-7)."""
-    return F.round(num / F.nullif(den, F.lit(0)), scale)
-
-
-def within_tolerance(a: Column, b: Column, tol: str = "0.01") -> Column:
-    return F.abs(a - b) < F.lit(Decimal(tol))
-
-
 def in_subquery(df: DataFrame, col_: str, other: DataFrame, other_col: str) -> DataFrame:
     """FLT-9: ``col IN (SELECT other_col FROM other)`` as a left-semi join."""
     return df.join(other.select(F.col(other_col).alias("_in_k")), F.col(col_) == F.col("_in_k"), "left_semi")
@@ -152,12 +134,16 @@ def in_subquery(df: DataFrame, col_: str, other: DataFrame, other_col: str) -> D
 def not_in_subquery(df: DataFrame, col_: str, other: DataFrame, other_col: str) -> DataFrame:
     """FLT-8: SQL ``col NOT IN (SELECT other_col FROM other)`` with its NULL
     semantics: a NULL in the subquery makes the predicate unknown for every
-    row (no rows pass) and a NULL ``col`` never passes.  Planned as a
-    null-aware anti join; on nullable columns prefer NOT EXISTS
-    (``left_anti``)."""
-    df.createOrReplaceTempView("_nin_left")
-    other.select(F.col(other_col).alias("_k")).createOrReplaceTempView("_nin_right")
-    return df.sparkSession.sql(f"SELECT * FROM _nin_left WHERE `{col_}` NOT IN (SELECT _k FROM _nin_right)")
+    row (no rows pass) and a NULL ``col`` never passes, unless the subquery is
+    empty.  One count of the subquery decides which case it is; the rest is an
+    ordinary anti join that shuffles, so no side is broadcast unmeasured."""
+    keys = other.select(F.col(other_col).alias("_k"))
+    some = keys.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_k").isNull()).alias("nulls")).first()
+    if some["n"] == 0:
+        return df
+    if some["nulls"]:
+        return df.filter(F.lit(False))
+    return df.filter(F.col(col_).isNotNull()).join(keys, F.col(col_) == F.col("_k"), "left_anti")
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

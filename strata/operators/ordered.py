@@ -16,8 +16,9 @@ big side is already partitioned by, so the big side is shuffled exactly once.
 segment column already on the frame (see :func:`with_segment`), which is
 then kept in the output for the next scan.
 
-Without a segment the plain window is used (one shuffle, fine when no key is
-hot).  Both give identical results; ``tests/test_ordered.py`` checks it.
+The width is the caller's parameter; nothing switches on the size of the data.
+Without a segment the plain window is used (for keys known to be small).  Both
+give identical results; ``tests/test_ordered_and_history.py`` checks it.
 """
 
 from __future__ import annotations
@@ -149,30 +150,3 @@ def row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], ou
     carry = summary.select(*keys, SEG, F.coalesce(F.sum("_n").over(w_seg), F.lit(0)).alias("_before"))
     joined = inner.join(carry, [*keys, SEG], "left")
     return joined.select(*base_cols, (F.col("_in") + F.col("_before")).cast("int").alias(out))
-
-
-# Rows per (key, segment) group that one task should handle at most.
-TARGET_ROWS_PER_SEGMENT = 2_000_000
-
-
-def auto_segment_seconds(df: DataFrame, keys: Sequence[str], ts: str,
-                         target_rows: int = TARGET_ROWS_PER_SEGMENT) -> int | None:
-    """Segment width from the data: the hottest key's row count and the time
-    span.  One aggregate (partial per key, then global); only three scalars
-    reach the driver.  ``None`` when no key exceeds ``target_rows`` - then
-    the plain per-key window is already balanced and cheaper."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    row = per_key.agg(F.max("n").alias("hot"),
-                      F.min(F.unix_micros(F.col("lo").cast("timestamp"))).alias("lo"),
-                      F.max(F.unix_micros(F.col("hi").cast("timestamp"))).alias("hi")).first()
-    if row is None or row["hot"] is None or row["hot"] <= target_rows:
-        return None
-    span_s = max(1, (row["hi"] - row["lo"]) // 1_000_000)
-    return max(1, int(span_s * target_rows // row["hot"]))
-
-
-def resolve_segment_seconds(df: DataFrame, keys: Sequence[str], ts: str, spec) -> int | None:
-    """``spec``: None (no segments), a width in seconds, or ``"auto"``."""
-    if spec == "auto":
-        return auto_segment_seconds(df, keys, ts)
-    return spec

@@ -122,7 +122,7 @@ def accepted_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
     return df.filter(cond_out_of_range(col, lo, hi))
 
 
-def scd2_overlap(history: DataFrame, keys: Sequence[str], segment_seconds: int | str | None = None) -> DataFrame:
+def scd2_overlap(history: DataFrame, keys: Sequence[str], segment_seconds: int | None = None) -> DataFrame:
     """DQ-8: versions whose period starts before the latest end among the
     earlier versions of the same key (ordered by start, then end).  Each
     overlapping version is reported once, with the end it runs into - no
@@ -130,7 +130,6 @@ def scd2_overlap(history: DataFrame, keys: Sequence[str], segment_seconds: int |
     ``segment_seconds`` the running max is computed per time segment and
     stitched (see :mod:`strata.operators.ordered`)."""
     h = history.withColumn("_end", F.coalesce(F.col(VTO), F.lit(OPEN_END).cast("timestamp")))
-    segment_seconds = ordered.resolve_segment_seconds(h, keys, VFROM, segment_seconds)
     seg = ordered.time_segment(VFROM, segment_seconds) if segment_seconds else None
     pm = ordered.prefix_max(h, keys, [VFROM, "_end", SCD_ID], "_end", "prev_max_end", seg)
     return pm.filter(F.col(VFROM) < F.col("prev_max_end")).select(
@@ -164,6 +163,17 @@ def recency(df: DataFrame, col: str, now: Column, max_age_hours: int) -> DataFra
         F.coalesce(F.col("max_value") < now - F.make_interval(hours=F.lit(max_age_hours)), F.lit(True)).alias("is_stale"))
 
 
+def _misses(key: str, values: dict[str, tuple[Column, Column]], tol: str) -> Column:
+    """``inline`` of the values that miss their expectation by more than
+    ``tol`` (or are NULL on one side): key, measure, actual, expected."""
+    wide = "decimal(38,4)"
+    rows = F.array(*[F.struct(F.col(key).alias(key), F.lit(m).alias("measure"), a.cast(wide).alias("actual"), e.cast(wide).alias("expected"))
+                     for m, (a, e) in values.items()])
+    off = lambda r: F.coalesce(F.abs(r["actual"] - r["expected"]) > F.lit(Decimal(tol)),
+                               r["actual"].isNull() != r["expected"].isNull())
+    return F.inline(F.filter(rows, off))
+
+
 def rate_range(summary: DataFrame, lo: str = "0.01", hi: str = "0.025") -> DataFrame:
     """DQ-13."""
     r = F.col("interest_rate_pct")
@@ -171,33 +181,23 @@ def rate_range(summary: DataFrame, lo: str = "0.01", hi: str = "0.025") -> DataF
 
 
 def recompute(summary: DataFrame, tol: str = "0.01") -> DataFrame:
-    """DQ-14/15/16: rate range, interest and new-balance recomputation; a row
-    fails when any flag is set."""
-    t = F.lit(Decimal(tol))
-    exp_int = F.round(F.col("original_balance_amount") * F.col("interest_rate_pct"), 2)
-    exp_new = F.round(F.col("original_balance_amount") + F.col("annual_interest_amount"), 2)
-    r = F.col("interest_rate_pct")
-    flags = summary.select(
-        "account_id",
-        F.when((r < F.lit(Decimal("0.01"))) | (r > F.lit(Decimal("0.025"))), 1).otherwise(0).alias("invalid_interest_rate"),
-        F.when(F.abs(F.col("annual_interest_amount") - exp_int) >= t, 1).otherwise(0).alias("invalid_annual_interest"),
-        F.when(F.abs(F.col("new_balance_amount") - exp_new) >= t, 1).otherwise(0).alias("invalid_new_balance"))
-    return flags.filter((F.col("invalid_interest_rate") == 1) | (F.col("invalid_annual_interest") == 1)
-                        | (F.col("invalid_new_balance") == 1))
+    """DQ-14/15/16: interest and new balance computed again from their inputs;
+    one row per account and amount that is off by more than ``tol``."""
+    balance, interest = F.col("original_balance_amount"), F.col("annual_interest_amount")
+    return summary.select(_misses("account_id", {
+        "annual_interest_amount": (interest, F.round(balance * F.col("interest_rate_pct"), 2)),
+        "new_balance_amount": (F.col("new_balance_amount"), balance + interest)}, tol))
 
 
 def reconcile(profile: DataFrame, summary: DataFrame, key: str = "customer_id", tol: str = "0.01") -> DataFrame:
-    """DQ-17: profile totals against a recomputation from the detail rows."""
-    exp = summary.groupBy(key).agg(
-        F.count(F.lit(1)).alias("expected_account_count"),
-        F.sum("original_balance_amount").alias("expected_total_balance"),
-        F.sum("annual_interest_amount").alias("expected_total_interest"))
-    t = F.lit(Decimal(tol))
-    j = profile.select(key, "total_accounts_count", "total_balance_amount", "total_annual_interest_amount").join(exp, key, "left")
-    bad = (F.coalesce(F.col("total_accounts_count") != F.col("expected_account_count"), F.lit(True))
-           | F.coalesce(F.abs(F.col("total_balance_amount") - F.col("expected_total_balance")) >= t, F.lit(True))
-           | F.coalesce(F.abs(F.col("total_annual_interest_amount") - F.col("expected_total_interest")) >= t, F.lit(True)))
-    return j.filter(bad)
+    """DQ-17: profile totals against the detail rows; one row per customer and
+    total that is off by more than ``tol``."""
+    again = summary.groupBy(key).agg(F.count_distinct("account_id").alias("_n"), F.sum("original_balance_amount").alias("_b"),
+                                     F.sum("annual_interest_amount").alias("_i"))
+    return profile.join(again, key, "left").select(_misses(key, {
+        "total_accounts_count": (F.col("total_accounts_count"), F.col("_n")),
+        "total_balance_amount": (F.col("total_balance_amount"), F.col("_b")),
+        "total_annual_interest_amount": (F.col("total_annual_interest_amount"), F.col("_i"))}, tol))
 
 
 def non_positive_balance(joined: DataFrame) -> DataFrame:
@@ -205,9 +205,8 @@ def non_positive_balance(joined: DataFrame) -> DataFrame:
     return joined.filter(F.col("balance_amount") <= 0).select("account_id", "customer_id", "balance_amount")
 
 
-def savings_missing(joined: DataFrame, savings: DataFrame, type_value: str = "Savings") -> DataFrame:
-    """DQ-19 as written: rows typed ``type_value`` missing downstream.  The
-    pipeline stores lower-cased types, so with the default it never fires."""
+def savings_missing(joined: DataFrame, savings: DataFrame, type_value: str = "savings") -> DataFrame:
+    """DQ-19: rows of a type that are missing downstream."""
     return (joined.filter(F.col("account_type") == F.lit(type_value))
             .join(savings.select("account_id"), "account_id", "left_anti")
             .select("account_id", "customer_id", "balance_amount"))
@@ -280,9 +279,9 @@ class Suite:
             "test_name", F.col("column_name").cast("string").alias("column_name"), "severity",
             F.col("violations").cast("long").alias("violations"),
             st.alias("status"),
-            F.when(st != F.lit("pass"), F.concat(F.lit("Got "), F.col("violations").cast("string"),
-                                                  F.lit(" results, configured to "), st,
-                                                  F.lit(" if != 0"))).alias("message"))
+            F.when(st == F.lit("fail"), F.format_string("%d violating rows; at most %d allowed", "violations", "error_if"))
+            .when(st == F.lit("warn"), F.format_string("%d violating rows; warning above %d", "violations", "warn_if"))
+            .alias("message"))
 
 
 def _sql_lit(v) -> str:

@@ -32,6 +32,18 @@ R_TYPE_BLANK = "Invalid account_type: null or empty"
 R_TYPE = "Invalid account_type: must be Savings or Checking ("
 
 
+# Column of raw records that do not have the header's number of fields.
+MALFORMED = "malformed_record"
+
+
+def malformed_rule(src: DataFrame) -> list[Rule]:
+    """The first rule of sources read from files: the record has as many
+    fields as the header."""
+    if MALFORMED not in src.columns:
+        return []
+    return [(F.col(MALFORMED).isNotNull(), C.reason("Invalid record: wrong number of fields (", MALFORMED, ")"))]
+
+
 def customer_rules(id_col="customer_id", name_col="name", loan_col="has_loan",
                    id_type: str = "int") -> list[Rule]:
     """FLT-1, in priority order.  NULL has_loan is accepted (``NULL NOT IN``

@@ -29,6 +29,10 @@ SCD_ID, UPDATED, VFROM, VTO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from",
 META = (SCD_ID, UPDATED, VFROM, VTO)
 
 
+# Columns that change with every run and so never make a version.
+TECHNICAL = ("loaded_at",)
+
+
 class DuplicateKeyError(ValueError):
     """The extract holds a key more than once (SEM-16)."""
 
@@ -86,7 +90,7 @@ def snapshot(history: DataFrame | None, current: DataFrame, keys: Sequence[str],
         return first_load(current, keys, strategy, run_ts, updated_at)
     data_cols = [c for c in current.columns]
     if strategy == "check":
-        check_cols = list(check_cols) if check_cols else [c for c in data_cols if c not in keys]
+        check_cols = list(check_cols) if check_cols else [c for c in data_cols if c not in keys and c not in TECHNICAL]
 
     closed = history.filter(F.col(VTO).isNotNull())
     open_ = history.filter(F.col(VTO).isNull())
@@ -112,17 +116,17 @@ def snapshot(history: DataFrame | None, current: DataFrame, keys: Sequence[str],
 
 
 def history_from_log(log: DataFrame, keys: Sequence[str], ts: str, attrs: Sequence[str],
-                     tiebreak: str | None = None, segment_seconds: int | str | None = None) -> DataFrame:
+                     tiebreak: str | None = None, segment_seconds: int | None = None) -> DataFrame:
     """SCD-8: versions from a change log.  A row opens a version when any of
     ``attrs`` differs (null-safe) from the previous row of its key; the
     version ends where the next version starts; the last one stays open.
-    ``segment_seconds``: None, a width, or ``"auto"`` (from the hottest
-    key, see :func:`strata.operators.ordered.auto_segment_seconds`)."""
+    Several changes at one instant keep their order by ``tiebreak``, which is
+    part of the version id; all but the last have zero length.
+    ``segment_seconds``: the width of time segments that split hot keys."""
     order = [ts] + ([tiebreak] if tiebreak else [])
     base_cols = list(dict.fromkeys([*keys, *order, *attrs]))
     base = log.select(*base_cols)
     seg = None
-    segment_seconds = ordered.resolve_segment_seconds(base, keys, ts, segment_seconds)
     if segment_seconds:
         base, seg = ordered.with_segment(base, ts, segment_seconds), ordered.SEG
     # ``ts`` travels with the attributes: a NULL previous ``ts`` marks the
@@ -135,7 +139,7 @@ def history_from_log(log: DataFrame, keys: Sequence[str], ts: str, attrs: Sequen
     nxt = ordered.shift(kept, keys, order, [ts], "next", "_n_", seg)
     return nxt.select(
         *keys, *attrs,
-        version_id(keys, F.col(ts)).alias(SCD_ID),
+        version_id(keys, F.col(ts), tiebreak).alias(SCD_ID),
         F.col(ts).alias(UPDATED),
         F.col(ts).alias(VFROM),
         F.col(f"_n_{ts}").alias(VTO))

@@ -26,6 +26,8 @@ def rename_cast(df: DataFrame, mapping: Mapping[str, str], loaded_at: Column | N
     cols = [F.col(f"`{old}`").cast("string").alias(new) for old, new in mapping.items()]
     if loaded_at is not None:
         cols.append(loaded_at.alias("loaded_at"))
+    if Q.MALFORMED in df.columns:
+        cols.append(F.col(Q.MALFORMED))
     return df.select(*cols)
 
 
@@ -56,12 +58,12 @@ def clean_accounts(valid_src: DataFrame, id_type: str = "int") -> DataFrame:
 def stage_customers(src: DataFrame, quarantined_at: Column, id_type: str = "int"
                     ) -> tuple[DataFrame, DataFrame]:
     """``(stg_customer, quarantine_stg_customer)`` from ``src_customer``."""
-    valid, rejected = Q.split(src, Q.customer_rules(id_type=id_type), quarantined_at)
+    valid, rejected = Q.split(src, Q.malformed_rule(src) + Q.customer_rules(id_type=id_type), quarantined_at)
     return clean_customers(valid, id_type), rejected
 
 
 def stage_accounts(src: DataFrame, quarantined_at: Column, id_type: str = "int"
                    ) -> tuple[DataFrame, DataFrame]:
     """``(stg_account, quarantine_stg_account)`` from ``src_account``."""
-    valid, rejected = Q.split(src, Q.account_rules(id_type=id_type), quarantined_at)
+    valid, rejected = Q.split(src, Q.malformed_rule(src) + Q.account_rules(id_type=id_type), quarantined_at)
     return clean_accounts(valid, id_type), rejected

@@ -9,6 +9,7 @@ rounds where Spark returns NULL (SEM-1).
 
 from __future__ import annotations
 
+from strata.plans import layers
 from strata.sources import tpch
 
 LOAD = f"TIMESTAMP '{tpch.LOAD_TS}'"
@@ -146,12 +147,13 @@ ARCHIVE_BEFORE = "TIMESTAMP '2024-01-10 00:00:00'"
 VALUE_BAND = "CASE WHEN value < 10 THEN 'low' WHEN value < 50 THEN 'mid' ELSE 'high' END"
 
 
-def scd_id(key: str, ts: str) -> str:
-    return f"md5(CAST({key} AS VARCHAR) || '|' || CAST(epoch_us({ts}) AS VARCHAR))"
+def scd_id(key: str, ts: str, tie: str | None = None) -> str:
+    parts = [f"CAST({key} AS VARCHAR)", f"CAST(epoch_us({ts}) AS VARCHAR)"] + ([f"CAST({tie} AS VARCHAR)"] if tie else [])
+    return "md5(" + " || ".join(f"length({p}) || ':' || {p}" for p in parts) + ")"
 
 
 def log_history(attr_expr: str, attr: str) -> str:
-    return f"""SELECT user_id, {attr}, {scd_id('user_id', 'ts')} AS dbt_scd_id, ts AS dbt_updated_at,
+    return f"""SELECT user_id, {attr}, {scd_id('user_id', 'ts', 'event_id')} AS dbt_scd_id, ts AS dbt_updated_at,
         ts AS dbt_valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dbt_valid_to
       FROM (SELECT user_id, ts, event_id, {attr_expr} AS {attr},
                    lag(ts) OVER w AS p_ts, lag({attr_expr}) OVER w AS p_attr
@@ -279,7 +281,8 @@ SQL["changed_key_profile"] = f"""SELECT customer_id, count(*) AS total_accounts_
 
 # --- data quality --------------------------------------------------------------
 CHECK_NOW = "TIMESTAMP '2024-02-05 00:00:00'"
-IV = f"""SELECT user_id, event_type, {scd_id('user_id', 'ts')} AS dbt_scd_id, ts AS dbt_valid_from,
+EARLY = f"TIMESTAMP '{layers.EARLY}'"
+IV = f"""SELECT user_id, event_type, {scd_id('user_id', 'ts', 'event_id')} AS dbt_scd_id, ts AS dbt_valid_from,
     CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts + to_hours(CAST(event_id % 7 AS BIGINT)) END AS dbt_valid_to
   FROM events"""
 OPEN_END = "TIMESTAMP '9999-12-31 00:00:00'"
@@ -315,33 +318,46 @@ def recency_sql(col: str, src: str, hours: int) -> str:
 
 SQL["dq_recency"] = recency_sql("ts", "events", 72)
 SQL["dq_interval_order"] = f"""WITH iv AS ({IV})
-SELECT *, CASE WHEN dbt_valid_to IS NULL AND dbt_valid_from > {CHECK_NOW} THEN 'open version starts in the future'
+SELECT *, CASE WHEN dbt_valid_to IS NULL AND dbt_valid_from > {EARLY} THEN 'open version starts in the future'
                ELSE 'closed version does not end after it starts' END AS problem
-FROM iv WHERE (dbt_valid_to IS NULL AND dbt_valid_from > {CHECK_NOW})
+FROM iv WHERE (dbt_valid_to IS NULL AND dbt_valid_from > {EARLY})
    OR (dbt_valid_to IS NOT NULL AND dbt_valid_to <= dbt_valid_from)"""
+BAD_SUMM = {"bad_summ": f"""SELECT account_id, customer_id, original_balance_amount, {layers.BAD_RATE} AS interest_rate_pct,
+    {layers.BAD_INTEREST} AS annual_interest_amount, {layers.BAD_BALANCE} AS new_balance_amount FROM summ""",
+            "bad_profile": f"""SELECT customer_id, {layers.BAD_ACCOUNTS} AS total_accounts_count,
+    {layers.BAD_TOTAL} AS total_balance_amount, total_annual_interest_amount FROM profile"""}
 SQL["dq_rate_range"] = with_base(
-    "SELECT account_id, interest_rate_pct FROM summ WHERE interest_rate_pct < 0.01 OR interest_rate_pct > 0.025")
-RECOMPUTE = """SELECT * FROM (SELECT account_id,
-    CASE WHEN interest_rate_pct < 0.01 OR interest_rate_pct > 0.025 THEN 1 ELSE 0 END AS invalid_interest_rate,
-    CASE WHEN abs(annual_interest_amount - round(original_balance_amount * interest_rate_pct, 2)) >= 0.01 THEN 1 ELSE 0 END
-      AS invalid_annual_interest,
-    CASE WHEN abs(new_balance_amount - round(original_balance_amount + annual_interest_amount, 2)) >= 0.01 THEN 1 ELSE 0 END
-      AS invalid_new_balance FROM summ) f
-  WHERE invalid_interest_rate = 1 OR invalid_annual_interest = 1 OR invalid_new_balance = 1"""
-SQL["dq_recompute"] = with_base(RECOMPUTE)
-RECONCILE = """SELECT p.customer_id, p.total_accounts_count, p.total_balance_amount, p.total_annual_interest_amount,
-    a.expected_account_count, a.expected_total_balance, a.expected_total_interest
-  FROM profile p LEFT JOIN (SELECT customer_id, count(*) AS expected_account_count,
-      sum(original_balance_amount) AS expected_total_balance, sum(annual_interest_amount) AS expected_total_interest
-      FROM summ GROUP BY customer_id) a ON p.customer_id = a.customer_id
-  WHERE coalesce(p.total_accounts_count != a.expected_account_count, true)
-     OR coalesce(abs(p.total_balance_amount - a.expected_total_balance) >= 0.01, true)
-     OR coalesce(abs(p.total_annual_interest_amount - a.expected_total_interest) >= 0.01, true)"""
-SQL["dq_reconcile"] = with_base(RECONCILE)
+    "SELECT account_id, interest_rate_pct FROM bad_summ WHERE interest_rate_pct < 0.01 OR interest_rate_pct > 0.025", BAD_SUMM)
+def off(actual: str, expected: str) -> str:
+    return f"coalesce(abs({actual} - {expected}) > 0.01, ({actual} IS NULL) <> ({expected} IS NULL))"
+
+
+def recompute_sql(summ: str) -> str:
+    pairs = {"annual_interest_amount": ("annual_interest_amount", "round(original_balance_amount * interest_rate_pct, 2)"),
+             "new_balance_amount": ("new_balance_amount", "(original_balance_amount + annual_interest_amount)")}
+    return " UNION ALL ".join(
+        f"SELECT account_id, '{m}' AS measure, CAST({a} AS DECIMAL(38,4)) AS actual, CAST({e} AS DECIMAL(38,4)) AS expected "
+        f"FROM {summ} WHERE {off(a, e)}" for m, (a, e) in pairs.items())
+
+
+def reconcile_sql(profile: str) -> str:
+    detail = ("(SELECT customer_id, count(DISTINCT account_id) AS n, sum(original_balance_amount) AS b, "
+              "sum(annual_interest_amount) AS i FROM summ GROUP BY customer_id)")
+    pairs = {"total_accounts_count": "d.n", "total_balance_amount": "d.b", "total_annual_interest_amount": "d.i"}
+    return " UNION ALL ".join(
+        f"SELECT p.customer_id, '{m}' AS measure, CAST(p.{m} AS DECIMAL(38,4)) AS actual, CAST({e} AS DECIMAL(38,4)) AS expected "
+        f"FROM {profile} p LEFT JOIN {detail} d ON p.customer_id = d.customer_id WHERE {off('p.' + m, e)}" for m, e in pairs.items())
+
+
+SQL["dq_recompute"] = with_base(recompute_sql("bad_summ"), BAD_SUMM)
+SQL["dq_reconcile"] = with_base(reconcile_sql("bad_profile"), BAD_SUMM)
 SQL["dq_non_positive_balance"] = with_base(
     "SELECT account_id, customer_id, balance_amount FROM awc WHERE balance_amount <= 0")
 SQL["dq_savings_type"] = with_base("""SELECT account_id, customer_id, balance_amount FROM awc
-  WHERE account_type = 'Savings' AND account_id NOT IN (SELECT account_id FROM sav)""")
+  WHERE account_type = 'savings' AND account_id NOT IN (SELECT account_id FROM sav WHERE """ + layers.LOST_SAVINGS + ")")
+SQL["dq_row_count"] = """SELECT * FROM (
+  SELECT (SELECT count(*) FROM events WHERE ts > TIMESTAMP '2030-01-01') AS row_count, 'after 2030' AS slice
+  UNION ALL SELECT (SELECT count(*) FROM events), 'all') x WHERE row_count = 0"""
 SQL["dq_accepted_range"] = "SELECT p_partkey, p_size FROM part WHERE p_size < 1 OR p_size > 45"
 
 # The suite: (table, test, column, severity, warn_if, error_if, violating-rows SQL).
@@ -369,10 +385,10 @@ SUITE = [
      "SELECT * FROM summ WHERE NOT (annual_interest_amount >= 0)"),
     ("account_summary", "interest_rate_range", "interest_rate_pct", "error", 0, 0,
      "SELECT * FROM summ WHERE interest_rate_pct < 0.01 OR interest_rate_pct > 0.025"),
-    ("account_summary", "interest_calculation", None, "error", 0, 0, RECOMPUTE),
+    ("account_summary", "interest_calculation", None, "error", 0, 0, recompute_sql("summ")),
     ("customer_profile", "unique_customer_profile_customer_id", "customer_id", "error", 0, 0,
      "SELECT customer_id FROM profile WHERE customer_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
-    ("customer_profile", "customer_profile_aggregation", None, "error", 0, 0, RECONCILE),
+    ("customer_profile", "customer_profile_aggregation", None, "error", 0, 0, reconcile_sql("profile")),
     ("src_customer", "row_count_src_customer", None, "error", 0, 0,
      "SELECT * FROM (SELECT count(*) AS n FROM src_customer) x WHERE n = 0"),
     ("snap_user", "scd2_no_overlap_snap_user", "user_id", "warn", 0, 0,
@@ -402,7 +418,7 @@ RESULTS_CTES = {
     "results0": RESULTS,
     "results": """SELECT 'run-1' AS run_id, table_name,
         CASE WHEN starts_with(table_name, 'src_') THEN 'source' WHEN starts_with(table_name, 'stg_') THEN 'staging'
-             WHEN starts_with(table_name, 'quarantine_') THEN 'staging' WHEN starts_with(table_name, 'snap_') THEN 'snapshots'
+             WHEN starts_with(table_name, 'snap_') THEN 'snapshot'
              WHEN starts_with(table_name, 'int_') THEN 'intermediate' ELSE 'marts' END AS layer,
         test_name, column_name, severity, violations,
         CASE WHEN severity = 'error' AND violations > error_if THEN 'fail' WHEN violations > warn_if THEN 'warn'
@@ -416,7 +432,7 @@ SQL["quality_report"] = with_base("""SELECT
     coalesce(layer, severity, 'all') AS group_value,
     count(*) AS total, count(*) FILTER (WHERE status = 'pass') AS passed,
     count(*) FILTER (WHERE status = 'fail') AS failed, count(*) FILTER (WHERE status = 'warn') AS warned,
-    count(*) FILTER (WHERE status = 'skipped') AS skipped, count(*) FILTER (WHERE status = 'error') AS errored,
+    count(*) FILTER (WHERE status = 'skip') AS skipped, count(*) FILTER (WHERE status = 'error') AS errored,
     CAST(coalesce(round(count(*) FILTER (WHERE status = 'pass') * 100.0 / nullif(count(*), 0), 2), 0.0)
          AS DECIMAL(5,2)) AS pass_rate
   FROM results GROUP BY GROUPING SETS ((), (layer), (severity))""", RESULTS_CTES)

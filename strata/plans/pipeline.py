@@ -32,11 +32,13 @@ from strata.operators import report as REP
 from strata.operators import scd2
 from strata.operators import staging as S
 from strata.plans.publish import HistoryStore, TableStore
-from strata.session import materialize, spread
+from strata.session import materialize
 from strata.sinks import writers as W
 from strata.sources import files
 
 CUSTOMER_CHECK = ["customer_name", "has_loan_flag"]
+# Width of the time segments in which a key's versions are scanned.
+SEGMENT_SECONDS = 30 * 86400
 ACCOUNT_CHECK = ["customer_id", "balance_amount", "account_type"]
 
 
@@ -53,6 +55,7 @@ class RunConfig:
     customer_strategy: str = "check"
     account_strategy: str = "check"
     id_type: str = "int"
+    keep_versions: int = 3
 
 
 @dataclass
@@ -62,6 +65,11 @@ class RunResult:
     exports: list = field(default_factory=list)
 
 
+class QualityGateError(RuntimeError):
+    """Checks of severity error failed (DQ-20); results are written, exports
+    are not."""
+
+
 def _step(spark: SparkSession, what: str) -> None:
     """Label the following jobs (event log / job list)."""
     spark.sparkContext.setJobDescription(what)
@@ -76,15 +84,15 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     # midway is re-run as a full build, and a run whose marts are already
     # published under this id takes the full-build branch too - there every
     # publish of this run id is a no-op.
-    prof_cur = store.current("customer_profile")
-    incremental = not cfg.full_refresh and prof_cur is not None and prof_cur[1] != cfg.run_id
+    incremental = (not cfg.full_refresh and store.exists("customer_profile")
+                   and store.committed("customer_profile", cfg.run_id) is None)
 
     # ingest + source layer
     _step(spark, f"{cfg.run_id}: ingest")
     raw_c = files.read_customers(spark, cfg.customers_path)
     raw_a = files.read_accounts(spark, cfg.accounts_path)
-    store.publish("src_customer", spread(S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts)), cfg.run_id)
-    store.publish("src_account", spread(S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts)), cfg.run_id)
+    store.publish("src_customer", S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts), cfg.run_id, cfg.run_ts)
+    store.publish("src_account", S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts), cfg.run_id, cfg.run_ts)
 
     # staging + quarantine: one validation pass per table
     _step(spark, f"{cfg.run_id}: staging")
@@ -108,8 +116,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
                              cfg.customer_strategy, ts, **kw_c)
     merged_a = scd2.snapshot(snap_a.open_versions(), stg_a, ["account_id"],
                              cfg.account_strategy, ts, **kw_a)
-    snap_c.commit(merged_c, cfg.run_id)
-    snap_a.commit(merged_a, cfg.run_id)
+    snap_c.commit(merged_c, cfg.run_id, cfg.run_ts)
+    snap_a.commit(merged_a, cfg.run_id, cfg.run_ts)
     open_c, open_a = snap_c.open_versions(), snap_a.open_versions()
 
     _step(spark, f"{cfg.run_id}: intermediate+marts")
@@ -164,8 +172,10 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     _step(spark, f"{cfg.run_id}: quality")
     results = materialize(quality_results(store, cfg.run_id, cfg.run_ts))
     if cfg.report_dir:
-        W.save_report(results, cfg.report_dir, cfg.run_id)
+        W.save_report(results, cfg.report_dir, cfg.run_id, cfg.run_ts)
     res.gate = REP.gate(results).first().asDict()
+    if not res.gate["passed"]:
+        raise QualityGateError(f"run {cfg.run_id}: {res.gate['failing']} failing checks, nothing is exported")
 
     _step(spark, f"{cfg.run_id}: exports")
     if cfg.export_dir:
@@ -176,6 +186,10 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
 
     _step(spark, f"{cfg.run_id}: layer counts")
     res.layer_counts = layer_counts(store, snap_c, snap_a)
+    for name in LAYER_TABLES:
+        store.vacuum(name, cfg.keep_versions)
+    for name in ("snap_customer", "snap_account"):
+        store.vacuum(name, cfg.keep_versions, closed=False)
     spark.sparkContext.setJobDescription(None)
     return res
 
@@ -230,9 +244,9 @@ def quality_results(store: TableStore, run_id: str, run_ts: dt.datetime) -> Data
         DQ.Check("customer_profile", "customer_profile_aggregation",
                  violations=lambda: DQ.reconcile(t["customer_profile"], t["account_summary"])),
         DQ.Check("snap_customer", "scd2_no_overlap_snap_customer",
-                 violations=lambda: DQ.scd2_overlap(snaps["snap_customer"], ["customer_id"])),
+                 violations=lambda: DQ.scd2_overlap(snaps["snap_customer"], ["customer_id"], SEGMENT_SECONDS)),
         DQ.Check("snap_account", "scd2_no_overlap_snap_account",
-                 violations=lambda: DQ.scd2_overlap(snaps["snap_account"], ["account_id"])),
+                 violations=lambda: DQ.scd2_overlap(snaps["snap_account"], ["account_id"], SEGMENT_SECONDS)),
         DQ.Check("snap_customer", "current_records_snap_customer",
                  violations=lambda: DQ.interval_order(snaps["snap_customer"], now)),
         DQ.Check("snap_account", "current_records_snap_account",

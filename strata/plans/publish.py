@@ -1,30 +1,49 @@
-"""Versioned table directories with an atomic current-version pointer (INC-7).
+"""Versioned table folders with a commit log (INC-7).
 
 Plain Parquet tables reject MERGE/UPDATE/DELETE, and overwriting a path that
-the same job reads from is unsafe.  So every write of a keyed table goes to
-a fresh directory ``<root>/<name>/v000042`` and only then is the one-line
-pointer ``<root>/<name>/_CURRENT`` replaced (write-temp-then-rename on the
-Hadoop filesystem - atomic on HDFS, a single PUT on object stores).  Readers
-resolve the pointer, so they see the old or the new version, never a mix.  A
-run that dies before the pointer swap leaves an unreferenced directory and
-the table unchanged; the pointer records the run id, so a re-run of a
-committed run is a no-op.
-
-History tables are kept as two stores: ``open`` (current versions, replaced
-each run - the only part a snapshot merge reads) and ``closed`` (append-only,
-partitioned by the run that closed the versions; a re-run overwrites only its
-own partition through dynamic partition overwrite).
+the same job reads from is unsafe.  So every write of a table goes to a new
+folder ``<root>/<name>/v000042``, and only then one commit file
+``<root>/<name>/_commits/00000042.json`` is created, without overwriting.  The
+current version is the one named by the highest complete commit file, so there
+is no moment without a current version, and a run that dies earlier leaves an
+unreferenced folder and the table as it was.  A commit names its run; a run id
+that was ever committed is a no-op, a run time that does not grow is refused,
+and version folders without any log are an error, not an empty table.
+
+A history table (SCD2) is one commit as well: its folder holds the open
+versions (``is_open=true``) and the versions this run closed
+(``is_open=false``).  Readers take the open part of the last commit and the
+closed parts of all commits, so open and closed versions can't disagree.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import materialize
+
+class LostCommitLogError(RuntimeError):
+    """Version folders exist, but no commit log."""
+
+
+class StaleRunError(ValueError):
+    """A new run must be later than the last committed one."""
+
+
+@dataclass(frozen=True)
+class Commit:
+    number: int
+    version: str
+    run_id: str
+    run_ts: str | None
+    schema: str
+    metrics: dict
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,30 +52,34 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, p, _ = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
     fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
-        return None
     stream = fs.open(p)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
     finally:
         stream.close()
 
 
-def _write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+def _create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a file; an existing one is an error (another writer came first)."""
+    fs, p, _ = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            raise FileExistsError(path) from e
+        raise
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not publish pointer {path}")
 
 
 @dataclass
@@ -65,122 +88,163 @@ class TableStore:
     root: str
     counts: dict = field(default_factory=dict)
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_CURRENT"
+    def _log(self, name: str) -> str:
+        return f"{self.root}/{name}/_commits"
+
+    def _numbers(self, name: str) -> list[int]:
+        return [int(f[:-5]) for f in _names(self.spark, self._log(name)) if f.endswith(".json") and f[:-5].isdigit()]
+
+    def commits(self, name: str) -> list[Commit]:
+        """Complete commits, oldest first.  A file cut short by a crash is no
+        commit."""
+        found = []
+        for n in sorted(self._numbers(name)):
+            try:
+                record = json.loads(_read_text(self.spark, f"{self._log(name)}/{n:08d}.json"))
+                found.append(Commit(n, record["version"], record["run_id"], record["run_ts"], record["schema"], record["metrics"]))
+            except (ValueError, KeyError):
+                continue
+        return [c for c in found if c.version]
+
+    def _versions(self, name: str) -> list[int]:
+        return [int(f[1:]) for f in _names(self.spark, f"{self.root}/{name}") if f[:1] == "v" and f[1:].isdigit()]
+
+    def last(self, name: str) -> Commit | None:
+        done = self.commits(name)
+        if not done and self._versions(name) and not self._numbers(name):
+            raise LostCommitLogError(f"table {name} under {self.root} has versions but no commit log")
+        return done[-1] if done else None
 
     def current(self, name: str) -> tuple[str, str] | None:
-        """``(version_dir, run_id)`` of the published version, or None."""
-        line = _read_text(self.spark, self._pointer(name))
-        if not line:
-            return None
-        version, _, run_id = line.partition(" ")
-        return version, run_id
+        """``(version, run_id)`` of the current version, or None."""
+        c = self.last(name)
+        return (c.version, c.run_id) if c else None
+
+    def committed(self, name: str, run_id: str) -> Commit | None:
+        return next((c for c in self.commits(name) if c.run_id == run_id), None)
 
     def exists(self, name: str) -> bool:
         """SRC-12 for path tables."""
-        return self.current(name) is not None
+        return self.last(name) is not None
+
+    def _read(self, name: str, c: Commit) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(c.schema))
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{c.version}")
 
     def read(self, name: str) -> DataFrame:
-        cur = self.current(name)
-        if cur is None:
-            raise FileNotFoundError(f"table {name} has no published version under {self.root}")
-        return self.spark.read.parquet(f"{self.root}/{name}/{cur[0]}")
+        c = self.last(name)
+        if c is None:
+            raise FileNotFoundError(f"table {name} has no committed version under {self.root}")
+        return self._read(name, c)
 
     def read_before(self, name: str, run_id: str) -> DataFrame:
-        """The version that was current before ``run_id`` published this
-        table - the current one if ``run_id`` has not published it yet.  An
-        interrupted run re-executed under the same id thus starts from the
+        """The version before ``run_id``'s own - the current one if it has not
+        committed yet.  A run re-executed under its id thus starts from the
         same inputs wherever it stopped."""
-        cur = self.current(name)
-        if cur is None:
-            raise FileNotFoundError(f"table {name} has no published version under {self.root}")
-        version = cur[0]
-        if cur[1] == run_id:
-            n = int(version[1:]) - 1
-            if n < 1:
-                raise FileNotFoundError(f"table {name} has no version before run {run_id}")
-            version = f"v{n:06d}"
-        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
-
-    def publish(self, name: str, df: DataFrame, run_id: str) -> str:
-        """Write ``df`` as the next version and swap the pointer.  If
-        ``run_id`` is already the published run, nothing is written."""
-        cur = self.current(name)
-        if cur is not None and cur[1] == run_id:
-            return cur[0]
-        n = int(cur[0][1:]) + 1 if cur else 1
-        version = f"v{n:06d}"
+        done = self.commits(name)
+        own = next((i for i, c in enumerate(done) if c.run_id == run_id), len(done))
+        if own == 0:
+            raise FileNotFoundError(f"table {name} has no version before run {run_id}")
+        return self._read(name, done[own - 1])
+
+    def publish(self, name: str, df: DataFrame, run_id: str, run_ts: dt.datetime | None = None,
+                partition_by: list[str] | None = None, metrics: dict | None = None, extra: dict | None = None) -> str:
+        """Write ``df`` as a new version and commit it.  A committed
+        ``run_id`` is a no-op, whether it is the last one or not."""
+        done = self.committed(name, run_id)
+        if done:
+            return done.version
+        last = self.last(name)
+        stamp = run_ts.isoformat() if run_ts else None
+        if last and stamp and last.run_ts and stamp <= last.run_ts:
+            raise StaleRunError(f"{name}: run {run_id} at {stamp} is not later than {last.run_id} at {last.run_ts}")
+        numbers = self._numbers(name)
+        if not numbers:
+            # Marks a table whose log is known to be empty, before any folder.
+            _create_text(self.spark, f"{self._log(name)}/{0:08d}.json", json.dumps(
+                {"version": "", "run_id": "", "run_ts": None, "schema": "", "metrics": {}}))
+            numbers = [0]
+        version = f"v{max([0, *self._versions(name)]) + 1:06d}"
         obs = Observation(f"{name}-{version}")
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").option("compression", "snappy").parquet(f"{self.root}/{name}/{version}"))
-        _write_text_atomic(self.spark, self._pointer(name), f"{version} {run_id}")
+        measures = {"rows": F.count(F.lit(1))} | (metrics or {})
+        w = df.observe(obs, *[m.alias(k) for k, m in measures.items()]).write.mode("errorifexists").option("compression", "snappy")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{self.root}/{name}/{version}")
+        found = {k: int(v) for k, v in obs.get.items()} | (extra or {})
+        try:
+            _create_text(self.spark, f"{self._log(name)}/{max(numbers) + 1:08d}.json", json.dumps(
+                {"version": version, "run_id": run_id, "run_ts": stamp, "schema": df.schema.json(), "metrics": found}))
+        except FileExistsError as e:
+            raise RuntimeError(f"{name}: another run committed while {run_id} was writing") from e
         # Rows written, collected by the write itself (QRY-7 without a scan).
-        self.counts[name] = obs.get["rows"]
+        self.counts[name] = found["rows"]
         return version
 
+    def vacuum(self, name: str, keep: int = 2, closed: bool = True) -> None:
+        """Delete the folders of all but the last ``keep`` versions; with
+        ``closed=False`` only the replaced open part of a history."""
+        fs, _, jvm = _fs(self.spark, self.root)
+        for c in self.commits(name)[:-keep]:
+            part = "" if closed else "/is_open=true"
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/{c.version}{part}"), True)
+
 
 @dataclass
 class HistoryStore:
-    """SCD2 history as ``open`` (versioned) + ``closed`` (append-only)."""
+    """SCD2 history: open versions and, per run, the versions it closed."""
     tables: TableStore
     name: str
 
-    @property
-    def closed_path(self) -> str:
-        return f"{self.tables.root}/{self.name}__closed"
+    def _part(self, c: Commit, is_open: bool) -> DataFrame:
+        schema = T.StructType([f for f in T.StructType.fromJson(json.loads(c.schema)) if f.name != "is_open"])
+        if not c.metrics["rows" if is_open else "closed"] or (is_open and c.metrics["rows"] == c.metrics["closed"]):
+            return self.tables.spark.createDataFrame([], schema)
+        return self.tables.spark.read.schema(schema).parquet(f"{self.tables.root}/{self.name}/{c.version}/is_open={str(is_open).lower()}")
 
     def open_versions(self) -> DataFrame | None:
-        n = f"{self.name}__open"
-        return self.tables.read(n) if self.tables.exists(n) else None
-
-    def closed_versions(self, schema: T.StructType) -> DataFrame:
-        """Closed versions, read with the open table's schema (the store may
-        hold no file yet)."""
-        fs, p, _ = _fs(self.tables.spark, self.closed_path)
-        if not fs.exists(p):
-            return self.tables.spark.createDataFrame([], schema)
-        full = T.StructType(list(schema.fields) + [T.StructField("closed_run", T.StringType())])
-        return self.tables.spark.read.schema(full).parquet(self.closed_path).drop("closed_run")
+        c = self.tables.last(self.name)
+        return self._part(c, True) if c else None
 
-    def read(self) -> DataFrame | None:
-        o = self.open_versions()
-        if o is None:
+    def closed_versions(self) -> DataFrame | None:
+        """All closed versions: one scan over the parts the commits name."""
+        done = self.tables.commits(self.name)
+        if not done:
             return None
-        return self.closed_versions(o.schema).unionByName(o)
-
-    def commit(self, merged_open: DataFrame, run_id: str) -> None:
-        """Store the result of merging the *open* versions with an extract:
-        versions it closed are appended to the closed store (partition
-        ``closed_run=<run_id>``, dynamic overwrite, so a re-run replaces only
-        its own rows); open versions become the next version of the open
-        table.  The closed store is never read by the merge."""
-        cur = self.tables.current(f"{self.name}__open")
-        if cur is not None and cur[1] == run_id:
-            return
-        # The merge feeds two writes: compute it once.
-        merged_open = materialize(merged_open)
-        obs = Observation(f"{self.name}-closed-{run_id}")
-        (merged_open.filter(F.col("dbt_valid_to").isNotNull()).withColumn("closed_run", F.lit(run_id))
-         .observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("closed_run").parquet(self.closed_path))
-        self.tables.counts[f"{self.name}__closed_in_run"] = obs.get["rows"]
-        self.tables.publish(f"{self.name}__open", merged_open.filter(F.col("dbt_valid_to").isNull()), run_id)
+        whole = max((i for i, c in enumerate(done) if c.metrics.get("whole")), default=0)
+        paths = [f"{self.tables.root}/{self.name}/{c.version}/is_open=false" for c in done[whole:] if c.metrics["closed"]]
+        schema = T.StructType([f for f in T.StructType.fromJson(json.loads(done[-1].schema)) if f.name != "is_open"])
+        return self.tables.spark.read.schema(schema).parquet(*paths) if paths else self.tables.spark.createDataFrame([], schema)
 
-    def touched_keys(self, keys: list[str], run_id: str, run_ts) -> DataFrame:
-        """Keys whose versions this run opened or closed.  Closed ones come
-        from the run's own ``closed_run`` partition (partition pruning: the
-        rest of the closed history is not read)."""
+    def read(self) -> DataFrame | None:
         o = self.open_versions()
-        opened = o.filter(F.col("dbt_valid_from") == run_ts).select(*keys)
-        closed = (self.closed_versions_of_run(o.schema, run_id).select(*keys))
-        return opened.unionByName(closed).distinct()
+        return None if o is None else self.closed_versions().unionByName(o)
 
-    def closed_versions_of_run(self, schema: T.StructType, run_id: str) -> DataFrame:
-        fs, p, _ = _fs(self.tables.spark, self.closed_path)
-        if not fs.exists(p):
-            return self.tables.spark.createDataFrame([], schema)
-        full = T.StructType(list(schema.fields) + [T.StructField("closed_run", T.StringType())])
-        return (self.tables.spark.read.schema(full).parquet(self.closed_path)
-                .filter(F.col("closed_run") == F.lit(run_id)).drop("closed_run"))
+    def commit(self, merged_open: DataFrame, run_id: str, run_ts: dt.datetime | None = None, whole: bool = False) -> None:
+        """Store the result of merging the *open* versions with an extract, in
+        one write and one commit.  Closed versions of earlier runs are neither
+        read nor written; with ``whole`` the rows are the entire history and
+        earlier closed parts no longer count."""
+        ended = F.col("dbt_valid_to").isNotNull()
+        self.tables.publish(self.name, merged_open.withColumn("is_open", ~ended), run_id, run_ts,
+                            partition_by=["is_open"], metrics={"closed": F.count_if(ended)}, extra={"whole": int(whole)})
 
+    def touched_keys(self, keys: list[str], run_id: str, run_ts) -> DataFrame:
+        """Keys whose versions this run opened or closed; of the closed ones
+        only the run's own part is read."""
+        opened = self.open_versions().filter(F.col("dbt_valid_from") == run_ts).select(*keys)
+        return opened.unionByName(self.closed_versions_of_run(run_id).select(*keys)).distinct()
+
+    def closed_versions_of_run(self, run_id: str) -> DataFrame:
+        return self._part(self.tables.committed(self.name, run_id), False)
+
+    def archive(self, older_than, archive_name: str, run_id: str, run_ts: dt.datetime | None = None) -> None:
+        """SCD-10 on the store: closed versions that ended before
+        ``older_than`` are added to the table ``archive_name``; the history
+        keeps the rest.  The archive is committed first and a version id is
+        added once, so a repeated attempt moves nothing twice."""
+        from strata.operators.scd2 import SCD_ID, archive_split
+        old, rest = archive_split(self.read(), older_than)
+        if self.tables.exists(archive_name):
+            held = self.tables.read(archive_name)
+            old = held.unionByName(old.join(held.select(SCD_ID), SCD_ID, "left_anti").select(held.columns))
+        self.tables.publish(archive_name, old, run_id, run_ts)
+        self.commit(rest, run_id, run_ts, whole=True)

@@ -308,22 +308,22 @@ def dq_recency(spark, sf):
 
 @register("dq_interval_order")
 def dq_interval_order(spark, sf):
-    return DQ.interval_order(L.event_intervals(spark, sf), L.ts(L.CHECK_NOW))
+    return DQ.interval_order(L.event_intervals(spark, sf), L.ts(L.EARLY))
 
 
 @register("dq_rate_range")
 def dq_rate_range(spark, sf):
-    return DQ.rate_range(L.account_summary(spark, sf))
+    return DQ.rate_range(L.defective_summary(spark, sf))
 
 
 @register("dq_recompute")
 def dq_recompute(spark, sf):
-    return DQ.recompute(L.account_summary(spark, sf))
+    return DQ.recompute(L.defective_summary(spark, sf))
 
 
 @register("dq_reconcile")
 def dq_reconcile(spark, sf):
-    return DQ.reconcile(L.customer_profile(spark, sf), L.account_summary(spark, sf))
+    return DQ.reconcile(L.defective_profile(spark, sf), L.account_summary(spark, sf))
 
 
 @register("dq_non_positive_balance")
@@ -336,7 +336,16 @@ def dq_savings_type(spark, sf):
     """DQ-19 as declared: rows typed 'Savings' missing from the savings
     layer.  Types are stored lower-cased, so the declared test cannot fire;
     the query runs over the whole intermediate layer and returns no rows."""
-    return DQ.savings_missing(L.account_with_customer(spark, sf), L.savings(spark, sf))
+    return DQ.savings_missing(L.account_with_customer(spark, sf), L.savings(spark, sf).filter(L.LOST_SAVINGS))
+
+
+@register("dq_row_count")
+def dq_row_count(spark, sf):
+    """DQ-23 on a slice that holds no rows, and on one that does."""
+    events = tpch.table(spark, sf, "events").select("ts")
+    late = DQ.row_count_positive(events.filter(F.col("ts") > L.ts("2030-01-01 00:00:00")))
+    return late.withColumn("slice", F.lit("after 2030")).unionByName(
+        DQ.row_count_positive(events).withColumn("slice", F.lit("all")))
 
 
 @register("dq_accepted_range")
@@ -467,7 +476,7 @@ def export_roundtrip(spark, sf):
     base = _scratch(spark, "export")
     W.write_csv(summ, f"{base}/csv")
     W.write_parquet(summ, f"{base}/parquet")
-    csv_back = spark.read.schema(summ.schema).option("header", True).csv(f"{base}/csv")
+    csv_back = spark.read.schema(summ.schema).options(**W.CSV_OPTIONS).csv(f"{base}/csv")
     pq_back = spark.read.parquet(f"{base}/parquet")
     diff = W.compare_outputs(csv_back, pq_back)
     if not diff.isEmpty():
@@ -501,11 +510,17 @@ def stream_latest_state(spark, sf):
     keyed table holding each user's latest event."""
     from strata.plans.publish import TableStore
     from strata.streaming import ingest as STR
-    schema = tpch.table(spark, sf, "events").schema
-    src = STR.stream_ingest(spark, sf, schema, fmt="parquet", pathGlobFilter="events.parquet")
-    store = TableStore(spark, _scratch(spark, "stream-tables"))
-    sink = STR.KeyedStateSink(store, "user_state", ["user_id"], ["ts", "event_id"], ["event_type"])
-    STR.run_available(src.select("user_id", "event_type", "ts", "event_id"), sink, "user_state")
+    schema = tpch.table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id").schema
+    root = _scratch(spark, "stream")
+    store = TableStore(spark, f"{root}/tables")
+    sink = STR.KeyedStateSink(store, "user_state", ["user_id"], ["ts", "event_id"], ["event_type"], stream=root.rsplit("/", 1)[-1])
+    # Two calls, the second one over files that came later, in batches of one
+    # file each: nothing may be lost between batches or calls.
+    events = tpch.table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
+    for part in (0, 1):
+        events.filter(F.col("event_id") % 2 == part).repartition(2, "event_id").write.mode("append").parquet(f"{root}/landing")
+        src = STR.stream_ingest(spark, f"{root}/landing", schema, fmt="parquet", max_files_per_trigger=1)
+        STR.run_available(src, sink)
     return store.read("user_state")
 
 

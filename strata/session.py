@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,7 +18,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Generated methods above HotSpot's 8000-bytecode JIT limit are never
     # compiled and run in the bytecode interpreter; fall back to per-operator
     # code before reaching that size.
@@ -30,10 +28,8 @@ RUNTIME_CONF = {
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (idempotent)."""
     for k, v in RUNTIME_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
     return spark
 
 
@@ -62,29 +58,25 @@ _LOCAL_CKPT: list[str] = []
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Read from the session (runtime conf, then the launch conf).  Only when it
-    is unset (tests, ad-hoc local runs) do we pick one scratch folder per
-    process.  ``SparkContext.getCheckpointDir()`` is *not* this folder - Spark
-    appends a per-application subfolder to it - so it is never fed back.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, read
+    from the session (runtime conf, then the launch conf).
+
+    Only a local master may leave it unset (tests, ad-hoc runs): there driver
+    and executors are one process, and one scratch folder per process is
+    used.  On a cluster an unset folder is an error, since executors would
+    each write to their own disk.  ``SparkContext.getCheckpointDir()`` is
+    *not* this folder - Spark appends a per-application subfolder to it - so
+    it is never fed back.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # sessions without a SparkContext handle
-        sc = None
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current and sc is not None:
-        current = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _LOCAL_CKPT:
-            _LOCAL_CKPT.append(tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+            _LOCAL_CKPT.append(tempfile.mkdtemp(prefix="strata-ckpt-"))
         current = _LOCAL_CKPT[0]
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # core confs may be read-only at runtime
-            pass
-    if sc is not None and not sc.getCheckpointDir():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")
 
@@ -101,15 +93,3 @@ def materialize(df):
     path = f"{checkpoint_dir(spark)}/materialized/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df):
-    """Give a small input at least one partition per core before it is
-    published.  Only applies when the scan produced fewer partitions than
-    the default parallelism (single-file inputs); a large multi-file input is
-    left exactly as read, so this never adds a shuffle at scale."""
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-    except Exception:  # no SparkContext handle: leave the frame as read
-        return df

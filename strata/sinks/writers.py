@@ -8,6 +8,7 @@ attached to the write itself, so validation does not scan the source twice.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ALLOWED_MODES = ("overwrite", "append")
+# Text is written and read as it is, blanks at its ends included.
+CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 class WriteValidationError(RuntimeError):
@@ -43,7 +46,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", verify: bool =
     """SNK-1: header, UTF-8, one directory of part files."""
     _check_mode(mode)
     out, obs = _counted(df, f"csv:{path}")
-    out.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS).option("encoding", "UTF-8").csv(path)
     return _validate(df.sparkSession, path, "csv", obs, df.schema, verify)
 
 
@@ -82,21 +85,21 @@ def write_split(tagged: DataFrame, path: str, flag: str = "failure_reason", mode
     routed.write.mode(mode).partitionBy("_route").parquet(path)
 
 
-def save_report(df: DataFrame, root: str, run_id: str) -> str:
-    """SNK-6: JSON report rows under ``run_id=<id>``; the latest report is
-    the highest run id (see :func:`latest_report`)."""
+def save_report(df: DataFrame, root: str, run_id: str, run_ts: dt.datetime) -> str:
+    """SNK-6: JSON report rows under ``run_id=<id>``, stamped with the run's
+    time (see :func:`latest_report`)."""
     out = f"{root}/run_id={run_id}"
-    df.coalesce(1).write.mode("overwrite").json(out)
+    df.withColumn("run_ts", F.lit(run_ts.isoformat())).coalesce(1).write.mode("overwrite").json(out)
     return out
 
 
 def latest_report(spark: SparkSession, root: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """SNK-6: the report of the highest run id (partition discovery)."""
+    """SNK-6: the report of the run with the latest time."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     df = r.json(root)
-    top = df.agg(F.max("run_id").alias("m")).first()["m"]
+    top = df.agg(F.max_by("run_id", F.struct("run_ts", "run_id")).alias("m")).first()["m"]
     return df.filter(F.col("run_id") == F.lit(top))
 
 
@@ -114,7 +117,7 @@ def _validate(spark: SparkSession, path: str, fmt: str, obs: Observation, schema
     back = None
     if verify:
         reader = spark.read.schema(schema)
-        back_df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+        back_df = reader.options(**CSV_OPTIONS).csv(path) if fmt == "csv" else reader.parquet(path)
         back = back_df.count()
     rep = WriteReport(path, fmt, written, back, len(schema.fields))
     if not rep.ok:

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.names import strip_header
-
 # The raw file column sets.
 CUSTOMER_COLUMNS = ("CustomerID", "Name", "HasLoan")
 ACCOUNT_COLUMNS = ("AccountID", "CustomerID", "Balance", "AccountType")
@@ -56,22 +54,32 @@ def validate_csv_data(df: DataFrame, path: str, required: Sequence[str]) -> None
         raise EmptyInputError(f"{path}: no data rows")
 
 
+# Raw text of a record that does not have the header's number of fields.
+MALFORMED = "malformed_record"
+
+
 def read_raw_csv(spark: SparkSession, path: str, expected: Sequence[str], strict: bool = True) -> DataFrame:
-    """SRC-1/2/3/6: header CSV as all-string columns, header names stripped,
-    column set checked.  A missing path raises ``FileNotFoundError``."""
+    """SRC-1/2/3/6: header CSV files as all-string columns, header names
+    stripped, column set checked.  A missing path raises ``FileNotFoundError``.
+
+    Every file of a folder must have the first file's header (Spark compares
+    each one and fails the read if not).  A record with more or fewer fields
+    keeps its text in ``malformed_record`` and goes to quarantine."""
     try:
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("mode", "PERMISSIVE").csv(path))
+        seen = spark.read.option("header", True).csv(path).columns
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(path) from e
         raise
-    df = strip_header(df)
+    names = [c.strip() for c in seen]
     if strict:
-        detect_schema_changes(df.columns, expected, path)
+        detect_schema_changes(names, expected, path)
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in seen), T.StructField(MALFORMED, T.StringType())])
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).csv(path))
+    df = df.toDF(*names, MALFORMED)
     validate_csv_data(df, path, expected)
-    # The header defines the names; every column stays text.
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in expected])
+    return df.select(*[F.col(f"`{c}`") for c in expected], MALFORMED)
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:

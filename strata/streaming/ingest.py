@@ -4,15 +4,14 @@
   full read (file source, explicit schema, ``maxFilesPerTrigger``).
 * :class:`KeyedStateSink` - a ``foreachBatch`` handler that folds each
   micro-batch into a keyed table published through
-  :class:`strata.plans.publish.TableStore`; the micro-batch id is the run id,
-  so a batch replayed after a failure is a no-op (exactly-once output).
+  :class:`strata.plans.publish.TableStore`; stream and micro-batch id are the
+  run id, so a batch replayed after a failure is a no-op (exactly-once output).
 * :func:`with_lateness` - the late-data tolerance as an event-time
   watermark; duplicates within it are dropped with bounded state.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,21 +53,24 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
 
 class KeyedStateSink:
-    """STR-2: ``foreachBatch`` handler keeping the latest row per key."""
+    """STR-2: ``foreachBatch`` handler keeping the latest row per key.
+
+    ``stream`` names the stream and so its checkpoint; with the micro-batch id
+    it is the run id of a commit.  A batch replayed after a failure is a no-op,
+    wherever in the commit log it stands."""
 
     def __init__(self, store: TableStore, table: str, keys: Sequence[str], order: Sequence[str],
-                 values: Sequence[str]):
-        self.store, self.table = store, table
+                 values: Sequence[str], stream: str):
+        self.store, self.table, self.stream = store, table, stream
         self.keys, self.order, self.values = list(keys), list(order), list(values)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        run_id = f"batch-{batch_id}"
-        cur = self.store.current(self.table)
-        if cur is not None and cur[1] == run_id:
-            return  # replayed batch: already committed
+        run_id = f"{self.stream}/{batch_id}"
+        if self.store.committed(self.table, run_id):
+            return
         cols = list(dict.fromkeys(self.values + self.order))
         fresh = latest_by_key(batch, self.keys, self.order, cols)
-        if cur is not None:
+        if self.store.exists(self.table):
             fresh = latest_by_key(self.store.read(self.table).unionByName(fresh), self.keys, self.order, cols)
         self.store.publish(self.table, fresh, run_id)
 
@@ -76,9 +78,13 @@ class KeyedStateSink:
 def run_available(df: DataFrame, handler: Callable[[DataFrame, int], None], name: str | None = None,
                   checkpoint: str | None = None) -> None:
     """Process everything available now, then stop (``availableNow``).  The
-    stream's checkpoint lives under the cluster's shared checkpoint folder."""
-    spark = df.sparkSession
-    ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{name or 'stream'}-{uuid.uuid4().hex[:8]}"
+    next call with the same ``name`` (by default the sink's stream) goes on
+    where this one stopped: the checkpoint is a fixed folder under the
+    cluster's shared checkpoint folder."""
+    name = name or getattr(handler, "stream", None)
+    if not (name or checkpoint):
+        raise ValueError("a stream needs a name or a checkpoint folder of its own")
+    ckpt = checkpoint or f"{checkpoint_dir(df.sparkSession)}/streams/{name}"
     q = (df.writeStream.foreachBatch(handler).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()

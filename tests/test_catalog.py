@@ -52,9 +52,9 @@ def test_parquet_scan_missing_path(spark, tmp):
 
 
 def test_ingest_profile_counts(spark, tmp):
-    raw = files.read_accounts(spark, FX.write(tmp, "a.csv", FX.ACCOUNTS_F1))
+    raw = files.read_accounts(spark, FX.write(tmp, "a.csv", FX.DIRTY_ACCOUNTS))
     p = files.ingest_profile(raw, "Balance").first()
-    assert p.row_count == 30 and p.null_Balance == 1 and p.negative_Balance == 1
+    assert p.row_count == 16 and p.null_Balance == 1 and p.negative_Balance == 1
     obs_df, obs = files.observed(raw, "ingest", "Balance")
     obs_df.write.format("noop").mode("overwrite").save()
-    assert obs.get["row_count"] == 30 and obs.get["negative_Balance"] == 1
+    assert obs.get["row_count"] == 16 and obs.get["negative_Balance"] == 1

@@ -90,8 +90,8 @@ def test_contract_naming_rules_hold():
 
 
 def test_contracts_on_pipeline_output(spark, tmp):
-    cust = FX.write(f"{tmp}/in", "c.csv", FX.CUSTOMERS_F3)
-    acct = FX.write(f"{tmp}/in", "a.csv", FX.ACCOUNTS_F3)
+    cust = FX.write(f"{tmp}/in", "c.csv", FX.EDGE_CUSTOMERS)
+    acct = FX.write(f"{tmp}/in", "a.csv", FX.EDGE_ACCOUNTS)
     P.run(spark, P.RunConfig(cust, acct, f"{tmp}/wh", "r1", dt.datetime(2024, 1, 1)))
     store = TableStore(spark, f"{tmp}/wh")
     for name in ("stg_customer", "stg_account", "int_account_with_customer", "int_savings_account_only",

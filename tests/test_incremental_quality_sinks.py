@@ -114,8 +114,8 @@ def test_writers_validate_and_compare(spark, tmp):
 
 def test_report_sink_latest(spark, tmp):
     a = spark.createDataFrame([("x", 1)], "test_name string, violations long")
-    W.save_report(a, f"{tmp}/rep", "20240101")
-    W.save_report(a.withColumn("violations", F.lit(2).cast("long")), f"{tmp}/rep", "20240102")
+    W.save_report(a, f"{tmp}/rep", "run-9", D(1))
+    W.save_report(a.withColumn("violations", F.lit(2).cast("long")), f"{tmp}/rep", "run-10", D(2))
     latest = W.latest_report(spark, f"{tmp}/rep").collect()
     assert len(latest) == 1 and latest[0].violations == 2
 

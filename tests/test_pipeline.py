@@ -18,54 +18,53 @@ def _cfg(tmp, cust, acct, run_id, day, **kw):
                        run_ts=dt.datetime(2024, 1, day), **kw)
 
 
-def test_f1_dirty_sample_full_run(spark, tmp):
-    cust = FX.write(f"{tmp}/in", "Customer.csv", FX.CUSTOMERS_F1)
-    acct = FX.write(f"{tmp}/in", "accounts.csv", FX.ACCOUNTS_F1)
+def test_dirty_sample_full_run(spark, tmp):
+    cust = FX.write(f"{tmp}/in", "Customer.csv", FX.DIRTY_CUSTOMERS)
+    acct = FX.write(f"{tmp}/in", "accounts.csv", FX.DIRTY_ACCOUNTS)
     res = P.run(spark, _cfg(tmp, cust, acct, "r1", 1, export_dir=f"{tmp}/out", report_dir=f"{tmp}/rep"))
     c = res.layer_counts
-    assert c["quarantine_stg_customer"] == 9 and c["stg_customer"] == 16
-    assert c["quarantine_stg_account"] == 10 and c["stg_account"] == 20
-    assert c["int_account_with_customer"] == 14
-    assert c["int_savings_account_only"] == 10 and c["account_summary"] == 10
-    assert c["customer_profile"] == 10
+    assert c["quarantine_stg_customer"] == 5 and c["stg_customer"] == 5
+    assert c["quarantine_stg_account"] == 10 and c["stg_account"] == 6
+    assert c["int_account_with_customer"] == 5
+    assert c["int_savings_account_only"] == 4 and c["account_summary"] == 4
+    assert c["customer_profile"] == 4
     store = TableStore(spark, f"{tmp}/wh")
     tot = store.read("account_summary").agg(
         F.sum("original_balance_amount").alias("b"), F.sum("annual_interest_amount").alias("i"),
         F.sum("new_balance_amount").alias("n")).first()
-    assert (tot.b, tot.i, tot.n) == (Decimal("233000.00"), Decimal("5292.50"), Decimal("238292.50"))
+    assert (tot.b, tot.i, tot.n) == (Decimal("70000.00"), Decimal("1425.00"), Decimal("71425.00"))
     rates = {r.account_id: r.interest_rate_pct for r in store.read("account_summary").collect()}
-    assert rates["A004"] == Decimal("0.0100") and rates["A011"] == Decimal("0.0150")
-    assert rates["A007"] == Decimal("0.0250") and rates["A016"] == Decimal("0.0200")
+    assert rates == {"C-01": Decimal("0.0150"), "C-02": Decimal("0.0150"), "C-03": Decimal("0.0200"), "C-04": Decimal("0.0250")}
     assert res.gate["passed"] is True
     assert all(r.ok for r in res.exports) and len(res.exports) == 4
     reasons = {r.account_id: r.failure_reason for r in store.read("quarantine_stg_account").collect()}
-    assert reasons["A024"] == "Invalid balance: negative value (-5000.00)"
-    assert reasons["A022"] == "Invalid balance: null representation (N/A)"
-    assert reasons["A030"] == "Invalid account_type: must be Savings or Checking (Investment)"
+    assert reasons["C-10"] == "Invalid balance: negative value (-3.50)"
+    assert reasons["C-07"] == "Invalid balance: null representation (N/A)"
+    assert reasons["C-15"] == "Invalid account_type: must be Savings or Checking (Bonds)"
     assert os.path.isdir(f"{tmp}/rep/run_id=r1")
 
 
-def test_f3_edge_sample(spark, tmp):
-    cust = FX.write(f"{tmp}/in", "c.csv", FX.CUSTOMERS_F3)
-    acct = FX.write(f"{tmp}/in", "a.csv", FX.ACCOUNTS_F3)
+def test_edge_sample(spark, tmp):
+    cust = FX.write(f"{tmp}/in", "c.csv", FX.EDGE_CUSTOMERS)
+    acct = FX.write(f"{tmp}/in", "a.csv", FX.EDGE_ACCOUNTS)
     res = P.run(spark, _cfg(tmp, cust, acct, "r1", 1))
     assert res.layer_counts["quarantine_stg_customer"] == 0
     assert res.layer_counts["quarantine_stg_account"] == 0
     store = TableStore(spark, f"{tmp}/wh")
     s = {r.account_id: r for r in store.read("account_summary").collect()}
-    assert len(s) == 15
-    assert s["A002"].annual_interest_amount == Decimal("120.01")      # 8000.50 x 0.015, HALF_UP
-    assert s["A003"].interest_rate_pct == Decimal("0.0100")           # 9999.99, no loan
-    assert s["A004"].interest_rate_pct == Decimal("0.0150")           # 10000.00 boundary
-    assert s["A007"].interest_rate_pct == Decimal("0.0200")           # 20000.00 boundary
-    assert s["A017"].annual_interest_amount == Decimal("399.98")
-    assert sum(r.original_balance_amount for r in s.values()) == Decimal("319999.49")
-    assert sum(r.annual_interest_amount for r in s.values()) == Decimal("6459.99")
+    assert len(s) == 11
+    assert s["B-02"].annual_interest_amount == Decimal("116.67")      # 7777.70 x 0.015, HALF_UP
+    assert s["B-03"].interest_rate_pct == Decimal("0.0100")           # 9999.99, no loan
+    assert s["B-04"].interest_rate_pct == Decimal("0.0150")           # 10000.00 boundary
+    assert s["B-07"].interest_rate_pct == Decimal("0.0200")           # 20000.00 boundary
+    assert s["B-13"].annual_interest_amount == Decimal("399.96")
+    assert sum(r.original_balance_amount for r in s.values()) == Decimal("169975.69")
+    assert sum(r.annual_interest_amount for r in s.values()) == Decimal("3172.13")
     p = {r.customer_id: r for r in store.read("customer_profile").collect()}
-    assert len(p) == 14
-    assert p[1].total_accounts_count == 2 and p[1].total_balance_amount == Decimal("15000.01")
-    assert p[1].total_annual_interest_amount == Decimal("275.00")
-    assert p[4].customer_name == "diana prince"
+    assert len(p) == 10
+    assert p[201].total_accounts_count == 2 and p[201].total_balance_amount == Decimal("14200.01")
+    assert p[201].total_annual_interest_amount == Decimal("263.00")
+    assert p[204].customer_name == "dara quill"
 
 
 def _edit(text, replace=None, drop=(), add=()):
@@ -91,16 +90,16 @@ def _state(store):
 
 
 def test_incremental_equals_full_refresh(spark, tmp):
-    c1 = FX.write(f"{tmp}/in1", "c.csv", FX.CUSTOMERS_F3)
-    a1 = FX.write(f"{tmp}/in1", "a.csv", FX.ACCOUNTS_F3)
+    c1 = FX.write(f"{tmp}/in1", "c.csv", FX.EDGE_CUSTOMERS)
+    a1 = FX.write(f"{tmp}/in1", "a.csv", FX.EDGE_ACCOUNTS)
     P.run(spark, _cfg(tmp, c1, a1, "r1", 1))
     # rename, flag flip with accounts unchanged, delete a customer, add one
-    c2_text = _edit(FX.CUSTOMERS_F3, replace={"1": "1,Ann Renamed,Yes", "2": "2,Bob Jones,yes"},
-                    drop={"14"}, add=["16,New Person,Yes"])
+    c2_text = _edit(FX.EDGE_CUSTOMERS, replace={"201": "201,Ann Renamed,Yes", "202": "202,Ben Okoro,yes"},
+                    drop={"209"}, add=["212,New Person,Yes"])
     # balance change, savings -> checking, delete, move to another customer, new account
-    a2_text = _edit(FX.ACCOUNTS_F3, replace={"A001": "A001,1,7000.00,Savings", "A005": "A005,3,15000.00,Checking",
-                                            "A013": "A013,11,30000.00,Savings"},
-                    drop={"A009"}, add=["A018,16,10000.00,Savings"])
+    a2_text = _edit(FX.EDGE_ACCOUNTS, replace={"B-01": "B-01,201,7000.00,Savings", "B-05": "B-05,203,14500.00,Checking",
+                                            "B-08": "B-08,211,31000.00,Savings"},
+                    drop={"B-04"}, add=["B-14,212,10000.00,Savings"])
     c2 = FX.write(f"{tmp}/in2", "c.csv", c2_text)
     a2 = FX.write(f"{tmp}/in2", "a.csv", a2_text)
     P.run(spark, _cfg(tmp, c2, a2, "r2", 2))
@@ -110,22 +109,22 @@ def test_incremental_equals_full_refresh(spark, tmp):
     full = _state(TableStore(spark, f"{tmp}/full/wh"))
     assert inc == full
     s = {r[0]: r for r in inc["account_summary"]}
-    assert s["A001"][2] == Decimal("7000.00") and s["A001"][4] == Decimal("105.00")  # 7000 x (0.01 + 0.005)
-    assert "A005" not in s and "A009" not in s and "A018" in s
-    assert all(r[0] != 14 for r in inc["customer_profile"])
+    assert s["B-01"][2] == Decimal("7000.00") and s["B-01"][4] == Decimal("105.00")  # 7000 x (0.01 + 0.005)
+    assert "B-05" not in s and "B-04" not in s and "B-14" in s
+    assert all(r[0] != 209 for r in inc["customer_profile"])
 
-    # history: customer 1 has two versions, one open; customer 14 closed
+    # history: customer 201 has two versions, one open; customer 209 closed
     snap = HistoryStore(TableStore(spark, f"{tmp}/wh"), "snap_customer").read()
-    v1 = snap.filter("customer_id = 1").orderBy("dbt_valid_from").collect()
-    assert [r.customer_name for r in v1] == ["alice smith", "ann renamed"]
+    v1 = snap.filter("customer_id = 201").orderBy("dbt_valid_from").collect()
+    assert [r.customer_name for r in v1] == ["ana forte", "ann renamed"]
     assert v1[0].dbt_valid_to == v1[1].dbt_valid_from and v1[1].dbt_valid_to is None
-    assert snap.filter("customer_id = 14 AND dbt_valid_to IS NULL").count() == 0
-    assert snap.filter("customer_id = 3").count() == 1            # unchanged: no new version
+    assert snap.filter("customer_id = 209 AND dbt_valid_to IS NULL").count() == 0
+    assert snap.filter("customer_id = 203").count() == 1            # unchanged: no new version
 
 
 def test_rerun_same_run_is_noop_and_unchanged_run_adds_nothing(spark, tmp):
-    c1 = FX.write(f"{tmp}/in1", "c.csv", FX.CUSTOMERS_F3)
-    a1 = FX.write(f"{tmp}/in1", "a.csv", FX.ACCOUNTS_F3)
+    c1 = FX.write(f"{tmp}/in1", "c.csv", FX.EDGE_CUSTOMERS)
+    a1 = FX.write(f"{tmp}/in1", "a.csv", FX.EDGE_ACCOUNTS)
     P.run(spark, _cfg(tmp, c1, a1, "r1", 1))
     store = TableStore(spark, f"{tmp}/wh")
     before = store.current("account_summary")
@@ -133,7 +132,7 @@ def test_rerun_same_run_is_noop_and_unchanged_run_adds_nothing(spark, tmp):
     assert store.current("account_summary") == before
     P.run(spark, _cfg(tmp, c1, a1, "r2", 2))
     snap = HistoryStore(store, "snap_account").read()
-    assert snap.count() == 17 and snap.filter("dbt_valid_to IS NULL").count() == 17
+    assert snap.count() == 13 and snap.filter("dbt_valid_to IS NULL").count() == 13
 
 
 def test_schema_drift_and_empty_input(spark, tmp):
@@ -147,26 +146,26 @@ def test_schema_drift_and_empty_input(spark, tmp):
     with pytest.raises(FileNotFoundError):
         files.read_customers(spark, f"{tmp}/nope.csv")
     padded = FX.write(f"{tmp}/in", "p.csv", " CustomerID , Name,HasLoan \n1,a,Yes\n")
-    assert files.read_customers(spark, padded).columns == ["CustomerID", "Name", "HasLoan"]
+    assert files.read_customers(spark, padded).columns == ["CustomerID", "Name", "HasLoan", files.MALFORMED]
 
 
 @pytest.mark.parametrize("crash_at", ["int_savings_account_only", "customer_profile"])
 def test_failed_run_then_rerun_equals_clean_run(spark, tmp, monkeypatch, crash_at):
     """INC-7: a run that dies after some layers were published, re-run with
     the same run id, ends exactly like an uninterrupted run."""
-    c1 = FX.write(f"{tmp}/in1", "c.csv", FX.CUSTOMERS_F3)
-    a1 = FX.write(f"{tmp}/in1", "a.csv", FX.ACCOUNTS_F3)
-    a2 = FX.write(f"{tmp}/in2", "a.csv", _edit(FX.ACCOUNTS_F3, replace={"A001": "A001,1,7000.00,Savings",
-                                                                         "A013": "A013,11,30000.00,Savings"},
-                                               drop={"A002"}))
+    c1 = FX.write(f"{tmp}/in1", "c.csv", FX.EDGE_CUSTOMERS)
+    a1 = FX.write(f"{tmp}/in1", "a.csv", FX.EDGE_ACCOUNTS)
+    a2 = FX.write(f"{tmp}/in2", "a.csv", _edit(FX.EDGE_ACCOUNTS, replace={"B-01": "B-01,201,7000.00,Savings",
+                                                                         "B-08": "B-08,211,31000.00,Savings"},
+                                               drop={"B-02"}))
     for root in (f"{tmp}/crash", f"{tmp}/clean"):
         P.run(spark, _cfg(root, c1, a1, "r1", 1))
     real = TableStore.publish
 
-    def failing(self, name, df, run_id):
+    def failing(self, name, df, run_id, *a, **kw):
         if name == crash_at and run_id == "r2":
             raise RuntimeError("executor lost, job aborted")
-        return real(self, name, df, run_id)
+        return real(self, name, df, run_id, *a, **kw)
 
     monkeypatch.setattr(TableStore, "publish", failing)
     with pytest.raises(RuntimeError):

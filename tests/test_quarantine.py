@@ -9,30 +9,30 @@ from strata.sources import files
 from tests import fixtures as FX
 
 
-def test_f1_reasons(spark, tmp):
-    raw = files.read_accounts(spark, FX.write(tmp, "a.csv", FX.ACCOUNTS_F1))
+def test_account_reasons(spark, tmp):
+    raw = files.read_accounts(spark, FX.write(tmp, "a.csv", FX.DIRTY_ACCOUNTS))
     src = S.rename_cast(raw, S.ACCOUNT_RAW_NAMES, F.current_timestamp())
     valid, rejected = Q.split(src, Q.account_rules())
     got = {r.account_id: r.failure_reason for r in rejected.collect()}
-    assert valid.count() == 20 and rejected.count() == 10
-    assert got["A006"] == "Invalid balance: null or empty"
-    assert got["A023"] == "Invalid customer_id: non-numeric value (INVALID)"
-    assert got["A025"] == "Invalid balance: non-numeric value (ABC123)"
-    assert got["A027"] == "Invalid account_type: null or empty"
-    assert got["A028"] == "Invalid customer_id: null or empty"
-    assert got["A029"] == "Invalid balance: null representation (null)"
+    assert valid.count() == 6 and rejected.count() == 10
+    assert got["C-06"] == "Invalid balance: null or empty"
+    assert got["C-13"] == "Invalid customer_id: non-numeric value (XX9)"
+    assert got["C-09"] == "Invalid balance: non-numeric value (12x)"
+    assert got["C-14"] == "Invalid account_type: null or empty"
+    assert got["C-12"] == "Invalid customer_id: null or empty"
+    assert got["C-08"] == "Invalid balance: null representation (null)"
     assert got[None] == "Invalid account_id: null or empty"
 
 
-def test_customer_f1(spark, tmp):
-    raw = files.read_customers(spark, FX.write(tmp, "c.csv", FX.CUSTOMERS_F1))
+def test_customer_reasons(spark, tmp):
+    raw = files.read_customers(spark, FX.write(tmp, "c.csv", FX.DIRTY_CUSTOMERS))
     src = S.rename_cast(raw, S.CUSTOMER_RAW_NAMES, F.current_timestamp())
     valid, rejected = Q.split(src, Q.customer_rules())
     got = {r.customer_id: r.failure_reason for r in rejected.collect()}
-    assert valid.count() == 16 and len(got) == 9
-    assert got["INVALID"] == "Invalid customer_id: non-numeric value (INVALID)"
-    assert got["8"] == "Invalid has_loan value: MAYBE"
-    assert got["3"] == "Invalid name: null or empty"
+    assert valid.count() == 5 and len(got) == 5
+    assert got["XX9"] == "Invalid customer_id: non-numeric value (XX9)"
+    assert got["304"] == "Invalid has_loan value: MAYBE"
+    assert got["303"] == "Invalid name: null or empty"
 
 
 def test_zero_balance_passes_quarantine(spark):

@@ -22,7 +22,7 @@ def test_stream_keeps_latest_per_key_across_batches(spark, tmp):
     land = f"{tmp}/landing"
     _drop(land, "a.csv", ["1,a,2024-01-01 00:00:00", "2,b,2024-01-01 00:00:00"])
     store = TableStore(spark, f"{tmp}/wh")
-    sink = STR.KeyedStateSink(store, "state", ["k"], ["ts"], ["v"])
+    sink = STR.KeyedStateSink(store, "state", ["k"], ["ts"], ["v"], stream="state-stream")
     src = STR.stream_ingest(spark, land, SCHEMA, max_files_per_trigger=1)
     ckpt = f"{tmp}/ckpt"
     STR.run_available(src, sink, checkpoint=ckpt)
@@ -32,7 +32,7 @@ def test_stream_keeps_latest_per_key_across_batches(spark, tmp):
     assert got == {"1": "a2", "2": "b", "3": "c"}
     # a replayed micro-batch (same id) does not change the table
     before = store.current("state")
-    sink(spark.createDataFrame([("1", "zzz", "2025-01-01 00:00:00")], SCHEMA), int(before[1].split("-")[1]))
+    sink(spark.createDataFrame([("1", "zzz", "2025-01-01 00:00:00")], SCHEMA), int(before[1].rsplit("/", 1)[1]))
     assert store.current("state") == before
 
 
