@@ -56,6 +56,7 @@ class RunConfig:
     account_strategy: str = "check"
     id_type: str = "int"
     keep_versions: int = 3
+    stop_on_error: bool = True
 
 
 @dataclass
@@ -174,7 +175,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     if cfg.report_dir:
         W.save_report(results, cfg.report_dir, cfg.run_id, cfg.run_ts)
     res.gate = REP.gate(results).first().asDict()
-    if not res.gate["passed"]:
+    if not res.gate["passed"] and cfg.stop_on_error:
         raise QualityGateError(f"run {cfg.run_id}: {res.gate['failing']} failing checks, nothing is exported")
 
     _step(spark, f"{cfg.run_id}: exports")
