@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strata.operators import marts as M
 from strata.operators import scd2
 from strata.operators import staging as S
+from strata.session import materialize
 from strata.sources import tpch
 
 
@@ -70,6 +71,22 @@ def customer_profile(spark: SparkSession, sf: str) -> DataFrame:
     return M.customer_profile(account_summary(spark, sf), stg)
 
 
+def chain(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """All layers for queries that look at several of them: each is computed
+    once, and those that feed others are written out."""
+    t = {"src_customer": src_customer(spark, sf), "src_account": src_account(spark, sf)}
+    stg_c, t["quarantine_stg_customer"] = staged_customers(spark, sf)
+    stg_a, t["quarantine_stg_account"] = staged_accounts(spark, sf)
+    t["stg_customer"], t["stg_account"] = materialize(stg_c), materialize(stg_a)
+    hist_c = scd2.first_load(t["stg_customer"], ["customer_id"], "timestamp", LOAD(), updated_at="loaded_at")
+    hist_a = scd2.first_load(t["stg_account"], ["account_id"], "check", LOAD())
+    t["int_account_with_customer"] = materialize(M.account_with_customer(hist_a, hist_c))
+    t["int_savings_account_only"] = M.savings_only(t["int_account_with_customer"])
+    t["account_summary"] = materialize(M.account_summary(t["int_savings_account_only"], RUN()))
+    t["customer_profile"] = M.customer_profile(t["account_summary"], t["stg_customer"])
+    return t
+
+
 # --- marts with seeded defects -------------------------------------------------
 # Fixed defects by key, valid in both engines: inputs on which every check of
 # the marts finds rows.

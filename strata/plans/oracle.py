@@ -488,3 +488,30 @@ SQL["pipeline_incremental_profile"] = with_base(f"""SELECT t.customer_id, c.cust
                max(CASE WHEN CAST(account_id AS BIGINT) % 10 = 3 THEN {RUN} ELSE {LOAD} END) AS calculated_at
         FROM summ GROUP BY customer_id) t
   LEFT JOIN stg_customer c ON t.customer_id = c.customer_id""", {"raw_accounts": _RAW_ACCOUNTS_V2})
+
+# --- further operators -----------------------------------------------------------
+SQL["in_subquery"] = "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
+SQL["not_in_subquery"] = "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
+SQL["distinct_attributes"] = "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer"
+SQL["latest_per_key"] = "SELECT user_id, arg_max(event_type, event_id) AS latest FROM events GROUP BY user_id"
+SQL["preview_rows"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 7"
+SQL["sample_violations"] = "SELECT p_partkey, p_size FROM part WHERE p_size < 1 OR p_size > 45 ORDER BY p_partkey LIMIT 10"
+SQL["quality_issues"] = with_base("""SELECT table_name, test_name, severity, violations, status,
+    CASE WHEN status = 'fail' THEN violations || ' violating rows; at most ' || error_if || ' allowed'
+         ELSE violations || ' violating rows; warning above ' || warn_if END AS message
+  FROM results JOIN (SELECT test_name, any_value(warn_if) AS warn_if, any_value(error_if) AS error_if FROM results0 GROUP BY 1)
+    USING (test_name) WHERE status <> 'pass'""", RESULTS_CTES)
+SQL["quality_overall"] = with_base("""SELECT count(*) AS total, count(*) FILTER (WHERE status = 'pass') AS passed,
+    count(*) FILTER (WHERE status = 'fail') AS failed, count(*) FILTER (WHERE status = 'warn') AS warned,
+    count(*) FILTER (WHERE status = 'skip') AS skipped, count(*) FILTER (WHERE status = 'error') AS errored,
+    CAST(coalesce(round(count(*) FILTER (WHERE status = 'pass') * 100.0 / nullif(count(*), 0), 2), 0.0) AS DECIMAL(5,2)) AS pass_rate
+  FROM results""", RESULTS_CTES)
+SQL["report_roundtrip"] = with_base(
+    "SELECT test_name, severity, violations, 'run-10' AS run_id FROM results WHERE table_name = 'lineitem'", RESULTS_CTES)
+SQL["incremental_first_run"] = f"SELECT account_id, CAST(updated_at AS TIMESTAMP) AS updated_at FROM ({tpch.sql_select(tpch.ACCOUNT_EVENT_EXPRS, 'orders')})"
+SQL["scd2_reinsert"] = f"""SELECT c_custkey, c_mktsegment, {T1} AS dbt_valid_from,
+    CASE WHEN c_custkey % 5 = 0 THEN {T2} END AS dbt_valid_to FROM customer
+  UNION ALL SELECT c_custkey, c_mktsegment, {CHECK_NOW}, CAST(NULL AS TIMESTAMP) FROM customer WHERE c_custkey % 5 = 0"""
+SQL["padded_and_proper_names"] = """SELECT 'S-' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS supplier_key,
+    array_to_string(list_transform(string_split(trim(s_name), ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS supplier_name FROM supplier"""
+SQL["stream_without_repeats"] = "SELECT event_id, user_id, ts FROM events"

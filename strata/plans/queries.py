@@ -4,6 +4,7 @@ operator family of the inventory.  Each reads the whole driver tables."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -355,18 +356,10 @@ def dq_accepted_range(spark, sf):
 
 def quality_suite(spark, sf) -> DQ.Suite:
     """The suite over the pipeline's layers (names carry the layer)."""
-    # Staging layers are row-local filters of the published source layer:
-    # cheaper to re-scan than to copy.  The join product (account summary)
-    # feeds six checks and the profile, so it is written once.
-    stg_c, _ = L.staged_customers(spark, sf)
-    stg_a, q_a = L.staged_accounts(spark, sf)
-    awc = L.account_with_customer(spark, sf)
-    summ = materialize(L.account_summary(spark, sf))
-    prof = M.customer_profile(summ, stg_c)
-    frames = {"stg_customer": stg_c, "stg_account": stg_a, "quarantine_stg_account": q_a,
-              "int_account_with_customer": awc, "account_summary": summ, "customer_profile": prof,
-              "src_customer": L.src_customer(spark, sf), "snap_user": L.event_intervals(spark, sf),
-              "lineitem": tpch.table(spark, sf, "lineitem"), "customer": tpch.table(spark, sf, "customer")}
+    frames = L.chain(spark, sf) | {"snap_user": L.event_intervals(spark, sf), "lineitem": tpch.table(spark, sf, "lineitem"),
+                                   "customer": tpch.table(spark, sf, "customer")}
+    stg_c, stg_a, awc = frames["stg_customer"], frames["stg_account"], frames["int_account_with_customer"]
+    summ, prof = frames["account_summary"], frames["customer_profile"]
     s = DQ.Suite(frames)
     for c in ("customer_id", "customer_name", "has_loan_flag", "loaded_at"):
         s.add(DQ.Check("stg_customer", f"not_null_stg_customer_{c}", condition=DQ.cond_not_null(c), column=c))
@@ -384,13 +377,13 @@ def quality_suite(spark, sf) -> DQ.Suite:
         DQ.Check("int_account_with_customer", "relationships_int_account_customer_id", column="customer_id",
                  violations=lambda: DQ.relationships(awc, "customer_id", stg_c, "customer_id")),
         DQ.Check("int_account_with_customer", "int_account_balance_positive", column="balance_amount",
-                 violations=lambda: DQ.non_positive_balance(awc)),
+                 condition=F.coalesce(F.col("balance_amount") <= 0, F.lit(False))),
         DQ.Check("account_summary", "positive_value_account_summary_original_balance_amount",
                  column="original_balance_amount", condition=DQ.cond_not_positive("original_balance_amount")),
         DQ.Check("account_summary", "expression_is_true_account_summary_interest", column="annual_interest_amount",
                  condition=DQ.cond_not_true("annual_interest_amount >= 0")),
         DQ.Check("account_summary", "interest_rate_range", column="interest_rate_pct",
-                 violations=lambda: DQ.rate_range(summ)),
+                 condition=DQ.cond_out_of_range("interest_rate_pct", Decimal("0.01"), Decimal("0.025"))),
         DQ.Check("account_summary", "interest_calculation", violations=lambda: DQ.recompute(summ)),
         DQ.Check("customer_profile", "unique_customer_profile_customer_id", column="customer_id",
                  violations=lambda: DQ.unique(prof, ["customer_id"])),
@@ -417,20 +410,24 @@ def dq_threshold(spark, sf):
     """DQ-20/21: a check with ``warn_if`` / ``error_if`` thresholds: the
     duplicate (order, line) keys of lineitem warn but stay under the error
     threshold."""
+    return dq_threshold_results(spark, sf).select("test_name", "severity", "violations", "status")
+
+
+def dq_threshold_results(spark, sf):
     li = tpch.table(spark, sf, "lineitem")
     s = DQ.Suite({"lineitem": li}).add(
         DQ.Check("lineitem", "unique_lineitem_order_line", severity="error", warn_if=0, error_if=100000000,
                  violations=lambda: DQ.unique(li, ["l_orderkey", "l_linenumber"])))
-    return s.results("run-1").select("test_name", "severity", "violations", "status")
+    return s.results("run-10")
 
 
 @register("dq_freshness")
 def dq_freshness(spark, sf):
     now = L.ts(L.CHECK_NOW)
-    layers = [("src_account", L.src_account(spark, sf), "loaded_at", 24),
-              ("stg_account", L.staged_accounts(spark, sf)[0], "loaded_at", 24),
-              ("int_account_with_customer", L.account_with_customer(spark, sf), "valid_from_at", 25),
-              ("account_summary", L.account_summary(spark, sf), "calculated_at", 26)]
+    t = L.chain(spark, sf)
+    layers = [("src_account", t["src_account"], "loaded_at", 24), ("stg_account", t["stg_account"], "loaded_at", 24),
+              ("int_account_with_customer", t["int_account_with_customer"], "valid_from_at", 25),
+              ("account_summary", t["account_summary"], "calculated_at", 26)]
     out = None
     for name, df, col, hours in layers:
         r = DQ.recency(df, col, now, hours).select(F.lit(name).alias("table_name"), "*")
@@ -487,15 +484,11 @@ def export_roundtrip(spark, sf):
 @register("layer_counts")
 def layer_counts(spark, sf):
     """QRY-7: row count per layer, one aggregate per layer in one union."""
-    stg_c, q_c = L.staged_customers(spark, sf)
-    stg_a, q_a = L.staged_accounts(spark, sf)
-    layers = [("source", "src_customer", L.src_customer(spark, sf)), ("source", "src_account", L.src_account(spark, sf)),
-              ("staging", "stg_customer", stg_c), ("staging", "quarantine_stg_customer", q_c),
-              ("staging", "stg_account", stg_a), ("staging", "quarantine_stg_account", q_a),
-              ("intermediate", "int_account_with_customer", L.account_with_customer(spark, sf)),
-              ("intermediate", "int_savings_account_only", L.savings(spark, sf)),
-              ("marts", "account_summary", L.account_summary(spark, sf)),
-              ("marts", "customer_profile", L.customer_profile(spark, sf))]
+    t = L.chain(spark, sf)
+    layers = [(layer, name, t[name]) for layer, name in (
+        ("source", "src_customer"), ("source", "src_account"), ("staging", "stg_customer"), ("staging", "quarantine_stg_customer"),
+        ("staging", "stg_account"), ("staging", "quarantine_stg_account"), ("intermediate", "int_account_with_customer"),
+        ("intermediate", "int_savings_account_only"), ("marts", "account_summary"), ("marts", "customer_profile"))]
     out = None
     for layer, name, df in layers:
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -556,3 +549,117 @@ def pipeline_incremental_profile(spark, sf):
                                  warehouse=f"{root}/wh", run_id=run_id, run_ts=dt.datetime.fromisoformat(ts),
                                  id_type=tpch.ID_TYPE, stop_on_error=False))  # the inputs hold zero balances
     return TableStore(spark, f"{root}/wh").read("customer_profile")
+
+
+# --- further operators, each on whole tables ------------------------------------
+
+@register("in_subquery")
+def in_subquery(spark, sf):
+    """FLT-9: orders of customers in debt."""
+    debt = tpch.table(spark, sf, "customer").filter("c_acctbal < 0")
+    return M.in_subquery(tpch.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", debt, "c_custkey")
+
+
+@register("not_in_subquery")
+def not_in_subquery(spark, sf):
+    """FLT-8: orders of customers not in debt."""
+    debt = tpch.table(spark, sf, "customer").filter("c_acctbal < 0")
+    return M.not_in_subquery(tpch.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", debt, "c_custkey")
+
+
+@register("distinct_attributes")
+def distinct_attributes(spark, sf):
+    """AGG-2."""
+    return M.distinct_attributes(tpch.table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"])
+
+
+@register("latest_per_key")
+def latest_per_key(spark, sf):
+    """AGG-10: each user's latest event by an ordering column."""
+    return M.latest_per_key(tpch.table(spark, sf, "events"), "user_id", "event_id", "event_type")
+
+
+@register("preview_rows")
+def preview_rows(spark, sf):
+    """SRT-3: the first rows in a total order."""
+    return M.preview(tpch.table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy("o_orderkey"), 7)
+
+
+@register("sample_violations")
+def sample_violations(spark, sf):
+    """SRT-4: the first failing rows of a check in a total order."""
+    bad = DQ.accepted_range(tpch.table(spark, sf, "part").select("p_partkey", "p_size"), "p_size", 1, 45)
+    return DQ.sample_violations(bad.orderBy("p_partkey"), 10)
+
+
+@register("quality_issues")
+def quality_issues(spark, sf):
+    """REP-6: results that did not pass."""
+    return REP.issues(quality_results(spark, sf)).select("table_name", "test_name", "severity", "violations", "status", "message")
+
+
+@register("quality_overall")
+def quality_overall(spark, sf):
+    """REP-3/7: the overall line."""
+    return REP.overall(quality_results(spark, sf))
+
+
+@register("report_roundtrip")
+def report_roundtrip(spark, sf):
+    """SNK-6, REP-1: two reports are stored as JSON, the later run (whose id
+    sorts first as text) is found and read back."""
+    import datetime as dt
+    root = _scratch(spark, "reports")
+    results = dq_threshold_results(spark, sf)
+    W.save_report(results.withColumn("violations", F.lit(0).cast("long")), root, "run-9", dt.datetime(2024, 2, 1))
+    W.save_report(results, root, "run-10", dt.datetime(2024, 2, 2))
+    return W.latest_report(spark, root).select("test_name", "severity", F.col("violations").cast("long").alias("violations"), "run_id")
+
+
+@register("incremental_first_run")
+def incremental_first_run(spark, sf):
+    """INC-6: without a target, and with an empty one, the watermark falls
+    back and every row is new."""
+    source = L.account_changes_v1(spark, sf)
+    empty = source.filter(F.lit(False))
+    marks = {INC.watermark(None, "updated_at"), INC.watermark(empty, "updated_at")}
+    return INC.since(source, "updated_at", max(marks)).select("account_id", "updated_at")
+
+
+@register("scd2_reinsert")
+def scd2_reinsert(spark, sf):
+    """SCD-5/9: customers deleted in the second run and back in the third, on
+    the history store."""
+    from strata.operators import scd2
+    from strata.plans.publish import HistoryStore, TableStore
+    hs = HistoryStore(TableStore(spark, _scratch(spark, "reinsert")), "snap")
+    cust = tpch.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    for run, (t, frame) in enumerate(((L.T1, cust), (L.T2, cust.filter("c_custkey % 5 <> 0")), (L.CHECK_NOW, cust))):
+        hs.commit(scd2.snapshot(hs.open_versions(), frame, ["c_custkey"], "check", L.ts(t), check_cols=["c_mktsegment"]), f"r{run}")
+    return hs.read().select("c_custkey", "c_mktsegment", "dbt_valid_from", "dbt_valid_to")
+
+
+@register("padded_and_proper_names")
+def padded_and_proper_names(spark, sf):
+    """PRJ-22, PRJ-24."""
+    return tpch.table(spark, sf, "supplier").select(
+        C.padded_key("S-", "s_suppkey", 9).alias("supplier_key"), C.proper_name("s_name").alias("supplier_name"))
+
+
+@register("stream_without_repeats")
+def stream_without_repeats(spark, sf):
+    """STR-3: events delivered twice; repeats within the watermark go."""
+    from strata.plans.publish import TableStore
+    from strata.streaming import ingest as STR
+    root = _scratch(spark, "lateness")
+    events = tpch.table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    events.union(events).repartition(3).write.parquet(f"{root}/landing")
+    src = STR.stream_ingest(spark, f"{root}/landing", events.schema, fmt="parquet")
+    store = TableStore(spark, f"{root}/tables")
+
+    def keep(batch, batch_id):
+        seen = store.read("events").unionByName(batch) if store.exists("events") else batch
+        store.publish("events", seen, f"batch/{batch_id}")
+
+    STR.run_available(STR.with_lateness(src, "ts", "3650 days", ["event_id"]), keep, root.rsplit("/", 1)[-1])
+    return store.read("events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
