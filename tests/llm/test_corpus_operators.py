@@ -297,3 +297,11 @@ def test_pair_permutation_is_one_to_one(spark):
     df = spark.range(7 * 11).select(pseudonyms.permute_pair(F.lit("k"), "test", F.floor(F.col("id") / 11), F.col("id") % 11, 7, 11).alias("p"))
     got = {(r.p.l, r.p.r) for r in df.collect()}
     assert got == set(itertools.product(range(7), range(11)))
+
+
+@pytest.mark.parametrize("name", ["op5_pseudonyms", "op9_decontamination", "op10_imatch"])
+def test_native_operators_run_no_python(spark, sf, name):
+    from strata.llm.queries import REGISTRY
+
+    plan = REGISTRY[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
