@@ -112,3 +112,22 @@ CONTRACTS = {
            ("total_annual_interest_amount", MONEY_SUM, True), ("calculated_at", TS, True)),
         not_null=("customer_id",), unique=("customer_id",)),
 }
+SCD = (("dbt_scd_id", S, False), ("dbt_updated_at", TS, False), ("dbt_valid_from", TS, False), ("dbt_valid_to", TS, True))
+_RAW = {"customer": ("customer_id", "name", "has_loan"), "account": ("account_id", "customer_id", "balance", "account_type")}
+for _t, _cols in _RAW.items():
+    _raw = [(c, S, True) for c in _cols] + [("loaded_at", TS, False), ("malformed_record", S, True)]
+    CONTRACTS[f"src_{_t}"] = Contract(f"src_{_t}", _s(*_raw))
+    CONTRACTS[f"quarantine_stg_{_t}"] = Contract(f"quarantine_stg_{_t}", _s(*_raw, ("failure_reason", S, False), ("quarantined_at", TS, False)))
+    _stg = CONTRACTS[f"stg_{_t}"].schema.fields
+    CONTRACTS[f"snap_{_t}"] = Contract(f"snap_{_t}", _s(*((f.name, f.dataType, f.nullable) for f in _stg), *SCD), unique=("dbt_scd_id",))
+
+
+def contracts(id_type: str = "int") -> dict[str, Contract]:
+    """The declared contracts with customer ids of the given type; every
+    column declared without NULLs is a not-null constraint."""
+    def typed(f: T.StructField) -> T.StructField:
+        is_id = f.name == "customer_id" and isinstance(f.dataType, T.IntegerType)
+        return T.StructField(f.name, T.LongType() if is_id and id_type == "bigint" else f.dataType, f.nullable)
+
+    return {n: Contract(n, T.StructType([typed(f) for f in c.schema.fields]),
+                        tuple(f.name for f in c.schema.fields if not f.nullable), c.unique) for n, c in CONTRACTS.items()}

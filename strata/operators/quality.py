@@ -174,6 +174,13 @@ def _misses(key: str, values: dict[str, tuple[Column, Column]], tol: str) -> Col
     return F.inline(F.filter(rows, off))
 
 
+def stale(col: str, now: Column, max_age_hours: int) -> Column:
+    """DQ-10 as a fusable aggregate: 1 if the latest value is too old or
+    there is none."""
+    late = F.max(col).cast("timestamp") < now - F.make_interval(hours=F.lit(max_age_hours))
+    return F.when(F.coalesce(late, F.lit(True)), F.lit(1)).otherwise(F.lit(0))
+
+
 def rate_range(summary: DataFrame, lo: str = "0.01", hi: str = "0.025") -> DataFrame:
     """DQ-13."""
     r = F.col("interest_rate_pct")
@@ -233,6 +240,7 @@ class Check:
     test: str
     violations: Callable[[], DataFrame] | None = None  # frame of violating rows
     condition: Column | None = None                     # fusable row condition
+    measure: Column | None = None                       # fusable aggregate: the number of violations
     column: str | None = None
     severity: str = "error"
     warn_if: int = 0
@@ -257,13 +265,14 @@ class Suite:
         parts: list[DataFrame] = []
         fused: dict[str, list[Check]] = {}
         for ch in self.checks:
-            if ch.condition is not None:
+            if ch.condition is not None or ch.measure is not None:
                 fused.setdefault(ch.table, []).append(ch)
             else:
                 parts.append(ch.violations().agg(F.count(F.lit(1)).alias("violations"))
                              .select(*_meta_cols(ch), "violations"))
         for table, chs in fused.items():
-            counts = self.frames[table].agg(*[F.count_if(ch.condition).alias(f"c{i}") for i, ch in enumerate(chs)])
+            counts = self.frames[table].agg(*[(ch.measure if ch.measure is not None else F.count_if(ch.condition)).cast("long").alias(f"c{i}")
+                                                   for i, ch in enumerate(chs)])
             rows = ", ".join(f"{_sql_lit(ch.test)}, {_sql_lit(ch.table)}, {_sql_lit(ch.column)}, "
                              f"{_sql_lit(ch.severity)}, {int(ch.warn_if)}, {int(ch.error_if)}, c{i}"
                              for i, ch in enumerate(chs))

@@ -20,11 +20,13 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
+from strata.operators import contracts as K
 from strata.operators import incremental as INC
 from strata.operators import marts as M
 from strata.operators import quality as DQ
@@ -78,6 +80,12 @@ def _step(spark: SparkSession, what: str) -> None:
 
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     store = TableStore(spark, cfg.warehouse)
+    declared = K.contracts(cfg.id_type)
+
+    def put(name: str, df: DataFrame) -> None:
+        """Publish a table that has its declared columns and types."""
+        store.publish(name, declared[name].enforce(df, constraints=False), cfg.run_id, cfg.run_ts)
+
     ts = F.lit(cfg.run_ts).cast("timestamp")
     res = RunResult()
     # The profile is the last mart a run publishes: if an earlier run
@@ -92,8 +100,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     _step(spark, f"{cfg.run_id}: ingest")
     raw_c = files.read_customers(spark, cfg.customers_path)
     raw_a = files.read_accounts(spark, cfg.accounts_path)
-    store.publish("src_customer", S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts), cfg.run_id, cfg.run_ts)
-    store.publish("src_account", S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts), cfg.run_id, cfg.run_ts)
+    put("src_customer", S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts))
+    put("src_account", S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts))
 
     # staging + quarantine: one validation pass per table
     _step(spark, f"{cfg.run_id}: staging")
@@ -101,7 +109,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     stg_a, q_a = S.stage_accounts(store.read("src_account"), ts, cfg.id_type)
     for name, df in (("stg_customer", stg_c), ("quarantine_stg_customer", q_c),
                      ("stg_account", stg_a), ("quarantine_stg_account", q_a)):
-        store.publish(name, df, cfg.run_id)
+        put(name, df)
     stg_c, stg_a = store.read("stg_customer"), store.read("stg_account")
     _step(spark, f"{cfg.run_id}: unique keys")
     scd2.require_unique(stg_c, ["customer_id"], "stg_customer")
@@ -124,13 +132,13 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     _step(spark, f"{cfg.run_id}: intermediate+marts")
     if not incremental:
         awc = M.account_with_customer(open_a, open_c)
-        store.publish("int_account_with_customer", awc, cfg.run_id)
+        put("int_account_with_customer", awc)
         sav = M.savings_only(store.read("int_account_with_customer"))
-        store.publish("int_savings_account_only", sav, cfg.run_id)
+        put("int_savings_account_only", sav)
         summ = M.account_summary(store.read("int_savings_account_only"), ts)
-        store.publish("account_summary", summ, cfg.run_id)
+        put("account_summary", summ)
         prof = M.customer_profile(store.read("account_summary"), open_c)
-        store.publish("customer_profile", prof, cfg.run_id)
+        put("customer_profile", prof)
     else:
         # keys touched this run (the run's closed partition + versions opened
         # at run_ts), materialized once: small next to the tables
@@ -153,7 +161,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
             prev = prev_awc if name == "int_account_with_customer" else store.read_before(name, cfg.run_id)
             if name == "account_summary":
                 prev_summ = prev
-            store.publish(name, INC.replace_keys(prev, fresh, affected, "account_id"), cfg.run_id)
+            put(name, INC.replace_keys(prev, fresh, affected, "account_id"))
         summ = store.read("account_summary")
 
         # customers whose totals may change: owners of affected accounts
@@ -167,11 +175,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
         attrs = open_c.join(cust, "customer_id", "left_semi")
         prof = INC.refresh_keys(prev_prof, summ, cust, "customer_id",
                                 lambda d: M.customer_profile(d, attrs))
-        store.publish("customer_profile", prof, cfg.run_id)
+        put("customer_profile", prof)
 
     # quality suite, report, gate
     _step(spark, f"{cfg.run_id}: quality")
-    results = materialize(quality_results(store, cfg.run_id, cfg.run_ts))
+    results = materialize(quality_results(store, cfg.run_id, cfg.run_ts, cfg.id_type))
     if cfg.report_dir:
         W.save_report(results, cfg.report_dir, cfg.run_id, cfg.run_ts)
     res.gate = REP.gate(results).first().asDict()
@@ -210,49 +218,60 @@ def layer_counts(store: TableStore, snap_c: HistoryStore, snap_a: HistoryStore)
     return out
 
 
-def quality_results(store: TableStore, run_id: str, run_ts: dt.datetime) -> DataFrame:
-    """The pipeline's declared tests over the published layers."""
-    t = {n: store.read(n) for n in ("stg_customer", "stg_account", "int_account_with_customer",
-                                     "int_savings_account_only", "account_summary", "customer_profile")}
-    snaps = {n: HistoryStore(store, n).read() for n in ("snap_customer", "snap_account")}
-    frames = {**t, **snaps}
-    s = DQ.Suite(frames)
-    for c in ("customer_id", "customer_name", "has_loan_flag", "loaded_at"):
-        s.add(DQ.Check("stg_customer", f"not_null_stg_customer_{c}", condition=DQ.cond_not_null(c), column=c))
-    for c in ("account_id", "customer_id", "balance_amount", "account_type", "loaded_at"):
-        s.add(DQ.Check("stg_account", f"not_null_stg_account_{c}", condition=DQ.cond_not_null(c), column=c))
+# The latest time a layer must carry, and its age limit in hours.
+RECENCY = (("src_customer", "loaded_at", 24), ("src_account", "loaded_at", 24), ("stg_customer", "loaded_at", 24),
+           ("stg_account", "loaded_at", 24), ("snap_customer", "loaded_at", 25), ("snap_account", "loaded_at", 25),
+           ("account_summary", "calculated_at", 26), ("customer_profile", "calculated_at", 26))
+
+
+def quality_results(store: TableStore, run_id: str, run_ts: dt.datetime, id_type: str = "int") -> DataFrame:
+    """The pipeline's declared tests over the published layers: what the
+    contracts say, and the rules of the marts.  Row conditions and recency of
+    a table share one scan."""
+    t = {n: store.read(n) for n in LAYER_TABLES} | {n: HistoryStore(store, n).read() for n in ("snap_customer", "snap_account")}
     now = F.lit(run_ts).cast("timestamp")
+    s = DQ.Suite(t)
+    for name, contract in K.contracts(id_type).items():
+        for c in contract.not_null:
+            s.add(DQ.Check(name, f"not_null_{name}_{c}", condition=DQ.cond_not_null(c), column=c))
+        if contract.unique:
+            keys = list(contract.unique)
+            s.add(DQ.Check(name, f"unique_{name}_{'_'.join(keys)}", column=keys[0], violations=lambda n=name, k=keys: DQ.unique(t[n], k)))
+    for name, col, hours in RECENCY:
+        s.add(DQ.Check(name, f"recency_{name}_{col}", column=col, severity="warn", measure=DQ.stale(col, now, hours)))
+    for name, test, rule in (
+            ("account_summary", "interest_not_negative", "annual_interest_amount >= 0"),
+            ("account_summary", "new_balance_not_less", "new_balance_amount >= original_balance_amount"),
+            ("customer_profile", "has_accounts", "total_accounts_count > 0"),
+            ("customer_profile", "interest_not_negative", "total_annual_interest_amount >= 0"),
+            ("snap_customer", "ends_after_start", "dbt_valid_to IS NULL OR dbt_valid_to > dbt_valid_from"),
+            ("snap_account", "ends_after_start", "dbt_valid_to IS NULL OR dbt_valid_to > dbt_valid_from")):
+        s.add(DQ.Check(name, f"expression_{name}_{test}", condition=DQ.cond_not_true(rule)))
+    for name, col, severity in (("account_summary", "original_balance_amount", "error"),
+                                ("int_savings_account_only", "balance_amount", "warn"), ("customer_profile", "total_balance_amount", "warn")):
+        s.add(DQ.Check(name, f"positive_value_{name}_{col}", column=col, severity=severity, condition=DQ.cond_not_positive(col)))
+    rates = [Decimal(r) for r in ("0.0100", "0.0150", "0.0200", "0.0250")]
     s.add(
         DQ.Check("stg_account", "accepted_values_stg_account_account_type", column="account_type",
                  condition=DQ.cond_not_accepted("account_type", C.ACCOUNT_TYPES)),
-        DQ.Check("stg_customer", "unique_stg_customer_customer_id",
-                 violations=lambda: DQ.unique(t["stg_customer"], ["customer_id"])),
-        DQ.Check("stg_account", "unique_stg_account_account_id",
-                 violations=lambda: DQ.unique(t["stg_account"], ["account_id"])),
-        DQ.Check("int_account_with_customer", "relationships_int_account_customer_id",
-                 violations=lambda: DQ.relationships(t["int_account_with_customer"], "customer_id",
-                                                     t["stg_customer"], "customer_id")),
-        DQ.Check("int_account_with_customer", "int_account_balance_positive", severity="warn",
-                 violations=lambda: DQ.non_positive_balance(t["int_account_with_customer"])),
+        DQ.Check("account_summary", "accepted_values_account_summary_interest_rate_pct", column="interest_rate_pct",
+                 condition=DQ.cond_not_accepted("interest_rate_pct", rates)),
+        DQ.Check("account_summary", "interest_rate_range", column="interest_rate_pct",
+                 condition=DQ.cond_out_of_range("interest_rate_pct", Decimal("0.01"), Decimal("0.025"))),
+        DQ.Check("int_account_with_customer", "int_account_balance_positive", column="balance_amount", severity="warn",
+                 condition=F.coalesce(F.col("balance_amount") <= 0, F.lit(False))),
+        DQ.Check("int_account_with_customer", "relationships_int_account_customer_id", column="customer_id",
+                 violations=lambda: DQ.relationships(t["int_account_with_customer"], "customer_id", t["stg_customer"], "customer_id")),
+        DQ.Check("account_summary", "relationships_account_summary_customer_id", column="customer_id",
+                 violations=lambda: DQ.relationships(t["account_summary"], "customer_id", t["customer_profile"], "customer_id")),
         DQ.Check("int_savings_account_only", "int_savings_type",
                  violations=lambda: DQ.savings_missing(t["int_account_with_customer"], t["int_savings_account_only"])),
-        DQ.Check("account_summary", "positive_value_original_balance_amount",
-                 condition=DQ.cond_not_positive("original_balance_amount")),
-        DQ.Check("account_summary", "interest_rate_range", violations=lambda: DQ.rate_range(t["account_summary"])),
         DQ.Check("account_summary", "interest_calculation", violations=lambda: DQ.recompute(t["account_summary"])),
-        DQ.Check("customer_profile", "unique_customer_profile_customer_id",
-                 violations=lambda: DQ.unique(t["customer_profile"], ["customer_id"])),
         DQ.Check("customer_profile", "customer_profile_aggregation",
                  violations=lambda: DQ.reconcile(t["customer_profile"], t["account_summary"])),
-        DQ.Check("snap_customer", "scd2_no_overlap_snap_customer",
-                 violations=lambda: DQ.scd2_overlap(snaps["snap_customer"], ["customer_id"], SEGMENT_SECONDS)),
-        DQ.Check("snap_account", "scd2_no_overlap_snap_account",
-                 violations=lambda: DQ.scd2_overlap(snaps["snap_account"], ["account_id"], SEGMENT_SECONDS)),
-        DQ.Check("snap_customer", "current_records_snap_customer",
-                 violations=lambda: DQ.interval_order(snaps["snap_customer"], now)),
-        DQ.Check("snap_account", "current_records_snap_account",
-                 violations=lambda: DQ.interval_order(snaps["snap_account"], now)),
-        DQ.Check("snap_account", "one_open_version_snap_account",
-                 violations=lambda: DQ.open_versions(snaps["snap_account"], ["account_id"])),
     )
+    for name, key in (("snap_customer", "customer_id"), ("snap_account", "account_id")):
+        s.add(DQ.Check(name, f"scd2_no_overlap_{name}", violations=lambda n=name, k=key: DQ.scd2_overlap(t[n], [k], SEGMENT_SECONDS)),
+              DQ.Check(name, f"one_open_version_{name}", violations=lambda n=name, k=key: DQ.open_versions(t[n], [k])),
+              DQ.Check(name, f"starts_in_the_past_{name}", condition=F.col("dbt_valid_from") > now))
     return s.results(run_id)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,7 +101,7 @@ def test_csv_keeps_blanks(spark, tmp):
 
 
 def test_gate_stops_exports(spark, tmp, monkeypatch):
-    monkeypatch.setattr(P, "quality_results", lambda store, run_id, ts: spark.createDataFrame(
+    monkeypatch.setattr(P, "quality_results", lambda store, run_id, ts, id_type: spark.createDataFrame(
         [(run_id, "account_summary", "marts", "t", None, "error", 2, "fail", "2 violating rows")],
         "run_id string, table_name string, layer string, test_name string, column_name string, severity string, "
         "violations long, status string, message string"))
@@ -114,7 +115,7 @@ def test_gate_stops_exports(spark, tmp, monkeypatch):
 def test_stream_goes_on_in_a_second_call(spark, tmp):
     schema = "k string, v string, ts string"
     land, store = f"{tmp}/landing", TableStore(spark, f"{tmp}/wh")
-    sink = STR.KeyedStateSink(store, "state", ["k"], ["ts"], ["v"], stream=f"s-{os.path.basename(tmp)}")
+    sink = STR.KeyedStateSink(store, "state", ["k"], ["ts"], ["v"], stream=f"s-{uuid.uuid4().hex}")
     for name, line in (("a.csv", "1,a,2024-01-01"), ("b.csv", "2,b,2024-01-02")):
         FX.write(land, name, f"k,v,ts\n{line}\n")
         STR.run_available(STR.stream_ingest(spark, land, spark.createDataFrame([], schema).schema), sink)
