@@ -24,7 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules["strata.llm"])
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

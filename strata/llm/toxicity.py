@@ -35,6 +35,7 @@ MAX_TRAIN_ROWS = 20_000
 SHARDS = 4
 ROUNDS = 4
 RANGES = 16
+TRAIN_BYTES = 1 << 19  # bytes of text whose features are held at a time
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.5, 0.0
 EMPTY_PRIOR = 0.2
 THRESHOLD = 0.3
@@ -92,6 +93,14 @@ def learn(texts: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray) ->
         n[bias] = grown
 
 
+STATE = "part int, z binary, n binary"
+
+
+def state_table(z: list[bytes], n: list[bytes], parts) -> pa.Table:
+    """Accumulators of ranges of coordinates."""
+    return pa.table([pa.array(parts, pa.int32()), pa.array(z, pa.binary()), pa.array(n, pa.binary())], names=["part", "z", "n"])
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN_ROWS) -> DataFrame:
     """(shard, place, text, y) of the bounded training sample."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -113,37 +122,31 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN_ROWS, bits:
     rows = materialize(training_rows(docs, labels, limit))
     size = (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
-    state = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("z", T.BinaryType()), T.StructField("n", T.BinaryType())])
     cuts = [round(i * size / RANGES) for i in range(RANGES + 1)]
 
     for _ in range(rounds):
         given = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
 
-        def shard(pdf):  # noqa: B023  the round's job ends before the next begins
-            import pandas as pd
-
+        def shard(table: pa.Table) -> pa.Table:  # noqa: B023  the round's job ends before the next begins
             z, n = (a.astype(np.float64) for a in given.value)  # noqa: B023
-            hasher, texts = WordHash(), []
-            pdf = pdf.sort_values(["place", "y", "text"], kind="stable", na_position="first")
-            for batch in pa.Table.from_pandas(pdf[["text", "y"]], schema=pa.schema([("text", pa.string()), ("y", pa.int32())]), preserve_index=False).to_batches():
-                for part, raw, off in slices(batch):
+            hasher = WordHash()
+            ordered = table.sort_by([(c, "ascending") for c in ("place", "y", "text")]).select(["text", "y"]).combine_chunks()
+            for batch in ordered.to_batches():
+                for part, raw, off in slices(batch, limit=TRAIN_BYTES):
                     doc, at = coordinates(raw, off, hasher, bits)
                     both = np.unique((doc << bits) | at)
                     ends = np.searchsorted(both, np.arange(len(off)) << bits)
-                    for d, y in enumerate(part.column(1).to_pylist()):
-                        texts.append((both[ends[d]:ends[d + 1]] & ((1 << bits) - 1), y))
-            learn(texts, z, n)
+                    both &= (1 << bits) - 1
+                    learn([(both[ends[d]:ends[d + 1]], y) for d, y in enumerate(part.column(1).to_pylist())], z, n)
             z, n = z.astype(np.float32), n.astype(np.float32)
-            return pd.DataFrame({"part": range(RANGES), "z": [z[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],  # noqa: B905
-                                 "n": [n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]})  # noqa: B905
-
-        def mean(pdf):
-            import pandas as pd
+            return state_table([z[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)],
+                               [n[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], range(RANGES))
 
-            avg = lambda col: np.mean([np.frombuffer(x, np.float32) for x in col], axis=0, dtype=np.float64).astype(np.float32).tobytes()
-            return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "z": [avg(pdf["z"])], "n": [avg(pdf["n"])]})
+        def mean(table: pa.Table) -> pa.Table:
+            avg = lambda c: np.mean([np.frombuffer(x, np.float32) for x in table[c].to_pylist()], axis=0, dtype=np.float64)
+            return state_table([avg("z").astype(np.float32).tobytes()], [avg("n").astype(np.float32).tobytes()], [table["part"][0].as_py()])
 
-        merged = rows.groupBy("shard").applyInPandas(shard, state).groupBy("part").applyInPandas(mean, state)
+        merged = rows.groupBy("shard").applyInArrow(shard, STATE).groupBy("part").applyInArrow(mean, STATE)
         parts = {r.part: r for r in merged.collect()}  # 2**bits coordinates, whatever the input
         given.unpersist()
         if not parts:
