@@ -164,22 +164,23 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     (replacing one of that name)."""
     spark = docs.sparkSession
     docs = docs.drop(column)
-    shared = spark.sparkContext.broadcast(model)
+    # Plain arrays: executors need not know this package.
+    shared, bits = spark.sparkContext.broadcast((model.index, model.weight, model.bias)), model.bits
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, hasher = shared.value, WordHash()
-        used = np.zeros(1 << model.bits, bool)
-        used[model.index] = True
-        table = np.zeros(1 << model.bits, np.float32)
-        table[model.index] = model.weight
+        (index, weight, bias), hasher = shared.value, WordHash()
+        used = np.zeros(1 << bits, bool)
+        used[index] = True
+        table = np.zeros(1 << bits, np.float32)
+        table[index] = weight
         for batch in batches:
             for rows, raw, off in slices(batch):
-                doc, at = coordinates(raw, off, hasher, model.bits)
+                doc, at = coordinates(raw, off, hasher, bits)
                 hit = used[at]
-                both = np.unique((doc[hit] << model.bits) | at[hit])
-                total = np.bincount(both >> model.bits, table[both & ((1 << model.bits) - 1)].astype(np.float64), len(off) - 1)
-                p = 1.0 / (1.0 + np.exp(-np.clip(total + model.bias, -35, 35)))
+                both = np.unique((doc[hit] << bits) | at[hit])
+                total = np.bincount(both >> bits, table[both & ((1 << bits) - 1)].astype(np.float64), len(off) - 1)
+                p = 1.0 / (1.0 + np.exp(-np.clip(total + bias, -35, 35)))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(p, pa.float64())], names=[*names, column])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
