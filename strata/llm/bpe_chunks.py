@@ -35,6 +35,7 @@ from .common import mix, slices
 WINDOW = 16
 CHUNK_BITS = 9
 STORE = 30_000
+DECODE_TOKENS = 200_000  # tokens decoded at a time (a longer document alone)
 SPECIAL = "<|endoftext|>"
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -172,8 +173,10 @@ def decode(frame: DataFrame, ids: str = "ids", column: str = "decoded", paths: t
             lists = batch.column(len(names))
             lists = lists.fill_null([]) if lists.null_count else lists
             off = np.asarray(lists.offsets)
-            for lo in range(0, len(lists), 256):
-                hi = min(lo + 256, len(lists))
+            lo = 0
+            while lo < len(lists):
+                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + DECODE_TOKENS, "right")) - 1)
+                hi = min(hi, len(lists))
                 at = np.asarray(lists.values)[off[lo]:off[hi]]
                 size = lengths[at]
                 total = np.concatenate([[0], np.cumsum(size)])
@@ -181,6 +184,7 @@ def decode(frame: DataFrame, ids: str = "ids", column: str = "decoded", paths: t
                 data, cut = flat[where].tobytes(), total[off[lo:hi + 1] - off[lo]].tolist()
                 texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:-1], pa.array(texts, pa.string())], names=[*names, column])
+                lo = hi
 
     schema = T.StructType([*(frame.schema[c] for c in names), T.StructField(column, T.StringType())])
     return frame.select(*names, ids).mapInArrow(run, schema)
