@@ -1,11 +1,15 @@
 """Document fingerprints by I-Match.
 
-The lexicon holds the words whose inverse document frequency lies in a band.
-Words in more than ``MIN_SHARE`` of the documents are at most (mean distinct
-words of a document) / MIN_SHARE, whatever the corpus size, so the lexicon is
+The lexicon holds the words whose inverse document frequency lies in a band,
+counted over distinct texts, so copies do not push their own words out.
+Words in more than ``MIN_SHARE`` of the texts are at most (mean distinct
+words of a text) / MIN_SHARE, whatever the corpus size, so the lexicon is
 broadcast once its size is checked.  A document's distinct lexicon words,
 sorted, are hashed for several randomised subsets of the lexicon (each keeps
-a word with probability 2**-rate, by seeded hashes).  The
+a word with probability 2**-rate, by seeded hashes).  A text without lexicon
+words is hashed by all its own words instead, and one whose words are in no
+subset by all of them in the first place, so only texts without any word have
+an empty fingerprint.  The
 fingerprint is the row of these hashes; small subsets still agree after edits
 that change every large one.  Likeness of two fingerprints is the share of
 equal subset hashes among those where either has a word; two fingerprints
@@ -36,9 +40,11 @@ EMPTY = "0" * 8
 
 
 def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> DataFrame:
-    """(term): hashes of the words with a document frequency in the band."""
-    total = docs.count()
-    each = docs.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word")).select(F.xxhash64("word").alias("term"))
+    """(term): hashes of the words with a frequency in the band, among the
+    distinct texts."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    total = texts.select(F.xxhash64("text")).distinct().count()
+    each = texts.distinct().select(F.explode(F.array_distinct(words(F.col("text")))).alias("word")).select(F.xxhash64("word").alias("term"))
     counts = each.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return counts.filter((F.col("df") >= total * min_share) & (F.col("df") <= max(1.0, total * max_share))).select("term")
 
@@ -50,13 +56,13 @@ def subset(rate: int, seed: int):
 
 def fingerprint(terms: Column) -> Column:
     """Subset hashes of sorted distinct term hashes, 8 hex digits each."""
-    parts = []
-    for rate in RATES:
-        for i in range(PER_RATE):
-            kept = F.filter(terms, subset(rate, 100 * rate + i))
-            parts.append(F.when(F.size(kept) == 0, F.lit(EMPTY)).otherwise(
-                F.lpad(F.lower(F.hex(F.xxhash64(kept).bitwiseAND(0xFFFFFFFF))), 8, "0")))
-    return F.concat(*parts)
+    one = lambda kept: F.when(F.size(kept) == 0, F.lit(EMPTY)).otherwise(
+        F.lpad(F.lower(F.hex(F.xxhash64(kept).bitwiseAND(0xFFFFFFFF))), 8, "0"))
+    parts = [one(F.filter(terms, subset(rate, 100 * rate + i))) for rate in RATES for i in range(PER_RATE)]
+    none = EMPTY * (len(parts) - 1)
+    # A few words may be in no subset: then all of them, in the first place.
+    return F.get(F.transform(F.array(F.concat(*parts)), lambda x: F.when(
+        x == EMPTY + none, F.concat(one(terms), F.lit(none))).otherwise(x)), F.lit(0))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -103,19 +109,21 @@ def report(docs: DataFrame) -> DataFrame:
     half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next", F.lit(1), half)))
     # The empty word marks every text, so none is lost without lexicon words,
-    # and carries what is to be returned.
-    mark = lambda text: F.concat(F.array_distinct(words(text)), F.array(F.lit("")))
+    # and carries what is to be returned and the text's own words.
+    mark = lambda text: F.transform(F.concat(F.array_distinct(words(text)), F.array(F.lit(""))), lambda w: F.xxhash64(w))
+    empty = F.xxhash64(F.lit(""))
     texts = F.array(F.struct(F.lit(0).alias("part"), mark(F.col("text")).alias("w")),
                     F.struct(F.lit(1).alias("part"), mark(F.col("edited")).alias("w")),
                     F.struct(F.lit(2).alias("part"), mark(F.when(F.col("last"), F.col("next"))).alias("w")))
     info = F.struct("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
     each = rows.select("block", "place", info.alias("info"), F.explode(texts).alias("t"))
-    each = each.select("block", "place", "t.part", "info", F.explode("t.w").alias("word"))
-    each = each.select("block", "place", "part", F.xxhash64("word").alias("term"), F.when(F.col("word") == "", F.col("info")).alias("info"))
-    marker = docs.sparkSession.range(1).select(F.xxhash64(F.lit("")).alias("term"))
+    each = each.select("block", "place", "t.part", "info", F.col("t.w").alias("own"), F.explode("t.w").alias("term"))
+    each = each.select("block", "place", "part", "term", F.when(F.col("term") == empty, F.struct("info", "own")).alias("held"))
+    marker = docs.sparkSession.range(1).select(empty.alias("term"))
     kept = each.join(small(materialize(lexicon(docs).union(marker))), "term", "left_semi")
-    terms = F.array_sort(F.array_remove(F.collect_set("term"), F.xxhash64(F.lit(""))))
-    prints = kept.groupBy("block", "place", "part").agg(F.first("info", ignorenulls=True).alias("info"), terms.alias("terms"))
+    prints = kept.groupBy("block", "place", "part").agg(F.first("held", ignorenulls=True).alias("held"), F.collect_set("term").alias("terms"))
+    terms = F.array_sort(F.array_remove(F.when(F.size("terms") > 1, F.col("terms")).otherwise(F.array_distinct("held.own")), empty))
+    prints = prints.select("block", "place", "part", "held.info", terms.alias("terms"))
     prints = prints.withColumn("print", fingerprint(F.col("terms")))
     pick = lambda part: F.max(F.when(F.col("part") == part, F.col("print")))
     one = prints.groupBy("block", "place").agg(F.max(F.when(F.col("part") == 0, F.col("info"))).alias("info"),

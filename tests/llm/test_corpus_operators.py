@@ -207,6 +207,35 @@ def test_imatch_edges(spark, frame):
     assert bag((r.doc_id, r.n_chars) for r in rows) == {(None, 0): 1, (None, 3): 1, (5, 0): 2}
 
 
+def test_imatch_copies_keep_their_words(spark, frame):
+    """Copies in a third of the rows leave the lexicon as it is."""
+    rnd = random.Random(12)
+    text = lambda: " ".join(f"w{rnd.randrange(4000)}" for _ in range(120))
+    rows = [(i, text()) for i in range(60)]
+    copies = [(1000 + i, rows[7][1]) for i in range(20)] + [(2000 + i, rows[8][1]) for i in range(20)]
+    lexicon = lambda r: {t.term for t in imatch.lexicon(frame(r)).collect()}
+    assert lexicon(rows + copies) == lexicon(rows)
+    got = {r.doc_id: r for r in imatch.report(frame(rows + copies)).collect()}
+    alone = {r.doc_id: r for r in imatch.report(frame(rows)).collect()}
+    assert all(got[i].fingerprint == alone[i].fingerprint for i in range(60))
+    assert got[1005].fingerprint == got[7].fingerprint != got[8].fingerprint
+    assert got[2000].near_next < 0.5 and got[1005].near_next == 1.0 and got[1005].near_edited > 0
+
+
+def test_imatch_without_lexicon_words(spark, frame):
+    """Texts of words that are all too common or too rare differ."""
+    common = ["salt", "bread", "loaf", "a b c d e f"]
+    rows = [(i, t) for i, t in enumerate(common)] + [(10 + i, f"salt bread loaf a b c d e f n{i}") for i in range(14)]
+    got = {r.doc_id: r for r in imatch.report(frame(rows + [(30, ""), (31, "-")])).collect()}
+    prints = [got[i].fingerprint for i in range(len(common))]
+    zeros = imatch.EMPTY * len(imatch.RATES) * imatch.PER_RATE
+    assert len(set(prints)) == len(common) and zeros not in prints
+    assert got[2].near_next < 1 and got[30].fingerprint == got[31].fingerprint == zeros and got[31].near_next == 1.0
+    # Every word in one of more than 500 texts.
+    got = imatch.report(frame([(i, f"x{i} y{i} z{i}") for i in range(520)])).collect()
+    assert len({r.fingerprint for r in got}) == 520 and sum(r.near_next == 1.0 for r in got) == 0
+
+
 # ---- pseudonyms -------------------------------------------------------------------
 
 def noise(kind, i, half, key=pseudonyms.KEY):
