@@ -19,7 +19,10 @@ holds the key can undo it.  Kinds:
   email  letters and digits of the local part
   token  32-64 lower-case hexadecimal digits
 
-Whatever fails validation stays as it is.  A permutation is a Feistel network
+Whatever fails validation stays as it is.  Cards and IBANs may stand beside
+other numbers or capitals: from every place where one can begin, each length
+that ends with a group is validated and the longest valid one taken; the rest
+is searched on.  A permutation is a Feistel network
 of ``ROUNDS`` rounds with SHA-2 of key, kind, round and half as the round
 function; numbers use two residues (l mod a, r mod b), strings add to every
 character within its class.  The whole is one expression per row: no shuffle,
@@ -41,16 +44,18 @@ ROUNDS = 8  # even, so halves end where they began
 PATTERNS = {
     "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "token": r"(?<![A-Za-z0-9])(?=[0-9a-f]{32})(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,64}+(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "phone": r"(?<![0-9])(?:\+1[ .-]?|1[ .-])?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
              r"|\+[2-9][0-9](?:[ .-]?[0-9]){6,12}(?![0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])(?![ -][0-9])",
+    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 KINDS = tuple(PATTERNS)
-PLACES = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
+# Kinds whose values are validated first, at every length, and what may not
+# stand on either side of a value.
+VALUED = {"iban": "[A-Za-z0-9]", "card": "[0-9]"}
 
 DIGITS, SMALL, CAPITAL, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 
@@ -139,6 +144,46 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), step)
 
 
+def is_card(m: Column) -> Column:
+    return let(digits(m), lambda d: F.length(d).between(13, 19) & (luhn(d) % 10 == 0))
+
+
+def is_iban(m: Column) -> Column:
+    return let(F.replace(m, F.lit(" "), F.lit("")), lambda flat: F.length(flat).between(15, 34) & (
+        mod97(F.concat(F.substr(flat, F.lit(5), F.length(flat)), F.substr(flat, F.lit(1), F.lit(4)))) == 1))
+
+
+def valid_values(text: Column, kind: str) -> Column:
+    """The longest valid value from every place where one of a kind of
+    ``VALUED`` can begin, as distinct strings, longest first."""
+    valid, least = {"iban": (is_iban, 15), "card": (is_card, 13)}[kind]
+    before, rest = PATTERNS[kind].split(")", 1)  # the lookahead leaves the rest to be searched
+    windows = F.regexp_extract_all(text, F.lit(f"{before})(?=({rest}))"), F.lit(1))
+
+    def longest(w: Column) -> Column:
+        ends = F.filter(F.sequence(F.length(w), F.lit(least), F.lit(-1)), lambda n: ~F.substr(w, n, F.lit(1)).isin(" ", "-")
+                        & F.substr(w, n + 1, F.lit(1)).isin("", " ", "-"))
+        return F.get(F.filter(F.transform(ends, lambda n: F.substr(w, F.lit(1), n)), valid), F.lit(0))
+
+    found = F.array_distinct(F.array_compact(F.transform(F.array_distinct(windows), longest)))
+    order = F.array_sort(F.transform(found, lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v"))))
+    return F.transform(order, lambda x: x["v"])
+
+
+def places(text: Column) -> Column:
+    """The pattern of all places in a text: its valid cards and IBANs as they
+    stand, other kinds by their patterns."""
+    parts = []
+    for k in KINDS:
+        if k in VALUED:
+            side = VALUED[k]
+            alternatives = F.array_join(valid_values(text, k), "|")
+            parts.append(let(alternatives, lambda v, side=side: F.when(v != "", F.concat(F.lit(f"(?<!{side})(?:"), v, F.lit(f")(?!{side})")))))
+        else:
+            parts.append(F.lit(f"(?:{PATTERNS[k]})"))
+    return F.concat_ws("|", *parts)
+
+
 def card(m: Column, key: Column) -> Column:
     def new(d: Column) -> Column:
         body = F.concat(F.substr(d, F.lit(1), F.lit(1)), permute_text(key, "card", F.substr(d, F.lit(2), F.length(d) - 2), (DIGITS,)))
@@ -244,10 +289,10 @@ def pseudonymize(docs: DataFrame, key: str | None = None, found: str = "found")
             F.when(x["value"].isNotNull(), x["kind"]).alias("kind"), F.coalesce(x["value"], m).alias("value")))
 
     text = F.col("text")
-    places = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PLACES), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.transform(places, replaced).alias("seen"))
-    text = F.col("row.text")
-    between = F.split(text, PLACES, -1)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.when(text.rlike("[0-9@]"), let(places(text), lambda pattern: F.struct(
+        F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), replaced).alias("seen"), F.split(text, pattern, -1).alias("between")))).alias("cut"))
+    rows = rows.select("row", F.coalesce("cut.seen", F.array().cast("array<struct<kind:string,value:string>>")).alias("seen"), "cut.between")
+    text, between = F.col("row.text"), F.col("between")
     joined = F.concat(F.get(between, F.lit(0)), F.array_join(F.transform(
         "seen", lambda x, i: F.concat(x["value"], F.get(between, i + 1))), ""))
     new = F.when(F.size("seen") > 0, joined).otherwise(text)

@@ -320,6 +320,21 @@ def test_pseudonyms_keep_form_and_links(spark, frame):
     assert other != got[2][0][0] and luhn_ok(other)
 
 
+def test_pseudonyms_beside_other_numbers(spark, frame):
+    card, other, iban, british = "4111111111111111", "5500005555555559", "AT611904300234573201", "GB82WEST12345698765432"
+    apart = " ".join(card[i:i + 4] for i in range(0, 16, 4))
+    texts = [f"{card} 123", f"{apart} 12/25", f"{card} {other}", f"{apart} {other} {card}", f"{iban} BIC BKAUATWW", f"{iban} {british}",
+             f"{iban} {card}", f"no 12 {apart}", f"{card} 743-555-3824", f"{iban} 743-555-3824", f"2020-02-29 {card} 8.8.8.8", f"{card}1234567 {card[:-1]}2"]
+    got = {r.doc_id: r for r in pseudonyms.pseudonymize(frame(list(enumerate(texts)))).collect()}
+    alone = {v: pseudonyms.pseudonymize(frame([(0, v)])).first().text for v in (card, other, iban, british, "743-555-3824", "2020-02-29", "8.8.8.8")}
+    alone[apart] = " ".join(alone[card][i:i + 4] for i in range(0, 16, 4))
+    kinds = [["card"], ["card"], ["card"] * 2, ["card"] * 3, ["iban"], ["iban"] * 2, ["iban", "card"], ["card"], ["card", "phone"],
+             ["iban", "phone"], ["date", "card", "ip"], []]
+    for i, t in enumerate(texts):
+        want = re.sub("|".join(map(re.escape, alone)), lambda m: alone[m[0]], t) if kinds[i] else t
+        assert (got[i].text, got[i].found) == (want, kinds[i])
+
+
 def test_pair_permutation_is_one_to_one(spark):
     from pyspark.sql import functions as F
 
