@@ -11,8 +11,8 @@ tasks; the main text is the blocks it accepts, in page order.  No shuffle.
 
 Null and empty pages give an empty text.  Character references are decoded,
 white space inside a block becomes one space, and unclosed or stray tags are
-tolerated; an unterminated tag is text, an unterminated script runs to the
-end.  Repeated rows are read row by row.  A null url stays null.
+tolerated; an unterminated tag is text, an unterminated script or style runs
+to the end, another element without text that is not closed hides only its tag.  Repeated rows are read row by row.  A null url stays null.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ CONTAINERS = frozenset("""article aside body button details dialog div dl fields
  iframe main menu nav ol section select table title ul""".split())
 # Elements whose content is not text.
 RAW = "script|style|noscript|template|textarea|svg|iframe|object|canvas"
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW.split("|")}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AROUND_TAGS = frozenset("nav aside footer form head header menu button select dialog fieldset title".split())
 ARTICLE_TAGS = frozenset("article main".split())
@@ -46,11 +47,13 @@ AROUND_WORDS = frozenset("""ad ads advert advertisement advertising alert banner
  menubar modal nav navbar navigation newsletter notice notification popup promo promoted promotion recommended related
  replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription teaser
  toolbar widget""".split())
+# Those of a page's layout, which also name what is around all of it.
+LAYOUT_WORDS = frozenset("""alert banner breadcrumb breadcrumbs footer header login masthead menu menubar nav navbar
+ navigation notice search share sharing sidebar social toolbar widget""".split())
 ARTICLE_WORDS = frozenset("article articlebody body content entry main post story text".split())
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>",
     re.DOTALL | re.IGNORECASE)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
@@ -67,13 +70,15 @@ class Block:
     article: bool
 
 
-def signs(tag: str, attrs: str) -> tuple[bool, bool]:
-    """Whether a container announces something around an article, and whether
-    it announces an article."""
+def signs(tag: str, attrs: str) -> tuple[int, bool]:
+    """How surely a container announces something around an article (0 not, 1
+    by a name of the layout, 2 by another name or as a form, 3 by its tag or
+    as hidden), and whether it announces an article."""
     if tag in ("html", "body"):
-        return False, False  # their classes describe the whole page
+        return 0, False  # their classes describe the whole page
     names = {w for m in NAMES.finditer(attrs) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())} if attrs else set()
-    around = tag in AROUND_TAGS or bool(names & AROUND_WORDS) or bool(attrs and HIDDEN.search(attrs))
+    around = max(3 * (tag in AROUND_TAGS and tag != "form"), 3 * bool(attrs and HIDDEN.search(attrs)),
+                 2 * (tag == "form" or bool(names & AROUND_WORDS - LAYOUT_WORDS)), int(bool(names & LAYOUT_WORDS)))
     return around, tag in ARTICLE_TAGS or (not around and bool(names & ARTICLE_WORDS))
 
 
@@ -81,18 +86,19 @@ def blocks(page: str) -> list[Block]:
     """The non-empty text blocks of a page, in order."""
     found: list[Block] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, around, article: with all above
+    stack: list[tuple[str, int, bool]] = []  # tag, around, article: with all above
+    unclosed: set[str] = set()  # raw elements without a further end tag
     heading, links, at = "", 0, 0
 
     def end() -> None:
         text = " ".join("".join(p for p, _ in parts).split())
         if text:
             linked = sum(len(p.split()) for p, a in parts if a)
-            around, article = stack[-1][1:] if stack else (False, False)
-            found.append(Block(text, len(text.split()), linked, bool(heading), around, article))
+            around, article = stack[-1][1:] if stack else (0, False)
+            found.append(Block(text, len(text.split()), linked, bool(heading), around > 0, article))
         parts.clear()
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             parts.append((html.unescape(page[at:m.start()]), links > 0))
         at = m.end()
@@ -100,6 +106,16 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         closing = bool(m["close"])
+        if tag in RAW_END and not closing and re.match(r"[\s/]|\Z", m["attrs"]):
+            if not (tag == "svg" and m["attrs"].endswith("/")) and tag not in unclosed:
+                stop = RAW_END[tag].search(page, at)
+                if stop:
+                    at = stop.end()
+                elif tag in ("script", "style"):
+                    at = len(page)
+                else:
+                    unclosed.add(tag)
+            continue
         if tag in BLOCK_TAGS:
             end()
             links = 0  # an unclosed link ends with its block
@@ -109,11 +125,14 @@ def blocks(page: str) -> list[Block]:
                 heading = ""
                 if not closing:
                     around, article = signs(tag, m["attrs"])
-                    above = stack[-1] if stack else ("", False, False)
+                    above = stack[-1] if stack else ("", 0, False)
                     if tag == "header" and above[2]:
                         around = above[1]  # an article's own header holds its title
-                    # The one main element of a page stands above wrappers' names.
-                    stack.append((tag, around or (above[1] and tag != "main"), article or above[2]))
+                    # The one main element of a page stands above wrappers'
+                    # names and tags, an article element above their names, an
+                    # article's name above names of the layout.
+                    ends = 4 if tag == "main" else 0 if above[2] or not article else 3 if tag == "article" else 2
+                    stack.append((tag, max(around, above[1] if above[1] >= ends else 0), article or above[2]))
                 elif any(s[0] == tag for s in stack):
                     while stack.pop()[0] != tag:
                         pass
@@ -176,6 +195,13 @@ LABELLED = (
     on the same matter that our readers have liked, collected by the editors.</p></section><section id="comments"><p>-I do not
     agree with the author at all, and here is why: the whole thing was told quite differently in my time.</p></section></article>
     <div class="alert notice">-This page was moved; please change your bookmarks to the new address.</div></body>""",
+    """<body><div class="wrapper has-sidebar"><article><h1>+The ferry</h1><p>+It crosses the river eleven times a day, and the ferryman
+    knows by the hour who will be waiting on the other bank.</p><p>+He is never late.</p></article><div class="sidebar"><p>-Timetables,
+    prices and a map of all the landings on the river can be found at the town office.</p></div></div></body>""",
+    """<body><div class="page with-toolbar"><p><a href="/">-Start</a></p><div class="content"><h1>+Wool</h1><p>+A fleece is washed three
+    times <svg class="i"/>before it is spun, and the water is never hotter than a hand can bear.</p><svg-icon></svg-icon><p>+Then it
+    dries.</p></div><div class="comments"><div class="text">-My grandmother did it in the same way, and her wool was the best of
+    all the valley.</div></div></div></body>""",
 )
 DEPTH = 6
 

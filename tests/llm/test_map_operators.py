@@ -172,6 +172,23 @@ def test_html_blocks_and_tree():
     assert html_text.blocks("<script>x") == [] and html_text.blocks("</p></div>a</nav>")[0].text == "a"
 
 
+def test_html_rest_of_the_page_stays():
+    text = lambda page: " ".join(b.text for b in html_text.blocks(page))
+    assert text('<p>a<svg class="i"/>b</p><p>rest</p>') == "ab rest"
+    assert text("<p>a<svg-icon></svg-icon>b</p><canvas-x><p>rest</p></canvas-x>") == "ab rest"
+    assert text("<p>a</p><canvas><p>b</p><iframe class=ad><object data='x'><p>c</p>") == "a b c"
+    assert text("<p>a<svg><text>x</text></svg>b</p><script>if (a<b) '</p>'</script><template/><p>x</p></template>c<style>d") == "ab c"
+    tree = html_text.train()
+    long = "The long text of the page, which goes on for a good while and is what readers came for."
+    for page in (f'<div class="wrapper has-sidebar"><article><p>{long}</p></article></div>',
+                 f'<form id="all"><article><p>{long}</p></article></form>',
+                 f'<div class="page with-toolbar"><div class="content"><p>{long}</p></div></div>'):
+        assert html_text.main_text(f"<body>{page}</body>", tree) == long
+    for page in (f"<aside><article><p>{long}</p></article></aside>", f'<div class="comments"><div class="text"><p>{long}</p></div></div>',
+                 f'<article><p>{long}</p><div class="sidebar"><div class="content"><p>Not this</p></div></div></article>'):
+        assert html_text.main_text(f"<body>{page}</body>", tree) in ("", long)
+
+
 def test_html_on_pages(spark, sf):
     """On the given pages the main text is what stands in the article."""
     pages = spark.read.parquet(f"{sf}/pages.parquet")
