@@ -13,9 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
 # Task functions travel by value: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules["strata.llm"])
@@ -141,3 +142,45 @@ def small(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
     """Hint a broadcast of ``df`` only if its measured size is within
     ``limit``; beyond it Spark shuffles both sides."""
     return F.broadcast(df) if table_bytes(df) <= limit else df
+
+
+def count_words(text: Column) -> Column:
+    """Number of runs of characters other than space and U+0009 to U+000D;
+    null has none.  No array is built: every run becomes one character, and
+    the white space is subtracted."""
+    s, space = F.coalesce(text, F.lit("")), " \t\n\x0b\x0c\r"
+    blanks = F.length(s) - F.length(F.translate(s, space, ""))
+    return (F.length(F.regexp_replace(s, r"[^\x20\x09-\x0D]+", "x")) - blanks).cast("long")
+
+
+def placed(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """``df``, written out, with the place (0, 1, 2...) of every row in
+    ``order`` as column ``name``.  Rows are dealt by range, so neither a common
+    key nor equal rows gather in one task (equal rows are told apart by their
+    place in the input); each part numbers its rows, and only the parts'
+    counts - one row per partition - are added up and broadcast."""
+    tie, part, start = (f"{x}_{name}_placed" for x in ("tie", "part", "start"))
+    rows = df.withColumn(tie, F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*order, F.col(tie)).sortWithinPartitions(*order, F.col(tie)).drop(tie)
+    rows = materialize(rows.withColumn(name, F.monotonically_increasing_id()))
+    rows = rows.withColumn(part, F.shiftright(name, 33))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(part).agg(F.count(F.lit(1)).alias(start))
+    starts = starts.select(part, F.coalesce(F.sum(start).over(before), F.lit(0)).alias(start))
+    own = F.col(name).bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(starts), part).withColumn(name, own + F.col(start)).drop(part, start)
+
+
+# DuckDB: CRC-32 table by its rule, and the checksum of a string's UTF-8 bytes.
+SQL_CRC_TABLE = """crc_table AS (
+  SELECT list(c ORDER BY i) AS crc_list FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS c FROM range(256) r(i)))"""
+
+
+def sql_crc(text: str) -> str:
+    """DuckDB expression: unsigned CRC-32 of ``text`` (joined to
+    ``crc_table``)."""
+    digits = f"hex(encode({text}))"
+    byte = f"(instr('123456789ABCDEF', substr({digits}, 2 * j - 1, 1)) * 16 + instr('123456789ABCDEF', substr({digits}, 2 * j, 1)))"
+    codes = f"list_transform(range(1, length({digits}) // 2 + 1), lambda j: ({byte})::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(c >> 8, crc_list[(xor(c, b) & 255) + 1])), 4294967295)"

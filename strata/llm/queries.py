@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, decontamination, html_text, imatch, jaccard_join, license_scan, pseudonyms, suffix_dedup, token_counts, toxicity
+from . import (
+    bpe_chunks, decontamination, html_text, imatch, importance, jaccard_join, license_scan, mixing, prefix_trie, pseudonyms, suffix_dedup,
+    token_counts, toxicity)
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +71,24 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.report(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "text"))
+
+
+SQL["op11_importance"] = importance.SQL
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+SQL["op12_prefix_trie"] = prefix_trie.SQL
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
