@@ -92,4 +92,5 @@ def materialize(df):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/materialized/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: no job that reads footers to infer it.
+    return spark.read.schema(df.schema).parquet(path)
