@@ -6,14 +6,20 @@ partial aggregate, and only classes are joined:
 
 1. Every class gets BANDS band hashes of ROWS minima each; the number of bands
    follows from the target recall at the threshold.
-2. Classes that meet in a band bucket are linked to the bucket's smallest
-   class (one link each, not all pairs), and connected links form a candidate
-   cluster, which holds every pair that shares a band.
-3. Clusters are verified on the full n-gram sets.  A cluster of more than
-   ``BLOCK`` classes is cut into blocks, and each pair of blocks is a unit of
-   its own, so no task holds a whole large cluster; per unit the intersections
-   of all its pairs are counted by matrix products over shared n-grams, and
-   only each class's number of links and its unit's connected part come out.
+2. Classes that meet in a band bucket belong together with the bucket's
+   smallest class.  A class is linked to the least of its buckets' smallest
+   classes, and so are the others of them (one link each, not all pairs);
+   connected links form a candidate cluster, which holds every pair that
+   shares a band.
+3. Candidates are verified on the full n-gram sets, in groups: a cluster of up
+   to ``BLOCK`` classes is one; a larger one is either one group as well or,
+   if that is less pair work, as many groups as it has band buckets (texts
+   chained by common passages), where a pair counts in the first band that it
+   shares.  A group is cut into blocks, and each pair of blocks is a unit of
+   its own, so no task holds a whole large group; per unit the intersections
+   of its pairs are counted by matrix products over shared n-grams, and only
+   each class's number of links and its unit's connected part come out.  Work
+   is quadratic only where classes do share bands with each other.
 4. Parts are connected over units to groups.
 
 No pair is capped or sampled.  Nothing but counts reaches the driver.
@@ -21,7 +27,9 @@ No pair is capped or sampled.  Nothing but counts reaches the driver.
 Null, empty and wordless texts have no n-grams: each is a class and a group of
 its own without links.  Repeated rows are copies like any other.  Documents
 with a null id are joined as well; a group's id is its smallest non-null
-document id.  An empty table gives no rows.
+document id.  Of rows that agree in id and text but not in other columns,
+``keep_one`` keeps the one with the smallest hash.  Extra columns may have any
+name.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -132,10 +140,11 @@ def connect(edges: DataFrame, limit: int = 100) -> DataFrame:
     raise RuntimeError("parts are not connected after the limit of rounds")
 
 
-def part_links(grams: list[np.ndarray], left: int, sizes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def part_links(grams: list[np.ndarray], left: int, sizes: np.ndarray, threshold: float, earlier: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links of one unit: among the first ``left`` sets and the others, or
     among all of them if there are no others.  Returns per set the size of the
-    linked sets, and the smallest set of its connected part."""
+    linked sets, and the smallest set of its connected part.  Pairs that agree
+    in a column of ``earlier`` are counted elsewhere."""
     n, lens = len(grams), np.array([len(g) for g in grams], np.int64)
     flat, owner = np.concatenate(grams), np.repeat(np.arange(n), lens)
     value, at, times = np.unique(flat, return_inverse=True, return_counts=True)
@@ -158,6 +167,11 @@ def part_links(grams: list[np.ndarray], left: int, sizes: np.ndarray, threshold:
     linked = both >= threshold * either - 1e-6
     if lo == 0:
         np.fill_diagonal(linked, False)
+    if earlier is not None and earlier.shape[1]:
+        i, j = np.nonzero(linked)
+        for a in range(0, len(i), 1 << 16):
+            x, y = i[a:a + (1 << 16)], j[a:a + (1 << 16)]
+            linked[x, y] = (earlier[x] != earlier[lo + y]).all(1)
     amount = np.zeros(n, np.int64)
     amount[:rows] += linked @ sizes[lo:]
     if lo:
@@ -175,13 +189,13 @@ def part_links(grams: list[np.ndarray], left: int, sizes: np.ndarray, threshold:
 
 
 def verify(members: DataFrame, units: int, n: int = N, threshold: float = THRESHOLD) -> DataFrame:
-    """(c, amount, root) per class and unit of ``members`` (bin, cluster, p, q,
-    side, c, size, text)."""
+    """(c, amount, root) per class and unit of ``members`` (bin, b, cluster, p,
+    q, side, c, size, earlier, text)."""
 
     def run(table: pa.Table) -> pa.Table:
         hasher, out = WordHash(), [[], [], []]
-        table = table.combine_chunks().sort_by([(x, "ascending") for x in ("cluster", "p", "q", "side", "c")])
-        unit = np.stack([np.asarray(table[x]) for x in ("cluster", "p", "q")])
+        table = table.combine_chunks().sort_by([(x, "ascending") for x in ("b", "cluster", "p", "q", "side", "c")])
+        unit = np.stack([np.asarray(table[x]).astype(np.int64) for x in ("b", "cluster", "p", "q")])
         c, side, size = (np.asarray(table[x]) for x in ("c", "side", "size"))
         new = np.ones(len(c) + 1, bool)
         new[1:-1] = (unit[:, 1:] != unit[:, :-1]).any(0)
@@ -194,7 +208,8 @@ def verify(members: DataFrame, units: int, n: int = N, threshold: float = THRESH
                     flat, at = ngrams(raw, off, hasher, n)
                     grams += [flat[i:j] for i, j in zip(at, at[1:], strict=False)]
             left = int((side[take] == 0).sum())
-            amount, root = part_links(grams, left, size[take], threshold)
+            earlier = np.array(table["earlier"].take(take).to_pylist(), np.int64).reshape(len(take), -1)
+            amount, root = part_links(grams, left, size[take], threshold, earlier)
             out[0].append(c[take])
             out[1].append(amount)
             out[2].append(c[take][root])
@@ -212,23 +227,34 @@ def groups(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFra
     classes = materialize(sketches.filter(F.col("cls").isNotNull()).groupBy("cls").agg(
         F.min(key).alias("head"), F.min("doc_id").alias("set_id"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"),
     ).withColumn("c", F.monotonically_increasing_id()))
-    in_bands = classes.select("c", F.explode("bands").alias("band"))
-    buckets = in_bands.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high")
-    links = in_bands.join(buckets, "band").filter("c != low").select(F.col("c").alias("a"), F.col("low").alias("b")).distinct()
+    in_bands = classes.select("c", F.posexplode("bands").alias("b", "band"))
+    buckets = in_bands.groupBy("b", "band").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("s")).filter("low < high")
+    buckets = materialize(buckets.drop("high"))
+    # Per class its buckets' smallest classes (at most one per band).
+    lows = in_bands.join(buckets, ["b", "band"]).groupBy("c").agg(F.collect_set("low").alias("lows"))
+    lows = lows.select("c", F.least("c", F.array_min("lows")).alias("b"), "lows")
+    links = materialize(lows.select("b", F.explode(F.array_union(F.array("c"), "lows")).alias("a")).filter("a != b").select("a", "b").distinct())
     clusters = connect(links).select(F.col("node").alias("c"), F.col("root").alias("cluster"))
     counts = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
+    # Large clusters whose buckets have fewer pairs than the whole.
+    pairs = buckets.join(clusters, buckets["low"] == clusters["c"]).groupBy("cluster").agg(F.sum(F.col("s") * F.col("s")).alias("pairs"))
+    counts = counts.join(pairs, "cluster").withColumn("by_bucket", (F.col("m") > BLOCK) & (F.col("pairs") < F.col("m") * F.col("m"))).drop("pairs")
     clusters = materialize(clusters.join(counts, "cluster"))
-    # Units: block pairs p <= q of a cluster; a class of block x is in all of
+    whole = clusters.filter("NOT by_bucket").select("c", F.lit(-1).alias("b"), "cluster", "m")
+    split = in_bands.join(buckets.drop("low"), ["b", "band"]).join(clusters.filter("by_bucket").select("c"), "c").select("c", "b", F.col("band").alias("cluster"), F.col("s").alias("m"))
+    clusters = whole.union(split)
+    # Units: block pairs p <= q of a group; a class of block x is in all of
     # its pairs, on side 0 as p and on side 1 as q.
     n_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("c"), n_blocks).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda o: F.struct(
         F.least(o, block).alias("p"), F.greatest(o, block).alias("q"), (block > o).cast("int").alias("side")))
-    placed = clusters.select("c", "cluster", "m", F.explode(pairs).alias("u")).select("c", "cluster", "m", "u.*")
+    placed = materialize(clusters.select("c", "b", "cluster", F.explode(pairs).alias("u")).select("c", "b", "cluster", "u.*"))
     units = max(1, math.ceil(placed.count() / UNIT_ROWS))
-    chosen = classes.join(clusters.select("c"), "c").select("c", "size", F.col("head.k").alias("k"), F.col("head.h").alias("h"))
-    texts = keys(docs).select("k", "h", "text").join(small(materialize(chosen)), ["k", "h"]).select("c", "size", "text")
-    members = placed.join(texts, "c").withColumn("bin", F.pmod(F.xxhash64("cluster", "p", "q"), F.lit(units)).cast("int"))
+    chosen = classes.join(placed.select("c").distinct(), "c").select("c", "size", "bands", F.col("head.k").alias("k"), F.col("head.h").alias("h"))
+    texts = keys(docs).select("k", "h", "text").join(small(materialize(chosen)), ["k", "h"]).select("c", "size", "bands", "text")
+    members = placed.join(texts, "c").withColumn("bin", F.pmod(F.xxhash64("b", "cluster", "p", "q"), F.lit(units)).cast("int"))
+    members = members.withColumn("earlier", F.slice("bands", 1, F.greatest("b", F.lit(0)))).drop("bands")
     checked = materialize(verify(members, units, n, threshold))
     amounts = checked.groupBy("c").agg(F.sum("amount").alias("amount"))
     parts = connect(checked.filter("c != root").select(F.col("c").alias("a"), F.col("root").alias("b")))
@@ -259,5 +285,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = first.groupBy("k", "h").agg(F.max("has_words").alias("has_words"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("k"), F.xxhash64("text").alias("h"))
     rows = rows.join(first, ["k", "h"])
-    nth = F.row_number().over(Window.partitionBy("k", "h").orderBy("h"))
-    return rows.withColumn("nth", nth).filter((F.col("nth") == 1) | ~F.col("has_words")).select("row.*")
+    # Partial aggregates: equal rows never meet in one task.
+    one = rows.filter("has_words").groupBy("k", "h").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select("row.*").union(rows.filter("NOT has_words").select("row.*"))

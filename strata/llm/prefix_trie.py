@@ -109,21 +109,21 @@ def prefixes(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
 
 
 def subtree_totals(tree: DataFrame, values: list[str], rounds: int = ROUNDS) -> DataFrame:
-    """(node, *values): sums over subtrees of ``tree`` (node, parent, *values;
-    one root, whose parent is null), by rake and compress."""
+    """(node, *values): sums over subtrees of ``tree`` (node, parent, kids,
+    *values; one root, whose parent is null; kids: number of children), by
+    rake and compress."""
     acc, edge = values, [f"edge_{v}" for v in values]
-    left = materialize(tree.select("node", "parent", *acc, *(F.lit(0).cast("long").alias(e) for e in edge)))
+    left = tree.select("node", "parent", "kids", *acc, *(F.lit(0).cast("long").alias(e) for e in edge))
     raked, links = [], []
     for r in range(rounds):
-        parents = left.filter("parent IS NOT NULL").select(F.col("parent").alias("node")).distinct().withColumn("inner", F.lit(True))
-        marked = materialize(left.join(parents, "node", "left"))
-        leaves = marked.filter("inner IS NULL")
-        raked.append(leaves.select("node", *acc))
-        given = marked.filter("parent IS NOT NULL").groupBy("parent").agg(
-            *(F.sum(F.when(F.col("inner").isNull(), F.col(a) + F.col(e)).otherwise(0)).alias(f"add_{a}") for a, e in zip(acc, edge, strict=True)),
-            F.count("inner").alias("kids"), F.min(F.when(F.col("inner"), F.col("node"))).alias("kid")).withColumnRenamed("parent", "node")
-        inner = marked.filter("inner").join(given, "node")
-        inner = materialize(inner.select("node", "parent", *((F.col(a) + F.col(f"add_{a}")).alias(a) for a in acc), *edge, "kids", "kid"))
+        raked.append(left.filter("kids = 0").select("node", *acc))
+        # Per parent: what its leaves give it, and which children stay.
+        leaf = F.col("kids") == 0
+        given = left.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(
+            *(F.sum(F.when(leaf, F.col(a) + F.col(e)).otherwise(0)).alias(f"add_{a}") for a, e in zip(acc, edge, strict=True)),
+            F.count_if(~leaf).alias("kids"), F.min(F.when(~leaf, F.col("node"))).alias("kid"))
+        inner = left.filter("kids > 0").drop("kids").join(given, "node")
+        inner = materialize(inner.select("node", "parent", "kids", "kid", *((F.col(a) + F.col(f"add_{a}")).alias(a) for a in acc), *edge))
         if inner.isEmpty():
             break
         rank = lambda c: F.xxhash64(F.lit(r), F.col(c))  # noqa: E731,B023
@@ -131,12 +131,12 @@ def subtree_totals(tree: DataFrame, values: list[str], rounds: int = ROUNDS) ->
         gone = F.coalesce(unary & (rank("node") < rank("kid")) & (rank("node") < rank("parent")), F.lit(False))
         moved = inner.filter(gone).select(F.col("kid").alias("node"), F.col("node").alias("above"), F.col("parent").alias("grand"),
                                           *(F.col(a).alias(f"from_{a}") for a in acc), *(F.col(e).alias(f"from_{e}") for e in edge))
-        kept = materialize(inner.filter(~gone).drop("kids", "kid").join(moved, "node", "left"))
+        kept = materialize(inner.filter(~gone).drop("kid").join(moved, "node", "left"))
         # The removed node's total: its child's, what its child's edge held
         # before, and what the node itself had gathered.
         links.append(kept.filter("above IS NOT NULL").select(
             F.col("above").alias("node"), F.col("node").alias("to"), *((F.col(e) + F.col(f"from_{a}")).alias(a) for a, e in zip(acc, edge, strict=True))))
-        left = kept.select("node", F.coalesce("grand", "parent").alias("parent"), *acc, *(
+        left = kept.select("node", F.coalesce("grand", "parent").alias("parent"), "kids", *acc, *(
             (F.col(e) + F.coalesce(F.col(f"from_{a}") + F.col(f"from_{e}"), F.lit(0))).alias(e) for a, e in zip(acc, edge, strict=True)))
     else:
         raise RuntimeError("the tree is not contracted after the limit of rounds")
@@ -215,7 +215,7 @@ def trie(conversations: DataFrame) -> DataFrame:
     nodes = materialize(nodes.unionByName(top))
     kids = nodes.filter("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
     nodes = materialize(nodes.join(kids, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
-    tree = nodes.select("node", "parent", (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"))
+    tree = nodes.select("node", "parent", F.col("n_children").alias("kids"), (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"))
     totals = subtree_totals(tree, ["n_leaves", "saved_tokens"])
     ends = steps.join(lengths, "conv_id").filter("depth = length").select("node", "conv_id")
     ends = ends.union(lengths.filter("length = 0").select(root.alias("node"), "conv_id"))
