@@ -13,13 +13,15 @@ History rows: the tracked columns plus ``dbt_scd_id``, ``dbt_updated_at``,
   log in one pass (the batch form of many snapshot runs) with per-key
   ``lag``/``lead``, optionally split into time segments so a hot key does not
   land in one task (see :mod:`strata.operators.ordered`).
+* :func:`history_from_extracts` builds it from many full extracts in one pass,
+  absence of a key included.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import version_id
@@ -145,6 +147,54 @@ def history_from_log(log: DataFrame, keys: Sequence[str], ts: str, attrs: Sequen
         F.col(f"_n_{ts}").alias(VTO))
 
 
+def history_from_extracts(extracts: DataFrame, run_times: Sequence, keys: Sequence[str], strategy: str = "check",
+                          check_cols: Sequence[str] | None = None, updated_at: str | None = None,
+                          invalidate_hard_deletes: bool = True, number: str = "extract_no") -> DataFrame:
+    """SCD-4/8 from many full extracts, equal to as many successive
+    :func:`snapshot` merges, in one pass.
+
+    ``extracts`` holds the rows of all extracts with their ``number`` (0, 1,
+    ... in ``run_times``, the times of the runs; an extract may be empty).
+    Gaps and islands over (key, number): a row opens a version when the
+    extract before lacks its key or (``check``) a tracked column differs, or
+    (``timestamp``) ``updated_at`` is later than all before in its run of
+    extracts.  A version ends with the next one, or at the run that first
+    lacks the key.  A key has one row per extract (checked), so no key gathers
+    more rows than there are extracts."""
+    require_unique(extracts, [*keys, number], "extracts")
+    columns = [c for c in extracts.columns if c != number]
+    cols = list(check_cols) if check_cols else [c for c in columns if c not in keys and c not in TECHNICAL]
+    times = F.array(*[F.lit(t).cast("timestamp") for t in run_times])
+    at = lambda n: F.element_at(times, (n + 1).cast("int"))
+    per_key = Window.partitionBy(*keys).orderBy(number)
+    last = F.lag(number).over(per_key)
+    # A stretch is a run of extracts that hold the key without a gap.
+    starts = last.isNull() | (F.col(number) != last + 1) if invalidate_hard_deletes else last.isNull()
+    rows = extracts.withColumn("_starts", starts).withColumn("_stretch", F.sum(F.col("_starts").cast("int")).over(per_key))
+    stretch = Window.partitionBy(*keys, "_stretch").orderBy(number)
+    if strategy == "check":
+        opens = F.col("_starts")
+        for c in cols:
+            opens = opens | ~F.col(c).eqNullSafe(F.lag(c).over(per_key))
+    elif strategy == "timestamp":
+        before = stretch.rowsBetween(Window.unboundedPreceding, -1)
+        opens = F.col("_starts") | F.coalesce(F.col(updated_at) > F.max(updated_at).over(before), F.lit(False))
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    rows = rows.withColumn("_opens", opens).withColumn("_island", F.sum(F.col("_opens").cast("int")).over(per_key))
+    versions = rows.groupBy(*keys, "_stretch", "_island").agg(
+        F.min_by(F.struct(*columns), number).alias("_row"), F.min(number).alias("_first"), F.max(number).alias("_end"))
+    start = (F.col(f"_row.{updated_at}") if strategy == "timestamp" else at(F.col("_first"))).cast("timestamp")
+    versions = versions.withColumn(VFROM, start)
+    # Within a stretch the next version ends this one; the last version of a
+    # stretch ends at the run after its last extract, if there was one.
+    nxt = F.lead(VFROM).over(Window.partitionBy(*keys, "_stretch").orderBy("_island"))
+    gone = F.when(F.col("_end") + 1 < len(run_times), at(F.least(F.col("_end") + 1, F.lit(len(run_times) - 1)))) if invalidate_hard_deletes else F.lit(None).cast("timestamp")
+    versions = versions.withColumn(VTO, F.coalesce(nxt, gone))
+    return versions.select(*[F.col(f"_row.{c}").alias(c) for c in columns], version_id([F.col(f"_row.{k}") for k in keys], F.col(VFROM)).alias(SCD_ID),
+                           F.col(VFROM).alias(UPDATED), VFROM, VTO)
+
+
 def archive_split(history: DataFrame, older_than: Column) -> tuple[DataFrame, DataFrame]:
     """SCD-10: ``(archive, remaining)`` - closed versions that ended before
     ``older_than`` move to the archive; everything else stays."""

@@ -152,6 +152,23 @@ def user_extract(spark: SparkSession, sf: str, cutoff: str) -> DataFrame:
             .filter(F.col("event_type") != F.lit("error")))
 
 
+# Times of the full extracts that become a history in one pass; the last two
+# are close, so that keys come and go between them.
+EXTRACT_TIMES = ("2024-01-10 00:00:00", "2024-01-15 00:00:00", "2024-01-20 00:00:00", "2024-01-31 00:00:00")
+
+
+def user_extracts(spark: SparkSession, sf: str) -> DataFrame:
+    """The extracts of :func:`user_extract` at all EXTRACT_TIMES, numbered, in
+    one aggregate over the log."""
+    log = tpch.change_log(spark, sf)
+    picks = [F.max_by(F.when(F.col("ts") < ts(t), F.struct("event_type", "ts")), F.when(F.col("ts") < ts(t), F.struct("ts", "event_id"))).alias(f"s{i}")
+             for i, t in enumerate(EXTRACT_TIMES)]
+    last = log.groupBy("user_id").agg(*picks)
+    rows = F.array(*[F.struct(F.lit(i).alias("extract_no"), F.col(f"s{i}.event_type").alias("event_type"), F.col(f"s{i}.ts").alias("last_event_ts"))
+                     for i in range(len(EXTRACT_TIMES))])
+    return last.select("user_id", F.inline(rows)).filter("event_type <> 'error'")
+
+
 def merged_history(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
     """Two snapshot runs (T1 then T2) over the user extracts."""
     kw = dict(check_cols=["event_type"]) if strategy == "check" else dict(updated_at="last_event_ts")

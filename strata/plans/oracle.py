@@ -515,3 +515,25 @@ SQL["scd2_reinsert"] = f"""SELECT c_custkey, c_mktsegment, {T1} AS dbt_valid_fro
 SQL["padded_and_proper_names"] = """SELECT 'S-' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS supplier_key,
     array_to_string(list_transform(string_split(trim(s_name), ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS supplier_name FROM supplier"""
 SQL["stream_without_repeats"] = "SELECT event_id, user_id, ts FROM events"
+
+# --- maintenance that costs what changed -------------------------------------------
+SQL["profile_by_deltas"] = f"""SELECT customer_id, count(*) AS total_accounts_count,
+    CAST(sum(original_balance_amount) AS DECIMAL(38,2)) AS total_balance_amount,
+    CAST(sum(annual_interest_amount) AS DECIMAL(38,2)) AS total_annual_interest_amount, max(updated_at) AS last_updated_at
+  FROM ({rated(EV2)}) r GROUP BY customer_id"""
+SQL["upsert_touched_partitions"] = SQL["upsert"].replace(
+    "SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.account_id = t.account_id)",
+    "SELECT * FROM target t WHERE t.account_id % 19 <> 0 AND NOT EXISTS (SELECT 1 FROM batch b WHERE b.account_id = t.account_id)")
+# Four snapshots side by side; a version is a stretch of equal neighbours.
+_EXTRACTS = " UNION ALL ".join(
+    f"SELECT {i} AS n, user_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn "
+    f"FROM events WHERE ts < TIMESTAMP '{t}') e WHERE rn = 1 AND event_type <> 'error'" for i, t in enumerate(layers.EXTRACT_TIMES))
+_TIMES = "[" + ", ".join(f"TIMESTAMP '{t}'" for t in layers.EXTRACT_TIMES) + "]"
+SQL["scd2_from_extracts"] = f"""WITH x AS ({_EXTRACTS}),
+marked AS (SELECT x.*, p.user_id IS NULL AS opens FROM x LEFT JOIN x p ON p.user_id = x.user_id AND p.n = x.n - 1 AND p.event_type = x.event_type),
+opened AS (SELECT o.user_id, o.event_type, o.ts, o.n,
+    (SELECT min(g.n) FROM range({len(layers.EXTRACT_TIMES)}) g(n) WHERE g.n > o.n
+       AND NOT EXISTS (SELECT 1 FROM marked s WHERE s.user_id = o.user_id AND s.n = g.n AND NOT s.opens)) AS until
+  FROM marked o WHERE o.opens)
+SELECT user_id, event_type, ts AS last_event_ts, {scd_id('user_id', f'{_TIMES}[n + 1]')} AS dbt_scd_id, {_TIMES}[n + 1] AS dbt_updated_at,
+  {_TIMES}[n + 1] AS dbt_valid_from, CASE WHEN until IS NOT NULL THEN {_TIMES}[until + 1] END AS dbt_valid_to FROM opened"""

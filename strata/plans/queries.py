@@ -663,3 +663,46 @@ def stream_without_repeats(spark, sf):
 
     STR.run_available(STR.with_lateness(src, "ts", "3650 days", ["event_id"]), keep, root.rsplit("/", 1)[-1])
     return store.read("events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# --- maintenance that costs what changed ------------------------------------------
+
+RATE_TOTALS = dict(key="customer_id", count="total_accounts_count", maxima={"last_updated_at": "updated_at"},
+                   sums={"total_balance_amount": "original_balance_amount", "total_annual_interest_amount": "annual_interest_amount"})
+
+
+@register("profile_by_deltas")
+def profile_by_deltas(spark, sf):
+    """AGG-1/INC-3: customer totals kept by the signed changes of the accounts;
+    the accounts live in a keyed table, of which only buckets of customers who
+    lost their latest change are looked up again."""
+    from strata.operators import buckets as B
+    from strata.operators import deltas as D
+    target, batch = _incremental_batch(spark, sf)
+    view = D.Totals(**RATE_TOTALS)
+    totals = materialize(view.build(target))
+    changes = materialize(D.row_changes(target, batch, ["account_id"]))
+    accounts = B.KeyedTable(spark, f"accounts_{uuid.uuid4().hex}", ["customer_id"], buckets=32)
+    accounts.create(INC.upsert(target, batch, ["account_id"]), _scratch(spark, "accounts"))
+    changed, keys = view.apply(totals, changes, accounts.read_keys)
+    return D.refresh(totals, changed, keys, "customer_id")
+
+
+@register("upsert_touched_partitions")
+def upsert_touched_partitions(spark, sf):
+    """INC-3/INC-7: the same batch as ``upsert``, merged into a keyed catalog
+    table; closed accounts leave it."""
+    from strata.operators import buckets as B
+    target, batch = _incremental_batch(spark, sf)
+    accounts = B.KeyedTable(spark, f"rated_{uuid.uuid4().hex}", ["account_id"], buckets=32)
+    accounts.create(target, _scratch(spark, "rated"))
+    closed = target.filter("account_id % 19 = 0").join(batch, "account_id", "left_anti").select("account_id")
+    accounts.merge(batch, closed)
+    return accounts.read()
+
+
+@register("scd2_from_extracts")
+def scd2_from_extracts(spark, sf):
+    """SCD-4/8: users' histories from four full extracts in one pass."""
+    from strata.operators import scd2
+    return scd2.history_from_extracts(L.user_extracts(spark, sf), L.EXTRACT_TIMES, ["user_id"], check_cols=["event_type"])
