@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.incremental import check_schema, upsert
 from strata.operators.scd2 import require_unique
-from strata.session import materialize
+from strata.session import materialize, overwrite_partitions
 
 BUCKET = "key_bucket"
 
@@ -67,7 +67,7 @@ class KeyedTable:
         columns = self.spark.table(self.name).columns
         merged = upsert(self.read(touched), batch, self.keys, deleted_keys)
         merged = materialize(merged.withColumn(BUCKET, self.bucket()).select(*columns).repartition(BUCKET))
-        merged.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(self.name)
+        overwrite_partitions(merged, self.name)
         # A bucket that lost all its rows has nothing to be overwritten with.
         left = {r[0] for r in merged.select(BUCKET).distinct().collect()}
         for b in sorted(set(touched) - left):

@@ -4,8 +4,8 @@
   sends one value) brought to the driver as a scalar and applied as a
   literal, so the filter reaches the Parquet scan and prunes row groups.
 * Upsert is ``target minus source keys`` plus ``source`` - an anti-join and
-  a union; written to a fresh table version (see :mod:`strata.plans.publish`),
-  never in place.
+  a union; written to the run's own partition (see :mod:`strata.plans.runs`)
+  or to the touched buckets of a keyed table (:mod:`strata.operators.buckets`).
 * Changed-key propagation recomputes the affected keys of a downstream
   aggregate from *all* their detail rows and deletes keys that no longer
   qualify, so the incremental result equals a full refresh.

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
+from strata.operators.deltas import Totals
 
 
 def current(history: DataFrame, valid_to: str = "dbt_valid_to") -> DataFrame:
@@ -75,12 +76,24 @@ def customer_profile(summary: DataFrame, customers: DataFrame, key: str = "custo
     attributes.  Attributes come from the customer table (one row per key),
     never from ``DISTINCT`` over account rows, so each customer yields exactly
     one row (SEM-7)."""
+    return with_attributes(customer_totals(summary, key), customers, key)
+
+
+def with_attributes(totals: DataFrame, customers: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Customers' totals with their attributes, one row per customer."""
     attrs = customers.select(key, "customer_name", "has_loan_flag")
-    return customer_totals(summary, key).join(attrs, key, "left").select(
+    return totals.join(attrs, key, "left").select(
         key, "customer_name", "has_loan_flag", "total_accounts_count",
         "total_balance_amount", "total_annual_interest_amount", "calculated_at")
 
 
+# The totals of ``customer_totals`` as a view kept by changes (accounts are
+# unique by then: the contract of the summary).
+PROFILE_TOTALS = Totals("customer_id", "total_accounts_count",
+                        {"total_balance_amount": "original_balance_amount", "total_annual_interest_amount": "annual_interest_amount"},
+                        {"calculated_at": "calculated_at"}, C.MONEY_SUM)
+
+
 def distinct_attributes(df: DataFrame, cols: list[str]) -> DataFrame:
     """AGG-2: ``SELECT DISTINCT`` (partial distinct per partition first)."""
     return df.select(*cols).distinct()

@@ -237,3 +237,12 @@ def event_intervals(spark: SparkSession, sf: str) -> DataFrame:
         version_id(["user_id"], F.col("ts"), "event_id").alias("dbt_scd_id"),
         F.col("ts").cast("timestamp").alias("dbt_valid_from"),
         F.expr(INTERVAL_END).cast("timestamp").alias("dbt_valid_to"))
+
+
+# --- inputs of the streaming queries --------------------------------------------
+# Fixed rule: events arrive in six batches by day; every seventh a batch late,
+# every eleventh as late as the last batch.
+ARRIVAL = ("CAST(CASE WHEN event_id % 11 = 0 THEN 5 ELSE least(5, floor((day(ts) - 1) / 5) + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) END AS INT)")
+# Fixed defects by key: a field too many, an id that is no number.
+ORDER_LINE = ("concat(CASE WHEN o_orderkey % 13 = 0 THEN 'x' ELSE '' END, CAST(o_orderkey AS STRING), ',', CAST(o_custkey AS STRING), ',', "
+              "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING), CASE WHEN o_orderkey % 17 = 0 THEN ',surplus' ELSE '' END)")

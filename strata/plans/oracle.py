@@ -516,6 +516,21 @@ SQL["padded_and_proper_names"] = """SELECT 'S-' || lpad(CAST(s_suppkey AS VARCHA
     array_to_string(list_transform(string_split(trim(s_name), ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS supplier_name FROM supplier"""
 SQL["stream_without_repeats"] = "SELECT event_id, user_id, ts FROM events"
 
+SQL["stream_changed_keys"] = """WITH e AS (SELECT *, (user_id + event_id) % 4 AS part FROM events)
+SELECT b.part AS batch_id, b.user_id, l.event_type, l.ts, l.event_id FROM (SELECT DISTINCT part, user_id FROM e) b,
+  LATERAL (SELECT event_type, ts, event_id FROM e WHERE e.user_id = b.user_id AND e.part <= b.part ORDER BY ts DESC, event_id DESC LIMIT 1) l"""
+SQL["stream_late_rows"] = f"""WITH e AS (SELECT event_id, user_id, ts, {layers.ARRIVAL} AS batch FROM events),
+marks AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM e GROUP BY batch)
+SELECT e.*, coalesce(ts < mark - INTERVAL 3 DAY, false) AS late FROM e JOIN marks USING (batch)"""
+SQL["stream_quarantine"] = f"""SELECT CASE WHEN o_orderkey % 13 > 0 AND o_orderkey % 17 > 0 THEN o_orderkey END AS account_id,
+    CASE WHEN o_orderkey % 13 > 0 AND o_orderkey % 17 > 0 THEN o_custkey END AS customer_id,
+    CASE WHEN o_orderkey % 13 > 0 AND o_orderkey % 17 > 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS balance,
+    CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN {layers.ORDER_LINE} END AS malformed FROM orders"""
+SQL["audited_write"] = with_base("""SELECT attempt, CASE WHEN attempt = 3 THEN 2 ELSE 1 END * n AS rows_visible,
+    CASE WHEN attempt = 3 THEN 2 ELSE 1 END * n AS accounts_visible,
+    CAST(CASE WHEN attempt = 3 THEN 2 ELSE 1 END * b AS DECIMAL(38,2)) AS balance_visible, 0 AS nulls_visible
+  FROM (SELECT count(*) AS n, sum(original_balance_amount) AS b FROM summ), (VALUES (0), (1), (2), (3)) t(attempt)""")
+
 # --- maintenance that costs what changed -------------------------------------------
 SQL["profile_by_deltas"] = f"""SELECT customer_id, count(*) AS total_accounts_count,
     CAST(sum(original_balance_amount) AS DECIMAL(38,2)) AS total_balance_amount,

@@ -1,12 +1,13 @@
 """The whole layered run for the bank files: ``run(spark, RunConfig)``.
 
-Layers (each published through :class:`strata.plans.publish.TableStore`):
+Layers (each staged in the run's partition of a catalog table, see
+:mod:`strata.plans.runs`, and visible only when the whole run is complete):
 
 raw CSV -> src_customer / src_account -> stg_* + quarantine_stg_* ->
 snap_customer / snap_account (SCD2, open + closed stores) ->
 int_account_with_customer -> int_savings_account_only -> account_summary ->
-customer_profile, then the quality suite, the JSON report, the gate and the
-exports.
+customer_profile, then the quality suite over the staged rows, the JSON report
+and the gate; a run that passes is published in one step and exported.
 
 Incremental runs use changed-key propagation instead of timestamp filters
 (SEM-5/6/7): the keys touched by this run's snapshot merge (versions opened or
@@ -27,13 +28,14 @@ from pyspark.sql import functions as F
 
 from strata.functions import columns as C
 from strata.operators import contracts as K
+from strata.operators import deltas as D
 from strata.operators import incremental as INC
 from strata.operators import marts as M
 from strata.operators import quality as DQ
 from strata.operators import report as REP
 from strata.operators import scd2
 from strata.operators import staging as S
-from strata.plans.publish import HistoryStore, TableStore
+from strata.plans.runs import History, Warehouse
 from strata.session import materialize
 from strata.sinks import writers as W
 from strata.sources import files
@@ -69,8 +71,8 @@ class RunResult:
 
 
 class QualityGateError(RuntimeError):
-    """Checks of severity error failed (DQ-20); results are written, exports
-    are not."""
+    """Checks of severity error failed (DQ-20); results are written, tables
+    and exports are not published."""
 
 
 def _step(spark: SparkSession, what: str) -> None:
@@ -79,34 +81,32 @@ def _step(spark: SparkSession, what: str) -> None:
 
 
 def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
-    store = TableStore(spark, cfg.warehouse)
+    store = Warehouse(spark, cfg.warehouse)
     declared = K.contracts(cfg.id_type)
 
-    def put(name: str, df: DataFrame) -> None:
-        """Publish a table that has its declared columns and types."""
-        store.publish(name, declared[name].enforce(df, constraints=False), cfg.run_id, cfg.run_ts)
+    def put(name: str, df: DataFrame) -> DataFrame:
+        """Stage a table with its declared columns, types and no nulls; its
+        unique keys are checked with the suite, before publishing."""
+        return store.stage(name, declared[name].enforce(df, constraints=False), declared[name], unique=False)
 
     ts = F.lit(cfg.run_ts).cast("timestamp")
     res = RunResult()
-    # The profile is the last mart a run publishes: if an earlier run
-    # published it, this run maintains incrementally.  A first run that died
-    # midway is re-run as a full build, and a run whose marts are already
-    # published under this id takes the full-build branch too - there every
-    # publish of this run id is a no-op.
-    incremental = (not cfg.full_refresh and store.exists("customer_profile")
-                   and store.committed("customer_profile", cfg.run_id) is None)
+    if not store.begin(cfg.run_id, cfg.run_ts):
+        res.layer_counts = layer_counts(store)
+        return res
+    incremental = not cfg.full_refresh and store.exists("customer_profile")
 
     # ingest + source layer
     _step(spark, f"{cfg.run_id}: ingest")
     raw_c = files.read_customers(spark, cfg.customers_path)
     raw_a = files.read_accounts(spark, cfg.accounts_path)
-    put("src_customer", S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts))
-    put("src_account", S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts))
+    src_c = put("src_customer", S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts))
+    src_a = put("src_account", S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts))
 
     # staging + quarantine: one validation pass per table
     _step(spark, f"{cfg.run_id}: staging")
-    stg_c, q_c = S.stage_customers(store.read("src_customer"), ts, cfg.id_type)
-    stg_a, q_a = S.stage_accounts(store.read("src_account"), ts, cfg.id_type)
+    stg_c, q_c = S.stage_customers(src_c, ts, cfg.id_type)
+    stg_a, q_a = S.stage_accounts(src_a, ts, cfg.id_type)
     for name, df in (("stg_customer", stg_c), ("quarantine_stg_customer", q_c),
                      ("stg_account", stg_a), ("quarantine_stg_account", q_a)):
         put(name, df)
@@ -117,7 +117,7 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
 
     # snapshots: merge the open versions only (a full refresh rebuilds the
     # incremental models, never the history)
-    snap_c, snap_a = HistoryStore(store, "snap_customer"), HistoryStore(store, "snap_account")
+    snap_c, snap_a = History(store, "snap_customer"), History(store, "snap_account")
     _step(spark, f"{cfg.run_id}: snapshots")
     kw_c = dict(check_cols=CUSTOMER_CHECK) if cfg.customer_strategy == "check" else dict(updated_at="loaded_at")
     kw_a = dict(check_cols=ACCOUNT_CHECK) if cfg.account_strategy == "check" else dict(updated_at="loaded_at")
@@ -125,57 +125,53 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
                              cfg.customer_strategy, ts, **kw_c)
     merged_a = scd2.snapshot(snap_a.open_versions(), stg_a, ["account_id"],
                              cfg.account_strategy, ts, **kw_a)
-    snap_c.commit(merged_c, cfg.run_id, cfg.run_ts)
-    snap_a.commit(merged_a, cfg.run_id, cfg.run_ts)
+    snap_c.stage(merged_c, declared["snap_customer"])
+    snap_a.stage(merged_a, declared["snap_account"])
     open_c, open_a = snap_c.open_versions(), snap_a.open_versions()
 
     _step(spark, f"{cfg.run_id}: intermediate+marts")
     if not incremental:
-        awc = M.account_with_customer(open_a, open_c)
-        put("int_account_with_customer", awc)
-        sav = M.savings_only(store.read("int_account_with_customer"))
-        put("int_savings_account_only", sav)
-        summ = M.account_summary(store.read("int_savings_account_only"), ts)
-        put("account_summary", summ)
-        prof = M.customer_profile(store.read("account_summary"), open_c)
-        put("customer_profile", prof)
+        awc = put("int_account_with_customer", M.account_with_customer(open_a, open_c))
+        sav = put("int_savings_account_only", M.savings_only(awc))
+        summ = put("account_summary", M.account_summary(sav, ts))
+        put("customer_profile", M.customer_profile(summ, open_c))
     else:
         # keys touched this run (the run's closed partition + versions opened
         # at run_ts), materialized once: small next to the tables
-        ch_c = materialize(snap_c.touched_keys(["customer_id"], cfg.run_id, ts))
-        ch_a = snap_a.touched_keys(["account_id"], cfg.run_id, ts)
-        prev_awc = store.read_before("int_account_with_customer", cfg.run_id)
+        ch_c = materialize(snap_c.touched_keys(["customer_id"], ts))
+        ch_a = snap_a.touched_keys(["account_id"], ts)
+        prev_awc = store.read_before("int_account_with_customer")
         via_customer = (open_a.select("account_id", "customer_id").unionByName(prev_awc.select("account_id", "customer_id"))
                         .join(ch_c, "customer_id", "left_semi").select("account_id"))
         affected = materialize(ch_a.unionByName(via_customer).distinct())
 
         # Fresh rows of the affected accounts, derived once (small) and passed
-        # down the chain: each layer's new version is the previous version
-        # minus the affected keys plus its fresh rows - no layer re-scans the
-        # table the previous step just wrote.
+        # down the chain: each layer's new rows are the previous ones minus
+        # the affected keys plus its fresh rows - no layer re-scans the table
+        # the previous step just wrote.
         fresh_awc = materialize(M.account_with_customer(open_a.join(affected, "account_id", "left_semi"), open_c))
         fresh_sav = M.savings_only(fresh_awc)
         fresh_summ = materialize(M.account_summary(fresh_sav, ts))
-        for name, fresh in (("int_account_with_customer", fresh_awc), ("int_savings_account_only", fresh_sav),
-                            ("account_summary", fresh_summ)):
-            prev = prev_awc if name == "int_account_with_customer" else store.read_before(name, cfg.run_id)
-            if name == "account_summary":
-                prev_summ = prev
-            put(name, INC.replace_keys(prev, fresh, affected, "account_id"))
-        summ = store.read("account_summary")
-
-        # customers whose totals may change: owners of affected accounts
-        # before and after, plus customers whose attributes changed
-        cust = INC.affected_keys(prev_summ.join(affected, "account_id", "left_semi"), fresh_summ, "customer_id")
-        cust = materialize(cust.unionByName(ch_c).distinct())
-        prev_prof = store.read_before("customer_profile", cfg.run_id)
+        prev_summ = store.read_before("account_summary")
+        put("int_account_with_customer", INC.replace_keys(prev_awc, fresh_awc, affected, "account_id"))
+        put("int_savings_account_only", INC.replace_keys(store.read_before("int_savings_account_only"), fresh_sav, affected, "account_id"))
+        summ = put("account_summary", INC.replace_keys(prev_summ, fresh_summ, affected, "account_id"))
+
+        # Totals move by the signed changes of the accounts; other accounts of
+        # the customers are not read, unless the latest stamp went with one.
+        prev_prof = store.read_before("customer_profile")
+        totals = prev_prof.drop("customer_name", "has_loan_flag")
+        gone = prev_summ.join(affected, "account_id", "left_semi")
+        moved = gone.withColumn(D.SIGN, F.lit(-1)).unionByName(fresh_summ.withColumn(D.SIGN, F.lit(1)))
+        changed, cust = M.PROFILE_TOTALS.apply(totals, moved, lambda keys: summ)
+        cust = materialize(cust.filter(F.col("customer_id").isNotNull()))
+        renamed = totals.join(ch_c.join(cust, "customer_id", "left_anti"), "customer_id", "left_semi")
+        every = materialize(cust.unionByName(ch_c).distinct())
         # Attributes only for the affected customers: the semi-join against
         # the small key set is broadcast, so the customer table is filtered in
         # place rather than shuffled for the left join.
-        attrs = open_c.join(cust, "customer_id", "left_semi")
-        prof = INC.refresh_keys(prev_prof, summ, cust, "customer_id",
-                                lambda d: M.customer_profile(d, attrs))
-        put("customer_profile", prof)
+        fresh = M.with_attributes(changed.unionByName(renamed), open_c.join(every, "customer_id", "left_semi"))
+        put("customer_profile", INC.replace_keys(prev_prof, fresh, every, "customer_id"))
 
     # quality suite, report, gate
     _step(spark, f"{cfg.run_id}: quality")
@@ -183,22 +179,26 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     if cfg.report_dir:
         W.save_report(results, cfg.report_dir, cfg.run_id, cfg.run_ts)
     res.gate = REP.gate(results).first().asDict()
+    broken = results.filter("status = 'fail' AND (test_name LIKE 'unique!_%' ESCAPE '!' OR test_name LIKE 'not!_null!_%' ESCAPE '!')").limit(5).collect()
+    if broken:  # declared constraints hold in every published run
+        raise K.ContractError(f"run {cfg.run_id}: {[r.test_name for r in broken]} broken, nothing is published")
     if not res.gate["passed"] and cfg.stop_on_error:
-        raise QualityGateError(f"run {cfg.run_id}: {res.gate['failing']} failing checks, nothing is exported")
+        raise QualityGateError(f"run {cfg.run_id}: {res.gate['failing']} failing checks, nothing is published")
+    _step(spark, f"{cfg.run_id}: layer counts")
+    res.layer_counts = layer_counts(store)
+    frames = {name: store.read(name) for name in ("account_summary", "customer_profile")}
+    store.commit()
 
     _step(spark, f"{cfg.run_id}: exports")
     if cfg.export_dir:
-        for name in ("account_summary", "customer_profile"):
-            df = store.read(name)
+        for name, df in frames.items():
             res.exports.append(W.write_csv(df, f"{cfg.export_dir}/{name}_csv"))
             res.exports.append(W.write_parquet(df, f"{cfg.export_dir}/{name}_parquet"))
 
-    _step(spark, f"{cfg.run_id}: layer counts")
-    res.layer_counts = layer_counts(store, snap_c, snap_a)
     for name in LAYER_TABLES:
         store.vacuum(name, cfg.keep_versions)
     for name in ("snap_customer", "snap_account"):
-        store.vacuum(name, cfg.keep_versions, closed=False)
+        store.vacuum(name, cfg.keep_versions, only=", is_open=true")
     spark.sparkContext.setJobDescription(None)
     return res
 
@@ -208,13 +208,15 @@ LAYER_TABLES = ("src_customer", "src_account", "stg_customer", "stg_account", "q
                 "account_summary", "customer_profile")
 
 
-def layer_counts(store: TableStore, snap_c: HistoryStore, snap_a: HistoryStore) -> dict[str, int]:
-    """QRY-7: row counts of every layer.  Tables published by this run report
-    the rows their write observed; others (and histories) are counted from
-    Parquet footers."""
-    out = {t: store.counts[t] if t in store.counts else store.read(t).count() for t in LAYER_TABLES}
-    out["snap_customer"] = snap_c.read().count()
-    out["snap_account"] = snap_a.read().count()
+def layer_counts(store: Warehouse) -> dict[str, int]:
+    """QRY-7: row counts of every layer, as the staging writes observed them;
+    histories are counted from Parquet footers."""
+    known = store.counts
+    if not known:
+        known = store.runs().agg(F.max_by("counts", "run_ts")).first()[0]
+    out = {t: known[t] for t in LAYER_TABLES}
+    for name in ("snap_customer", "snap_account"):
+        out[name] = History(store, name).read().count()
     return out
 
 
@@ -224,11 +226,11 @@ RECENCY = (("src_customer", "loaded_at", 24), ("src_account", "loaded_at", 24),
            ("account_summary", "calculated_at", 26), ("customer_profile", "calculated_at", 26))
 
 
-def quality_results(store: TableStore, run_id: str, run_ts: dt.datetime, id_type: str = "int") -> DataFrame:
+def quality_results(store: Warehouse, run_id: str, run_ts: dt.datetime, id_type: str = "int") -> DataFrame:
     """The pipeline's declared tests over the published layers: what the
     contracts say, and the rules of the marts.  Row conditions and recency of
     a table share one scan."""
-    t = {n: store.read(n) for n in LAYER_TABLES} | {n: HistoryStore(store, n).read() for n in ("snap_customer", "snap_account")}
+    t = {n: store.read(n) for n in LAYER_TABLES} | {n: History(store, n).read() for n in ("snap_customer", "snap_account")}
     now = F.lit(run_ts).cast("timestamp")
     s = DQ.Suite(t)
     for name, contract in K.contracts(id_type).items():

@@ -497,24 +497,42 @@ def layer_counts(spark, sf):
     return out
 
 
+def _batches(spark, root: str, frame, number: str, run) -> None:
+    """Write the rows of ``frame`` as one file set per value 0, 1, ... of the
+    expression ``number``, each followed by a call of ``run`` (one
+    micro-batch, the checkpoint going on)."""
+    n = frame.selectExpr(f"max({number}) AS n").first()["n"]
+    for i in range((n or 0) + 1):
+        frame.filter(F.expr(number) == i).write.mode("append").parquet(f"{root}/landing")
+        run()
+
+
 @register("stream_latest_state")
 def stream_latest_state(spark, sf):
-    """STR-1/2: the events file streamed through ``foreachBatch`` into a
-    keyed table holding each user's latest event."""
-    from strata.plans.publish import TableStore
+    """STR-1/2: the events streamed into each user's latest event: the state is
+    Spark's, every batch appends the keys it changed."""
     from strata.streaming import ingest as STR
-    schema = tpch.table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id").schema
     root = _scratch(spark, "stream")
-    store = TableStore(spark, f"{root}/tables")
-    sink = STR.KeyedStateSink(store, "user_state", ["user_id"], ["ts", "event_id"], ["event_type"], stream=root.rsplit("/", 1)[-1])
-    # Two calls, the second one over files that came later, in batches of one
-    # file each: nothing may be lost between batches or calls.
     events = tpch.table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
-    for part in (0, 1):
-        events.filter(F.col("event_id") % 2 == part).repartition(2, "event_id").write.mode("append").parquet(f"{root}/landing")
-        src = STR.stream_ingest(spark, f"{root}/landing", schema, fmt="parquet", max_files_per_trigger=1)
-        STR.run_available(src, sink)
-    return store.read("user_state")
+    sink = STR.ChangeSink(spark, f"{root}/changes", ["user_id"], ["ts", "event_id"], stream=root.rsplit("/", 1)[-1])
+    _batches(spark, root, events, "CAST(event_id % 2 AS INT)", lambda: STR.run_available(
+        STR.latest_state(STR.stream_ingest(spark, f"{root}/landing", events.schema, fmt="parquet"), ["user_id"], ["ts", "event_id"], ["event_type"]),
+        sink, mode="update"))
+    return sink.current()
+
+
+@register("stream_changed_keys")
+def stream_changed_keys(spark, sf):
+    """STR-2: what each of four batches wrote: the latest event of the users
+    in the batch, and of nobody else."""
+    from strata.streaming import ingest as STR
+    root = _scratch(spark, "changes")
+    events = tpch.table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id").withColumn("part", (F.col("user_id") + F.col("event_id")) % 4)
+    sink = STR.ChangeSink(spark, f"{root}/changes", ["user_id"], ["ts", "event_id"], stream=root.rsplit("/", 1)[-1])
+    _batches(spark, root, events, "CAST(part AS INT)", lambda: STR.run_available(
+        STR.latest_state(STR.stream_ingest(spark, f"{root}/landing", events.schema, fmt="parquet"), ["user_id"], ["ts", "event_id"], ["event_type"]),
+        sink, mode="update"))
+    return sink.changes()
 
 
 @register("pipeline_incremental_profile")
@@ -527,7 +545,7 @@ def pipeline_incremental_profile(spark, sf):
     import datetime as dt
 
     from strata.plans import pipeline as P
-    from strata.plans.publish import TableStore
+    from strata.plans.runs import Warehouse
     root = _scratch(spark, "pipeline")
     orders = tpch.table(spark, sf, "orders")
     accts = orders.selectExpr(*[f"{e} AS {n}" for n, e in tpch.RAW_ACCOUNT_EXPRS.items()],
@@ -548,7 +566,7 @@ def pipeline_incremental_profile(spark, sf):
         P.run(spark, P.RunConfig(customers_path=f"{root}/in/c", accounts_path=f"{root}/in/{folder}",
                                  warehouse=f"{root}/wh", run_id=run_id, run_ts=dt.datetime.fromisoformat(ts),
                                  id_type=tpch.ID_TYPE, stop_on_error=False))  # the inputs hold zero balances
-    return TableStore(spark, f"{root}/wh").read("customer_profile")
+    return Warehouse(spark, f"{root}/wh").read("customer_profile")
 
 
 # --- further operators, each on whole tables ------------------------------------
@@ -631,11 +649,17 @@ def scd2_reinsert(spark, sf):
     """SCD-5/9: customers deleted in the second run and back in the third, on
     the history store."""
     from strata.operators import scd2
-    from strata.plans.publish import HistoryStore, TableStore
-    hs = HistoryStore(TableStore(spark, _scratch(spark, "reinsert")), "snap")
+    import datetime as dt
+
+    from strata.operators import scd2
+    from strata.plans.runs import History, Warehouse
+    wh = Warehouse(spark, _scratch(spark, "reinsert"))
+    hs = History(wh, "snap")
     cust = tpch.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     for run, (t, frame) in enumerate(((L.T1, cust), (L.T2, cust.filter("c_custkey % 5 <> 0")), (L.CHECK_NOW, cust))):
-        hs.commit(scd2.snapshot(hs.open_versions(), frame, ["c_custkey"], "check", L.ts(t), check_cols=["c_mktsegment"]), f"r{run}")
+        wh.begin(f"r{run}", dt.datetime.fromisoformat(t))
+        hs.stage(scd2.snapshot(hs.open_versions(), frame, ["c_custkey"], "check", L.ts(t), check_cols=["c_mktsegment"]))
+        wh.commit()
     return hs.read().select("c_custkey", "c_mktsegment", "dbt_valid_from", "dbt_valid_to")
 
 
@@ -648,21 +672,79 @@ def padded_and_proper_names(spark, sf):
 
 @register("stream_without_repeats")
 def stream_without_repeats(spark, sf):
-    """STR-3: events delivered twice; repeats within the watermark go."""
-    from strata.plans.publish import TableStore
+    """STR-3: events delivered twice, in different batches; repeats within the
+    watermark go."""
     from strata.streaming import ingest as STR
     root = _scratch(spark, "lateness")
     events = tpch.table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
-    events.union(events).repartition(3).write.parquet(f"{root}/landing")
-    src = STR.stream_ingest(spark, f"{root}/landing", events.schema, fmt="parquet")
-    store = TableStore(spark, f"{root}/tables")
+    twice = events.withColumn("part", F.lit(0)).union(events.withColumn("part", F.lit(1)))
+    sink = STR.ChangeSink(spark, f"{root}/kept", ["event_id"], ["ts"], stream=root.rsplit("/", 1)[-1])
+    _batches(spark, root, twice, "part", lambda: STR.run_available(
+        STR.with_lateness(STR.stream_ingest(spark, f"{root}/landing", twice.schema, fmt="parquet"), "ts", "3650 days", ["event_id"]), sink))
+    return sink.changes().select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
 
-    def keep(batch, batch_id):
-        seen = store.read("events").unionByName(batch) if store.exists("events") else batch
-        store.publish("events", seen, f"batch/{batch_id}")
+@register("stream_late_rows")
+def stream_late_rows(spark, sf):
+    """STR-3/INC-8: six batches with rows up to 24 days older than what came
+    before; those over three days late are kept aside, not dropped."""
+    from strata.streaming import ingest as STR
+    root = _scratch(spark, "late")
+    events = tpch.table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    events = events.withColumn("part", F.expr(L.ARRIVAL))
+    sink = STR.LateSplitSink(spark, root, "ts", days=3, stream=root.rsplit("/", 1)[-1])
+    _batches(spark, root, events, "part", lambda: STR.run_available(STR.stream_ingest(spark, f"{root}/landing", events.schema, fmt="parquet"), sink))
+    both = sink.on_time().withColumn("late", F.lit(False)).unionByName(sink.late().withColumn("late", F.lit(True)))
+    return both.select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("part").alias("batch"), "late")
+
+
+@register("stream_quarantine")
+def stream_quarantine(spark, sf):
+    """STR-1/SRC-1: CSV files streamed in batches, some lines with a field too
+    many or an id that is no number; each batch is split into valid rows and
+    malformed lines."""
+    from strata.streaming import ingest as STR
+    root = _scratch(spark, "malformed")
+    lines = tpch.table(spark, sf, "orders").selectExpr("o_orderkey % 2 AS part", f"{L.ORDER_LINE} AS line")
+    sink = STR.QuarantineSink(spark, root, stream=root.rsplit("/", 1)[-1])
+    schema = "account_id bigint, customer_id bigint, balance decimal(18,2)"
+    for part in (0, 1):
+        lines.filter(F.col("part") == part).select(F.col("line").alias("account_id,customer_id,balance")).write.mode("append").option(
+            "header", True).option("quote", "").option("escapeQuotes", False).csv(f"{root}/landing", sep="|")
+        STR.run_available(STR.stream_csv(spark, f"{root}/landing", schema), sink)
+    ok = sink.valid().select("account_id", "customer_id", "balance", F.lit(None).cast("string").alias("malformed"))
+    return ok.unionByName(sink.malformed().select(F.lit(None).cast("bigint").alias("account_id"), F.lit(None).cast("bigint").alias("customer_id"),
+                                                  F.lit(None).cast("decimal(18,2)").alias("balance"), F.col(STR.CORRUPT).alias("malformed")))
+
+
+@register("audited_write")
+def audited_write(spark, sf):
+    """CON-2: write, audit, publish: a first run is published; a second one
+    that repeats keys, and a third one with nulls, are refused; readers see
+    the first run throughout, and then a clean fourth one."""
+    import datetime as dt
 
-    STR.run_available(STR.with_lateness(src, "ts", "3650 days", ["event_id"]), keep, root.rsplit("/", 1)[-1])
-    return store.read("events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    from strata.operators import contracts as K
+    from strata.plans.runs import Warehouse
+    wh = Warehouse(spark, _scratch(spark, "audit"))
+    good = materialize(L.account_summary(spark, sf))
+    contract = K.contracts(tpch.ID_TYPE)["account_summary"]
+    again = good.withColumn("account_id", F.concat(F.lit("n"), "account_id"))
+    runs = (good, good.unionByName(good.filter(F.col("customer_id") % 7 == 0)),
+            good.withColumn("interest_rate_pct", F.when(F.col("customer_id") % 7 > 0, F.col("interest_rate_pct"))), good.unionByName(again))
+    seen = []
+    for i, frame in enumerate(runs):
+        wh.begin(f"r{i}", dt.datetime(2024, 2, 1 + i))
+        try:
+            wh.stage("account_summary", frame, contract)
+            wh.commit()
+        except K.ContractError:
+            pass
+        now = Warehouse(spark, wh.root).read("account_summary")
+        seen.append(now.agg(F.count(F.lit(1)).alias("rows_visible"), F.count_distinct("account_id").alias("accounts_visible"),
+                            F.sum("original_balance_amount").cast("decimal(38,2)").alias("balance_visible"),
+                            F.count_if(F.col("interest_rate_pct").isNull()).alias("nulls_visible")).select(F.lit(i).alias("attempt"), "*"))
+    return materialize(seen[0].unionByName(seen[1]).unionByName(seen[2]).unionByName(seen[3]))
 
 
 # --- maintenance that costs what changed ------------------------------------------

@@ -94,3 +94,15 @@ def materialize(df):
     df.write.mode("overwrite").parquet(path)
     # The schema is known: no job that reads footers to infer it.
     return spark.read.schema(df.schema).parquet(path)
+
+
+def overwrite_partitions(df, table: str) -> None:
+    """Replace those partitions of a catalog table that ``df`` has rows for.
+    (``insertInto`` takes the overwrite mode from the session only.)"""
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)

@@ -10,7 +10,7 @@ from strata.functions import columns as C
 from strata.functions import names as N
 from strata.operators import contracts as K
 from strata.plans import pipeline as P
-from strata.plans.publish import TableStore
+from strata.plans.runs import Warehouse
 from tests import fixtures as FX
 
 
@@ -93,7 +93,7 @@ def test_contracts_on_pipeline_output(spark, tmp):
     cust = FX.write(f"{tmp}/in", "c.csv", FX.EDGE_CUSTOMERS)
     acct = FX.write(f"{tmp}/in", "a.csv", FX.EDGE_ACCOUNTS)
     P.run(spark, P.RunConfig(cust, acct, f"{tmp}/wh", "r1", dt.datetime(2024, 1, 1)))
-    store = TableStore(spark, f"{tmp}/wh")
+    store = Warehouse(spark, f"{tmp}/wh")
     for name in ("stg_customer", "stg_account", "int_account_with_customer", "int_savings_account_only",
                  "account_summary", "customer_profile"):
         df = store.read(name)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strata.operators import incremental as INC
 from strata.operators import quality as DQ
 from strata.operators import report as REP
-from strata.plans.publish import HistoryStore, TableStore
+from strata.plans.runs import History, Warehouse
 from strata.sinks import writers as W
 
 D = lambda d, h=0: dt.datetime(2024, 1, d, h)
@@ -120,29 +120,31 @@ def test_report_sink_latest(spark, tmp):
     assert len(latest) == 1 and latest[0].violations == 2
 
 
-def test_table_store_publish_is_versioned_and_idempotent(spark, tmp):
-    store = TableStore(spark, f"{tmp}/wh")
-    assert not store.exists("t")
-    v1 = store.publish("t", spark.range(3), "run-1")
-    assert store.publish("t", spark.range(5), "run-1") == v1          # same run: no-op
-    assert store.read("t").count() == 3 and store.counts["t"] == 3
-    v2 = store.publish("t", store.read("t").union(spark.range(3, 4)), "run-2")  # reads v1, writes v2
-    assert v2 != v1 and store.read("t").count() == 4
+def test_runs_are_published_once_and_in_order(spark, tmp):
+    wh = Warehouse(spark, f"{tmp}/wh")
+    assert not wh.exists("t") and wh.begin("run-1", D(1))
+    wh.stage("t", spark.range(3))
+    assert not Warehouse(spark, f"{tmp}/wh").exists("t")  # staged, not visible
+    wh.commit()
+    assert not wh.begin("run-1", D(1)) and wh.read("t").count() == 3
+    assert wh.begin("run-2", D(2))
+    wh.stage("t", wh.read("t").union(spark.range(3, 4)))  # reads run-1, writes run-2
+    wh.commit()
+    assert wh.last("t") == "run-2" and wh.read("t").count() == 4
 
 
-def test_history_store_appends_closed_and_replaces_open(spark, tmp):
+def test_history_appends_closed_and_replaces_open(spark, tmp):
     from strata.operators import scd2
-    store = TableStore(spark, f"{tmp}/wh")
-    hs = HistoryStore(store, "snap")
-    cur1 = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
-    hs.commit(scd2.snapshot(hs.open_versions(), cur1, ["k"], "check", F.lit(D(1)).cast("timestamp")), "r1")
-    cur2 = spark.createDataFrame([(1, "a2")], "k long, v string")
-    hs.commit(scd2.snapshot(hs.open_versions(), cur2, ["k"], "check", F.lit(D(2)).cast("timestamp")), "r2")
-    full = hs.read()
-    assert full.count() == 3 and hs.open_versions().count() == 1
-    assert {r.k for r in hs.touched_keys(["k"], "r2", F.lit(D(2)).cast("timestamp")).collect()} == {1, 2}
-    hs.commit(scd2.snapshot(hs.open_versions(), cur2, ["k"], "check", F.lit(D(2)).cast("timestamp")), "r2")
-    assert hs.read().count() == 3                                     # replayed run: no-op
+    wh = Warehouse(spark, f"{tmp}/wh")
+    hs = History(wh, "snap")
+    for i, rows in enumerate(([(1, "a"), (2, "b")], [(1, "a2")])):
+        assert wh.begin(f"r{i}", D(i + 1))
+        t = F.lit(D(i + 1)).cast("timestamp")
+        hs.stage(scd2.snapshot(hs.open_versions(), spark.createDataFrame(rows, "k long, v string"), ["k"], "check", t))
+        if i:
+            assert {r.k for r in hs.touched_keys(["k"], t).collect()} == {1, 2}
+        wh.commit()
+    assert hs.read().count() == 3 and hs.open_versions().count() == 1
 
 
 def test_subquery_predicates_and_gate_without_results(spark, tmp):

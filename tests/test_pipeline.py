@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import pipeline as P
-from strata.plans.publish import HistoryStore, TableStore
+from strata.plans.runs import History, Warehouse
 from strata.sources import files
 from tests import fixtures as FX
 
@@ -28,7 +28,7 @@ def test_dirty_sample_full_run(spark, tmp):
     assert c["int_account_with_customer"] == 5
     assert c["int_savings_account_only"] == 4 and c["account_summary"] == 4
     assert c["customer_profile"] == 4
-    store = TableStore(spark, f"{tmp}/wh")
+    store = Warehouse(spark, f"{tmp}/wh")
     tot = store.read("account_summary").agg(
         F.sum("original_balance_amount").alias("b"), F.sum("annual_interest_amount").alias("i"),
         F.sum("new_balance_amount").alias("n")).first()
@@ -50,7 +50,7 @@ def test_edge_sample(spark, tmp):
     res = P.run(spark, _cfg(tmp, cust, acct, "r1", 1))
     assert res.layer_counts["quarantine_stg_customer"] == 0
     assert res.layer_counts["quarantine_stg_account"] == 0
-    store = TableStore(spark, f"{tmp}/wh")
+    store = Warehouse(spark, f"{tmp}/wh")
     s = {r.account_id: r for r in store.read("account_summary").collect()}
     assert len(s) == 11
     assert s["B-02"].annual_interest_amount == Decimal("116.67")      # 7777.70 x 0.015, HALF_UP
@@ -103,10 +103,10 @@ def test_incremental_equals_full_refresh(spark, tmp):
     c2 = FX.write(f"{tmp}/in2", "c.csv", c2_text)
     a2 = FX.write(f"{tmp}/in2", "a.csv", a2_text)
     P.run(spark, _cfg(tmp, c2, a2, "r2", 2))
-    inc = _state(TableStore(spark, f"{tmp}/wh"))
+    inc = _state(Warehouse(spark, f"{tmp}/wh"))
 
     P.run(spark, _cfg(f"{tmp}/full", c2, a2, "r1", 2))
-    full = _state(TableStore(spark, f"{tmp}/full/wh"))
+    full = _state(Warehouse(spark, f"{tmp}/full/wh"))
     assert inc == full
     s = {r[0]: r for r in inc["account_summary"]}
     assert s["B-01"][2] == Decimal("7000.00") and s["B-01"][4] == Decimal("105.00")  # 7000 x (0.01 + 0.005)
@@ -114,7 +114,7 @@ def test_incremental_equals_full_refresh(spark, tmp):
     assert all(r[0] != 209 for r in inc["customer_profile"])
 
     # history: customer 201 has two versions, one open; customer 209 closed
-    snap = HistoryStore(TableStore(spark, f"{tmp}/wh"), "snap_customer").read()
+    snap = History(Warehouse(spark, f"{tmp}/wh"), "snap_customer").read()
     v1 = snap.filter("customer_id = 201").orderBy("dbt_valid_from").collect()
     assert [r.customer_name for r in v1] == ["ana forte", "ann renamed"]
     assert v1[0].dbt_valid_to == v1[1].dbt_valid_from and v1[1].dbt_valid_to is None
@@ -126,12 +126,13 @@ def test_rerun_same_run_is_noop_and_unchanged_run_adds_nothing(spark, tmp):
     c1 = FX.write(f"{tmp}/in1", "c.csv", FX.EDGE_CUSTOMERS)
     a1 = FX.write(f"{tmp}/in1", "a.csv", FX.EDGE_ACCOUNTS)
     P.run(spark, _cfg(tmp, c1, a1, "r1", 1))
-    store = TableStore(spark, f"{tmp}/wh")
-    before = store.current("account_summary")
+    store = Warehouse(spark, f"{tmp}/wh")
+    files_before = sorted(store.read("account_summary").inputFiles())
     P.run(spark, _cfg(tmp, c1, a1, "r1", 1))
-    assert store.current("account_summary") == before
+    store = Warehouse(spark, f"{tmp}/wh")
+    assert store.last("account_summary") == "r1" and sorted(store.read("account_summary").inputFiles()) == files_before
     P.run(spark, _cfg(tmp, c1, a1, "r2", 2))
-    snap = HistoryStore(store, "snap_account").read()
+    snap = History(Warehouse(spark, f"{tmp}/wh"), "snap_account").read()
     assert snap.count() == 13 and snap.filter("dbt_valid_to IS NULL").count() == 13
 
 
@@ -151,8 +152,9 @@ def test_schema_drift_and_empty_input(spark, tmp):
 
 @pytest.mark.parametrize("crash_at", ["int_savings_account_only", "customer_profile"])
 def test_failed_run_then_rerun_equals_clean_run(spark, tmp, monkeypatch, crash_at):
-    """INC-7: a run that dies after some layers were published, re-run with
-    the same run id, ends exactly like an uninterrupted run."""
+    """INC-7: a run that dies after some layers were staged changes nothing
+    that readers see; re-run with the same run id, it ends exactly like an
+    uninterrupted run."""
     c1 = FX.write(f"{tmp}/in1", "c.csv", FX.EDGE_CUSTOMERS)
     a1 = FX.write(f"{tmp}/in1", "a.csv", FX.EDGE_ACCOUNTS)
     a2 = FX.write(f"{tmp}/in2", "a.csv", _edit(FX.EDGE_ACCOUNTS, replace={"B-01": "B-01,201,7000.00,Savings",
@@ -160,20 +162,21 @@ def test_failed_run_then_rerun_equals_clean_run(spark, tmp, monkeypatch, crash_a
                                                drop={"B-02"}))
     for root in (f"{tmp}/crash", f"{tmp}/clean"):
         P.run(spark, _cfg(root, c1, a1, "r1", 1))
-    real = TableStore.publish
+    real, seen = Warehouse.stage, _state(Warehouse(spark, f"{tmp}/crash/wh"))
 
-    def failing(self, name, df, run_id, *a, **kw):
-        if name == crash_at and run_id == "r2":
+    def failing(self, name, *a, **kw):
+        if name == crash_at and self.run_id == "r2":
             raise RuntimeError("executor lost, job aborted")
-        return real(self, name, df, run_id, *a, **kw)
+        return real(self, name, *a, **kw)
 
-    monkeypatch.setattr(TableStore, "publish", failing)
-    with pytest.raises(RuntimeError):
+    monkeypatch.setattr(Warehouse, "stage", failing)
+    with pytest.raises(RuntimeError, match="executor lost"):
         P.run(spark, _cfg(f"{tmp}/crash", c1, a2, "r2", 2))
-    monkeypatch.setattr(TableStore, "publish", real)
+    monkeypatch.setattr(Warehouse, "stage", real)
+    assert _state(Warehouse(spark, f"{tmp}/crash/wh")) == seen
     P.run(spark, _cfg(f"{tmp}/crash", c1, a2, "r2", 2))
     P.run(spark, _cfg(f"{tmp}/clean", c1, a2, "r2", 2))
-    assert _state(TableStore(spark, f"{tmp}/crash/wh")) == _state(TableStore(spark, f"{tmp}/clean/wh"))
-    hc = HistoryStore(TableStore(spark, f"{tmp}/crash/wh"), "snap_account").read()
-    hk = HistoryStore(TableStore(spark, f"{tmp}/clean/wh"), "snap_account").read()
+    assert _state(Warehouse(spark, f"{tmp}/crash/wh")) == _state(Warehouse(spark, f"{tmp}/clean/wh"))
+    hc = History(Warehouse(spark, f"{tmp}/crash/wh"), "snap_account").read()
+    hk = History(Warehouse(spark, f"{tmp}/clean/wh"), "snap_account").read()
     assert hc.exceptAll(hk).isEmpty() and hk.exceptAll(hc).isEmpty()

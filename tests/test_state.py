@@ -1,82 +1,114 @@
-"""Commit log, history commits, file folders and the gate under failures."""
+"""Runs, histories, file folders and the gate under failures."""
 
 import datetime as dt
 import os
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata.operators import contracts as K
 from strata.operators import quarantine as Q
 from strata.operators import scd2
 from strata.operators import staging as S
 from strata.plans import pipeline as P
-from strata.plans import publish
-from strata.plans.publish import HistoryStore, LostCommitLogError, StaleRunError, TableStore
+from strata.plans.runs import History, StaleRunError, Warehouse
 from strata.sinks import writers as W
 from strata.sources import files
-from strata.streaming import ingest as STR
 from tests import fixtures as FX
 
 DAY = lambda d: dt.datetime(2024, 1, d)
 
 
-def test_commit_log_survives_gaps_and_torn_files(spark, tmp):
-    store = TableStore(spark, f"{tmp}/wh")
-    store.publish("t", spark.range(3), "r1", DAY(1))
-    store.publish("t", spark.range(4), "r2", DAY(2))
-    log = f"{tmp}/wh/t/_commits"
-    with open(f"{log}/00000003.json", "w") as f:
-        f.write('{"version": "v0000')  # a commit cut short
-    assert store.read("t").count() == 4 and store.current("t") == ("v000002", "r2")
-    with pytest.raises(StaleRunError):
-        store.publish("t", spark.range(9), "r0", DAY(2))
-    assert store.publish("t", spark.range(9), "r1", DAY(1)) == "v000001"       # an older run: no-op
-    assert store.publish("t", spark.range(5), "r3", DAY(3)) == "v000003"
-    assert store.read("t").count() == 5 and store.read_before("t", "r3").count() == 4
-    for f in os.listdir(log):
-        os.unlink(f"{log}/{f}")
-    with pytest.raises(LostCommitLogError):
-        store.publish("t", spark.range(1), "r4", DAY(4))
-
-
-def test_concurrent_commit_is_refused(spark, tmp, monkeypatch):
-    a, b = TableStore(spark, f"{tmp}/wh"), TableStore(spark, f"{tmp}/wh")
-    a.publish("t", spark.range(1), "r1", DAY(1))
-    real = publish._create_text
-
-    def late(spark_, path, text):
-        monkeypatch.setattr(publish, "_create_text", real)
-        b.publish("t", spark.range(2), "other", DAY(2))
-        real(spark_, path, text)
+def publish(wh, name, df, run_id, day, contract=None):
+    if wh.begin(run_id, DAY(day)):
+        wh.stage(name, df, contract)
+        wh.commit()
 
-    monkeypatch.setattr(publish, "_create_text", late)
-    with pytest.raises(RuntimeError, match="another run"):
-        a.publish("t", spark.range(3), "r2", DAY(3))
-    assert a.read("t").count() == 2
 
-
-def test_history_commit_is_all_or_nothing(spark, tmp, monkeypatch):
+def test_runs_in_order_and_visible_at_once(spark, tmp):
+    wh = Warehouse(spark, f"{tmp}/wh")
+    publish(wh, "t", spark.range(3), "r1", 1)
+    publish(wh, "t", spark.range(4), "r2", 2)
+    with pytest.raises(StaleRunError):
+        publish(wh, "t", spark.range(9), "r0", 2)
+    publish(wh, "t", spark.range(9), "r1", 1)  # an older run: no-op
+    wh.begin("r3", DAY(3))
+    wh.stage("t", spark.range(5))
+    assert wh.read("t").count() == 5 and wh.read_before("t").count() == 4
+    other = Warehouse(spark, f"{tmp}/wh")
+    assert other.read("t").count() == 4
+    # A crash here: the run is repeated from the start, with other rows.
+    assert other.begin("r3", DAY(3))
+    other.stage("t", spark.range(6))
+    other.commit()
+    assert Warehouse(spark, f"{tmp}/wh").read("t").count() == 6
+    with pytest.raises(RuntimeError, match="another run"):  # the first attempt comes back to life
+        wh.commit()
+    other.vacuum("t", keep=1)
+    assert other.read("t").count() == 6 and spark.table(other.table("t")).select("run_attempt").distinct().count() == 1
+
+
+def test_a_new_session_finds_the_tables(spark, tmp):
+    wh = Warehouse(spark, f"{tmp}/wh")
+    publish(wh, "t", spark.range(3).withColumn("d", F.lit("2024-01-01")), "2024-01-01", 1)
+    wh.begin("2024-01-02", DAY(2))
+    wh.stage("never_published", spark.range(2))
+    fresh = spark.newSession()  # same files, a catalog that knows nothing of them
+    again = Warehouse(fresh, f"{tmp}/wh")
+    again.db = wh.db + "_other"
+    fresh.sql(f"CREATE DATABASE {again.db} LOCATION '{tmp}/wh'")
+    again._attach("runs")
+    assert again.read("t").count() == 3 and again.last("t") == "2024-01-01"
+    assert again.begin("2024-01-02", DAY(2))
+    again.stage("never_published", spark.range(4))
+    again.commit()
+    assert again.read("never_published").count() == 4
+
+
+def test_audit_leaves_the_old_table_visible(spark, tmp):
+    contract = K.Contract("t", T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())]), ("k", "v"), ("k",))
+    rows = lambda *r: spark.createDataFrame(list(r), "k long, v string")
+    wh = Warehouse(spark, f"{tmp}/wh")
+    publish(wh, "t", rows((1, "a"), (2, "b")), "r1", 1, contract)
+    for i, bad in enumerate((rows((1, "a"), (1, "b")), rows((1, None), (2, "b")))):
+        with pytest.raises(K.ContractError, match="duplicate" if not i else "NULLs"):
+            publish(wh, "t", bad, f"bad{i}", 2 + i, contract)
+        assert sorted(Warehouse(spark, f"{tmp}/wh").read("t").collect()) == [(1, "a"), (2, "b")]
+    with pytest.raises(K.ContractError, match="unexpected"):
+        publish(wh, "t", rows((1, "a")).withColumn("more", F.lit(1)), "bad2", 4, contract)
+    publish(wh, "t", rows((3, "c")), "r2", 5, contract)
+    assert Warehouse(spark, f"{tmp}/wh").read("t").collect() == [(3, "c")]
+
+
+def test_history_commit_is_all_or_nothing(spark, tmp):
     """A crash before the commit, then the same run with another extract:
     no version is stored twice."""
-    hs = HistoryStore(TableStore(spark, f"{tmp}/wh"), "snap")
-    run = lambda rows, d, rid: hs.commit(scd2.snapshot(
-        hs.open_versions(), spark.createDataFrame(rows, "k long, v string"), ["k"], "check", F.lit(DAY(d)).cast("timestamp")), rid, DAY(d))
+    wh = Warehouse(spark, f"{tmp}/wh")
+    hs = History(wh, "snap")
+
+    def run(rows, d, rid, commit=True):
+        assert wh.begin(rid, DAY(d))
+        hs.stage(scd2.snapshot(hs.open_versions(), spark.createDataFrame(rows, "k long, v string"), ["k"], "check", F.lit(DAY(d)).cast("timestamp")))
+        if commit:
+            wh.commit()
+
     run([(1, "a"), (2, "b")], 1, "r1")
-    real = publish._create_text
-    monkeypatch.setattr(publish, "_create_text", lambda *a: (_ for _ in ()).throw(OSError("killed")))
-    with pytest.raises(OSError):
-        run([(1, "changed"), (2, "b")], 2, "r2")
-    monkeypatch.setattr(publish, "_create_text", real)
+    run([(1, "changed"), (2, "b")], 2, "r2", commit=False)  # dies
+    wh = Warehouse(spark, f"{tmp}/wh")
+    hs = History(wh, "snap")
+    assert hs.read().filter("dbt_valid_to IS NULL").count() == 2
     run([(1, "a"), (2, "b")], 2, "r2")  # this extract closes nothing
-    got = sorted((r.k, r.v, r.dbt_valid_to) for r in hs.read().collect())
+    got = sorted(((r.k, r.v, r.dbt_valid_to) for r in hs.read().collect()), key=repr)
     assert got == [(1, "a", None), (2, "b", None)]
     run([(2, "b")], 3, "r3")            # delete
     run([(1, "a"), (2, "b")], 4, "r4")  # and insert again
     assert hs.read().filter("k = 1").count() == 2 and hs.open_versions().count() == 2
-    hs.archive(F.lit(DAY(5)).cast("timestamp"), "old", "r5", DAY(5))
-    assert hs.tables.read("old").count() == 1 and hs.read().count() == 2 and hs.closed_versions().count() == 0
-    hs.tables.vacuum("snap", keep=1, closed=False)
+    wh.begin("r5", DAY(5))
+    hs.archive(F.lit(DAY(5)).cast("timestamp"), "old")
+    wh.commit()
+    assert wh.read("old").count() == 1 and hs.read().count() == 2 and hs.closed_versions().count() == 0
+    wh.vacuum("snap", keep=1, only=", is_open=true")
     assert hs.read().count() == 2
 
 
@@ -112,13 +144,14 @@ def test_gate_stops_exports(spark, tmp, monkeypatch):
     assert os.path.isdir(f"{tmp}/rep/run_id=r1") and not os.path.exists(f"{tmp}/out")
 
 
-def test_stream_goes_on_in_a_second_call(spark, tmp):
-    schema = "k string, v string, ts string"
-    land, store = f"{tmp}/landing", TableStore(spark, f"{tmp}/wh")
-    sink = STR.KeyedStateSink(store, "state", ["k"], ["ts"], ["v"], stream=f"s-{uuid.uuid4().hex}")
-    for name, line in (("a.csv", "1,a,2024-01-01"), ("b.csv", "2,b,2024-01-02")):
-        FX.write(land, name, f"k,v,ts\n{line}\n")
-        STR.run_available(STR.stream_ingest(spark, land, spark.createDataFrame([], schema).schema), sink)
-    assert {r.k for r in store.read("state").collect()} == {"1", "2"}
-    with pytest.raises(ValueError):
-        STR.run_available(STR.stream_ingest(spark, land, spark.createDataFrame([], schema).schema), lambda d, i: None)
+def test_gate_and_constraints_leave_the_last_run_visible(spark, tmp, monkeypatch):
+    run = lambda rid, d, a: P.run(spark, P.RunConfig(FX.write(f"{tmp}/in", "c.csv", FX.EDGE_CUSTOMERS), FX.write(f"{tmp}/in{rid}", "a.csv", a),
+                                                     f"{tmp}/wh", rid, DAY(d), stop_on_error=False))
+    run("r1", 1, FX.EDGE_ACCOUNTS)
+    before = sorted(Warehouse(spark, f"{tmp}/wh").read("account_summary").collect())
+    real = P.M.account_summary
+    monkeypatch.setattr(P.M, "account_summary", lambda *a: real(*a).unionByName(real(*a)))  # a mart that repeats its keys
+    with pytest.raises(P.K.ContractError):
+        run("r2", 2, FX.EDGE_ACCOUNTS.replace("B-01,", "B-99,"))
+    monkeypatch.setattr(P.M, "account_summary", real)
+    assert sorted(Warehouse(spark, f"{tmp}/wh").read("account_summary").collect()) == before
