@@ -43,10 +43,19 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
             .withColumn("wid", F.xxhash64("phrase")))
 
 
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(k, h, text), one row each: rows that agree in k and h are found by
+    their hashes and reduced by a partial aggregate, others are not moved."""
+    rows = keyed(docs).select("k", "h", "text")
+    again = small(materialize(rows.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k", "h")))
+    many = rows.join(again, ["k", "h"], "left_semi").groupBy("k", "h").agg(F.first("text").alias("text"))
+    return rows.join(again, ["k", "h"], "left_anti").unionByName(many)
+
+
 def postings(docs: DataFrame, wins: DataFrame) -> DataFrame:
     """The index: (k, h, term, pos) of benchmark words, written once."""
     terms = wins.select(F.explode("phrase").alias("word")).select(F.xxhash64("word").alias("term")).distinct()
-    each = keyed(docs).select("k", "h", F.posexplode(words(F.col("text"))).alias("pos", "word"))
+    each = distinct_texts(docs).select("k", "h", F.posexplode(words(F.col("text"))).alias("pos", "word"))
     each = each.select("k", "h", F.xxhash64("word").alias("term"), "pos")
     return materialize(each.join(small(terms), "term", "left_semi"))
 
@@ -64,9 +73,9 @@ def rarest(wins: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def meet(wins: DataFrame, index: DataFrame, slop: int = SLOP) -> DataFrame:
-    """(k, h, wid, start, exact): where the shifted lists of a window's two
-    rarest terms meet, exactly or within ``slop`` words.  Each document and
-    window is one sorted pass over its two lists."""
+    """(k, h, wid, start, distance, exact): where the shifted lists of a
+    window's two rarest terms meet, exactly or within ``slop`` words.  Each
+    document and window is one sorted pass over its two lists."""
     lists = (index.join(small(rarest(wins, index)), "term")
              .select("k", "h", "wid", "nth", "n", (F.col("pos") - F.col("off")).alias("start")))
     order = Window.partitionBy("k", "h", "wid").orderBy("start", "nth").rowsBetween(Window.unboundedPreceding, 0)
@@ -74,7 +83,8 @@ def meet(wins: DataFrame, index: DataFrame, slop: int = SLOP) -> DataFrame:
     met = lists.withColumn("one", last(1)).withColumn("two", last(2))
     single = F.col("n") == 1
     return met.filter(single | (F.abs(F.col("one") - F.col("two")) <= slop)).select(
-        "k", "h", "wid", "start", (single | (F.col("one") == F.col("two"))).alias("exact"))
+        "k", "h", "wid", "start", F.when(single, 0).otherwise(F.abs(F.col("one") - F.col("two"))).alias("distance"),
+        (single | (F.col("one") == F.col("two"))).alias("exact"))
 
 
 def covered(spans: Column) -> Column:
@@ -88,23 +98,29 @@ def covered(spans: Column) -> Column:
 
 def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, slop: int = SLOP) -> DataFrame:
     """Per document: the whole ``row``, its word count, the exact places
-    ``spans`` of windows, the ``items`` they are of, and ``n_near``, how many
-    windows have their rarest terms within ``slop`` words of their places."""
+    ``spans`` of windows, the ``items`` they are of, and the proximity matches
+    ``near`` (start, distance, items): windows without an exact place in the
+    document whose rarest terms stand within ``slop`` words of their places."""
     wins = materialize(windows(benchmark, size))
     index = postings(docs, wins)
     found = (meet(wins, index, slop).join(small(wins), "wid")
              .groupBy("k", "h").agg(
-                 F.collect_list(F.when(F.col("exact"), F.struct("start", "phrase", "items"))).alias("places"),
-                 F.collect_set("wid").alias("near")))
+                 F.collect_list(F.when(F.col("exact"), F.struct("start", "phrase", "items", "wid"))).alias("places"),
+                 F.collect_list(F.struct("start", "distance", "items", "wid")).alias("close")))
     rows = keyed(docs).join(found, ["k", "h"], "left").withColumn("w", words(F.col("text")))
     there = F.filter(F.coalesce("places", F.array().cast(found.schema["places"].dataType)), lambda p: (
         (p["start"] >= 0) & (F.slice(F.col("w"), F.greatest(p["start"], F.lit(0)) + 1, F.size(p["phrase"])) == p["phrase"])))
     rows = rows.withColumn("there", there)
+    close = F.coalesce("close", F.array().cast(found.schema["close"].dataType))
+    wids = lambda places: F.transform(places, lambda p: p["wid"])
+    rows = rows.withColumn("only_close", F.array_except(wids(close), wids(F.col("there"))))
+    near = F.transform(F.filter(close, lambda p: F.array_contains(F.col("only_close"), p["wid"])),
+                       lambda p: F.struct(p["start"].alias("start"), p["distance"].alias("distance"), p["items"].alias("items")))
     return rows.select(
         "row", F.size("w").alias("n_words"),
         F.transform("there", lambda p: F.struct(p["start"].alias("start"), (p["start"] + F.size(p["phrase"])).alias("end"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.transform("there", lambda p: p["items"])))).alias("items"),
-        F.coalesce(F.size("near"), F.lit(0)).alias("n_near"))
+        near.alias("near"))
 
 
 def contaminated(n_hit: Column, n_words: Column) -> Column:
