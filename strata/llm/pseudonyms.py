@@ -42,7 +42,7 @@ KEY = "strata-example-key"
 ROUNDS = 8  # even, so halves end where they began
 
 PATTERNS = {
-    "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++(?=\.)){0,126}\.[A-Za-z]{2,}+",
     "token": r"(?<![A-Za-z0-9])(?=[0-9a-f]{32})(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,64}+(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
