@@ -48,7 +48,7 @@ NOTICES = (
 )
 EDIT_EVERY = 12
 
-SPANS = "array<struct<label:string,base:boolean,first_word:bigint,n_words:bigint,edits:bigint>>"
+SPANS = "array<struct<label:string,base:boolean,first_word:bigint,n_words:bigint,edits:bigint,size:bigint>>"
 
 
 def pieces(notice: str, k: int) -> list[tuple[int, str]]:
@@ -92,17 +92,17 @@ def scan_batch(raw: np.ndarray, off: np.ndarray, base, notices, patterns) -> tup
     begin = at[:-1] + 1
     doc_of = lambda word: int(np.searchsorted(first, word, "right")) - 1
 
-    def note(label: str, is_base: bool, a: int, b: int, edits: int) -> None:
+    def note(label: str, is_base: bool, a: int, b: int, edits: int, size: int) -> None:
         w = int(np.searchsorted(begin, a, "right")) - 1
         d = doc_of(w)
         n = int(np.searchsorted(begin, b - 1, "right")) - w
-        spans[d].append({"label": label, "base": is_base, "first_word": w - int(first[d]), "n_words": n, "edits": edits})
+        spans[d].append({"label": label, "base": is_base, "first_word": w - int(first[d]), "n_words": n, "edits": edits, "size": size})
 
     for phrase, label in base:
         what = phrase.encode()
         for a in places(data, what):
             if data[a - 1] in b" \n" and data[a + len(what)] in b" \n":
-                note(label, True, a, a + len(what), 0)
+                note(label, True, a, a + len(what), 0, len(what))
     for (notice, label), (k, pattern) in zip(notices, patterns, strict=True):
         seen: set[tuple[int, int]] = set()
         for skip, piece in pieces(notice, k):
@@ -117,7 +117,7 @@ def scan_batch(raw: np.ndarray, off: np.ndarray, base, notices, patterns) -> tup
                     s, e = lo + m.start() - 1, lo + m.end() - 1
                     if (s, e) not in seen:
                         seen.add((s, e))
-                        note(label, False, s, e, sum(m.fuzzy_counts))
+                        note(label, False, s, e, sum(m.fuzzy_counts), len(notice))
     return n_words, spans
 
 
@@ -127,7 +127,7 @@ def scan(docs: DataFrame, base=BASE, notices=NOTICES, edit_every: int = EDIT_EVE
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words bigint, spans {SPANS}"
     id_type = pa.int64() if docs.schema["doc_id"].dataType.simpleString() == "bigint" else None
     span_type = pa.list_(pa.struct([("label", pa.string()), ("base", pa.bool_()), ("first_word", pa.int64()),
-                                    ("n_words", pa.int64()), ("edits", pa.int64())]))
+                                    ("n_words", pa.int64()), ("edits", pa.int64()), ("size", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -149,15 +149,11 @@ def scan(docs: DataFrame, base=BASE, notices=NOTICES, edit_every: int = EDIT_EVE
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: base places and labels, the labels of both, and a
     score (1 for an exact base phrase or notice, else the share of a notice's
-    characters that needed no edit, best match counting)."""
-    sizes = {}
-    for notice, label in NOTICES:
-        sizes[label] = max(sizes.get(label, 0), len(notice))
-    length = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
+    characters that needed no edit, the best match of any notice counting)."""
     base = F.filter("spans", lambda s: s["base"])
     labels = lambda spans: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))))
     starts = F.transform(base, lambda s: s["first_word"])
-    quality = F.transform("spans", lambda s: F.when(s["base"], F.lit(1.0)).otherwise(1 - s["edits"] / length[s["label"]]))
+    quality = F.transform("spans", lambda s: F.when(s["base"], F.lit(1.0)).otherwise(1 - s["edits"] / s["size"]))
     return scan(docs).select(
         "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
