@@ -16,12 +16,14 @@ special token's string is one token, as in the library.
 
 Null and empty texts have no tokens and decode to the empty text.  Repeated
 rows are encoded row by row (from the same cores).  The chunk store holds at
-most ``STORE`` chunks a task and is emptied when full; it changes no result.
+most ``STORE`` bytes a task and is emptied when full; pieces over ``LONGEST``
+bytes are not kept.  It changes no result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,10 @@ from .common import mix, slices
 
 WINDOW = 16
 CHUNK_BITS = 9
-STORE = 30_000
+STORE = 24 << 20  # bytes of pieces, ids and the objects that hold them
+ENTRY = 300
+LONGEST = 4096
+BLANKS = 50_000
 DECODE_TOKENS = 200_000  # tokens decoded at a time (a longer document alone)
 SPECIAL = "<|endoftext|>"
 VOCABULARY = "byte_bpe_50k.json"
@@ -100,17 +105,23 @@ class Encoder:
         self.plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.vocabulary, self.library = vocabulary, None
         self.store: dict[bytes, np.ndarray] = {}
+        self.held = 0
 
     def piece(self, piece: bytes) -> np.ndarray:
         ids = self.store.get(piece)
         if ids is None:
-            if len(self.store) >= STORE:
-                self.store.clear()
-            ids = self.store[piece] = self.encode(piece)
+            ids = self.encode(piece)
+            if len(piece) <= LONGEST:  # long pieces hardly come again
+                self.held += len(piece) + ids.nbytes + ENTRY
+                if self.held > STORE:
+                    self.store.clear()
+                    self.held = 0
+                self.store[piece] = ids
         return ids
 
     def encode(self, piece: bytes) -> np.ndarray:
-        if not piece.translate(None, PLAIN):
+        # Very long runs of blanks exhaust the stack of the other encoder.
+        if not piece.translate(None, PLAIN) and (len(piece) < BLANKS or not re.search(rb"\s{%d}" % BLANKS, piece)):
             return np.array(self.plain.encode_ordinary(piece.decode()), np.int32)
         if self.library is None:
             from tokenizers import Tokenizer
