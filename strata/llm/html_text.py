@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,9 +53,13 @@ LAYOUT_WORDS = frozenset("""alert banner breadcrumb breadcrumbs footer header lo
  navigation notice search share sharing sidebar social toolbar widget""".split())
 ARTICLE_WORDS = frozenset("article articlebody body content entry main post story text".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>",
-    re.DOTALL | re.IGNORECASE)
+# A start tag: quotes count only after an equals sign.
+START = re.compile(r"<(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+)>")
+TAG_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+# Block elements whose end tag may be missing, and which next
+# ones end them.
+IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+TRACKED = CONTAINERS | frozenset("p li dt dd tr td th blockquote center pre summary dir address figcaption caption h1 h2 h3 h4 h5 h6".split())
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
 WORDS = re.compile(r"[^\W_]+")
@@ -70,16 +75,55 @@ class Block:
     article: bool
 
 
+class Tags:
+    """The tags and comments of a page, one after another."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at, self.quotes, self.last = page, 0, True, page.rfind(">")
+
+    def next(self) -> tuple[int, str, bool, str] | None:
+        """(start, tag, closing, attributes), with ``at`` moved behind it; a
+        comment or declaration has no tag.  A page is read once: where a tag's
+        quotes leave it without an end, quotes no longer count on that page,
+        and where no ``>`` follows, the rest is text."""
+        page, start = self.page, self.at
+        while (start := page.find("<", start)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                self.at = end + 3 if end >= 0 else len(page)
+                return start, "", False, ""
+            if start < self.last:
+                after = page[start + 1]
+                if after in "!?/":
+                    self.at = page.index(">", start) + 1
+                    name = TAG_NAME.match(page, start + 2) if after == "/" else None
+                    return start, name[0].lower() if name else "", bool(name), ""
+                if name := TAG_NAME.match(page, start + 1):
+                    m = START.match(page, start) if self.quotes else None
+                    self.quotes = m is not None
+                    self.at = m.end() if m else page.index(">", start) + 1
+                    return start, name[0].lower(), False, page[name.end():self.at - 1]
+            start += 1
+        return None
+
+
 def signs(tag: str, attrs: str) -> tuple[int, bool]:
     """How surely a container announces something around an article (0 not, 1
     by a name of the layout, 2 by another name or as a form, 3 by its tag or
     as hidden), and whether it announces an article."""
     if tag in ("html", "body"):
         return 0, False  # their classes describe the whole page
-    names = {w for m in NAMES.finditer(attrs) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())} if attrs else set()
+    # Names in words: split at signs and at changes of case.
+    spoken = [[w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower()) if w]
+              for m in NAMES.finditer(attrs) for name in (m[1] or m[2] or m[3] or "").split()] if attrs else []
+    names = {w for name in spoken for w in name}
+    if any(name and set(name) <= ARTICLE_WORDS for name in spoken) and tag in CONTAINERS:
+        # Beside a name that is all the article's, others count by their last
+        # word: "search-result" is no search form, "content-footer" a footer.
+        names = {name[-1] for name in spoken if name}
     around = max(3 * (tag in AROUND_TAGS and tag != "form"), 3 * bool(attrs and HIDDEN.search(attrs)),
                  2 * (tag == "form" or bool(names & AROUND_WORDS - LAYOUT_WORDS)), int(bool(names & LAYOUT_WORDS)))
-    return around, tag in ARTICLE_TAGS or (not around and bool(names & ARTICLE_WORDS))
+    return around, tag in ARTICLE_TAGS or (not around and tag in CONTAINERS and bool(names & ARTICLE_WORDS))
 
 
 def blocks(page: str) -> list[Block]:
@@ -88,8 +132,14 @@ def blocks(page: str) -> list[Block]:
     parts: list[tuple[str, bool]] = []
     stack: list[tuple[str, int, bool]] = []  # tag, around, article: with all above
     unclosed: set[str] = set()  # raw elements without a further end tag
+    opened: Counter[str] = Counter()  # tags on the stack
     heading, links, at = "", 0, 0
 
+    def pop() -> str:
+        tag = stack.pop()[0]
+        opened[tag] -= 1
+        return tag
+
     def end() -> None:
         text = " ".join("".join(p for p, _ in parts).split())
         if text:
@@ -98,21 +148,21 @@ def blocks(page: str) -> list[Block]:
             found.append(Block(text, len(text.split()), linked, bool(heading), around > 0, article))
         parts.clear()
 
-    while m := TOKEN.search(page, at):
-        if m.start() > at:
-            parts.append((html.unescape(page[at:m.start()]), links > 0))
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+    tags = Tags(page)
+    while token := tags.next():
+        start, tag, closing, attrs = token
+        if start > at:
+            parts.append((html.unescape(page[at:start]), links > 0))
+        at = tags.at
         if not tag:
             continue
-        closing = bool(m["close"])
-        if tag in RAW_END and not closing and re.match(r"[\s/]|\Z", m["attrs"]):
-            if not (tag == "svg" and m["attrs"].endswith("/")) and tag not in unclosed:
+        if tag in RAW_END and not closing:
+            if not (tag == "svg" and attrs.endswith("/")) and tag not in unclosed:
                 stop = RAW_END[tag].search(page, at)
                 if stop:
-                    at = stop.end()
+                    at = tags.at = stop.end()
                 elif tag in ("script", "style"):
-                    at = len(page)
+                    at = tags.at = len(page)
                 else:
                     unclosed.add(tag)
             continue
@@ -123,8 +173,14 @@ def blocks(page: str) -> list[Block]:
                 heading = "" if closing else tag
             if tag in CONTAINERS:
                 heading = ""
+            if not closing:
+                if stack and stack[-1][0] == "p":
+                    pop()  # a paragraph ends where another block begins
+                while stack and stack[-1][0] in IMPLIED.get(tag, ()):
+                    pop()
+            if tag in TRACKED:
                 if not closing:
-                    around, article = signs(tag, m["attrs"])
+                    around, article = signs(tag, attrs)
                     above = stack[-1] if stack else ("", 0, False)
                     if tag == "header" and above[2]:
                         around = above[1]  # an article's own header holds its title
@@ -133,8 +189,9 @@ def blocks(page: str) -> list[Block]:
                     # article's name above names of the layout.
                     ends = 4 if tag == "main" else 0 if above[2] or not article else 3 if tag == "article" else 2
                     stack.append((tag, max(around, above[1] if above[1] >= ends else 0), article or above[2]))
-                elif any(s[0] == tag for s in stack):
-                    while stack.pop()[0] != tag:
+                    opened[tag] += 1
+                elif opened[tag]:
+                    while pop() != tag:
                         pass
         elif tag == "a":
             links = 0 if closing else 1
