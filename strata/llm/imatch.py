@@ -26,6 +26,8 @@ single document is its own next one.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,16 +51,21 @@ def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MA
     return counts.filter((F.col("df") >= total * min_share) & (F.col("df") <= max(1.0, total * max_share))).select("term")
 
 
-def subset(rate: int, seed: int):
-    """Whether a term hash belongs to a randomised subset of the lexicon."""
-    return lambda t: F.xxhash64(t, F.lit(seed)).bitwiseAND((1 << rate) - 1) == 0
+def membership(term: Column) -> Column:
+    """One bit per randomised subset of the lexicon that a term hash is in."""
+    subsets = [(rate, 100 * rate + i) for rate in RATES for i in range(PER_RATE)]
+    bits = [F.when(F.xxhash64(term, F.lit(seed)).bitwiseAND((1 << rate) - 1) == 0, F.lit(1 << j)).otherwise(F.lit(0)).cast("long") for j, (rate, seed) in enumerate(subsets)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
-def fingerprint(terms: Column) -> Column:
-    """Subset hashes of sorted distinct term hashes, 8 hex digits each."""
+def fingerprint(marked: Column) -> Column:
+    """Subset hashes of sorted distinct (term, mask), 8 hex digits each; the
+    bits of a mask say which subsets the term is in."""
+    terms = F.transform(marked, lambda t: t["term"])
+    of = lambda j: F.transform(F.filter(marked, lambda t: t["mask"].bitwiseAND(F.lit(1 << j).cast("long")) != 0), lambda t: t["term"])
     one = lambda kept: F.when(F.size(kept) == 0, F.lit(EMPTY)).otherwise(
         F.lpad(F.lower(F.hex(F.xxhash64(kept).bitwiseAND(0xFFFFFFFF))), 8, "0"))
-    parts = [one(F.filter(terms, subset(rate, 100 * rate + i))) for rate in RATES for i in range(PER_RATE)]
+    parts = [one(of(j)) for j in range(len(RATES) * PER_RATE)]
     none = EMPTY * (len(parts) - 1)
     # A few words may be in no subset: then all of them, in the first place.
     return F.get(F.transform(F.array(F.concat(*parts)), lambda x: F.when(
@@ -120,9 +127,12 @@ def report(docs: DataFrame) -> DataFrame:
     each = each.select("block", "place", "t.part", "info", F.col("t.w").alias("own"), F.explode("t.w").alias("term"))
     each = each.select("block", "place", "part", "term", F.when(F.col("term") == empty, F.struct("info", "own")).alias("held"))
     marker = docs.sparkSession.range(1).select(empty.alias("term"))
-    kept = each.join(small(materialize(lexicon(docs).union(marker))), "term", "left_semi")
-    prints = kept.groupBy("block", "place", "part").agg(F.first("held", ignorenulls=True).alias("held"), F.collect_set("term").alias("terms"))
-    terms = F.array_sort(F.array_remove(F.when(F.size("terms") > 1, F.col("terms")).otherwise(F.array_distinct("held.own")), empty))
+    # A lexicon word's subsets are hashed once, where the lexicon is made.
+    known = materialize(lexicon(docs).union(marker).withColumn("mask", membership(F.col("term"))))
+    kept = each.join(small(known), "term")
+    prints = kept.groupBy("block", "place", "part").agg(F.first("held", ignorenulls=True).alias("held"), F.collect_set(F.struct("term", "mask")).alias("terms"))
+    own = F.transform(F.array_distinct("held.own"), lambda w: F.struct(w.alias("term"), membership(w).alias("mask")))
+    terms = F.array_sort(F.filter(F.when(F.size("terms") > 1, F.col("terms")).otherwise(own), lambda t: t["term"] != empty))
     prints = prints.select("block", "place", "part", "held.info", terms.alias("terms"))
     prints = prints.withColumn("print", fingerprint(F.col("terms")))
     pick = lambda part: F.max(F.when(F.col("part") == part, F.col("print")))
