@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import materialize
+
 # Layer by table-name prefix.
 LAYER_PREFIXES = (("src_", "source"), ("stg_", "staging"), ("snap_", "snapshot"), ("int_", "intermediate"))
 DEFAULT_LAYER = "marts"
@@ -35,6 +37,57 @@ def from_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).json(path)
 
 
+# A run's result document: one JSON object per line, or per file.  Results are
+# read as text first, so that one odd entry does not spoil its neighbours.
+DOCUMENT_SCHEMA = "metadata struct<run_id string>, results array<string>, malformed string"
+ENTRY_SCHEMA = ("unique_id string, status string, message string, failures long, column_name string, table_name string, "
+                "config struct<severity string>, malformed string")
+# Statuses under another name, the prefix of test nodes, defaults.
+STATUS_NAMES = {"success": "pass", "skipped": "skip"}
+TEST_PREFIX = "test."
+DEFAULT_SEVERITY, UNKNOWN = "error", "unknown"
+EXPLAINED = ("fail", "error", "warn")
+
+
+def ingest(spark: SparkSession, path: str, one_per_file: bool = False) -> tuple[DataFrame, DataFrame]:
+    """REP-1: nested result documents of another runner, as results in
+    ``RESULT_SCHEMA`` and what could not be read (``run_id``, ``malformed``).
+
+    Only test nodes count.  The test's name is the last part of its id; the
+    table is the one the entry names (``unknown`` without one), the severity
+    is ``error`` unless configured, and a message is kept only when the test
+    did not pass.  A document that is not JSON, an entry that is not an object
+    of the declared shape, and a null entry are kept aside as they stand (of a
+    document without its run, which is unknown); an entry without id is no test.  A missing path raises ``FileNotFoundError``; an
+    empty file has no results.  Row-local: documents are read in parallel and
+    nothing is shuffled."""
+    try:
+        docs = (spark.read.schema(DOCUMENT_SCHEMA).option("mode", "PERMISSIVE").option("multiLine", one_per_file)
+                .option("columnNameOfCorruptRecord", "malformed").json(path))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        raise FileNotFoundError(path) from e
+    docs = docs.select(F.col("metadata.run_id").alias("run_id"), "results", "malformed")
+    entries = docs.filter(F.col("malformed").isNull()).select("run_id", F.explode("results").alias("text"))
+    # JSON is parsed once, for the results and for what is kept aside.
+    parsed = materialize(entries.select("run_id", "text", F.from_json(
+        "text", ENTRY_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}).alias("e"))
+        .unionByName(docs.filter(F.col("malformed").isNotNull()).select("run_id", F.col("malformed").alias("text")),
+                     allowMissingColumns=True))
+    odd = F.col("e").isNull() | F.col("e.malformed").isNotNull()
+    tests = parsed.filter(~odd & F.coalesce(F.col("e.unique_id").startswith(TEST_PREFIX), F.lit(False)))
+    status = F.coalesce(F.col("e.status"), F.lit(UNKNOWN))
+    for theirs, ours in STATUS_NAMES.items():
+        status = F.when(F.col("e.status") == theirs, F.lit(ours)).otherwise(status)
+    results = tests.select(
+        "run_id", F.coalesce("e.table_name", F.lit(UNKNOWN)).alias("table_name"), layer_of(F.coalesce("e.table_name", F.lit(UNKNOWN))).alias("layer"),
+        F.element_at(F.split("e.unique_id", r"\."), -1).alias("test_name"), F.col("e.column_name").alias("column_name"),
+        F.coalesce("e.config.severity", F.lit(DEFAULT_SEVERITY)).alias("severity"), F.col("e.failures").alias("violations"),
+        status.alias("status"), F.when(status.isin(*EXPLAINED), F.col("e.message")).alias("message"))
+    return results, parsed.filter(odd).select("run_id", F.coalesce("text", F.lit("null")).alias("malformed"))
+
+
 def _measures() -> list[Column]:
     s = F.col("status")
     total = F.count(F.lit(1))

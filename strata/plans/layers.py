@@ -246,3 +246,14 @@ ARRIVAL = ("CAST(CASE WHEN event_id % 11 = 0 THEN 5 ELSE least(5, floor((day(ts)
 # Fixed defects by key: a field too many, an id that is no number.
 ORDER_LINE = ("concat(CASE WHEN o_orderkey % 13 = 0 THEN 'x' ELSE '' END, CAST(o_orderkey AS STRING), ',', CAST(o_custkey AS STRING), ',', "
               "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING), CASE WHEN o_orderkey % 17 = 0 THEN ',surplus' ELSE '' END)")
+
+
+# A result document per line item, valid in Spark and in DuckDB; texts are
+# keys and declared words, so no escapes are needed.
+RESULT_DOCUMENT = """CASE WHEN l_orderkey % 97 = 5 THEN concat('{"metadata": {"run_id": "', l_orderkey, '"}, "results": [{')
+  ELSE concat('{"metadata":{"run_id":"', l_orderkey, '"},"results":[{"unique_id":"test.bank.check_', l_linenumber, '","status":"',
+    CASE l_linenumber WHEN 1 THEN 'success' WHEN 2 THEN 'fail' WHEN 3 THEN 'warn' WHEN 4 THEN 'skipped' WHEN 5 THEN 'error' ELSE 'pass' END,
+    '","message":"part ', l_partkey, '"', CASE WHEN l_suppkey % 2 = 0 THEN ',"config":{"severity":"warn"}' ELSE '' END,
+    CASE WHEN l_suppkey % 3 = 0 THEN ',"table_name":"stg_account"' ELSE '' END, ',"failures":', l_linenumber, '},',
+    '{"unique_id":"model.bank.part_', l_partkey, '","status":"success"},',
+    CASE l_linenumber % 3 WHEN 0 THEN concat('{"unique_id":"test.bank.odd","config":"', l_suppkey, '"}') WHEN 1 THEN 'null' ELSE '{}' END, ']}') END"""

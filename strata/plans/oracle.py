@@ -552,3 +552,32 @@ opened AS (SELECT o.user_id, o.event_type, o.ts, o.n,
   FROM marked o WHERE o.opens)
 SELECT user_id, event_type, ts AS last_event_ts, {scd_id('user_id', f'{_TIMES}[n + 1]')} AS dbt_scd_id, {_TIMES}[n + 1] AS dbt_updated_at,
   {_TIMES}[n + 1] AS dbt_valid_from, CASE WHEN until IS NOT NULL THEN {_TIMES}[until + 1] END AS dbt_valid_to FROM opened"""
+
+
+# --- results of other runners, checksums, merged profiles ------------------------
+SQL["report_ingest"] = """SELECT CAST(l_orderkey AS VARCHAR) AS run_id,
+    CASE WHEN l_suppkey % 3 = 0 THEN 'stg_account' ELSE 'unknown' END AS table_name,
+    CASE WHEN l_suppkey % 3 = 0 THEN 'staging' ELSE 'marts' END AS layer, 'check_' || l_linenumber AS test_name,
+    CAST(NULL AS VARCHAR) AS column_name, CASE WHEN l_suppkey % 2 = 0 THEN 'warn' ELSE 'error' END AS severity,
+    CAST(l_linenumber AS BIGINT) AS violations,
+    CASE l_linenumber WHEN 2 THEN 'fail' WHEN 3 THEN 'warn' WHEN 4 THEN 'skip' WHEN 5 THEN 'error' ELSE 'pass' END AS status,
+    CASE WHEN l_linenumber IN (2, 3, 5) THEN 'part ' || l_partkey END AS message, CAST(NULL AS VARCHAR) AS malformed
+  FROM lineitem WHERE l_orderkey % 97 <> 5
+UNION ALL SELECT CAST(l_orderkey AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    CASE l_linenumber % 3 WHEN 0 THEN '{"unique_id":"test.bank.odd","config":"' || l_suppkey || '"}' ELSE 'null' END
+  FROM lineitem WHERE l_orderkey % 97 <> 5 AND l_linenumber % 3 < 2
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    '{"metadata": {"run_id": "' || l_orderkey || '"}, "results": [{'
+  FROM lineitem WHERE l_orderkey % 97 = 5"""
+SUMMARY_COLUMNS = ("account_id", "customer_id", "original_balance_amount", "interest_rate_pct", "annual_interest_amount",
+                   "new_balance_amount", "calculated_at")
+_ROW_TEXT = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in SUMMARY_COLUMNS)
+SQL["export_checksum"] = with_base(f"""SELECT o.output, t.* FROM (SELECT count(*) AS checksum_rows,
+    CAST(sum(CAST('0x' || substr(h, 1, 15) AS HUGEINT)) AS VARCHAR) AS checksum_1,
+    CAST(sum(CAST('0x' || substr(h, 16, 15) AS HUGEINT)) AS VARCHAR) AS checksum_2
+  FROM (SELECT md5({_ROW_TEXT}) AS h FROM summ) x) t, (VALUES ('csv'), ('parquet')) o(output)""")
+SQL["profile_sketch_merge"] = " UNION ALL ".join(
+    f"""SELECT year(l_shipdate) AS year, '{c}' AS column_name, count(DISTINCT date_trunc('month', l_shipdate)) AS runs,
+    count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, CAST(min({c}) AS DOUBLE) AS least,
+    CAST(max({c}) AS DOUBLE) AS greatest, true AS distinct_within, true AS median_within FROM lineitem GROUP BY 1"""
+    for c in ("l_partkey", "l_quantity", "l_extendedprice"))

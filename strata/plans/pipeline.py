@@ -61,6 +61,7 @@ class RunConfig:
     id_type: str = "int"
     keep_versions: int = 3
     stop_on_error: bool = True
+    export_database: str | None = None  # marts as catalog tables (SNK-3)
 
 
 @dataclass
@@ -68,6 +69,7 @@ class RunResult:
     layer_counts: dict[str, int] = field(default_factory=dict)
     gate: dict | None = None
     exports: list = field(default_factory=list)
+    ingest: dict[str, dict] = field(default_factory=dict)
 
 
 class QualityGateError(RuntimeError):
@@ -98,10 +100,11 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
 
     # ingest + source layer
     _step(spark, f"{cfg.run_id}: ingest")
-    raw_c = files.read_customers(spark, cfg.customers_path)
-    raw_a = files.read_accounts(spark, cfg.accounts_path)
+    raw_c, seen_c = files.observed(files.read_customers(spark, cfg.customers_path), f"{cfg.run_id}: customers")
+    raw_a, seen_a = files.observed(files.read_accounts(spark, cfg.accounts_path), f"{cfg.run_id}: accounts", "Balance")
     src_c = put("src_customer", S.rename_cast(raw_c, S.CUSTOMER_RAW_NAMES, ts))
     src_a = put("src_account", S.rename_cast(raw_a, S.ACCOUNT_RAW_NAMES, ts))
+    res.ingest = {"customers": seen_c.get, "accounts": seen_a.get}  # came with the writes
 
     # staging + quarantine: one validation pass per table
     _step(spark, f"{cfg.run_id}: staging")
@@ -192,8 +195,14 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     _step(spark, f"{cfg.run_id}: exports")
     if cfg.export_dir:
         for name, df in frames.items():
-            res.exports.append(W.write_csv(df, f"{cfg.export_dir}/{name}_csv"))
-            res.exports.append(W.write_parquet(df, f"{cfg.export_dir}/{name}_parquet"))
+            csv = W.write_csv(df, f"{cfg.export_dir}/{name}_csv")
+            parquet = W.write_parquet(df, f"{cfg.export_dir}/{name}_parquet")
+            if not W.same_output(csv, parquet):
+                raise W.WriteValidationError(f"{name}: CSV and Parquet exports differ")
+            res.exports += [csv, parquet]
+    if cfg.export_database:
+        for name, df in frames.items():
+            res.exports.append(W.write_table(df, f"{cfg.export_database}.{name}"))
 
     for name in LAYER_TABLES:
         store.vacuum(name, cfg.keep_versions)

@@ -471,14 +471,9 @@ def export_roundtrip(spark, sf):
     back with the mart's schema."""
     summ = L.account_summary(spark, sf)
     base = _scratch(spark, "export")
-    W.write_csv(summ, f"{base}/csv")
-    W.write_parquet(summ, f"{base}/parquet")
-    csv_back = spark.read.schema(summ.schema).options(**W.CSV_OPTIONS).csv(f"{base}/csv")
-    pq_back = spark.read.parquet(f"{base}/parquet")
-    diff = W.compare_outputs(csv_back, pq_back)
-    if not diff.isEmpty():
+    if not W.same_output(W.write_csv(summ, f"{base}/csv"), W.write_parquet(summ, f"{base}/parquet")):
         raise W.WriteValidationError("CSV and Parquet exports differ")
-    return csv_back
+    return spark.read.schema(summ.schema).options(**W.CSV_OPTIONS).csv(f"{base}/csv")
 
 
 @register("layer_counts")
@@ -788,3 +783,59 @@ def scd2_from_extracts(spark, sf):
     """SCD-4/8: users' histories from four full extracts in one pass."""
     from strata.operators import scd2
     return scd2.history_from_extracts(L.user_extracts(spark, sf), L.EXTRACT_TIMES, ["user_id"], check_cols=["event_type"])
+
+
+# --- results of other runners, checksums, merged profiles ------------------------
+
+from strata.operators import checksum as CK  # noqa: E402
+from strata.operators import sketches as SK  # noqa: E402
+
+
+@register("report_ingest")
+def report_ingest(spark, sf):
+    """REP-1: every line item as a result document of another runner: a test
+    node, a model node and an odd entry each, and some documents cut short;
+    written as JSON lines and read back as results and what is kept aside."""
+    path = _scratch(spark, "results")
+    tpch.table(spark, sf, "lineitem").selectExpr(f"{L.RESULT_DOCUMENT} AS value").write.text(path)
+    results, odd = REP.ingest(spark, path)
+    return results.unionByName(odd, allowMissingColumns=True)
+
+
+@register("export_checksum")
+def export_checksum(spark, sf):
+    """SNK-7/9: the mart as CSV and as Parquet, each compared with what its
+    write saw; the checksums of the files."""
+    summ = L.account_summary(spark, sf)
+    base = _scratch(spark, "checksum")
+    W.write_csv(summ, f"{base}/csv")
+    W.write_parquet(summ, f"{base}/parquet")
+    reader = spark.read.schema(summ.schema)
+    outputs = [("csv", reader.options(**W.CSV_OPTIONS).csv(f"{base}/csv")), ("parquet", reader.parquet(f"{base}/parquet"))]
+    parts = [CK.checksum(df).select(F.lit(n).alias("output"), CK.ROWS, *[F.col(c).cast("string").alias(c) for c in (CK.FIRST, CK.SECOND)])
+             for n, df in outputs]
+    return parts[0].unionByName(parts[1])
+
+
+@register("profile_sketch_merge")
+def profile_sketch_merge(spark, sf):
+    """SRC-7/AGG-7/QRY-8: a profile per month of shipping, stored with its
+    sketches and merged into years without another scan; the last columns say
+    whether the estimates keep their bounds beside exact values."""
+    cols = ["l_partkey", "l_quantity", "l_extendedprice"]
+    li = tpch.table(spark, sf, "lineitem").select(F.trunc("l_shipdate", "month").alias("month"), *cols)
+    stored = materialize(SK.run_profile(li, "month", cols)).withColumn("year", F.year("run"))
+    merged = materialize(SK.estimates(SK.merge(stored, ["year", "column_name"]), [0.5]))
+    # Exact values, for the comparison only: distinct values with their counts.
+    values = li.select(F.year("month").alias("year"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])))
+    counted = values.groupBy("year", "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    beside = counted.join(merged.select("year", "column_name", F.get("quantile_estimates", F.lit(0)).alias("mid")), ["year", "column_name"])
+    exact = beside.groupBy("year", "column_name").agg(
+        F.count("v").alias("d"), F.sum(F.when(F.col("v") < F.col("mid"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("v") <= F.col("mid"), F.col("n")).otherwise(0)).alias("upto"))
+    n = F.col("rows") - F.col("nulls")
+    return merged.join(exact, ["year", "column_name"]).select(
+        "year", "column_name", "runs", "rows", "nulls", "least", "greatest",
+        (F.abs(F.col("distinct_estimate") - F.col("d")) <= F.col("d") * SK.DISTINCT_ERROR + 1).alias("distinct_within"),
+        ((F.col("below") <= n * (0.5 + SK.RANK_ERROR)) & (F.col("upto") >= n * (0.5 - SK.RANK_ERROR))).alias("median_within"))

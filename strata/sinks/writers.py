@@ -2,8 +2,9 @@
 (SNK-1..7, SNK-9).
 
 All writes are distributed (one file per task); nothing is converted to
-pandas.  Row counts for the post-write check come from an ``Observation``
-attached to the write itself, so validation does not scan the source twice.
+pandas.  Row counts and checksums for the post-write check come from an
+``Observation`` attached to the write itself, so validation does not scan the
+source twice, and outputs are compared by checksum, not row by row.
 """
 
 from __future__ import annotations
@@ -15,9 +16,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators import checksum as CK
+
 ALLOWED_MODES = ("overwrite", "append")
-# Text is written and read as it is, blanks at its ends included.
-CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Text is written and read as it is, blanks at its ends included; times keep
+# their microseconds.
+CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"}
 
 
 class WriteValidationError(RuntimeError):
@@ -31,10 +36,13 @@ class WriteReport:
     rows_written: int
     rows_read_back: int | None
     columns: int
+    checksum: tuple | None = None
+    checksum_read_back: tuple | None = None
 
     @property
     def ok(self) -> bool:
-        return self.rows_read_back is None or self.rows_read_back == self.rows_written
+        return ((self.rows_read_back is None or self.rows_read_back == self.rows_written)
+                and (self.checksum_read_back is None or self.checksum_read_back == self.checksum))
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -42,24 +50,29 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _summed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, *CK.measures(df.columns)), obs
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", verify: bool = True) -> WriteReport:
     """SNK-1: header, UTF-8, one directory of part files."""
     _check_mode(mode)
-    out, obs = _counted(df, f"csv:{path}")
+    out, obs = _summed(df, f"csv:{path}")
     out.write.mode(mode).options(**CSV_OPTIONS).option("encoding", "UTF-8").csv(path)
-    return _validate(df.sparkSession, path, "csv", obs, df.schema, verify)
+    return _validate(df.sparkSession, path, "csv", obs, df.schema, verify and mode == "overwrite")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", verify: bool = True,
                   partition_by: list[str] | None = None) -> WriteReport:
     """SNK-2: Snappy Parquet."""
     _check_mode(mode)
-    out, obs = _counted(df, f"parquet:{path}")
+    out, obs = _summed(df, f"parquet:{path}")
     w = out.write.mode(mode).option("compression", "snappy")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return _validate(df.sparkSession, path, "parquet", obs, df.schema, verify)
+    return _validate(df.sparkSession, path, "parquet", obs, df.schema, verify and mode == "overwrite")
 
 
 def write_table(df: DataFrame, table: str, mode: str = "overwrite") -> WriteReport:
@@ -110,21 +123,29 @@ def _check_mode(mode: str) -> None:
 
 def _validate(spark: SparkSession, path: str, fmt: str, obs: Observation, schema: T.StructType,
               verify: bool) -> WriteReport:
-    """SNK-7: output exists, is non-empty when rows were written, and holds
-    the written rows and columns.  Parquet counts come from footers; CSV is
-    re-read (optional on very large exports)."""
-    written = obs.get["rows"]
-    back = None
+    """SNK-7: the files, read once (optional on very large exports), hold the
+    rows that the write saw: as many, and with the same checksum.  An append
+    joins rows that this write did not see and is not compared."""
+    def parts(r) -> tuple:
+        return r[CK.ROWS], r[CK.FIRST], r[CK.SECOND]
+
+    seen, back = parts(obs.get), None
     if verify:
         reader = spark.read.schema(schema)
         back_df = reader.options(**CSV_OPTIONS).csv(path) if fmt == "csv" else reader.parquet(path)
-        back = back_df.count()
-    rep = WriteReport(path, fmt, written, back, len(schema.fields))
+        back = parts(CK.checksum(back_df.select(*[F.col(f"`{c}`") for c in schema.names])).first())
+    rep = WriteReport(path, fmt, seen[0], back and back[0], len(schema.fields), seen, back)
     if not rep.ok:
-        raise WriteValidationError(f"{path}: wrote {written} rows, read back {back}")
+        raise WriteValidationError(f"{path}: wrote {seen[0]} rows with checksum {seen[1:]}, read back {back[0]} with {back[1:]}")
     return rep
 
 
+def same_output(a: WriteReport, b: WriteReport) -> bool:
+    """SNK-9: do two validated outputs hold the same rows (same columns, same
+    order of columns), equally often?  Nothing is read."""
+    return a.checksum == b.checksum
+
+
 def compare_outputs(a: DataFrame, b: DataFrame) -> DataFrame:
     """SNK-9: rows present in one output and not the other (both ways, with
     multiplicity), after casting ``b`` to ``a``'s schema.  Empty = same."""
