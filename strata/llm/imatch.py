@@ -15,13 +15,16 @@ that change every large one.  Likeness of two fingerprints is the share of
 equal subset hashes among those where either has a word; two fingerprints
 without any word are alike (1.0).
 
-DataFrame functions only.  Documents are ordered by descending id in blocks of
-``BLOCK`` consecutive ids, each sorted in one task; the first row of every
-block, found by a partial aggregate, follows the last row of the block above.
+DataFrame functions only.  Documents are numbered by one range sort on (id,
+first characters and hash of the text), descending; every ``BLOCK`` consecutive numbers are a block
+that finds its next texts in one task, and a block's last row gets the first
+text of the following block.  Neither a null id, nor a repeated one, nor
+many equal rows gather in a task, and sparse ids cost no more than dense ones.
 
 Null and empty texts have no words.  Null ids come last (below all others);
-repeated ids are ordered by their text, so equal rows are neighbours.  A
-single document is its own next one.
+repeated ids are ordered by the first ``PREFIX`` characters of their text,
+then by its hash, so equal rows are neighbours.  A single document is its own next one.  Words are lower-cased by
+Unicode's rules.
 """
 
 from __future__ import annotations
@@ -32,22 +35,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import small, words
+from .common import SEPARATORS, placed, small
 
 MIN_SHARE, MAX_SHARE = 1 / 500, 1 / 10
 RATES = (1, 4, 5, 6, 7, 8)  # a subset keeps 2**-rate of the lexicon
 PER_RATE = 5
 BLOCK = 256
+PREFIX = 32
 EMPTY = "0" * 8
 
 
+def pieces(text: Column) -> Column:
+    """Lower-cased words of a text, with an empty one where it begins or ends
+    with a separator."""
+    return F.split(F.lower(text), SEPARATORS)
+
+
 def lexicon(docs: DataFrame, min_share: float = MIN_SHARE, max_share: float = MAX_SHARE) -> DataFrame:
     """(term): hashes of the words with a frequency in the band, among the
-    distinct texts."""
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    total = texts.select(F.xxhash64("text")).distinct().count()
-    each = texts.distinct().select(F.explode(F.array_distinct(words(F.col("text")))).alias("word")).select(F.xxhash64("word").alias("term"))
-    counts = each.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    distinct texts.  Only texts that occur more than once are shuffled, to
+    keep one of each."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    hashes = materialize(texts.groupBy("h").agg(F.count(F.lit(1)).alias("n")))
+    total = hashes.count()
+    repeated = small(hashes.filter("n > 1").select("h"))
+    once = texts.join(repeated, "h", "left_anti").select("text")
+    texts = once.unionByName(texts.join(repeated, "h", "left_semi").select("text").distinct())
+    each = texts.select(F.explode(F.array_distinct(pieces(F.col("text")))).alias("word"))
+    counts = each.filter("word != ''").groupBy(F.xxhash64("word").alias("term")).agg(F.count(F.lit(1)).alias("df"))
     return counts.filter((F.col("df") >= total * min_share) & (F.col("df") <= max(1.0, total * max_share))).select("term")
 
 
@@ -86,25 +101,17 @@ def with_next(docs: DataFrame) -> DataFrame:
     """(block, place, doc_id, text, next, last): every document with the text
     of the next one in descending id, the last one with that of the first.
     ``last`` marks a block's last row, whose next one is in another block."""
-    low = -(1 << 63)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(low))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.floor(key / BLOCK).cast("long").alias("block"), key.alias("key"))
-    # The first row of every block: keys by a partial aggregate, then texts.
-    first = materialize(rows.groupBy("block").agg(F.max("key").alias("key")))
-    heads = rows.join(small(first), ["block", "key"]).groupBy("block").agg(F.max("text").alias("head"))
-    # Blocks in descending order: within groups of 2**12, then group heads.
-    groups = first.select("block", F.shiftright("block", 12).alias("g"))
-    tops = groups.groupBy("g").agg(F.max("block").alias("top"))
-    above = Window.orderBy(F.desc("g"))
-    tops = tops.select("g", F.coalesce(F.lead("top").over(above), F.first("top").over(above)).alias("top"))
-    order = Window.partitionBy("g").orderBy(F.desc("block"))
-    nexts = groups.select("block", "g", F.lead("block").over(order).alias("inside")).join(tops, "g", "left")
-    nexts = nexts.select("block", F.coalesce("inside", "top").alias("after"))
-    follow = nexts.join(heads.select(F.col("block").alias("after"), F.col("head")), "after").select("block", "head")
-    down = Window.partitionBy("block").orderBy(F.desc("key"), F.desc("text"))
-    rows = rows.select("*", F.row_number().over(down).alias("place"), F.lead("text").over(down).alias("inside"))
-    return rows.join(follow, "block").select(
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # Short sort keys: a range sort samples them to the driver.
+    rows = rows.withColumns({"start": F.substring("text", 1, PREFIX), "h": F.xxhash64("text")})
+    rows = placed(rows, "place", F.col("doc_id").desc_nulls_last(), F.desc("start"), F.desc("h")).drop("start", "h")
+    rows = rows.withColumn("block", F.floor(F.col("place") / BLOCK).cast("long"))
+    blocks = (rows.agg(F.max("block")).first()[0] or 0) + 1
+    heads = rows.filter(F.col("place") % BLOCK == 0)
+    heads = heads.select(F.pmod(F.col("block") - 1, F.lit(blocks)).alias("block"), F.col("text").alias("head"))
+    down = Window.partitionBy("block").orderBy("place")
+    rows = rows.withColumn("inside", F.lead("text").over(down))
+    return rows.join(heads, "block").select(
         "block", "place", "doc_id", "text", F.coalesce("inside", "head").alias("next"), F.col("inside").isNull().alias("last"))
 
 
@@ -116,22 +123,27 @@ def report(docs: DataFrame) -> DataFrame:
     half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next", F.lit(1), half)))
     # The empty word marks every text, so none is lost without lexicon words,
-    # and carries what is to be returned and the text's own words.
-    mark = lambda text: F.transform(F.concat(F.array_distinct(words(text)), F.array(F.lit(""))), lambda w: F.xxhash64(w))
-    empty = F.xxhash64(F.lit(""))
-    texts = F.array(F.struct(F.lit(0).alias("part"), mark(F.col("text")).alias("w")),
-                    F.struct(F.lit(1).alias("part"), mark(F.col("edited")).alias("w")),
-                    F.struct(F.lit(2).alias("part"), mark(F.when(F.col("last"), F.col("next"))).alias("w")))
+    # and carries what is to be returned and the text itself.
+    texts = F.array(F.struct(F.lit(0).alias("part"), F.col("text").alias("t")),
+                    F.struct(F.lit(1).alias("part"), F.col("edited").alias("t")),
+                    F.struct(F.lit(2).alias("part"), F.when(F.col("last"), F.col("next")).alias("t")))
     info = F.struct("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    each = rows.select("block", "place", info.alias("info"), F.explode(texts).alias("t"))
-    each = each.select("block", "place", "t.part", "info", F.col("t.w").alias("own"), F.explode("t.w").alias("term"))
-    each = each.select("block", "place", "part", "term", F.when(F.col("term") == empty, F.struct("info", "own")).alias("held"))
+    each = rows.select("block", "place", info.alias("info"), texts.alias("texts")).select("block", "place", "info", F.explode("texts").alias("t"))
+    each = each.filter("t.t IS NOT NULL").select("block", "place", "t.part", "info", F.col("t.t").alias("text"))
+    each = each.select("*", F.explode(F.concat(F.array(F.lit("")), pieces(F.col("text")))).alias("word"))
+    each = each.select("block", "place", "part", F.xxhash64("word").alias("term"),
+                       F.when(F.col("word") == "", F.struct("info", "text")).alias("held"))
+    empty = F.xxhash64(F.lit(""))
     marker = docs.sparkSession.range(1).select(empty.alias("term"))
     # A lexicon word's subsets are hashed once, where the lexicon is made.
     known = materialize(lexicon(docs).union(marker).withColumn("mask", membership(F.col("term"))))
     kept = each.join(small(known), "term")
+    # Rows are dealt by block already, so with a broadcast lexicon this
+    # aggregate shuffles nothing.
     prints = kept.groupBy("block", "place", "part").agg(F.first("held", ignorenulls=True).alias("held"), F.collect_set(F.struct("term", "mask")).alias("terms"))
-    own = F.transform(F.array_distinct("held.own"), lambda w: F.struct(w.alias("term"), membership(w).alias("mask")))
+    # Only a text without lexicon words is split again, for its own words.
+    own = F.transform(F.array_distinct(F.transform(pieces(F.col("held.text")), lambda w: F.xxhash64(w))),
+                      lambda w: F.struct(w.alias("term"), membership(w).alias("mask")))
     terms = F.array_sort(F.filter(F.when(F.size("terms") > 1, F.col("terms")).otherwise(own), lambda t: t["term"] != empty))
     prints = prints.select("block", "place", "part", "held.info", terms.alias("terms"))
     prints = prints.withColumn("print", fingerprint(F.col("terms")))

@@ -3,6 +3,7 @@ decontamination, fingerprints; and pseudonyms."""
 
 import collections
 import datetime as dt
+import functools
 import hashlib
 import itertools
 import random
@@ -12,9 +13,10 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 
 from strata.llm import decontamination, imatch, jaccard_join, pseudonyms, suffix_dedup
-from strata.llm.common import python_words
+from strata.llm.common import SEPARATORS, python_words
 
 
 def bag(rows):
@@ -199,6 +201,51 @@ def test_imatch_against_python(spark, corpus, frame):
         assert r.near_next == pytest.approx(like(r.fingerprint, next(iter(prints[nxt]))))
 
 
+def fingerprint_by_hand(text, terms):
+    """Subset hashes by the XXH64 algorithm, of a text and the lexicon's terms."""
+    chain = lambda values: functools.reduce(lambda h, v: xxhash.xxh64(v.to_bytes(8, "little", signed=True), seed=h).intdigest(), values, 42)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    own = {signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) for w in re.split(SEPARATORS, text.lower()) if w}
+    found = sorted(own & terms) or sorted(own)
+    part = lambda kept: f"{chain(kept) & 0xFFFFFFFF:08x}" if kept else imatch.EMPTY
+    inside = lambda t, rate, seed: xxhash.xxh64(seed.to_bytes(4, "little"), seed=chain([t])).intdigest() & ((1 << rate) - 1) == 0
+    parts = [part([t for t in found if inside(t, rate, 100 * rate + i)]) for rate in imatch.RATES for i in range(imatch.PER_RATE)]
+    if set(parts) == {imatch.EMPTY}:
+        parts[0] = part(found)
+    return "".join(parts)
+
+
+def test_imatch_digests_against_python(spark, corpus, frame):
+    """Lexicon and every digest, counted and hashed in Python."""
+    rows = [r for r in corpus if r[0] is not None]
+    distinct = {t or "" for _, t in rows}
+    df = collections.Counter(w for t in distinct for w in set(re.split(SEPARATORS, t.lower())) - {""})
+    band = {w for w, n in df.items() if len(distinct) * imatch.MIN_SHARE <= n <= max(1.0, len(distinct) * imatch.MAX_SHARE)}
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    terms = {signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) for w in band}
+    assert {r.term for r in imatch.lexicon(frame(rows)).collect()} == terms
+    got = bag((r.doc_id, r.n_chars, r.fingerprint) for r in imatch.report(frame(rows)).collect())
+    assert got == bag((i, len(t or ""), fingerprint_by_hand(t or "", terms)) for i, t in rows)
+
+
+@pytest.mark.parametrize("kind", ["null", "same", "sparse"])
+def test_imatch_hot_and_sparse_ids(spark, frame, kind):
+    """A third of the ids null or one, or ids all over the 64-bit range:
+    every row has its next text, in blocks of bounded size."""
+    rnd = random.Random(3)
+    ids = [rnd.randrange(-1 << 63, 1 << 63) if kind == "sparse" else i for i in range(900)]
+    rows = [(i if kind == "sparse" or n % 3 else None if kind == "null" else 500, f"text {n % 700}") for n, i in enumerate(ids)]
+    got = imatch.with_next(frame(rows)).collect()
+    assert bag((r.doc_id, r.text) for r in got) == bag(rows)
+    order = sorted(got, key=lambda r: r.place)
+    assert [r.place for r in order] == list(range(900))
+    keys = [-(1 << 64) if r.doc_id is None else r.doc_id for r in order]
+    assert keys == sorted(keys, reverse=True)
+    assert all(r.next == order[(i + 1) % 900].text for i, r in enumerate(order))
+    assert max(collections.Counter(r.block for r in got).values()) <= imatch.BLOCK
+    assert sum(r.last for r in got) == -(-900 // imatch.BLOCK)
+
+
 def test_imatch_edges(spark, frame):
     one = imatch.report(frame([(3, "salt")])).first()
     assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256(b"sasa").hexdigest()
