@@ -292,6 +292,22 @@ class Suite:
             .when(st == F.lit("warn"), F.format_string("%d violating rows; warning above %d", "violations", "warn_if"))
             .alias("message"))
 
+    def samples(self, results: DataFrame, run_id: str, n: int = 10) -> DataFrame | None:
+        """SRT-4: up to ``n`` failing rows, as JSON, of every check that did not
+        pass in ``results``; None if there are none.  Only the checks' names
+        reach the driver.  A check that is one aggregate (an age) has no rows."""
+        seen = {(r.table_name, r.test_name) for r in results.filter("status <> 'pass'").select("table_name", "test_name").collect()}
+        out = None
+        for ch in self.checks:
+            if (ch.table, ch.test) not in seen or ch.measure is not None:
+                continue
+            bad = self.frames[ch.table].filter(ch.condition) if ch.condition is not None else ch.violations()
+            rows = sample_violations(bad, n)
+            rows = rows.select(F.lit(run_id).alias("run_id"), F.lit(ch.table).alias("table_name"), F.lit(ch.test).alias("test_name"),
+                               F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("row"))
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
 
 def _sql_lit(v) -> str:
     if v is None:

@@ -62,6 +62,8 @@ class RunConfig:
     keep_versions: int = 3
     stop_on_error: bool = True
     export_database: str | None = None  # marts as catalog tables (SNK-3)
+    sample_dir: str | None = None       # rows of checks that did not pass (SRT-4)
+    sample_rows: int = 10
 
 
 @dataclass
@@ -148,49 +150,9 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
                         .join(ch_c, "customer_id", "left_semi").select("account_id"))
         affected = materialize(ch_a.unionByName(via_customer).distinct())
 
-        # Fresh rows of the affected accounts, derived once (small) and passed
-        # down the chain: each layer's new rows are the previous ones minus
-        # the affected keys plus its fresh rows - no layer re-scans the table
-        # the previous step just wrote.
-        fresh_awc = materialize(M.account_with_customer(open_a.join(affected, "account_id", "left_semi"), open_c))
-        fresh_sav = M.savings_only(fresh_awc)
-        fresh_summ = materialize(M.account_summary(fresh_sav, ts))
-        prev_summ = store.read_before("account_summary")
-        put("int_account_with_customer", INC.replace_keys(prev_awc, fresh_awc, affected, "account_id"))
-        put("int_savings_account_only", INC.replace_keys(store.read_before("int_savings_account_only"), fresh_sav, affected, "account_id"))
-        summ = put("account_summary", INC.replace_keys(prev_summ, fresh_summ, affected, "account_id"))
-
-        # Totals move by the signed changes of the accounts; other accounts of
-        # the customers are not read, unless the latest stamp went with one.
-        prev_prof = store.read_before("customer_profile")
-        totals = prev_prof.drop("customer_name", "has_loan_flag")
-        gone = prev_summ.join(affected, "account_id", "left_semi")
-        moved = gone.withColumn(D.SIGN, F.lit(-1)).unionByName(fresh_summ.withColumn(D.SIGN, F.lit(1)))
-        changed, cust = M.PROFILE_TOTALS.apply(totals, moved, lambda keys: summ)
-        cust = materialize(cust.filter(F.col("customer_id").isNotNull()))
-        renamed = totals.join(ch_c.join(cust, "customer_id", "left_anti"), "customer_id", "left_semi")
-        every = materialize(cust.unionByName(ch_c).distinct())
-        # Attributes only for the affected customers: the semi-join against
-        # the small key set is broadcast, so the customer table is filtered in
-        # place rather than shuffled for the left join.
-        fresh = M.with_attributes(changed.unionByName(renamed), open_c.join(every, "customer_id", "left_semi"))
-        put("customer_profile", INC.replace_keys(prev_prof, fresh, every, "customer_id"))
-
-    # quality suite, report, gate
-    _step(spark, f"{cfg.run_id}: quality")
-    results = materialize(quality_results(store, cfg.run_id, cfg.run_ts, cfg.id_type))
-    if cfg.report_dir:
-        W.save_report(results, cfg.report_dir, cfg.run_id, cfg.run_ts)
-    res.gate = REP.gate(results).first().asDict()
-    broken = results.filter("status = 'fail' AND (test_name LIKE 'unique!_%' ESCAPE '!' OR test_name LIKE 'not!_null!_%' ESCAPE '!')").limit(5).collect()
-    if broken:  # declared constraints hold in every published run
-        raise K.ContractError(f"run {cfg.run_id}: {[r.test_name for r in broken]} broken, nothing is published")
-    if not res.gate["passed"] and cfg.stop_on_error:
-        raise QualityGateError(f"run {cfg.run_id}: {res.gate['failing']} failing checks, nothing is published")
-    _step(spark, f"{cfg.run_id}: layer counts")
-    res.layer_counts = layer_counts(store)
-    frames = {name: store.read(name) for name in ("account_summary", "customer_profile")}
-    store.commit()
+        _refresh_marts(store, put, affected, ch_c, open_a, open_c, ts)
+
+    frames = _audit_and_publish(store, cfg, res)
 
     _step(spark, f"{cfg.run_id}: exports")
     if cfg.export_dir:
@@ -212,17 +174,107 @@ def run(spark: SparkSession, cfg: RunConfig) -> RunResult:
     return res
 
 
+def _refresh_marts(store: Warehouse, put, affected: DataFrame, ch_c: DataFrame, open_a: DataFrame, open_c: DataFrame, ts) -> None:
+    """Stage the intermediate tables and marts anew for the accounts
+    ``affected`` and the customers ``ch_c`` (keys); other rows stay."""
+    prev_awc = store.read_before("int_account_with_customer")
+    # Fresh rows of the affected accounts, derived once (small) and passed
+    # down the chain: each layer's new rows are the previous ones minus
+    # the affected keys plus its fresh rows - no layer re-scans the table
+    # the previous step just wrote.
+    fresh_awc = materialize(M.account_with_customer(open_a.join(affected, "account_id", "left_semi"), open_c))
+    fresh_sav = M.savings_only(fresh_awc)
+    fresh_summ = materialize(M.account_summary(fresh_sav, ts))
+    prev_summ = store.read_before("account_summary")
+    put("int_account_with_customer", INC.replace_keys(prev_awc, fresh_awc, affected, "account_id"))
+    put("int_savings_account_only", INC.replace_keys(store.read_before("int_savings_account_only"), fresh_sav, affected, "account_id"))
+    summ = put("account_summary", INC.replace_keys(prev_summ, fresh_summ, affected, "account_id"))
+
+    # Totals move by the signed changes of the accounts; other accounts of
+    # the customers are not read, unless the latest stamp went with one.
+    prev_prof = store.read_before("customer_profile")
+    totals = prev_prof.drop("customer_name", "has_loan_flag")
+    gone = prev_summ.join(affected, "account_id", "left_semi")
+    moved = gone.withColumn(D.SIGN, F.lit(-1)).unionByName(fresh_summ.withColumn(D.SIGN, F.lit(1)))
+    changed, cust = M.PROFILE_TOTALS.apply(totals, moved, lambda keys: summ)
+    cust = materialize(cust.filter(F.col("customer_id").isNotNull()))
+    renamed = totals.join(ch_c.join(cust, "customer_id", "left_anti"), "customer_id", "left_semi")
+    every = materialize(cust.unionByName(ch_c).distinct())
+    # Attributes only for the affected customers: the semi-join against
+    # the small key set is broadcast, so the customer table is filtered in
+    # place rather than shuffled for the left join.
+    fresh = M.with_attributes(changed.unionByName(renamed), open_c.join(every, "customer_id", "left_semi"))
+    put("customer_profile", INC.replace_keys(prev_prof, fresh, every, "customer_id"))
+
+
+def _audit_and_publish(store: Warehouse, cfg: RunConfig, res: RunResult) -> dict[str, DataFrame]:
+    """Quality suite over the staged rows, report, samples of failing rows and
+    gate; a run that passes becomes visible.  Returns the marts."""
+    spark = store.spark
+    _step(spark, f"{cfg.run_id}: quality")
+    results = materialize(quality_results(store, cfg.run_id, cfg.run_ts, cfg.id_type))
+    if cfg.report_dir:
+        W.save_report(results, cfg.report_dir, cfg.run_id, cfg.run_ts)
+    if cfg.sample_dir:
+        samples = quality_suite(store, cfg.run_ts, cfg.id_type).samples(results, cfg.run_id, cfg.sample_rows)
+        if samples is not None:
+            W.save_report(samples, cfg.sample_dir, cfg.run_id, cfg.run_ts)
+    res.gate = REP.gate(results).first().asDict()
+    broken = results.filter("status = 'fail' AND (test_name LIKE 'unique!_%' ESCAPE '!' OR test_name LIKE 'not!_null!_%' ESCAPE '!')").limit(5).collect()
+    if broken:  # declared constraints hold in every published run
+        raise K.ContractError(f"run {cfg.run_id}: {[r.test_name for r in broken]} broken, nothing is published")
+    if not res.gate["passed"] and cfg.stop_on_error:
+        raise QualityGateError(f"run {cfg.run_id}: {res.gate['failing']} failing checks, nothing is published")
+    _step(spark, f"{cfg.run_id}: layer counts")
+    res.layer_counts = layer_counts(store)
+    frames = {name: store.read(name) for name in ("account_summary", "customer_profile")}
+    store.commit()
+    return frames
+
+
+def backfill(spark: SparkSession, cfg: RunConfig, start: dt.datetime, end: dt.datetime) -> RunResult:
+    """INC-8: compute the intermediate tables and marts anew for one slice -
+    the accounts whose open version began in ``[start, end)`` - from the
+    histories; the profiles of their customers move by the change.  No extract
+    is read, and every other row stays as it is.  It is a run of its own (``run_id`` and
+    ``run_ts`` of ``cfg``): audited, gated and published in one step, and
+    exported by the next run.  A complete run id is a no-op; an empty slice
+    publishes the same rows again."""
+    store = Warehouse(spark, cfg.warehouse)
+    declared = K.contracts(cfg.id_type)
+    res = RunResult()
+    if not store.exists("customer_profile"):
+        raise FileNotFoundError(f"nothing to backfill: no complete run under {cfg.warehouse}")
+    if not store.begin(cfg.run_id, cfg.run_ts):
+        res.layer_counts = layer_counts(store)
+        return res
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        return store.stage(name, declared[name].enforce(df, constraints=False), declared[name], unique=False)
+
+    _step(spark, f"{cfg.run_id}: backfill")
+    open_c, open_a = (History(store, name).open_versions() for name in ("snap_customer", "snap_account"))
+    in_slice = (F.col(scd2.VFROM) >= F.lit(start)) & (F.col(scd2.VFROM) < F.lit(end))
+    affected = materialize(open_a.filter(in_slice).select("account_id"))
+    _refresh_marts(store, put, affected, open_c.select("customer_id").limit(0), open_a, open_c, F.lit(cfg.run_ts).cast("timestamp"))
+    _audit_and_publish(store, cfg, res)
+    for name in MART_TABLES:
+        store.vacuum(name, cfg.keep_versions)
+    spark.sparkContext.setJobDescription(None)
+    return res
+
+
 LAYER_TABLES = ("src_customer", "src_account", "stg_customer", "stg_account", "quarantine_stg_customer",
                 "quarantine_stg_account", "int_account_with_customer", "int_savings_account_only",
                 "account_summary", "customer_profile")
+MART_TABLES = LAYER_TABLES[-4:]
 
 
 def layer_counts(store: Warehouse) -> dict[str, int]:
     """QRY-7: row counts of every layer, as the staging writes observed them;
     histories are counted from Parquet footers."""
-    known = store.counts
-    if not known:
-        known = store.runs().agg(F.max_by("counts", "run_ts")).first()[0]
+    each = store.runs().select("run_ts", F.explode("counts").alias("t", "n")).filter(F.col("t").isin(*LAYER_TABLES))
+    known = {r.t: r.n for r in each.groupBy("t").agg(F.max_by("n", "run_ts").alias("n")).collect()} | store.counts
     out = {t: known[t] for t in LAYER_TABLES}
     for name in ("snap_customer", "snap_account"):
         out[name] = History(store, name).read().count()
@@ -236,6 +288,11 @@ RECENCY = (("src_customer", "loaded_at", 24), ("src_account", "loaded_at", 24),
 
 
 def quality_results(store: Warehouse, run_id: str, run_ts: dt.datetime, id_type: str = "int") -> DataFrame:
+    """One row per declared check."""
+    return quality_suite(store, run_ts, id_type).results(run_id)
+
+
+def quality_suite(store: Warehouse, run_ts: dt.datetime, id_type: str = "int") -> DQ.Suite:
     """The pipeline's declared tests over the published layers: what the
     contracts say, and the rules of the marts.  Row conditions and recency of
     a table share one scan."""
@@ -285,4 +342,4 @@ def quality_results(store: Warehouse, run_id: str, run_ts: dt.datetime, id_type:
         s.add(DQ.Check(name, f"scd2_no_overlap_{name}", violations=lambda n=name, k=key: DQ.scd2_overlap(t[n], [k], SEGMENT_SECONDS)),
               DQ.Check(name, f"one_open_version_{name}", violations=lambda n=name, k=key: DQ.open_versions(t[n], [k])),
               DQ.Check(name, f"starts_in_the_past_{name}", condition=F.col("dbt_valid_from") > now))
-    return s.results(run_id)
+    return s
